@@ -93,6 +93,10 @@ RESOURCES_SQL = "SELECT p_partkey AS resource_id, p_type AS state FROM part"
 
 
 # --- orders as invoices, tickets and users ------------------------------------------
+# Rates with full binary precision: money times rate never lands on an exact decimal
+# half, where engines that round the decimal text and the binary value would differ.
+RATES = {"USD": 1.0, "EUR": 1 / 0.93, "ARS": 1 / 713}
+
 def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     key, cust, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
@@ -105,8 +109,8 @@ def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
         (price * 0.21).alias("taxes"),
         F.when(cust % 3 == 0, F.lit("USD")).when(cust % 3 == 1, F.lit("EUR"))
          .otherwise(F.lit("ARS")).alias("currency"),
-        F.when(cust % 3 == 0, F.lit(1.0)).when(cust % 3 == 1, F.lit(1.08))
-         .otherwise(F.lit(0.0015)).alias("exchange_rate_to_usd"),
+        F.when(cust % 3 == 0, F.lit(RATES["USD"])).when(cust % 3 == 1, F.lit(RATES["EUR"]))
+         .otherwise(F.lit(RATES["ARS"])).alias("exchange_rate_to_usd"),
     )
 
 
@@ -118,9 +122,10 @@ SELECT o_orderkey AS invoice_id, o_custkey AS org_id,
        o_totalprice * CAST(0.21 AS DOUBLE) AS taxes,
        CASE WHEN o_custkey % 3 = 0 THEN 'USD' WHEN o_custkey % 3 = 1 THEN 'EUR' ELSE 'ARS' END
          AS currency,
-       CAST(CASE WHEN o_custkey % 3 = 0 THEN 1.0 WHEN o_custkey % 3 = 1 THEN 1.08 ELSE 0.0015 END
-            AS DOUBLE) AS exchange_rate_to_usd
-FROM orders"""
+       CASE WHEN o_custkey % 3 = 0 THEN CAST({USD!r} AS DOUBLE)
+            WHEN o_custkey % 3 = 1 THEN CAST({EUR!r} AS DOUBLE)
+            ELSE CAST({ARS!r} AS DOUBLE) END AS exchange_rate_to_usd
+FROM orders""".format(**RATES)
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
