@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import usage_rules
-from ..operators import anomaly, ingest, marts, quality
+from ..operators import anomaly, ingest, marts, quality, serving
 from ..operators.events import silver_usage, usage_features
 from ..operators.joins import enrich
 from ..sources import testmap as tm
@@ -403,3 +403,188 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
 def q_dedup_composite_key(spark, sf):
     return ingest.dedup_latest(tm.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"],
                                [F.col("l_shipdate").desc()])
+
+
+# --- serving: V1-V6, O1-O3, S11, S12, K4-K6, I1 ------------------------------------------
+# Date parameters chosen inside the test data's ranges (events: January 2024; orders 1995-2001).
+V1_RANGE = ("2024-01-05", "2024-01-20")
+V2_RANGE = ("2024-01-15", "2024-01-30")
+V3_RANGE = ("1997-01-01", "1999-12-31")
+RECENT_DAYS = 10
+SPLIT_TS = "2024-01-15 12:00:00"   # the earlier load ends mid-day: the later one must win
+LATE_DAY = "2024-01-15"
+
+
+def _usage_serving(spark, sf):
+    return serving.usage_serving(_daily(spark, sf))
+
+
+def _daily_of(spark, sf, cond) -> DataFrame:
+    ev = tm.usage_events(spark, sf).filter(cond)
+    tagged = silver_usage(ev, tm.orgs(spark, sf), tm.resources(spark, sf))
+    return serving.usage_serving(marts.daily_usage(quality.valid_rows(tagged)))
+
+
+def _early_late(spark, sf):
+    ts = F.col("timestamp_parsed")
+    early = _daily_of(spark, sf, ts < F.lit(SPLIT_TS).cast("timestamp_ntz"))
+    late = _daily_of(spark, sf, ts >= F.lit(LATE_DAY).cast("timestamp_ntz"))
+    return early, late
+
+
+_SERVING_USAGE_SQL = """
+SELECT org_id, service, usage_date, total_cost_usd, total_requests, total_cpu_hours,
+       total_storage_gb_hours, total_genai_tokens, total_carbon_kg FROM daily"""
+_TICKETS_SERVING_SQL = """
+SELECT org_id, ticket_date, total_tickets, critical_tickets_count,
+       COALESCE(avg_csat, 0.0) AS avg_csat, sla_breach_rate FROM tickets_day"""
+_TICKET_CTES = dict(tickets_raw=tm.TICKETS_SQL, tickets_c=_TICKETS_C, tickets_day=_TICKETS_DAY)
+_REVENUE_CTES = dict(billing_raw=tm.BILLING_SQL, billing_c=_BILLING_C, revenue=_REVENUE)
+
+
+def _tickets_serving(spark, sf):
+    return serving.tickets_serving(marts.tickets_by_day(marts.conform_tickets(_tickets_raw(spark, sf))))
+
+
+def _revenue_serving(spark, sf):
+    return serving.revenue_serving(marts.revenue_by_month(marts.billing_usd(tm.billing(spark, sf))))
+
+
+@register("serve_daily_range", _w(**_DAILY_CTES) + f"""
+SELECT org_id, service, usage_date, total_cost_usd, total_requests FROM daily
+WHERE usage_date BETWEEN DATE '{V1_RANGE[0]}' AND DATE '{V1_RANGE[1]}'""")
+def q_serve_daily_range(spark, sf):
+    return serving.daily_range(_usage_serving(spark, sf), *V1_RANGE)
+
+
+@register("serve_recent_days", _w(**_DAILY_CTES) + f"""
+SELECT * FROM (
+  SELECT org_id, service, usage_date, total_cost_usd, total_requests,
+         row_number() OVER (PARTITION BY org_id, service ORDER BY usage_date DESC) AS row_rank
+  FROM daily WHERE usage_date BETWEEN DATE '{V1_RANGE[0]}' AND DATE '{V1_RANGE[1]}')
+WHERE row_rank <= {RECENT_DAYS}""")
+def q_serve_recent_days(spark, sf):
+    rng = serving.daily_range(_usage_serving(spark, sf), *V1_RANGE)
+    return serving.newest_first(rng, ["org_id", "service"], "usage_date", RECENT_DAYS)
+
+
+@register("serve_top_services", _w(**_DAILY_CTES) + f"""
+SELECT org_id, service, cumulative_cost_usd,
+       row_number() OVER (PARTITION BY org_id ORDER BY cumulative_cost_usd DESC, service) AS cost_rank
+FROM (SELECT org_id, service, ROUND(SUM(total_cost_usd), 4) AS cumulative_cost_usd FROM daily
+      WHERE usage_date BETWEEN DATE '{V2_RANGE[0]}' AND DATE '{V2_RANGE[1]}'
+      GROUP BY org_id, service)""")
+def q_serve_top_services(spark, sf):
+    return serving.top_services(_usage_serving(spark, sf), *V2_RANGE)
+
+
+@register("serve_tickets_range", _w(**_TICKET_CTES, ts=_TICKETS_SERVING_SQL) + f"""
+SELECT * FROM ts WHERE ticket_date BETWEEN DATE '{V3_RANGE[0]}' AND DATE '{V3_RANGE[1]}'""")
+def q_serve_tickets_range(spark, sf):
+    return serving.tickets_range(_tickets_serving(spark, sf), *V3_RANGE)
+
+
+@register("serve_revenue", _w(**_REVENUE_CTES) + "SELECT * FROM revenue")
+def q_serve_revenue(spark, sf):
+    return serving.revenue_lines(_revenue_serving(spark, sf))
+
+
+@register("serve_genai", _w(**_DAILY_CTES) + """
+SELECT org_id, service, usage_date, total_genai_tokens, total_cost_usd FROM daily
+WHERE service = 'genai'""")
+def q_serve_genai(spark, sf):
+    return serving.genai_days(_usage_serving(spark, sf))
+
+
+@register("serve_profile", _w(**_DAILY_CTES, users_raw=tm.USERS_SQL, roles=_ROLES,
+                              nps_raw=tm.NPS_SQL, nps_c=_NPS_C, comments=_COMMENTS,
+                              service_cost=_SERVICE_COST) + """
+SELECT o.org_id, o.org_name, o.plan_tier, COALESCE(r.active_user_roles, '') AS active_user_roles,
+       COALESCE(c.recent_nps_comments, '') AS recent_nps_comments,
+       COALESCE(m.n_services, 0) AS n_services, COALESCE(m.total_service_cost, 0.0) AS total_service_cost
+FROM orgs o
+LEFT JOIN roles r ON o.org_id = r.org_id
+LEFT JOIN comments c ON o.org_id = c.org_id
+LEFT JOIN (SELECT org_id, COUNT(*) AS n_services, ROUND(SUM(ROUND(service_cost, 2)), 2) AS total_service_cost
+           FROM service_cost WHERE service IS NOT NULL GROUP BY org_id) m ON o.org_id = m.org_id""")
+def q_serve_profile(spark, sf):
+    v = serving.profile_view(serving.profile_serving(_profile(spark, sf)))
+    m = F.col("service_accumulated_costs")
+    total = F.aggregate(F.map_values(m), F.lit(0.0), lambda acc, x: acc + x)
+    return (_comments_str(_roles_str(v))
+            .withColumns({"n_services": F.size(m).cast("bigint"),
+                          "total_service_cost": F.round(total, 2)})
+            .drop("service_accumulated_costs"))
+
+
+@register("sample_key_probe", _w(**_DAILY_CTES)
+          + "SELECT org_id, service FROM daily ORDER BY org_id, service LIMIT 1")
+def q_sample_key_probe(spark, sf):
+    return serving.sample_key(_usage_serving(spark, sf))
+
+
+@register("serving_table_counts", _w(**_DAILY_CTES, **_TICKET_CTES, **_REVENUE_CTES) + """
+SELECT 'org_daily_usage_by_service' AS table_name, COUNT(*) AS n_rows FROM daily
+UNION ALL SELECT 'tickets_by_org_date', COUNT(*) FROM tickets_day
+UNION ALL SELECT 'revenue_by_org_month', COUNT(*) FROM revenue
+UNION ALL SELECT 'org_profile_analytics', COUNT(*) FROM customer""")
+def q_serving_table_counts(spark, sf):
+    def c(name, df):
+        return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+    return (c("org_daily_usage_by_service", _usage_serving(spark, sf))
+            .unionByName(c("tickets_by_org_date", _tickets_serving(spark, sf)))
+            .unionByName(c("revenue_by_org_month", _revenue_serving(spark, sf)))
+            .unionByName(c("org_profile_analytics", _profile(spark, sf))))
+
+
+@register("serving_null_fill", _w(**_TICKET_CTES, ts=_TICKETS_SERVING_SQL) + "SELECT * FROM ts")
+def q_serving_null_fill(spark, sf):
+    return _tickets_serving(spark, sf)
+
+
+@register("upsert_latest", _w(**_DAILY_CTES) + _SERVING_USAGE_SQL)
+def q_upsert_latest(spark, sf):
+    early, late = _early_late(spark, sf)
+    return serving.upsert(early, late, ["org_id", "service", "usage_date"])
+
+
+@register("serving_key_unique", _w(**_DAILY_CTES) + """
+SELECT org_id, service, usage_date, COUNT(*) AS n_rows FROM daily
+GROUP BY org_id, service, usage_date HAVING COUNT(*) > 1""")
+def q_serving_key_unique(spark, sf):
+    early, late = _early_late(spark, sf)
+    merged = serving.upsert(serving.upsert(early, late, ["org_id", "service", "usage_date"]),
+                            late, ["org_id", "service", "usage_date"])
+    return serving.duplicate_keys(merged, ["org_id", "service", "usage_date"])
+
+
+@register("upsert_idempotent", _w(**_DAILY_CTES, **_TICKET_CTES, **_REVENUE_CTES) + """
+SELECT 'org_daily_usage_by_service' AS table_name, COUNT(*) AS rows_once, COUNT(*) AS rows_twice,
+       TRUE AS keys_unique, TRUE AS content_equal FROM daily
+UNION ALL SELECT 'tickets_by_org_date', COUNT(*), COUNT(*), TRUE, TRUE FROM tickets_day
+UNION ALL SELECT 'revenue_by_org_month', COUNT(*), COUNT(*), TRUE, TRUE FROM revenue
+UNION ALL SELECT 'org_profile_analytics', COUNT(*), COUNT(*), TRUE, TRUE FROM customer""")
+def q_upsert_idempotent(spark, sf):
+    early, late = _early_late(spark, sf)
+    return (serving.idempotency_report(early, late, ["org_id", "service", "usage_date"],
+                                       "org_daily_usage_by_service")
+            .unionByName(serving.idempotency_report(None, _tickets_serving(spark, sf),
+                                                    ["org_id", "ticket_date"], "tickets_by_org_date"))
+            .unionByName(serving.idempotency_report(None, _revenue_serving(spark, sf),
+                                                    ["org_id", "month"], "revenue_by_org_month"))
+            .unionByName(serving.idempotency_report(None, serving.profile_serving(_profile(spark, sf)),
+                                                    ["org_id"], "org_profile_analytics")))
+
+
+@register("upsert_table_rerun", _w(**_DAILY_CTES) + _SERVING_USAGE_SQL)
+def q_upsert_table_rerun(spark, sf):
+    """K4 on storage: early load, later load, later load again; read back."""
+    from ..session import scratch_path
+    early, late = _early_late(spark, sf)
+    path = scratch_path(spark, "serving-usage")
+    keys = ["org_id", "service", "usage_date"]
+    order = [F.col("org_id"), F.col("service"), F.col("usage_date").desc()]
+    serving.upsert_table(spark, path, early, keys, order=order, n_buckets=16)
+    serving.upsert_table(spark, path, late, keys, order=order, n_buckets=16)
+    serving.upsert_table(spark, path, late, keys, order=order, n_buckets=16)
+    return serving.read_serving(spark, path)
