@@ -588,3 +588,178 @@ def q_upsert_table_rerun(spark, sf):
     serving.upsert_table(spark, path, late, keys, order=order, n_buckets=16)
     serving.upsert_table(spark, path, late, keys, order=order, n_buckets=16)
     return serving.read_serving(spark, path)
+
+
+# --- sources and sinks: S1-S9, D1-D3, F4, K1-K3, K7, W1-W5 --------------------------------
+def _orgs_landing(spark, sf) -> DataFrame:
+    """Organisation master rows in the landing schema (ids as text), from customer."""
+    from ..operators.joins import checked_broadcast
+    c = tm.table(spark, sf, "customer")
+    geo = (tm.table(spark, sf, "nation")
+           .join(checked_broadcast(tm.table(spark, sf, "region")),
+                 F.col("n_regionkey") == F.col("r_regionkey"))
+           .select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name")))
+    key, bal = F.col("c_custkey"), F.col("c_acctbal")
+    return c.join(checked_broadcast(geo), "c_nationkey", "left").select(
+        key.cast("string").alias("org_id"),
+        F.col("c_name").alias("org_name"),
+        F.col("c_mktsegment").alias("industry"),
+        F.col("r_name").alias("hq_region"),
+        F.when(bal > 5000.0, F.lit("enterprise")).when(bal > 0.0, F.lit("pro"))
+         .otherwise(F.lit("free")).alias("plan_tier"),
+        (bal > 5000.0).alias("is_enterprise"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (key % 180).cast("int")).alias("signup_date"),
+        F.concat(F.lit("rep_"), F.col("c_nationkey").cast("string")).alias("sales_rep"),
+        F.when(key % 3 == 0, F.lit("active")).otherwise(F.lit("trial")).alias("lifecycle_stage"),
+        F.lit("organic").alias("marketing_source"),
+        F.when(key % 9 == 0, F.lit(None)).otherwise(bal).alias("nps_score"),
+    )
+
+
+_ORGS_LANDING_SQL = """
+SELECT CAST(c_custkey AS VARCHAR) AS org_id, c_name AS org_name, c_mktsegment AS industry,
+       r_name AS hq_region,
+       CASE WHEN c_acctbal > 5000.0 THEN 'enterprise' WHEN c_acctbal > 0.0 THEN 'pro' ELSE 'free' END
+         AS plan_tier,
+       c_acctbal > 5000.0 AS is_enterprise,
+       CAST(DATE '2024-01-01' + CAST(c_custkey % 180 AS INTEGER) AS DATE) AS signup_date,
+       'rep_' || CAST(c_nationkey AS VARCHAR) AS sales_rep,
+       CASE WHEN c_custkey % 3 = 0 THEN 'active' ELSE 'trial' END AS lifecycle_stage,
+       'organic' AS marketing_source,
+       CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_acctbal END AS nps_score
+FROM customer LEFT JOIN (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) g
+  ON c_nationkey = g.n_nationkey"""
+
+
+@register("csv_ingest_roundtrip", _ORGS_LANDING_SQL)
+def q_csv_ingest_roundtrip(spark, sf):
+    """Every org written twice as landing CSV, ingested once."""
+    from ..session import scratch_path
+    from ..sources.landing import ingest_master
+    path = scratch_path(spark, "landing-orgs")
+    rows = _orgs_landing(spark, sf)
+    rows.unionByName(rows).write.option("header", "true").csv(path)
+    bronze, _corrupt = ingest_master(spark, path, "customers_orgs")
+    return bronze.drop("ingest_ts", "source_file")
+
+
+def _usage_landing(spark, sf) -> DataFrame:
+    """Usage events in the landing JSON schema (ids and time as text)."""
+    u = tm.usage_events(spark, sf)
+    return u.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.date_format("timestamp_parsed", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.col("org_id").cast("string").alias("org_id"),
+        F.col("resource_id").cast("string").alias("resource_id"),
+        "service",
+        F.concat(F.lit("region-"), (F.col("org_id") % 4).cast("string")).alias("region"),
+        "metric", "value", "unit", "cost_usd_increment",
+        F.lit(2).cast("bigint").alias("schema_version"),
+        "carbon_kg", "genai_tokens",
+    )
+
+
+_USAGE_LANDING_SQL = _w(usage=tm.USAGE_EVENTS_SQL) + """
+SELECT CAST(event_id AS VARCHAR) AS event_id,
+       strftime(timestamp_parsed, '%Y-%m-%d %H:%M:%S.%f') AS timestamp,
+       timestamp_parsed,
+       CAST(org_id AS VARCHAR) AS org_id, CAST(resource_id AS VARCHAR) AS resource_id, service,
+       'region-' || CAST(org_id % 4 AS VARCHAR) AS region,
+       metric, value, unit, cost_usd_increment, CAST(2 AS BIGINT) AS schema_version, carbon_kg,
+       genai_tokens
+FROM usage"""
+
+
+@register("jsonl_ingest_roundtrip", _USAGE_LANDING_SQL)
+def q_jsonl_ingest_roundtrip(spark, sf):
+    """S8 (batch), F4: events as JSON lines, read back with the declared schema."""
+    from ..session import scratch_path
+    from ..sources.landing import read_usage_json
+    path = scratch_path(spark, "landing-usage")
+    _usage_landing(spark, sf).write.json(path)
+    ev = read_usage_json(spark, path)
+    return (ev.drop("ingest_ts", "source_file")
+              .withColumn("timestamp_parsed", F.col("timestamp_parsed").cast("timestamp_ntz")))
+
+
+@register("partition_overwrite_roundtrip", _w(**_DAILY_CTES) + _SERVING_USAGE_SQL)
+def q_partition_overwrite_roundtrip(spark, sf):
+    """Daily mart written partitioned by day, read back with its schema."""
+    from ..session import scratch_path
+    from ..sinks import read_table, write_partitioned
+    daily = _usage_serving(spark, sf)
+    path = scratch_path(spark, "daily-by-day")
+    write_partitioned(daily, path, ["usage_date"])
+    return read_table(spark, path, daily.schema)
+
+
+@register("dynamic_overwrite_day", _w(**_DAILY_CTES) + _SERVING_USAGE_SQL)
+def q_dynamic_overwrite_day(spark, sf):
+    """K1 dynamic: the later load rewrites only the days it carries."""
+    from ..session import scratch_path
+    from ..sinks import read_table, write_table
+    early, late = _early_late(spark, sf)
+    path = scratch_path(spark, "daily-dynamic")
+    write_table(early, path, ["usage_date"])
+    write_table(late, path, ["usage_date"], dynamic=True)
+    return read_table(spark, path, early.schema)
+
+
+@register("quality_split_write", _w(**_SILVER_CTES) + "SELECT " + ", ".join(_DQ_COLS + ["usage_date"])
+          + " FROM silver")
+def q_quality_split_write(spark, sf):
+    """Q5 in one pass: every tagged event written once, partitioned by status; the
+    valid side is read back through partition pruning."""
+    from ..session import scratch_path
+    from ..sinks import write_partitioned
+    tagged = _silver_tagged(spark, sf).drop("dq_errors")
+    path = scratch_path(spark, "silver-tagged")
+    write_partitioned(tagged, path, ["dq_status", "service"])
+    back = spark.read.schema(tagged.schema).parquet(path)
+    return quality.valid_rows(back).select(*_DQ_COLS, "usage_date")
+
+
+def _event_stream(spark, sf) -> DataFrame:
+    from ..streaming.bronze import file_stream
+    raw = tm.table(spark, sf, "events")
+    s = file_stream(spark, f"{sf.rstrip('/')}/events*.parquet", raw.schema, fmt="parquet")
+    u = tm.usage_from_events(s)
+    return u.withColumn("timestamp_parsed", F.col("timestamp_parsed").cast("timestamp"))
+
+
+@register("stream_bronze_events", _w(usage=tm.USAGE_EVENTS_SQL) + """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id, timestamp_parsed) AS rn FROM usage)
+WHERE rn = 1""")
+def q_stream_bronze_events(spark, sf):
+    """Watermarked dedup stream into a service-partitioned table."""
+    from ..session import scratch_path
+    from ..streaming.bronze import bronze_usage_stream
+    out, side = scratch_path(spark, "bronze-usage"), scratch_path(spark, "bronze-untimed")
+    bronze_usage_stream(_event_stream(spark, sf), out, scratch_path(spark, "ckpt-bronze"),
+                        side_path=side)
+    back = spark.read.parquet(out)
+    return (back.withColumn("timestamp_parsed", F.col("timestamp_parsed").cast("timestamp_ntz"))
+                .select(*EVENT_COLS))
+
+
+def _daily_rows(events: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    feats = usage_features(enrich(events, tm.orgs(spark, sf), tm.resources(spark, sf)))
+    valid = quality.valid_rows(quality.tag_quality(feats, usage_rules()))
+    return serving.usage_serving(marts.daily_usage(valid))
+
+
+@register("stream_foreach_upsert_daily", _w(**_DAILY_CTES) + _SERVING_USAGE_SQL)
+def q_stream_foreach_upsert_daily(spark, sf):
+    """A usage stream keeps the daily serving table current, day by whole day."""
+    from ..session import scratch_path
+    from ..streaming.bronze import refresh_daily_from_stream
+    serving_path = scratch_path(spark, "serving-daily")
+    refresh_daily_from_stream(
+        spark, _event_stream(spark, sf), scratch_path(spark, "events-by-batch"), serving_path,
+        scratch_path(spark, "ckpt-refresh"),
+        lambda ev: _daily_rows(ev.withColumn("timestamp_parsed",
+                                             F.col("timestamp_parsed").cast("timestamp_ntz")),
+                               spark, sf),
+        n_buckets=16)
+    return serving.read_serving(spark, serving_path)

@@ -26,7 +26,11 @@ def _null_if(cond, value):
 
 # --- usage events ---------------------------------------------------------------
 def usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return usage_from_events(table(spark, sf_dir, "events"))
+
+
+def usage_from_events(e: DataFrame) -> DataFrame:
+    """The event mapping on any events frame, batch or streaming."""
     eid, val = F.col("event_id"), F.col("value")
     return e.select(
         _null_if(eid % 97 == 0, eid).alias("event_id"),
