@@ -38,7 +38,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
 
 
 def split_corrupt(df: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the corrupt column, corrupt rows)."""
+    """(good rows without the corrupt column, corrupt rows).
+
+    Spark refuses a query over raw CSV/JSON whose only referenced column is the
+    corrupt-record column (e.g. a bare ``count()`` of the bad side); write the bad
+    rows (all columns) to a quarantine table and count there.
+    """
     bad = F.col(corrupt_col).isNotNull()
     return df.filter(~bad).drop(corrupt_col), df.filter(bad)
 

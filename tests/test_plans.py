@@ -1,0 +1,37 @@
+"""Plan shape: stays JVM-side, prunes columns and partitions, pushes filters."""
+
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from cloudmarts.operators import marts
+from cloudmarts.sinks import write_partitioned
+
+from conftest import SF_SMALL
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_flagship_has_no_python_eval(spark):
+    p = _plan(entry.entry(spark))
+    assert "EvalPython" not in p and "ArrowEvalPython" not in p
+    # the events scan reads only the columns the mart needs
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string," \
+           "value:double,props:string>" in p
+
+
+def test_genai_mart_prunes_service_partitions(spark, tmp_dir):
+    silver = entry.queries()["dq_valid"](spark, SF_SMALL).withColumns({
+        "requests": F.lit(0.0), "genai_tokens_feat": F.col("genai_tokens")})
+    path = tmp_dir + "/silver"
+    write_partitioned(silver, path, ["usage_date", "service"])
+    g = marts.genai_by_day(spark.read.parquet(path).fillna(0, ["genai_tokens_feat"]))
+    p = _plan(g)
+    assert "PartitionFilters: [isnotnull(service" in p and "(service#" in p
+    assert g.count() > 0
+
+
+def test_dimension_joins_are_size_checked_broadcasts(spark):
+    p = _plan(entry.queries()["enrich_events"](spark, SF_SMALL))
+    assert p.count("BroadcastHashJoin") == 2
