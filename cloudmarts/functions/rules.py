@@ -56,6 +56,18 @@ def status_from_errors(errors: Column) -> Column:
              .otherwise(F.lit(UNKNOWN)))
 
 
+def status(rules: list[Rule]) -> Column:
+    """valid / quarantine / unknown straight from the predicates (no arrays, no
+    lambdas), so the valid-row filter stays a plain codegen'd predicate."""
+    all_true = rules[0].predicate.eqNullSafe(True)
+    any_false = rules[0].predicate.eqNullSafe(False)
+    for r in rules[1:]:
+        all_true = all_true & r.predicate.eqNullSafe(True)
+        any_false = any_false | r.predicate.eqNullSafe(False)
+    return (F.when(all_true, F.lit(VALID)).when(any_false, F.lit(QUARANTINE))
+             .otherwise(F.lit(UNKNOWN)))
+
+
 def verdict(rules: list[Rule]) -> Column:
     """Three-valued AND of all predicates (the raw verdict)."""
     out = rules[0].predicate

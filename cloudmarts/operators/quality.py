@@ -2,7 +2,7 @@
 
 Rows are tagged in one projection with the list of failed rules and a status;
 both outputs are filters over the same tagged plan, or one write partitioned by
-status (see ``sinks.write_split``), so the input is read once.
+status (``sinks.write_partitioned``), so the input is read once.
 """
 
 from __future__ import annotations
@@ -10,15 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import QUARANTINE, UNKNOWN, VALID, Rule, error_list, status_from_errors
+from ..functions.rules import QUARANTINE, UNKNOWN, VALID, Rule, error_list, status
 
 ON_UNKNOWN = ("quarantine", "drop")
 
 
 def tag_quality(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Adds ``dq_errors array<string>`` and ``dq_status`` (valid/quarantine/unknown)."""
-    tagged = df.withColumn("dq_errors", error_list(rules))
-    return tagged.withColumn("dq_status", status_from_errors(F.col("dq_errors")))
+    return df.withColumns({"dq_errors": error_list(rules), "dq_status": status(rules)})
 
 
 def _check(on_unknown: str) -> None:

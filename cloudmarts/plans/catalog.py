@@ -105,8 +105,16 @@ def _silver_valid(spark: SparkSession, sf: str) -> DataFrame:
     return quality.valid_rows(_silver_tagged(spark, sf))
 
 
+def _daily_from_events(events: DataFrame) -> DataFrame:
+    """M1 from raw events.  The mart reads neither the dimension attributes nor the
+    anomaly flag, so the plan is features -> quality -> aggregate: one scan, one
+    shuffle (the aggregate's), no fence pass."""
+    feats = usage_features(events)
+    return marts.daily_usage(quality.valid_rows(quality.tag_quality(feats, usage_rules())))
+
+
 def _daily(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.daily_usage(_silver_valid(spark, sf))
+    return _daily_from_events(tm.usage_events(spark, sf))
 
 
 # --- J1/J2, E1-E7 ---------------------------------------------------------------------
@@ -420,9 +428,7 @@ def _usage_serving(spark, sf):
 
 
 def _daily_of(spark, sf, cond) -> DataFrame:
-    ev = tm.usage_events(spark, sf).filter(cond)
-    tagged = silver_usage(ev, tm.orgs(spark, sf), tm.resources(spark, sf))
-    return serving.usage_serving(marts.daily_usage(quality.valid_rows(tagged)))
+    return serving.usage_serving(_daily_from_events(tm.usage_events(spark, sf).filter(cond)))
 
 
 def _early_late(spark, sf):
@@ -479,9 +485,12 @@ def q_serve_top_services(spark, sf):
 
 
 @register("serve_tickets_range", _w(**_TICKET_CTES, ts=_TICKETS_SERVING_SQL) + f"""
-SELECT * FROM ts WHERE ticket_date BETWEEN DATE '{V3_RANGE[0]}' AND DATE '{V3_RANGE[1]}'""")
+SELECT *, printf('%.2f%%', sla_breach_rate * 100) AS sla_breach_pct FROM ts
+WHERE ticket_date BETWEEN DATE '{V3_RANGE[0]}' AND DATE '{V3_RANGE[1]}'""")
 def q_serve_tickets_range(spark, sf):
-    return serving.tickets_range(_tickets_serving(spark, sf), *V3_RANGE)
+    from ..functions.conform import as_percent
+    return (serving.tickets_range(_tickets_serving(spark, sf), *V3_RANGE)
+            .withColumn("sla_breach_pct", as_percent("sla_breach_rate")))
 
 
 @register("serve_revenue", _w(**_REVENUE_CTES) + "SELECT * FROM revenue")
@@ -744,9 +753,7 @@ def q_stream_bronze_events(spark, sf):
 
 
 def _daily_rows(events: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
-    feats = usage_features(enrich(events, tm.orgs(spark, sf), tm.resources(spark, sf)))
-    valid = quality.valid_rows(quality.tag_quality(feats, usage_rules()))
-    return serving.usage_serving(marts.daily_usage(valid))
+    return serving.usage_serving(_daily_from_events(events))
 
 
 @register("stream_foreach_upsert_daily", _w(**_DAILY_CTES) + _SERVING_USAGE_SQL)
@@ -763,3 +770,16 @@ def q_stream_foreach_upsert_daily(spark, sf):
                                spark, sf),
         n_buckets=16)
     return serving.read_serving(spark, serving_path)
+
+
+@register("serve_point_range", _w(**_DAILY_CTES, pick="""
+SELECT org_id, service FROM daily ORDER BY org_id, service LIMIT 1""") + f"""
+SELECT d.org_id, d.service, d.usage_date, d.total_cost_usd, d.total_requests
+FROM daily d JOIN pick p ON d.org_id = p.org_id AND d.service = p.service
+WHERE d.usage_date BETWEEN DATE '{V1_RANGE[0]}' AND DATE '{V1_RANGE[1]}'""")
+def q_serve_point_range(spark, sf):
+    """S10 + S11: the demo flow -- pick one existing (org, service) key, then read its
+    closed date range.  The key is joined, never fetched to the driver."""
+    usage = _usage_serving(spark, sf)
+    key = serving.sample_key(usage)
+    return serving.daily_range(usage.join(key, ["org_id", "service"], "left_semi"), *V1_RANGE)
