@@ -88,9 +88,10 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequ
         existing = existing.join(F.broadcast(touched), BUCKET, "left_semi")
     merged = upsert(existing, inc, keys, version_col)
     stage = scratch_path(spark, "upsert-stage")
-    write_table(merged.repartition(F.col(BUCKET)), stage, [BUCKET], sort_within=list(order))
+    # REBALANCE: about one file per bucket, a hot bucket split over several tasks by AQE
+    write_table(merged.hint("rebalance", BUCKET), stage, [BUCKET], sort_within=list(order))
     staged = spark.read.parquet(stage)
-    return write_table(staged.repartition(F.col(BUCKET)), path, [BUCKET], dynamic=True,
+    return write_table(staged.hint("rebalance", BUCKET), path, [BUCKET], dynamic=True,
                        sort_within=list(order))
 
 

@@ -783,3 +783,17 @@ def q_serve_point_range(spark, sf):
     usage = _usage_serving(spark, sf)
     key = serving.sample_key(usage)
     return serving.daily_range(usage.join(key, ["org_id", "service"], "left_semi"), *V1_RANGE)
+
+
+@register("medallion_end_to_end", _w(**_DAILY_CTES) + """
+SELECT CAST(org_id AS VARCHAR) AS org_id, service, usage_date, total_cost_usd, total_requests,
+       total_cpu_hours, total_storage_gb_hours, total_genai_tokens, total_carbon_kg FROM daily""")
+def q_medallion_end_to_end(spark, sf):
+    """The whole chain from landing files (CSV masters, JSON-lines event stream) to the
+    daily serving table: bronze, stream dedup, silver split, gold, keyed upsert."""
+    from ..plans.medallion import Lake, run
+    from ..session import scratch_path
+    lake = Lake(scratch_path(spark, "lake"))
+    tm.write_landing(spark, sf, f"{lake.root}/landing")
+    run(spark, lake)
+    return serving.read_serving(spark, lake.zone("serving", "org_daily_usage_by_service"))

@@ -118,6 +118,10 @@ LANDING = {
     "marketing_touches": (MARKETING, ["touch_id"], "channel"),
 }
 
+# Masters with free-text cells that may hold line breaks: parsed multi-line (such a
+# file is read by one task, so only where the content needs it).
+MULTILINE_MASTERS = {"nps_surveys"}
+
 # Serving tables: key columns, clustering order (column, descending?), defaults
 # for null numerics and collections.
 SERVING = {

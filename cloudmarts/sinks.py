@@ -36,17 +36,16 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
-                      files_per_partition: int = 4, dynamic: bool = True,
+                      dynamic: bool = True,
                       max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE) -> int:
-    """Partitioned write that spreads each output partition over a few tasks.
+    """Partitioned write laid out by the REBALANCE hint on the partition columns.
 
-    Rows are hashed on the partition columns plus a row-derived spread value, so a
-    hot partition (one service holding a third of the data) is written by
-    ``files_per_partition`` tasks instead of one, while small partitions still get
-    few files.
+    AQE hashes rows on the partition columns, coalesces small output partitions and
+    splits skewed ones (``optimizeSkewsInRebalancePartitions``), so a hot partition
+    (one service holding a third of the data) is written by several tasks while
+    small partitions get one file each.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-    laid_out = df.repartition(*[F.col(c) for c in partition_by], spread)
+    laid_out = df.hint("rebalance", *partition_by)
     return write_table(laid_out, path, partition_by, dynamic=dynamic,
                        max_records_per_file=max_records_per_file)
 

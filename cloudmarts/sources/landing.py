@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.ingest import dedup_latest, stamp
-from ..schemas import LANDING, USAGE_EVENT
+from ..schemas import LANDING, MULTILINE_MASTERS, USAGE_EVENT
 
 CORRUPT = "_corrupt"
 
@@ -24,15 +24,16 @@ def _with_corrupt(schema: StructType, corrupt_col: str) -> StructType:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType,
-             corrupt_col: str = CORRUPT) -> DataFrame:
-    """Header CSV with a declared schema; malformed rows keep their raw text
-    in ``corrupt_col`` (NULL for good rows).  Quoted JSON cells are supported."""
+             corrupt_col: str = CORRUPT, multi_line: bool = False) -> DataFrame:
+    """Header CSV (RFC 4180 quoting) with a declared schema; malformed rows
+    keep their raw text in ``corrupt_col`` (NULL for good rows).  ``multi_line``
+    allows quoted line breaks at the cost of one task per file."""
     return (spark.read
             .option("header", "true")
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", corrupt_col)
             .option("quote", '"').option("escape", '"')
-            .option("multiLine", "false")
+            .option("multiLine", str(multi_line).lower())
             .schema(_with_corrupt(schema, corrupt_col))
             .csv(path))
 
@@ -56,7 +57,7 @@ def ingest_master(spark: SparkSession, path: str, dataset: str,
     from; ``ingest_ts`` is one value per query.
     """
     schema, keys, _part = LANDING[dataset]
-    raw = stamp(read_csv(spark, path, schema))
+    raw = stamp(read_csv(spark, path, schema, multi_line=dataset in MULTILINE_MASTERS))
     good, bad = split_corrupt(raw)
     return dedup_latest(good, keys, order_by, exclude_from_tiebreak=["ingest_ts"]), bad
 

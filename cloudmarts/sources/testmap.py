@@ -209,3 +209,71 @@ FROM conversations WHERE role = 'user'"""
 def sql_with(**ctes: str) -> str:
     """``WITH name AS (sql), ...`` prefix for oracle queries."""
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n"
+
+
+# --- landing files (text ids, as the source system delivers them) --------------------------
+def _s(col):
+    return F.col(col).cast("string")
+
+
+def landing_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Every landing master in its declared schema, derived from the test tables."""
+    from ..schemas import LANDING
+    c = table(spark, sf_dir, "customer")
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part")
+    orgs_ = orgs(spark, sf_dir)
+    nps_ = nps(spark, sf_dir)
+    frames = {
+        "customers_orgs": orgs_.join(c.select(F.col("c_custkey").alias("org_id"), "c_mktsegment"),
+                                     "org_id").select(
+            _s("org_id").alias("org_id"), "org_name", F.col("c_mktsegment").alias("industry"),
+            F.concat(F.lit("region-"), (F.col("nation_key") % 5).cast("string")).alias("hq_region"),
+            "plan_tier", "is_enterprise",
+            F.date_add(F.lit("2024-01-01").cast("date"), (F.col("org_id") % 180).cast("int"))
+             .alias("signup_date"),
+            F.lit("rep").alias("sales_rep"), F.lit("active").alias("lifecycle_stage"),
+            F.lit("organic").alias("marketing_source"), "nps_score"),
+        "users": users(spark, sf_dir).select(
+            _s("user_id").alias("user_id"), _s("org_id").alias("org_id"),
+            F.concat(F.lit("u"), _s("user_id"), F.lit("@example.org")).alias("email"),
+            "role", "active",
+            F.lit(None).cast("timestamp").alias("created_at"),
+            F.lit(None).cast("timestamp").alias("last_login")),
+        "resources": p.select(
+            _s("p_partkey").alias("resource_id"), F.lit(None).cast("string").alias("org_id"),
+            F.col("p_brand").alias("service"), F.lit("region-0").alias("region"),
+            F.lit(None).cast("timestamp").alias("created_at"), F.col("p_type").alias("state"),
+            F.to_json(F.struct(F.col("p_brand").alias("brand"), F.col("p_name").alias("name")))
+             .alias("tags_json")),
+        "billing_monthly": billing(spark, sf_dir).select(
+            _s("invoice_id").alias("invoice_id"), _s("org_id").alias("org_id"), "month", "subtotal",
+            "credits", "taxes", "currency", "exchange_rate_to_usd"),
+        "support_tickets": tickets(spark, sf_dir).select(
+            _s("ticket_id").alias("ticket_id"), _s("org_id").alias("org_id"), "category", "severity",
+            "created_at", F.lit(None).cast("date").alias("resolved_at"), "csat", "sla_breached"),
+        "nps_surveys": nps_.select(_s("org_id").alias("org_id"), "survey_date", "nps_score", "comment"),
+        "marketing_touches": li.select(
+            F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber")).alias("touch_id"),
+            _s("l_suppkey").alias("org_id"), F.concat(F.lit("c"), _s("l_partkey")).alias("campaign"),
+            F.col("l_returnflag").alias("channel"), F.col("l_shipdate").cast("timestamp").alias("timestamp"),
+            (F.col("l_discount") > 0.05).alias("clicked"), (F.col("l_tax") > 0.04).alias("converted")),
+    }
+    for name, df in frames.items():
+        assert df.columns == LANDING[name][0].names, name
+    return frames
+
+
+def write_landing(spark: SparkSession, sf_dir: str, landing_root: str, event_files: int = 4) -> None:
+    """Landing CSV masters plus the usage events as ``event_files`` JSON-lines files."""
+    for name, df in landing_frames(spark, sf_dir).items():
+        (df.write.option("header", "true").option("quote", '"').option("escape", '"')
+           .csv(f"{landing_root}/{name}.csv"))
+    ev = usage_events(spark, sf_dir)
+    landing_events = ev.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.date_format("timestamp_parsed", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+        _s("org_id").alias("org_id"), _s("resource_id").alias("resource_id"), "service",
+        F.lit("region-0").alias("region"), "metric", "value", "unit", "cost_usd_increment",
+        F.lit(2).cast("bigint").alias("schema_version"), "carbon_kg", "genai_tokens")
+    landing_events.repartition(event_files).write.json(f"{landing_root}/usage_events")
