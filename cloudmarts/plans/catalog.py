@@ -647,7 +647,8 @@ def q_csv_ingest_roundtrip(spark, sf):
     from ..sources.landing import ingest_master
     path = scratch_path(spark, "landing-orgs")
     rows = _orgs_landing(spark, sf)
-    rows.unionByName(rows).write.option("header", "true").csv(path)
+    (rows.unionByName(rows).write.option("header", "true").option("quote", '"')
+         .option("escape", '"').csv(path))
     bronze, _corrupt = ingest_master(spark, path, "customers_orgs")
     return bronze.drop("ingest_ts", "source_file")
 
@@ -797,3 +798,58 @@ def q_medallion_end_to_end(spark, sf):
     tm.write_landing(spark, sf, f"{lake.root}/landing")
     run(spark, lake)
     return serving.read_serving(spark, lake.zone("serving", "org_daily_usage_by_service"))
+
+
+@register("csv_ingest_all_masters", """
+SELECT 'customers_orgs' AS master, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_corrupt FROM customer
+UNION ALL SELECT 'users', COUNT(*), 0 FROM orders
+UNION ALL SELECT 'resources', COUNT(*), 0 FROM part
+UNION ALL SELECT 'billing_monthly', COUNT(*), 0 FROM orders
+UNION ALL SELECT 'support_tickets', COUNT(*), 0 FROM orders
+UNION ALL SELECT 'nps_surveys', COUNT(*), 0 FROM (
+  SELECT DISTINCT conv_id, turn FROM conversations WHERE role = 'user')
+UNION ALL SELECT 'marketing_touches', COUNT(*), 0 FROM (
+  SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""")
+def q_csv_ingest_all_masters(spark, sf):
+    """Every master written as landing CSV (RFC quoting, JSON and
+    multi-line text cells included), ingested to bronze; rows and corrupt rows
+    per master, counted during the writes."""
+    from ..plans.medallion import Lake, bronze_masters
+    from ..session import scratch_path
+    lake = Lake(scratch_path(spark, "lake-masters"))
+    for name, df in tm.landing_frames(spark, sf).items():
+        (df.write.option("header", "true").option("quote", '"').option("escape", '"')
+           .csv(lake.landing(f"{name}.csv")))
+    bronze_masters(spark, lake)
+    out = None
+    for m in tm.landing_frames(spark, sf):
+        n = spark.read.parquet(lake.zone("bronze", m)).agg(F.count(F.lit(1)).alias("n_rows"))
+        bad = spark.read.parquet(lake.zone("quarantine", f"bronze_{m}")).agg(
+            F.count(F.lit(1)).alias("n_corrupt"))
+        # two one-row aggregates folded into one row (no join)
+        row = (n.unionByName(bad, allowMissingColumns=True)
+                .agg(F.max("n_rows").alias("n_rows"),
+                     F.coalesce(F.max("n_corrupt"), F.lit(0).cast("bigint")).alias("n_corrupt"))
+                .select(F.lit(m).alias("master"), "n_rows", "n_corrupt"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("stream_multi_batch_daily", _w(**_DAILY_CTES) + """
+SELECT CAST(org_id AS VARCHAR) AS org_id, service, usage_date, total_cost_usd, total_requests,
+       total_cpu_hours, total_storage_gb_hours, total_genai_tokens, total_carbon_kg FROM daily""")
+def q_stream_multi_batch_daily(spark, sf):
+    """T18 across micro-batches: eight time-ordered landing files, one per batch, so
+    the days at file boundaries arrive in two batches; the whole-day recompute must
+    still equal the batch mart (a per-batch partial sum would not)."""
+    from ..schemas import USAGE_EVENT
+    from ..session import scratch_path
+    from ..sources.landing import parse_event_time
+    from ..streaming.bronze import file_stream, refresh_daily_from_stream
+    land = scratch_path(spark, "landing-events")
+    tm.write_landing_events(spark, sf, land, files=8)
+    parsed = parse_event_time(file_stream(spark, land, USAGE_EVENT, "json", max_files_per_trigger=1))
+    serving_path = scratch_path(spark, "serving-daily-mb")
+    refresh_daily_from_stream(spark, parsed, scratch_path(spark, "events-mb"), serving_path,
+                              scratch_path(spark, "ckpt-mb"), _daily_from_events, n_buckets=16)
+    return serving.read_serving(spark, serving_path)

@@ -51,7 +51,9 @@ def bronze_masters(spark: SparkSession, lake: Lake, names=None) -> dict[str, int
         _schema, _keys, part = LANDING[name]
         bronze, corrupt = ingest_master(spark, lake.landing(f"{name}.csv"), name,
                                         order_by=[F.col("ingest_ts").asc()])
-        counts[name] = write_table(bronze, lake.zone("bronze", name), [part] if part else None)
+        target = lake.zone("bronze", name)
+        counts[name] = (write_partitioned(bronze, target, [part], dynamic=False) if part
+                        else write_table(bronze, target))
         counts[f"{name}_corrupt"] = write_table(corrupt, lake.zone("quarantine", f"bronze_{name}"))
     return counts
 

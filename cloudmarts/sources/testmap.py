@@ -269,6 +269,12 @@ def write_landing(spark: SparkSession, sf_dir: str, landing_root: str, event_fil
     for name, df in landing_frames(spark, sf_dir).items():
         (df.write.option("header", "true").option("quote", '"').option("escape", '"')
            .csv(f"{landing_root}/{name}.csv"))
+    write_landing_events(spark, sf_dir, f"{landing_root}/usage_events", event_files)
+
+
+def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> None:
+    """Usage events as ``files`` JSON-lines files in the landing schema (text ids and
+    time), each file a contiguous event-time range, as a feed delivers them."""
     ev = usage_events(spark, sf_dir)
     landing_events = ev.select(
         F.col("event_id").cast("string").alias("event_id"),
@@ -276,4 +282,14 @@ def write_landing(spark: SparkSession, sf_dir: str, landing_root: str, event_fil
         _s("org_id").alias("org_id"), _s("resource_id").alias("resource_id"), "service",
         F.lit("region-0").alias("region"), "metric", "value", "unit", "cost_usd_increment",
         F.lit(2).cast("bigint").alias("schema_version"), "carbon_kg", "genai_tokens")
-    landing_events.repartition(event_files).write.json(f"{landing_root}/usage_events")
+    # one append per time slice, oldest first: the file source picks files in
+    # modification-time order, as a feed would deliver them
+    ts = F.col("timestamp_parsed")
+    lo, hi = ev.agg(F.min(ts).cast("timestamp").cast("long"),
+                    F.max(ts).cast("timestamp").cast("long")).first()
+    span = max(hi - lo + 1, 1)
+    sliced = landing_events.withColumn(
+        "_slice", F.floor((F.to_timestamp("timestamp").cast("long") - lo) * files / span))
+    for k in range(files):
+        (sliced.filter(F.col("_slice") == k).drop("_slice").coalesce(1)
+               .write.mode("append").json(path))
