@@ -199,7 +199,8 @@ def newest_first(df: DataFrame, partition_cols: Sequence[str], date_col: str,
                  n: int) -> DataFrame:
     """O2: the ``n`` newest rows per partition key, ranked (per-task pre-limit)."""
     w = Window.partitionBy(*partition_cols).orderBy(F.col(date_col).desc())
-    return df.withColumn("row_rank", F.row_number().over(w)).filter(F.col("row_rank") <= n)
+    return (df.withColumn("row_rank", F.row_number().over(w).cast("bigint"))
+              .filter(F.col("row_rank") <= n))
 
 
 def top_services(usage: DataFrame, start: str, end: str, org_id=None,
@@ -213,7 +214,7 @@ def top_services(usage: DataFrame, start: str, end: str, org_id=None,
             .groupBy("org_id", "service")
             .agg(F.round(F.sum("total_cost_usd"), 4).alias("cumulative_cost_usd")))
     w = Window.partitionBy("org_id").orderBy(F.col("cumulative_cost_usd").desc(), F.col("service"))
-    ranked = sums.withColumn("cost_rank", F.row_number().over(w))
+    ranked = sums.withColumn("cost_rank", F.row_number().over(w).cast("bigint"))
     return ranked.filter(F.col("cost_rank") <= top_n) if top_n else ranked
 
 

@@ -28,11 +28,14 @@ def duck(sf_dir: str):
     return con
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return ("nan",)
-        return round(v, 6) + 0.0
+        return v + 0.0 if STRICT else round(v, 6) + 0.0
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None)
     if isinstance(v, (list, tuple)):
