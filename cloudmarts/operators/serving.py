@@ -75,23 +75,34 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequ
                  order: Sequence[Column] = (), version_col: str | None = None) -> int:
     """Merge ``incoming`` into the serving table at ``path``; returns rows rewritten.
 
-    1. tag incoming rows with their bucket; 2. read only the touched buckets of the
-    table (dynamic partition pruning on ``_bucket``); 3. merge and stage the result
-    under the shared checkpoint folder; 4. dynamic-overwrite those buckets from the
-    stage.  A failure after step 3 is repaired by rerunning: the stage already holds
-    the merged buckets and the overwrite is per bucket.
+    1. stage the incoming rows once, tagged and partitioned by bucket (the incoming
+       lineage is computed exactly once);
+    2. list the touched buckets -- at most ``n_buckets`` small integers, the only
+       values that reach the driver;
+    3. read just those buckets of the table (static partition pruning), merge, and
+       stage the merged buckets under the shared checkpoint folder;
+    4. dynamic-overwrite those buckets from the stage.
+    A failure in step 4 is repaired by rerunning it: the stage holds the merged buckets
+    and the overwrite is per bucket.
     """
-    inc = incoming.withColumn(BUCKET, bucket_of(partition_key, n_buckets))
+    stage_in = scratch_path(spark, "upsert-incoming")
+    tagged = incoming.withColumn(BUCKET, bucket_of(partition_key, n_buckets))
+    # REBALANCE: about one file per bucket, a hot bucket split over several tasks by AQE
+    if write_table(tagged.hint("rebalance", BUCKET), stage_in, [BUCKET]) == 0:
+        return 0
+    inc = spark.read.parquet(stage_in)
+    touched = sorted(r[0] for r in inc.select(BUCKET).distinct().collect())
     existing = try_read_table(spark, path)
-    if existing is not None:
-        touched = inc.select(BUCKET).distinct()
-        existing = existing.join(F.broadcast(touched), BUCKET, "left_semi")
+    if existing is None:  # first load: nothing is read from the target, write it directly
+        merged = upsert(None, inc, keys, version_col)
+        return write_table(merged.hint("rebalance", BUCKET), path, [BUCKET],
+                           sort_within=list(order))
+    existing = existing.filter(F.col(BUCKET).isin(touched))
     merged = upsert(existing, inc, keys, version_col)
-    stage = scratch_path(spark, "upsert-stage")
-    # REBALANCE: about one file per bucket, a hot bucket split over several tasks by AQE
+    stage = scratch_path(spark, "upsert-merged")
     write_table(merged.hint("rebalance", BUCKET), stage, [BUCKET], sort_within=list(order))
-    staged = spark.read.parquet(stage)
-    return write_table(staged.hint("rebalance", BUCKET), path, [BUCKET], dynamic=True,
+    # the stage is already laid out per bucket: copy it without another shuffle
+    return write_table(spark.read.parquet(stage), path, [BUCKET], dynamic=True,
                        sort_within=list(order))
 
 

@@ -25,7 +25,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     obs = Observation()
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if sort_within:
-        observed = observed.sortWithinPartitions(*sort_within)
+        # partition columns first: the writer's own grouping then needs no second sort
+        observed = observed.sortWithinPartitions(*(partition_by or []), *sort_within)
     w = observed.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")

@@ -56,3 +56,26 @@ def test_fill_and_ranking(spark):
     # ties keep service order; dates outside the closed range are ignored
     assert [(t.service, t.cost_rank) for t in top] == [("c", 1), ("a", 2), ("b", 3)]
     assert F
+
+
+def test_upsert_reads_only_touched_buckets(spark, tmp_dir):
+    path = tmp_dir + "/serving"
+    a = spark.createDataFrame([(f"o{i}", "s", D(2025, 8, 1), float(i)) for i in range(200)], SCHEMA)
+    serving.upsert_table(spark, path, a, KEYS, n_buckets=16)
+    seen = []
+    orig = serving.upsert
+
+    def spy(existing, incoming, keys, version_col=None):
+        seen.append(existing._jdf.queryExecution().executedPlan().toString())
+        return orig(existing, incoming, keys, version_col)
+
+    serving.upsert = spy
+    try:
+        b = spark.createDataFrame([("o1", "s", D(2025, 8, 1), 100.0)], SCHEMA)
+        serving.upsert_table(spark, path, b, KEYS, n_buckets=16)
+    finally:
+        serving.upsert = orig
+    import re
+    # the existing table is read through a static predicate on the touched bucket only
+    assert re.search(r"PartitionFilters: \[isnotnull\(_bucket#\d+\), \(_bucket#\d+ (=|IN) ", seen[0])
+    assert spark.read.parquet(path).count() == 200
