@@ -25,7 +25,7 @@ def silver_usage(events: DataFrame, orgs: DataFrame, resources: DataFrame,
 
     Quartiles are taken over every event, including those later quarantined
     (parity with the source pipeline).  Route with ``quality.valid_rows`` /
-    ``quality.quarantined_rows`` or write once with ``sinks.write_split``.
+    ``quality.quarantined_rows`` or write once with ``sinks.write_partitioned``.
     """
     feats = usage_features(enrich(events, orgs, resources))
     flagged = flag_anomalies(feats, accuracy=accuracy)

@@ -17,9 +17,17 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "cloudmarts") -> SparkSession:
+                  app_name: str = "cloudmarts",
+                  advisory_partition_bytes: int = 128 * 1024 * 1024,
+                  max_partition_bytes: int = 256 * 1024 * 1024) -> SparkSession:
     """Session with the settings the library assumes: UTC, AQE with skew-join
-    splitting, ANSI on, no UI."""
+    splitting, ANSI on, no UI.
+
+    On a cluster set ``shuffle_partitions`` high (e.g. 4-8x the cores) and let AQE
+    coalesce toward ``advisory_partition_bytes``; ``max_partition_bytes`` sizes scan
+    splits.  AQE also splits skewed shuffle partitions in joins and in REBALANCE
+    writes, so a key holding a third of the data is spread over several tasks.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -31,6 +39,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(advisory_partition_bytes))
+        .config("spark.sql.files.maxPartitionBytes", str(max_partition_bytes))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -39,10 +39,19 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
 
 
 def dedup_events(df: DataFrame, time_col: str = "timestamp_parsed",
-                 keys: Sequence[str] = ("event_id",), watermark: str = "2 hours") -> DataFrame:
-    """Watermark + stateful dedup on keys plus event time.  Rows older than
-    the watermark are dropped (reported as ``numRowsDroppedByWatermark``)."""
-    return df.withWatermark(time_col, watermark).dropDuplicates([*keys, time_col])
+                 keys: Sequence[str] = ("event_id",), watermark: str = "2 hours",
+                 within_watermark: bool = False) -> DataFrame:
+    """Watermark + stateful dedup.  Rows older than the watermark are
+    dropped (reported as ``numRowsDroppedByWatermark``).
+
+    Default key: ``keys`` plus event time (a re-sent event with the same time is a
+    duplicate).  ``within_watermark=True`` keys on ``keys`` alone and keeps each key's
+    state for the watermark delay, so a re-send with a shifted timestamp is caught too.
+    """
+    w = df.withWatermark(time_col, watermark)
+    if within_watermark:
+        return w.dropDuplicatesWithinWatermark(list(keys))
+    return w.dropDuplicates([*keys, time_col])
 
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str,

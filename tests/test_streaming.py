@@ -50,3 +50,14 @@ def test_divert_null_times(spark, tmp_dir):
     _run(spark, land, out, ckpt, "divert", side)
     assert spark.read.parquet(out).count() == 4
     assert spark.read.parquet(side).count() == 1
+
+
+def test_within_watermark_catches_shifted_resend(spark, tmp_dir):
+    from cloudmarts.streaming.bronze import dedup_events, run_available_now
+    land, out, ckpt = (os.path.join(tmp_dir, d) for d in ("land", "out", "ckpt"))
+    os.makedirs(land)
+    _drop(land, "run1.jsonl", [("a", "2025-08-10 10:00:00"), ("a", "2025-08-10 10:00:05"),
+                               ("b", "2025-08-10 10:01:00")])
+    s = parse_event_time(file_stream(spark, land, USAGE_EVENT, "json"))
+    run_available_now(dedup_events(s, within_watermark=True), out, ckpt)
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["a", "b"]
