@@ -114,16 +114,20 @@ def point_filter(df: DataFrame, n_buckets: int = DEFAULT_BUCKETS, **eq) -> DataF
     """Equality filter on key columns; on a raw serving table with ``org_id`` given,
     the bucket predicate prunes partitions to one."""
     out = df
-    if BUCKET in df.columns and "org_id" in eq:
-        out = out.filter(F.col(BUCKET) == bucket_of_literal(eq["org_id"], n_buckets))
+    if BUCKET in df.columns and eq.get("org_id") is not None:
+        key_type = df.schema["org_id"].dataType
+        out = out.filter(F.col(BUCKET) == bucket_of_literal(eq["org_id"], n_buckets, key_type))
     for k, v in eq.items():
         if v is not None:
             out = out.filter(F.col(k) == F.lit(v))
     return out
 
 
-def bucket_of_literal(value, n_buckets: int = DEFAULT_BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(F.lit(value)), F.lit(n_buckets))
+def bucket_of_literal(value, n_buckets: int = DEFAULT_BUCKETS, key_type=None) -> Column:
+    """Bucket of a key value; cast to the key column's type first, since the hash of
+    an INT 7 differs from that of a BIGINT 7."""
+    lit = F.lit(value) if key_type is None else F.lit(value).cast(key_type)
+    return F.pmod(F.xxhash64(lit), F.lit(n_buckets))
 
 
 # --- K6, S11, S12, I1 -------------------------------------------------------------------

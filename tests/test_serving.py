@@ -79,3 +79,12 @@ def test_upsert_reads_only_touched_buckets(spark, tmp_dir):
     # the existing table is read through a static predicate on the touched bucket only
     assert re.search(r"PartitionFilters: \[isnotnull\(_bucket#\d+\), \(_bucket#\d+ (=|IN) ", seen[0])
     assert spark.read.parquet(path).count() == 200
+
+
+def test_point_read_on_numeric_key(spark, tmp_dir):
+    path = tmp_dir + "/serving"
+    a = spark.createDataFrame([(i, "s", D(2025, 8, 1), float(i)) for i in range(40)],
+                              "org_id bigint, service string, usage_date date, total_cost_usd double")
+    serving.upsert_table(spark, path, a, KEYS, n_buckets=8)
+    got = serving.point_filter(spark.read.parquet(path), n_buckets=8, org_id=7).collect()
+    assert [r.total_cost_usd for r in got] == [7.0]
