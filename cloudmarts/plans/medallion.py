@@ -21,12 +21,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rules import VALID
+from ..functions.rules import VALID, usage_rules
 from ..operators import marts, serving
 from ..operators.events import silver_usage
 from ..operators.ingest import dedup_latest
 from ..schemas import LANDING, SERVING, USAGE_EVENT
-from ..sinks import write_partitioned, write_table
+from ..sinks import write_observed, write_partitioned, write_table
 from ..sources.landing import ingest_master, parse_event_time
 from ..streaming.bronze import bronze_usage_stream, file_stream
 
@@ -81,9 +81,15 @@ def silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
     events = dedup_latest(events, ["event_id", "timestamp_parsed"], [F.col("ingest_ts").asc()],
                           exclude_from_tiebreak=["source_file"])
     tagged = silver_usage(events, bronze("customers_orgs"), bronze("resources"))
-    counts = {"usage_events": write_partitioned(
-        tagged, lake.zone("silver", "usage_events"), ["dq_status", "usage_date", "service"],
-        dynamic=False)}
+    # Q5/K7: route and per-rule counts observed in the same pass that writes silver
+    st = F.col("dq_status")
+    metrics = {f"route_{r}": F.count_if(st == r) for r in ("valid", "quarantine", "unknown")}
+    metrics.update({f"rule_{r.name}": F.count_if(F.array_contains("dq_errors", r.name))
+                    for r in usage_rules()})
+    metrics["anomalies_valid"] = F.count_if((st == "valid") & F.col("anomaly_flag"))
+    written = write_observed(tagged, lake.zone("silver", "usage_events"), metrics,
+                             ["dq_status", "usage_date", "service"], rebalance=True)
+    counts = {"usage_events": written.pop("rows"), **{k: int(v) for k, v in written.items()}}
     # by month, not by day: daily directories of a few rows each would be mostly file
     # overhead; ticket_date stays a column (row-group min/max skipping for day ranges)
     tickets = marts.conform_tickets(bronze("support_tickets")).withColumn(

@@ -22,8 +22,23 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
                 max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
                 sort_within: Sequence = ()) -> int:
     """Write parquet and return the number of rows written (observed, no second pass)."""
+    return write_observed(df, path, {}, partition_by, mode, dynamic, max_records_per_file,
+                          sort_within)["rows"]
+
+
+def write_observed(df: DataFrame, path: str, metrics: dict,
+                   partition_by: Sequence[str] | None = None, mode: str = "overwrite",
+                   dynamic: bool = False,
+                   max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+                   sort_within: Sequence = (), rebalance: bool = False) -> dict:
+    """Write parquet; return ``rows`` plus every aggregate in ``metrics`` (name ->
+    Column), all computed during the write itself.  ``rebalance`` lays the output out
+    with the REBALANCE hint on ``partition_by`` (see ``write_partitioned``)."""
+    if rebalance and partition_by:
+        df = df.hint("rebalance", *partition_by)
     obs = Observation()
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    aggs = [F.count(F.lit(1)).alias("rows")] + [c.alias(n) for n, c in metrics.items()]
+    observed = df.observe(obs, *aggs)
     if sort_within:
         # partition columns first: the writer's own grouping then needs no second sort
         observed = observed.sortWithinPartitions(*(partition_by or []), *sort_within)
@@ -33,7 +48,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return int(obs.get.get("rows", 0))
+    got = obs.get
+    return {"rows": int(got.get("rows", 0)), **{n: got.get(n) for n in metrics}}
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
@@ -46,9 +62,8 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
     (one service holding a third of the data) is written by several tasks while
     small partitions get one file each.
     """
-    laid_out = df.hint("rebalance", *partition_by)
-    return write_table(laid_out, path, partition_by, dynamic=dynamic,
-                       max_records_per_file=max_records_per_file)
+    return write_observed(df, path, {}, partition_by, dynamic=dynamic,
+                          max_records_per_file=max_records_per_file, rebalance=True)["rows"]
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

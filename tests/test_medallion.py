@@ -22,6 +22,10 @@ def test_pipeline_conserves_rows_and_money(spark, tmp_dir):
     # every deduplicated bronze event lands in exactly one silver output
     assert valid + quarantined == bronze_events == report["silver"]["usage_events"]
     assert (valid, quarantined) == (932, 68)   # SURVEY 7.3 at sf0.001 (52 strict + 16 unknown)
+    s = report["silver"]
+    assert (s["route_valid"], s["route_quarantine"], s["route_unknown"]) == (932, 52, 16)
+    assert s["anomalies_valid"] == 32   # SURVEY 7.3: 32 valid anomalies at sf0.001
+    assert s["rule_unit_missing"] > 0 and s["rule_event_id_missing"] > 0
 
     # gold daily cost equals silver cost within rounding
     silver_cost = md.silver_valid(spark, lake).agg(F.sum("daily_cost_usd")).first()[0]
