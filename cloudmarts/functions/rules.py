@@ -45,17 +45,6 @@ def error_list(rules: list[Rule]) -> Column:
     return F.filter(tags, lambda t: t.isNotNull())
 
 
-def status_from_errors(errors: Column) -> Column:
-    """valid (no error) / quarantine (a definite failure) / unknown (only undecided rules).
-
-    Equals the three-valued AND of the rules: FALSE AND NULL is FALSE.
-    """
-    definite = F.filter(errors, lambda t: ~t.endswith(UNKNOWN_SUFFIX))
-    return (F.when(F.size(errors) == 0, F.lit(VALID))
-             .when(F.size(definite) > 0, F.lit(QUARANTINE))
-             .otherwise(F.lit(UNKNOWN)))
-
-
 def status(rules: list[Rule]) -> Column:
     """valid / quarantine / unknown straight from the predicates (no arrays, no
     lambdas), so the valid-row filter stays a plain codegen'd predicate."""

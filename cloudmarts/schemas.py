@@ -7,8 +7,8 @@ but a CSV read does not enforce that (see ``sources.landing``).
 """
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DateType, DoubleType, LongType, MapType, StringType,
-    StructField, StructType, TimestampType,
+    BooleanType, DateType, DoubleType, LongType, StringType, StructField, StructType,
+    TimestampType,
 )
 
 
@@ -122,8 +122,7 @@ LANDING = {
 # file is read by one task, so only where the content needs it).
 MULTILINE_MASTERS = {"nps_surveys"}
 
-# Serving tables: key columns, clustering order (column, descending?), defaults
-# for null numerics and collections.
+# Serving tables: key columns and clustering order (column, descending?).
 SERVING = {
     "org_daily_usage_by_service": {
         "keys": ["org_id", "service", "usage_date"],
@@ -142,7 +141,3 @@ SERVING = {
         "order": [],
     },
 }
-
-ROLE_SET = ArrayType(StringType())
-COMMENT_LIST = ArrayType(StringType())
-COST_MAP = MapType(StringType(), DoubleType())

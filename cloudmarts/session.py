@@ -9,7 +9,6 @@ setting is unset and the master is local (tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -73,15 +72,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (only for local-filesystem checks in tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
