@@ -86,6 +86,14 @@ def genai_by_day(silver: DataFrame, service: str = SERVICE_GENAI) -> DataFrame:
                        _rsum("daily_cost_usd", 4).alias("total_cost_usd")))
 
 
+def genai_from_daily(daily: DataFrame, service: str = SERVICE_GENAI) -> DataFrame:
+    """M4 derived from M1: grouping (org, day) within one service is grouping
+    (org, day, service), so the M1 rows of that service are the M4 rows -- read from
+    the small mart instead of rescanning silver."""
+    return (daily.filter(F.col("service") == service)
+                 .select("org_id", "usage_date", "total_genai_tokens", "total_cost_usd"))
+
+
 def cost_anomalies(silver: DataFrame) -> DataFrame:
     """M5 (N5): flagged valid events, five columns."""
     return (silver.filter(F.col("anomaly_flag"))

@@ -853,3 +853,12 @@ def q_stream_multi_batch_daily(spark, sf):
     refresh_daily_from_stream(spark, parsed, scratch_path(spark, "events-mb"), serving_path,
                               scratch_path(spark, "ckpt-mb"), _daily_from_events, n_buckets=16)
     return serving.read_serving(spark, serving_path)
+
+
+@register("gold_genai_from_daily", _w(**_SILVER_CTES) + """
+SELECT org_id, usage_date, CAST(SUM(genai_tokens_feat) AS BIGINT) AS total_genai_tokens,
+       ROUND(SUM(daily_cost_usd), 4) AS total_cost_usd
+FROM silver WHERE service = 'genai' GROUP BY org_id, usage_date""")
+def q_gold_genai_from_daily(spark, sf):
+    """M4 derived from M1 (the gold plan's route) must equal M4 aggregated from silver."""
+    return marts.genai_from_daily(_daily(spark, sf))

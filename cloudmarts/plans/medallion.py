@@ -127,10 +127,13 @@ def gold(spark: SparkSession, lake: Lake, comment_limit: int = 10) -> dict[str,
         "revenue_by_org_month": marts.revenue_by_month(read(lake.zone("silver", "billing_monthly"))),
         "tickets_by_org_date": marts.tickets_by_day(
             read(lake.zone("silver", "support_tickets")).drop("ticket_month")),
-        "genai_tokens_by_org_date": marts.genai_by_day(s),
         "cost_anomaly_mart": marts.cost_anomalies(s),
     }
     counts = {name: write_table(df, lake.zone("gold", name)) for name, df in out.items()}
+    # M4 from the written M1 mart: no second aggregation over silver
+    counts["genai_tokens_by_org_date"] = write_table(
+        marts.genai_from_daily(read(lake.zone("gold", "org_daily_usage_by_service"))),
+        lake.zone("gold", "genai_tokens_by_org_date"))
     profile = marts.org_profile(read(lake.zone("bronze", "customers_orgs")),
                                 read(lake.zone("bronze", "users")),
                                 read(lake.zone("silver", "nps_surveys")),
