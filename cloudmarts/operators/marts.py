@@ -34,6 +34,33 @@ def daily_usage(silver: DataFrame) -> DataFrame:
     )
 
 
+# M1 as two steps, for incremental refresh: additive partial sums (unrounded) that can
+# be computed per micro-batch, and the final re-sum with the mart's rounding.
+_M1_PARTS = {
+    "total_cost_usd": ("daily_cost_usd", 4),
+    "total_requests": ("requests", None),
+    "total_cpu_hours": ("cpu_hours", 4),
+    "total_storage_gb_hours": ("storage_gb_hours", 4),
+    "total_genai_tokens": ("genai_tokens_feat", None),
+    "total_carbon_kg": ("carbon_kg_feat", 6),
+}
+
+
+def daily_usage_partials(silver: DataFrame) -> DataFrame:
+    """Unrounded M1 sums of any subset of events (e.g. one micro-batch)."""
+    return silver.groupBy(*DAILY_KEYS).agg(
+        *[F.sum(src).alias(f"part_{name}") for name, (src, _s) in _M1_PARTS.items()])
+
+
+def daily_usage_from_partials(partials: DataFrame) -> DataFrame:
+    """M1 from partial sums of disjoint event subsets: re-sum, then round as M1 does."""
+    aggs = []
+    for name, (_src, scale) in _M1_PARTS.items():
+        total = F.sum(f"part_{name}")
+        aggs.append((F.round(total, scale) if scale is not None else total).alias(name))
+    return partials.groupBy(*DAILY_KEYS).agg(*aggs)
+
+
 # --- M2 -------------------------------------------------------------------------
 def billing_usd(billing: DataFrame) -> DataFrame:
     """Q7 conformance."""

@@ -862,3 +862,31 @@ FROM silver WHERE service = 'genai' GROUP BY org_id, usage_date""")
 def q_gold_genai_from_daily(spark, sf):
     """M4 derived from M1 (the gold plan's route) must equal M4 aggregated from silver."""
     return marts.genai_from_daily(_daily(spark, sf))
+
+
+@register("stream_partials_daily", _w(**_DAILY_CTES) + """
+SELECT CAST(org_id AS VARCHAR) AS org_id, service, usage_date, total_cost_usd, total_requests,
+       total_cpu_hours, total_storage_gb_hours, total_genai_tokens, total_carbon_kg FROM daily""")
+def q_stream_partials_daily(spark, sf):
+    """T18, scalable form: eight time-ordered files, one per micro-batch; each batch
+    stores its partial sums, touched days are re-summed from partials and upserted."""
+    from ..functions.rules import usage_rules as _rules
+    from ..schemas import USAGE_EVENT
+    from ..session import scratch_path
+    from ..sources.landing import parse_event_time
+    from ..streaming.bronze import file_stream, refresh_daily_from_stream
+
+    def partials(batch: DataFrame) -> DataFrame:
+        feats = usage_features(batch.withColumn(
+            "timestamp_parsed", F.col("timestamp_parsed").cast("timestamp_ntz")))
+        return marts.daily_usage_partials(quality.valid_rows(quality.tag_quality(feats, _rules())))
+
+    land = scratch_path(spark, "landing-events")
+    tm.write_landing_events(spark, sf, land, files=8)
+    parsed = parse_event_time(file_stream(spark, land, USAGE_EVENT, "json", max_files_per_trigger=1))
+    serving_path = scratch_path(spark, "serving-daily-parts")
+    refresh_daily_from_stream(
+        spark, parsed, scratch_path(spark, "partials"), serving_path, scratch_path(spark, "ckpt-parts"),
+        partials, n_buckets=16, mode="partials",
+        finish_daily=lambda p: serving.usage_serving(marts.daily_usage_from_partials(p)))
+    return serving.read_serving(spark, serving_path)

@@ -106,17 +106,44 @@ def refresh_daily_from_stream(
         checkpoint: str, build_daily: Callable[[DataFrame], DataFrame],
         keys: Sequence[str] = ("org_id", "service", "usage_date"),
         time_col: str = "timestamp_parsed", watermark: str = "2 hours",
-        n_buckets: int = 64) -> StreamingQuery:
+        n_buckets: int = 64, mode: str = "recompute",
+        finish_daily: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Incremental refresh of the daily serving table from a usage stream.
 
-    ``build_daily(events)`` maps raw events to daily rows (enrich, features,
-    quality, M1).  Per micro-batch: (1) write the batch's events under
-    ``_batch=<id>`` (a replayed batch overwrites itself), (2) take the days it
-    touched, (3) recompute those whole days from the events table, deduplicated
-    by key, (4) upsert them.  State stays bounded: the only stateful step is the
-    watermarked dedup.
+    ``mode="recompute"`` (exact): ``build_daily(events)`` maps raw events to daily
+    rows.  Per micro-batch: (1) write the batch's events under ``_batch=<id>`` (a
+    replayed batch overwrites itself), (2) take the days it touched, (3) recompute
+    those whole days from the events table, deduplicated by key, (4) upsert them.
+    Cost per batch grows with the size of the touched days.
+
+    ``mode="partials"`` (for large days): ``build_daily(events)`` returns additive
+    partial sums and ``finish_daily(partials)`` re-sums and rounds them.  Per batch
+    only the batch's partial sums are written under ``_batch=<id>``; touched days are
+    re-summed from the partials table, which is orders of magnitude smaller than the
+    events.  Duplicates across batches are already removed by the watermarked dedup.
+    Sums may differ from ``recompute`` in the last floating-point bits.
+
+    State stays bounded either way: the only stateful step is the watermarked dedup.
     """
+    if mode not in ("recompute", "partials"):
+        raise ValueError("mode must be 'recompute' or 'partials'")
+    if mode == "partials" and finish_daily is None:
+        raise ValueError("mode='partials' needs finish_daily")
+    sc = spark.sparkContext
+    group = sc.getLocalProperty("spark.jobGroup.id")
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        if group:  # batches run on the stream thread: keep them in the caller's job group
+            sc.setJobGroup(group, group)
+        if mode == "partials":
+            part = build_daily(batch).withColumn("_batch", F.lit(batch_id))
+            if write_table(part, events_path, ["usage_date", "_batch"], dynamic=True) == 0:
+                return
+            table = spark.read.parquet(events_path)
+            touched = table.filter(F.col("_batch") == batch_id).select("usage_date").distinct()
+            parts = table.join(touched, "usage_date", "left_semi").drop("_batch")
+            upsert_table(spark, serving_path, finish_daily(parts), list(keys), n_buckets=n_buckets)
+            return
         day = F.to_date(F.col(time_col))
         b = batch.withColumn("usage_date", day).withColumn("_batch", F.lit(batch_id))
         if write_table(b, events_path, ["usage_date", "_batch"], dynamic=True) == 0:
