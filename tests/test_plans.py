@@ -35,3 +35,18 @@ def test_genai_mart_prunes_service_partitions(spark, tmp_dir):
 def test_dimension_joins_are_size_checked_broadcasts(spark):
     p = _plan(entry.queries()["enrich_events"](spark, SF_SMALL))
     assert p.count("BroadcastHashJoin") == 2
+
+
+def test_flagship_has_exactly_one_shuffle(spark):
+    p = _plan(entry.entry(spark))
+    assert p.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in p
+
+
+def test_recency_limits_cut_before_the_shuffle(spark):
+    for name in ("serve_recent_days", "org_recent_comments", "dedup_composite_key"):
+        p = _plan(entry.queries()[name](spark, SF_SMALL))
+        part = p.find("WindowGroupLimit")
+        assert "Partial" in p and part >= 0, name
+        # the partial limit sits below (after, in the tree text) the exchange it feeds
+        assert p.rfind("Partial") > p.find("Exchange"), name
