@@ -96,7 +96,7 @@ def _w(**ctes) -> str:
     return tm.sql_with(**ctes)
 
 
-# --- cached Spark building blocks (rebuilt per call: plans are cheap, data is not) -------
+# --- Spark building blocks shared by several queries (plans only; nothing is cached) --
 def _silver_tagged(spark: SparkSession, sf: str) -> DataFrame:
     return silver_usage(tm.usage_events(spark, sf), tm.orgs(spark, sf), tm.resources(spark, sf))
 
