@@ -27,6 +27,7 @@ from ..operators.events import silver_usage
 from ..operators.ingest import dedup_latest
 from ..schemas import LANDING, SERVING, USAGE_EVENT
 from ..sinks import write_observed, write_partitioned, write_table
+from ..session import run_concurrently
 from ..sources.landing import ingest_master, parse_event_time
 from ..streaming.bronze import bronze_usage_stream, file_stream
 
@@ -46,15 +47,19 @@ class Lake:
 def bronze_masters(spark: SparkSession, lake: Lake, names=None) -> dict[str, int]:
     """Every landing master read, stamped, deduplicated
     and written (partitioned where declared); corrupt rows go to quarantine."""
-    counts = {}
-    for name in names or LANDING:
+    def one(name):
         _schema, _keys, part = LANDING[name]
         bronze, corrupt = ingest_master(spark, lake.landing(f"{name}.csv"), name,
                                         order_by=[F.col("ingest_ts").asc()])
         target = lake.zone("bronze", name)
-        counts[name] = (write_partitioned(bronze, target, [part], dynamic=False) if part
-                        else write_table(bronze, target))
-        counts[f"{name}_corrupt"] = write_table(corrupt, lake.zone("quarantine", f"bronze_{name}"))
+        n = (write_partitioned(bronze, target, [part], dynamic=False) if part
+             else write_table(bronze, target))
+        return n, write_table(corrupt, lake.zone("quarantine", f"bronze_{name}"))
+
+    done = run_concurrently(spark, {name: (lambda n=name: one(n)) for name in names or LANDING})
+    counts = {}
+    for name, (n, bad) in done.items():
+        counts[name], counts[f"{name}_corrupt"] = n, bad
     return counts
 
 
@@ -129,7 +134,8 @@ def gold(spark: SparkSession, lake: Lake, comment_limit: int = 10) -> dict[str,
             read(lake.zone("silver", "support_tickets")).drop("ticket_month")),
         "cost_anomaly_mart": marts.cost_anomalies(s),
     }
-    counts = {name: write_table(df, lake.zone("gold", name)) for name, df in out.items()}
+    counts = run_concurrently(spark, {name: (lambda n=name, df=df: write_table(df, lake.zone("gold", n)))
+                                   for name, df in out.items()})
     # M4 from the written M1 mart: no second aggregation over silver
     counts["genai_tokens_by_org_date"] = write_table(
         marts.genai_from_daily(read(lake.zone("gold", "org_daily_usage_by_service"))),
@@ -154,14 +160,14 @@ _VIEWS = {
 
 def serve(spark: SparkSession, lake: Lake, n_buckets: int = serving.DEFAULT_BUCKETS) -> dict[str, int]:
     """K4-K5: upsert every gold mart into its keyed serving table (reruns are idempotent)."""
-    counts = {}
-    for name, view in _VIEWS.items():
+    def one(name):
         spec = SERVING[name]
         order = [F.col(c).desc() if desc else F.col(c) for c, desc in spec["order"]]
-        mart = view(spark.read.parquet(lake.zone("gold", name)))
-        counts[name] = serving.upsert_table(spark, lake.zone("serving", name), mart, spec["keys"],
-                                            n_buckets=n_buckets, order=[F.col("org_id"), *order])
-    return counts
+        mart = _VIEWS[name](spark.read.parquet(lake.zone("gold", name)))
+        return serving.upsert_table(spark, lake.zone("serving", name), mart, spec["keys"],
+                                    n_buckets=n_buckets, order=[F.col("org_id"), *order])
+
+    return run_concurrently(spark, {name: (lambda n=name: one(n)) for name in _VIEWS})
 
 
 def run(spark: SparkSession, lake: Lake, null_time: str = "divert") -> dict[str, dict[str, int]]:

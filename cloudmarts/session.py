@@ -72,3 +72,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def run_concurrently(spark: SparkSession, tasks: dict, workers: int = 4) -> dict:
+    """Run independent steps (each submitting its own Spark jobs) from a few driver
+    threads; Spark schedules their jobs side by side.  Each thread keeps the caller's
+    job group.  Returns name -> result; the first failure is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    sc = spark.sparkContext
+    group = sc.getLocalProperty("spark.jobGroup.id")
+
+    def call(fn):
+        if group:
+            sc.setJobGroup(group, group)
+        return fn()
+
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(tasks)))) as pool:
+        futures = {name: pool.submit(call, fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}

@@ -7,6 +7,8 @@ can be dynamic, so re-running one day rewrites one day.
 
 from __future__ import annotations
 
+import os
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -76,7 +78,14 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 def try_read_table(spark: SparkSession, path: str,
                    schema: StructType | None = None) -> DataFrame | None:
-    """The table at ``path``, or None when nothing has been written there yet."""
+    """The table at ``path``, or None when nothing has been written there yet.
+
+    Local paths are checked directly; other schemes are probed by a read (whose
+    failure Spark also logs)."""
+    if path.startswith("file:") or path.startswith("/"):
+        local = path[len("file:"):] if path.startswith("file:") else path
+        if not os.path.exists(local):
+            return None
     try:
         df = read_table(spark, path, schema)
         df.schema  # noqa: B018 - forces the listing

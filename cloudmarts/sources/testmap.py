@@ -266,9 +266,14 @@ def landing_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def write_landing(spark: SparkSession, sf_dir: str, landing_root: str, event_files: int = 4) -> None:
     """Landing CSV masters plus the usage events as ``event_files`` JSON-lines files."""
-    for name, df in landing_frames(spark, sf_dir).items():
+    from ..session import run_concurrently
+
+    def csv(name, df):
         (df.write.option("header", "true").option("quote", '"').option("escape", '"')
            .csv(f"{landing_root}/{name}.csv"))
+
+    run_concurrently(spark, {n: (lambda n=n, df=df: csv(n, df))
+                             for n, df in landing_frames(spark, sf_dir).items()})
     write_landing_events(spark, sf_dir, f"{landing_root}/usage_events", event_files)
 
 
