@@ -277,9 +277,13 @@ def write_landing(spark: SparkSession, sf_dir: str, landing_root: str, event_fil
     write_landing_events(spark, sf_dir, f"{landing_root}/usage_events", event_files)
 
 
-def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> None:
-    """Usage events as ``files`` JSON-lines files in the landing schema (text ids and
-    time), each file a contiguous event-time range, as a feed delivers them."""
+def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int = 4,
+                         max_rows_per_file: int = 1_000_000) -> None:
+    """Usage events as JSON-lines files in the landing schema (text ids and time), each
+    file a contiguous event-time range written oldest first, as a feed delivers them.
+
+    At least ``files`` files; more when needed so that no file (hence no writing
+    task) holds more than about ``max_rows_per_file`` rows."""
     ev = usage_events(spark, sf_dir)
     landing_events = ev.select(
         F.col("event_id").cast("string").alias("event_id"),
@@ -290,8 +294,9 @@ def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int
     # one append per time slice, oldest first: the file source picks files in
     # modification-time order, as a feed would deliver them
     ts = F.col("timestamp_parsed")
-    lo, hi = ev.agg(F.min(ts).cast("timestamp").cast("long"),
-                    F.max(ts).cast("timestamp").cast("long")).first()
+    lo, hi, n = ev.agg(F.min(ts).cast("timestamp").cast("long"),
+                       F.max(ts).cast("timestamp").cast("long"), F.count(F.lit(1))).first()
+    files = max(files, -(-n // max_rows_per_file))
     span = max(hi - lo + 1, 1)
     sliced = landing_events.withColumn(
         "_slice", F.floor((F.to_timestamp("timestamp").cast("long") - lo) * files / span))
