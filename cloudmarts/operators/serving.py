@@ -23,6 +23,7 @@ from ..sinks import try_read_table, write_table
 from .ingest import dedup_latest
 
 BUCKET = "_bucket"
+N_BUCKETS = "_n_buckets"   # the table's bucket count, stored as a constant column
 DEFAULT_BUCKETS = 64
 
 
@@ -85,14 +86,19 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequ
     A failure in step 4 is repaired by rerunning it: the stage holds the merged buckets
     and the overwrite is per bucket.
     """
+    existing = try_read_table(spark, path)
+    if existing is not None:
+        recorded = existing.select(N_BUCKETS).limit(1).first()
+        if recorded is not None and recorded[0] != n_buckets:
+            raise ValueError(f"{path} is laid out in {recorded[0]} buckets, not {n_buckets}")
     stage_in = scratch_path(spark, "upsert-incoming")
-    tagged = incoming.withColumn(BUCKET, bucket_of(partition_key, n_buckets))
+    tagged = incoming.withColumns({BUCKET: bucket_of(partition_key, n_buckets),
+                                   N_BUCKETS: F.lit(n_buckets)})
     # REBALANCE: about one file per bucket, a hot bucket split over several tasks by AQE
     if write_table(tagged.hint("rebalance", BUCKET), stage_in, [BUCKET]) == 0:
         return 0
     inc = spark.read.parquet(stage_in)
     touched = sorted(r[0] for r in inc.select(BUCKET).distinct().collect())
-    existing = try_read_table(spark, path)
     if existing is None:  # first load: nothing is read from the target, write it directly
         merged = upsert(None, inc, keys, version_col)
         return write_table(merged.hint("rebalance", BUCKET), path, [BUCKET],
@@ -106,8 +112,13 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequ
                        sort_within=list(order))
 
 
+def drop_layout(df: DataFrame) -> DataFrame:
+    """The serving rows without the layout columns."""
+    return df.drop(BUCKET, N_BUCKETS)
+
+
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
+    return drop_layout(spark.read.parquet(path))
 
 
 def point_filter(df: DataFrame, n_buckets: int = DEFAULT_BUCKETS, **eq) -> DataFrame:
@@ -146,7 +157,7 @@ def _row_hash(df: DataFrame) -> Column:
     """xxhash64 of every column; maps enter as their sorted entry arrays."""
     parts = []
     for f in sorted(df.schema.fields, key=lambda f: f.name):
-        if f.name in (BUCKET, "__run"):
+        if f.name in (BUCKET, N_BUCKETS, "__run"):
             continue
         c = F.col(f"`{f.name}`")
         parts.append(F.array_sort(F.map_entries(c)) if isinstance(f.dataType, MapType) else c)

@@ -195,12 +195,12 @@ def demo_queries(spark: SparkSession, lake: Lake, org_id=None,
     raw = {name: spark.read.parquet(lake.zone("serving", name)) for name in _VIEWS}
     usage = raw["org_daily_usage_by_service"]
     if org_id is None:
-        key = serving.sample_key(usage.drop(serving.BUCKET))
+        key = serving.sample_key(serving.drop_layout(usage))
         org = key.select("org_id")
-        pick = lambda df: df.join(org, "org_id", "left_semi").drop(serving.BUCKET)
-        usage_key = usage.join(key, ["org_id", "service"], "left_semi").drop(serving.BUCKET)
+        pick = lambda df: serving.drop_layout(df.join(org, "org_id", "left_semi"))
+        usage_key = serving.drop_layout(usage.join(key, ["org_id", "service"], "left_semi"))
     else:
-        pick = lambda df: serving.point_filter(df, n_buckets, org_id=org_id).drop(serving.BUCKET)
+        pick = lambda df: serving.drop_layout(serving.point_filter(df, n_buckets, org_id=org_id))
         usage_key = pick(usage)
     return {
         "daily_range": serving.newest_first(serving.daily_range(usage_key, *usage_range),
@@ -220,7 +220,7 @@ def idempotency_check(spark: SparkSession, lake: Lake,
     """Serve again and compare every serving table by rows, key uniqueness and an
     order-free content hash.  Returns one small dict per table (four rows in all)."""
     def summary(name):
-        df = spark.read.parquet(lake.zone("serving", name)).drop(serving.BUCKET)
+        df = serving.read_serving(spark, lake.zone("serving", name))
         keys = SERVING[name]["keys"]
         h = F.xxhash64(*[F.array_sort(F.map_entries(F.col(c))) if c == "service_accumulated_costs"
                          else F.col(c) for c in sorted(df.columns)]).cast("decimal(38,0)")

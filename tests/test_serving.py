@@ -88,3 +88,14 @@ def test_point_read_on_numeric_key(spark, tmp_dir):
     serving.upsert_table(spark, path, a, KEYS, n_buckets=8)
     got = serving.point_filter(spark.read.parquet(path), n_buckets=8, org_id=7).collect()
     assert [r.total_cost_usd for r in got] == [7.0]
+
+
+def test_bucket_count_is_recorded_and_checked(spark, tmp_dir):
+    import pytest
+    path = tmp_dir + "/serving"
+    a = spark.createDataFrame([("o1", "s", D(2025, 8, 1), 1.0)], SCHEMA)
+    serving.upsert_table(spark, path, a, KEYS, n_buckets=4)
+    with pytest.raises(ValueError, match="4 buckets"):
+        serving.upsert_table(spark, path, a, KEYS, n_buckets=8)
+    assert serving.read_serving(spark, path).columns == ["org_id", "service", "usage_date",
+                                                         "total_cost_usd"]
