@@ -98,9 +98,18 @@ def run(spark, sf_dir: str, names=None):
 
 
 if __name__ == "__main__":
-    from cloudmarts.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]")
+    if os.environ.get("ORACLE_PLAIN_SESSION") == "1":
+        # a session as a caller might build it: none of the library's settings
+        from pyspark.sql import SparkSession
+        b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+        if os.environ.get("ORACLE_TZ"):
+            b = b.config("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
+        spark = b.getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from cloudmarts.session import build_session
+        spark = build_session("local[8]")
     res = run(spark, sf, sys.argv[2:] or None)
     for k, (ok, exact, msg, ts) in res.items():
         tag = "NOSQL" if ok is None else ("PASS " if ok else "FAIL ")
