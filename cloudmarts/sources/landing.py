@@ -30,6 +30,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
     allows quoted line breaks at the cost of one task per file."""
     return (spark.read
             .option("header", "true")
+            # validate each file's header against the schema: a reordered or renamed
+            # column fails the read instead of loading into the wrong field
+            .option("enforceSchema", "false")
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", corrupt_col)
             .option("quote", '"').option("escape", '"')

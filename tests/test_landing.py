@@ -36,3 +36,12 @@ def test_ingest_master_dedups_and_stamps(spark, tmp_dir):
     assert sorted(r.org_id for r in rows) == ["o1", "o4", "o6"]
     assert all(r.source_file.endswith("nps_surveys.csv") and r.ingest_ts is not None for r in rows)
     assert len(bad.collect()) == 3
+
+
+def test_reordered_header_fails_instead_of_misloading(spark, tmp_dir):
+    import pytest
+    path = os.path.join(tmp_dir, "nps_surveys.csv")
+    with open(path, "w") as f:
+        f.write("survey_date,org_id,nps_score,comment\n2025-08-01,o1,9,great\n")
+    with pytest.raises(Exception):
+        read_csv(spark, path, NPS).collect()
