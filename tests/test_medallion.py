@@ -70,3 +70,13 @@ def test_demo_queries_and_idempotency_check(spark, tmp_dir):
     assert len(report) == 4
     for r in report:
         assert r["rows_before"] == r["rows_after"] > 0 and r["keys_unique"] and r["content_equal"], r
+
+
+def test_silver_without_redup_gives_the_same_marts(spark, tmp_dir):
+    lake = md.Lake(tmp_dir + "/lake")
+    tm.write_landing(spark, SF_SMALL, f"{lake.root}/landing", event_files=2)
+    md.bronze_masters(spark, lake)
+    md.bronze_usage(spark, lake)
+    with_redup = md.silver(spark, lake, redup=True)
+    without = md.silver(spark, lake, redup=False)
+    assert with_redup == without
