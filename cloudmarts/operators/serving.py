@@ -24,6 +24,7 @@ from .ingest import dedup_latest
 
 BUCKET = "_bucket"
 N_BUCKETS = "_n_buckets"   # the table's bucket count, stored as a constant column
+PERIOD = "_period"         # optional month partition in front of the bucket
 DEFAULT_BUCKETS = 64
 
 
@@ -73,48 +74,78 @@ def bucket_of(partition_key: Sequence[str], n_buckets: int = DEFAULT_BUCKETS) ->
 
 def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str],
                  partition_key: Sequence[str] = ("org_id",), n_buckets: int = DEFAULT_BUCKETS,
-                 order: Sequence[Column] = (), version_col: str | None = None) -> int:
+                 order: Sequence[Column] = (), version_col: str | None = None,
+                 period_col: str | None = None) -> int:
     """Merge ``incoming`` into the serving table at ``path``; returns rows rewritten.
 
-    1. stage the incoming rows once, tagged and partitioned by bucket (the incoming
+    Layout: hive partitions ``_bucket=k`` (hash of the partition key), preceded by
+    ``_period=<month>`` when ``period_col`` (a DATE key column) is given.  With a period,
+    a load that touches recent days of many orgs rewrites only those months' buckets,
+    not the table's history, and range reads prune by month.
+
+    1. stage the incoming rows once, tagged with their layout partition (the incoming
        lineage is computed exactly once);
-    2. list the touched buckets -- at most ``n_buckets`` small integers, the only
-       values that reach the driver;
-    3. read just those buckets of the table (static partition pruning), merge, and
-       stage the merged buckets under the shared checkpoint folder;
-    4. dynamic-overwrite those buckets from the stage.
-    A failure in step 4 is repaired by rerunning it: the stage holds the merged buckets
-    and the overwrite is per bucket.
+    2. list the touched partitions -- at most months x ``n_buckets`` small values, the
+       only values that reach the driver;
+    3. read just those partitions of the table (static partition pruning), merge, and
+       stage the result under the shared checkpoint folder;
+    4. dynamic-overwrite those partitions from the stage.
+    A failure in step 4 is repaired by rerunning it: the stage holds the merged
+    partitions and the overwrite is per partition.  The bucket count and the period
+    layout are checked against the existing table (a different bucket count would
+    scatter a key over two buckets).
     """
+    layout = ([PERIOD] if period_col else []) + [BUCKET]
     existing = try_read_table(spark, path)
     if existing is not None:
         recorded = existing.select(N_BUCKETS).limit(1).first()
         if recorded is not None and recorded[0] != n_buckets:
             raise ValueError(f"{path} is laid out in {recorded[0]} buckets, not {n_buckets}")
+        if (PERIOD in existing.columns) != bool(period_col):
+            raise ValueError(f"{path}: period layout differs from the existing table")
+    cols = {BUCKET: bucket_of(partition_key, n_buckets), N_BUCKETS: F.lit(n_buckets)}
+    if period_col:
+        cols[PERIOD] = F.trunc(F.col(period_col), "month")
+    tagged = incoming.withColumns(cols)
     stage_in = scratch_path(spark, "upsert-incoming")
-    tagged = incoming.withColumns({BUCKET: bucket_of(partition_key, n_buckets),
-                                   N_BUCKETS: F.lit(n_buckets)})
-    # REBALANCE: about one file per bucket, a hot bucket split over several tasks by AQE
-    if write_table(tagged.hint("rebalance", BUCKET), stage_in, [BUCKET]) == 0:
+    # REBALANCE: about one file per partition, a hot one split over several tasks by AQE
+    if write_table(tagged.hint("rebalance", *layout), stage_in, layout) == 0:
         return 0
     inc = spark.read.parquet(stage_in)
-    touched = sorted(r[0] for r in inc.select(BUCKET).distinct().collect())
+    touched = [tuple(r) for r in inc.select(*layout).distinct().collect()]
     if existing is None:  # first load: nothing is read from the target, write it directly
         merged = upsert(None, inc, keys, version_col)
-        return write_table(merged.hint("rebalance", BUCKET), path, [BUCKET],
+        return write_table(merged.hint("rebalance", *layout), path, layout,
                            sort_within=list(order))
-    existing = existing.filter(F.col(BUCKET).isin(touched))
+    existing = existing.filter(_touched_predicate(layout, touched))
     merged = upsert(existing, inc, keys, version_col)
     stage = scratch_path(spark, "upsert-merged")
-    write_table(merged.hint("rebalance", BUCKET), stage, [BUCKET], sort_within=list(order))
-    # the stage is already laid out per bucket: copy it without another shuffle
-    return write_table(spark.read.parquet(stage), path, [BUCKET], dynamic=True,
+    write_table(merged.hint("rebalance", *layout), stage, layout, sort_within=list(order))
+    # the stage is already laid out per partition: copy it without another shuffle
+    return write_table(spark.read.parquet(stage), path, layout, dynamic=True,
                        sort_within=list(order))
 
 
+MAX_PAIR_PREDICATES = 512
+
+
+def _touched_predicate(layout: list[str], touched: list[tuple]) -> Column:
+    """Partition predicate selecting exactly the touched partitions (or, beyond
+    ``MAX_PAIR_PREDICATES`` pairs, the product of the touched months and buckets)."""
+    if len(layout) == 1:
+        return F.col(layout[0]).isin([t[0] for t in touched])
+    if len(touched) <= MAX_PAIR_PREDICATES:
+        pred = F.lit(False)
+        for a, b in touched:
+            pred = pred | ((F.col(layout[0]) == F.lit(a)) & (F.col(layout[1]) == F.lit(b)))
+        return pred
+    return (F.col(layout[0]).isin(sorted({t[0] for t in touched}))
+            & F.col(layout[1]).isin(sorted({t[1] for t in touched})))
+
+
 def drop_layout(df: DataFrame) -> DataFrame:
     """The serving rows without the layout columns."""
-    return df.drop(BUCKET, N_BUCKETS)
+    return df.drop(BUCKET, N_BUCKETS, PERIOD)
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
@@ -157,7 +188,7 @@ def _row_hash(df: DataFrame) -> Column:
     """xxhash64 of every column; maps enter as their sorted entry arrays."""
     parts = []
     for f in sorted(df.schema.fields, key=lambda f: f.name):
-        if f.name in (BUCKET, N_BUCKETS, "__run"):
+        if f.name in (BUCKET, N_BUCKETS, PERIOD, "__run"):
             continue
         c = F.col(f"`{f.name}`")
         parts.append(F.array_sort(F.map_entries(c)) if isinstance(f.dataType, MapType) else c)
@@ -214,10 +245,19 @@ def _between(col: str, start: str, end: str) -> Column:
     return F.col(col).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
 
+def _in_range(df: DataFrame, col: str, start: str, end: str) -> DataFrame:
+    """Closed date range; on a raw serving table with a month layout the same range
+    on ``_period`` prunes partitions."""
+    out = df.filter(_between(col, start, end))
+    if PERIOD in df.columns:
+        lo = F.trunc(F.lit(start).cast("date"), "month")
+        out = out.filter(F.col(PERIOD).between(lo, F.lit(end).cast("date")))
+    return out
+
+
 def daily_range(usage: DataFrame, start: str, end: str, org_id=None, service=None) -> DataFrame:
     """V1: daily cost and requests per (org, service) in [start, end]."""
-    return (point_filter(usage, org_id=org_id, service=service)
-            .filter(_between("usage_date", start, end))
+    return (_in_range(point_filter(usage, org_id=org_id, service=service), "usage_date", start, end)
             .select("org_id", "service", "usage_date", "total_cost_usd", "total_requests"))
 
 
@@ -236,7 +276,7 @@ def top_services(usage: DataFrame, start: str, end: str, org_id=None,
     The sum is rounded to 4 dp (the display precision) before ranking; ties go to the
     service name, ascending.  No cut-off unless ``top_n`` is given.
     """
-    sums = (point_filter(usage, org_id=org_id).filter(_between("usage_date", start, end))
+    sums = (_in_range(point_filter(usage, org_id=org_id), "usage_date", start, end)
             .groupBy("org_id", "service")
             .agg(F.round(F.sum("total_cost_usd"), 4).alias("cumulative_cost_usd")))
     w = Window.partitionBy("org_id").orderBy(F.col("cumulative_cost_usd").desc(), F.col("service"))
@@ -246,7 +286,7 @@ def top_services(usage: DataFrame, start: str, end: str, org_id=None,
 
 def tickets_range(tickets: DataFrame, start: str, end: str, org_id=None) -> DataFrame:
     """V3: daily ticket metrics in [start, end], newest first within an org."""
-    return (point_filter(tickets, org_id=org_id).filter(_between("ticket_date", start, end))
+    return (_in_range(point_filter(tickets, org_id=org_id), "ticket_date", start, end)
             .select("org_id", "ticket_date", "total_tickets", "critical_tickets_count",
                     "avg_csat", "sla_breach_rate"))
 

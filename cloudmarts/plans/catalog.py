@@ -593,9 +593,9 @@ def q_upsert_table_rerun(spark, sf):
     path = scratch_path(spark, "serving-usage")
     keys = ["org_id", "service", "usage_date"]
     order = [F.col("org_id"), F.col("service"), F.col("usage_date").desc()]
-    serving.upsert_table(spark, path, early, keys, order=order, n_buckets=16)
-    serving.upsert_table(spark, path, late, keys, order=order, n_buckets=16)
-    serving.upsert_table(spark, path, late, keys, order=order, n_buckets=16)
+    for batch in (early, late, late):
+        serving.upsert_table(spark, path, batch, keys, order=order, n_buckets=16,
+                             period_col="usage_date")
     return serving.read_serving(spark, path)
 
 

@@ -171,7 +171,8 @@ def serve(spark: SparkSession, lake: Lake, n_buckets: int = serving.DEFAULT_BUCK
         order = [F.col(c).desc() if desc else F.col(c) for c, desc in spec["order"]]
         mart = _VIEWS[name](spark.read.parquet(lake.zone("gold", name)))
         return serving.upsert_table(spark, lake.zone("serving", name), mart, spec["keys"],
-                                    n_buckets=n_buckets, order=[F.col("org_id"), *order])
+                                    n_buckets=n_buckets, order=[F.col("org_id"), *order],
+                                    period_col=spec["period"])
 
     return run_concurrently(spark, {name: (lambda n=name: one(n)) for name in _VIEWS})
 

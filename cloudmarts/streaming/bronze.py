@@ -142,7 +142,8 @@ def refresh_daily_from_stream(
             table = spark.read.parquet(events_path)
             touched = table.filter(F.col("_batch") == batch_id).select("usage_date").distinct()
             parts = table.join(touched, "usage_date", "left_semi").drop("_batch")
-            upsert_table(spark, serving_path, finish_daily(parts), list(keys), n_buckets=n_buckets)
+            upsert_table(spark, serving_path, finish_daily(parts), list(keys), n_buckets=n_buckets,
+                         period_col="usage_date")
             return
         day = F.to_date(F.col(time_col))
         b = batch.withColumn("usage_date", day).withColumn("_batch", F.lit(batch_id))
@@ -155,7 +156,8 @@ def refresh_daily_from_stream(
         # a semi-join on the partition column: dynamic partition pruning reads touched days only
         events = table.join(touched, "usage_date", "left_semi")
         events = dedup_latest(events.drop("usage_date", "_batch"), ["event_id", time_col])
-        upsert_table(spark, serving_path, build_daily(events), list(keys), n_buckets=n_buckets)
+        upsert_table(spark, serving_path, build_daily(events), list(keys), n_buckets=n_buckets,
+                     period_col="usage_date")
 
     deduped = dedup_events(parsed.filter(F.col(time_col).isNotNull()), time_col,
                            watermark=watermark)

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from cloudmarts.operators import serving
@@ -99,3 +101,37 @@ def test_bucket_count_is_recorded_and_checked(spark, tmp_dir):
         serving.upsert_table(spark, path, a, KEYS, n_buckets=8)
     assert serving.read_serving(spark, path).columns == ["org_id", "service", "usage_date",
                                                          "total_cost_usd"]
+
+
+def test_month_layout_rewrites_only_touched_months(spark, tmp_dir):
+    import re
+    path = tmp_dir + "/serving"
+    a = spark.createDataFrame([(f"o{i}", "s", D(2025, m, 1), float(i)) for i in range(20)
+                               for m in (6, 7, 8)], SCHEMA)
+    serving.upsert_table(spark, path, a, KEYS, n_buckets=4, period_col="usage_date")
+    seen = []
+    orig = serving.upsert
+
+    def spy(existing, incoming, keys, version_col=None):
+        seen.append(existing._jdf.queryExecution().executedPlan().toString())
+        return orig(existing, incoming, keys, version_col)
+
+    serving.upsert = spy
+    try:
+        b = spark.createDataFrame([("o1", "s", D(2025, 8, 1), 100.0)], SCHEMA)
+        serving.upsert_table(spark, path, b, KEYS, n_buckets=4, period_col="usage_date")
+    finally:
+        serving.upsert = orig
+    # only (August, bucket of o1) is read
+    assert re.search(r"PartitionFilters: \[.*_period#\d+ = 2025-08-01.*_bucket#\d+ = \d", seen[0])
+    back = serving.read_serving(spark, path)
+    assert back.count() == 60 and "_period" not in back.columns
+    got = {(r.org_id, r.usage_date): r.total_cost_usd for r in back.collect()}
+    assert got[("o1", D(2025, 8, 1))] == 100.0 and got[("o1", D(2025, 7, 1))] == 1.0
+    # a range read prunes to the months it covers
+    rng = serving.daily_range(spark.read.parquet(path).withColumn("total_requests", F.lit(0.0)),
+                              "2025-07-15", "2025-08-31")
+    assert "_period" in rng._jdf.queryExecution().executedPlan().toString()
+    assert rng.count() == 20
+    with pytest.raises(ValueError):
+        serving.upsert_table(spark, path, b, KEYS, n_buckets=4)
