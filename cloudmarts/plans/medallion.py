@@ -202,13 +202,15 @@ def demo_queries(spark: SparkSession, lake: Lake, org_id=None,
     """
     raw = {name: spark.read.parquet(lake.zone("serving", name)) for name in _VIEWS}
     usage = raw["org_daily_usage_by_service"]
+    # layout columns stay until each query's own projection, so range reads can prune
+    # months and point reads buckets
     if org_id is None:
-        key = serving.sample_key(serving.drop_layout(usage))
+        key = serving.sample_key(usage)
         org = key.select("org_id")
-        pick = lambda df: serving.drop_layout(df.join(org, "org_id", "left_semi"))
-        usage_key = serving.drop_layout(usage.join(key, ["org_id", "service"], "left_semi"))
+        pick = lambda df: df.join(org, "org_id", "left_semi")
+        usage_key = usage.join(key, ["org_id", "service"], "left_semi")
     else:
-        pick = lambda df: serving.drop_layout(serving.point_filter(df, n_buckets, org_id=org_id))
+        pick = lambda df: serving.point_filter(df, n_buckets, org_id=org_id)
         usage_key = pick(usage)
     return {
         "daily_range": serving.newest_first(serving.daily_range(usage_key, *usage_range),
@@ -219,7 +221,7 @@ def demo_queries(spark: SparkSession, lake: Lake, org_id=None,
             ["org_id"], "ticket_date", 10),
         "revenue": serving.revenue_lines(pick(raw["revenue_by_org_month"])),
         "genai": serving.newest_first(serving.genai_days(pick(usage)), ["org_id"], "usage_date", 10),
-        "profile": serving.profile_view(pick(raw["org_profile_analytics"])),
+        "profile": serving.drop_layout(serving.profile_view(pick(raw["org_profile_analytics"]))),
     }
 
 
