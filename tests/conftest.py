@@ -16,6 +16,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from cloudmarts.session import build_session
     s = build_session("local[*]", shuffle_partitions=8, app_name="cloudmarts-tests")
+    # plan-text assertions need whole scan metadata (partition filters), not abbreviations
+    s.conf.set("spark.sql.maxMetadataStringLength", "10000")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cloudmarts-test-ckpt-"))
     yield s
