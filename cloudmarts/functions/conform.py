@@ -36,14 +36,13 @@ def nps_columns() -> dict[str, Column]:
 
 
 def date_from_text(col: str, fmt: str = "yyyy-MM-dd") -> Column:
-    """string day to DATE; a DATE passes through unchanged."""
-    return F.to_date(F.col(col), fmt)
+    """string day to DATE."""
+    return F.to_date(F.col(f"`{col}`"), fmt)
 
 
-def number_or_zero(col: str, type_name: str = "double") -> Column:
-    """cast with a zero default for NULL."""
-    zero = F.lit(0).cast(type_name)
-    return F.coalesce(F.col(col).cast(type_name), zero)
+def number_or_zero(col: str, data_type="double") -> Column:
+    """cast with a zero default for NULL (``data_type`` a name or a DataType)."""
+    return F.coalesce(F.col(f"`{col}`").cast(data_type), F.lit(0).cast(data_type))
 
 
 def round_map_values(col: str, scale: int = 2) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql.types import (
     ArrayType, DateType, MapType, NumericType, StringType,
 )
 
-from ..functions.conform import round_map_values
+from ..functions.conform import date_from_text, number_or_zero, round_map_values
 from ..session import scratch_path
 from ..sinks import try_read_table, write_table
 from .ingest import dedup_latest
@@ -40,11 +40,11 @@ def fill_for_serving(df: DataFrame, date_cols: Sequence[str] = (),
         c = F.col(f"`{f.name}`")
         t = f.dataType
         if f.name in date_cols and isinstance(t, StringType):
-            cols[f.name] = F.to_date(c, "yyyy-MM-dd")
+            cols[f.name] = date_from_text(f.name)
         elif f.name in date_cols and not isinstance(t, DateType):
             cols[f.name] = F.to_date(c)
         elif isinstance(t, NumericType):
-            cols[f.name] = F.coalesce(c, F.lit(0).cast(t))
+            cols[f.name] = number_or_zero(f.name, t)
         elif isinstance(t, ArrayType):
             cols[f.name] = F.coalesce(c, F.array().cast(t))
         elif isinstance(t, MapType):

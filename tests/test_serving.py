@@ -135,3 +135,10 @@ def test_month_layout_rewrites_only_touched_months(spark, tmp_dir):
     assert rng.count() == 20
     with pytest.raises(ValueError):
         serving.upsert_table(spark, path, b, KEYS, n_buckets=4)
+
+
+def test_fill_converts_text_dates_and_null_numbers(spark):
+    df = spark.createDataFrame([("o", "2025-08-01", None, None)],
+                               "org_id string, usage_date string, total_genai_tokens bigint, cost double")
+    r = serving.fill_for_serving(df, ["usage_date"]).collect()[0]
+    assert r.usage_date == D(2025, 8, 1) and r.total_genai_tokens == 0 and r.cost == 0.0
