@@ -52,6 +52,13 @@ def daily_usage_partials(silver: DataFrame) -> DataFrame:
         *[F.sum(src).alias(f"part_{name}") for name, (src, _s) in _M1_PARTS.items()])
 
 
+def merge_daily_partials(partials: DataFrame) -> DataFrame:
+    """Partial sums of several subsets folded into one partial per key (compaction);
+    still partials: ``daily_usage_from_partials`` finishes them."""
+    return partials.groupBy(*DAILY_KEYS).agg(
+        *[F.sum(f"part_{name}").alias(f"part_{name}") for name in _M1_PARTS])
+
+
 def daily_usage_from_partials(partials: DataFrame) -> DataFrame:
     """M1 from partial sums of disjoint event subsets: re-sum, then round as M1 does."""
     aggs = []

@@ -113,6 +113,13 @@ def _daily_from_events(events: DataFrame) -> DataFrame:
     return marts.daily_usage(quality.valid_rows(quality.tag_quality(feats, usage_rules())))
 
 
+def _daily_parts(batch: DataFrame) -> DataFrame:
+    """Unrounded M1 partial sums of one micro-batch of landing events."""
+    feats = usage_features(batch.withColumn(
+        "timestamp_parsed", F.col("timestamp_parsed").cast("timestamp_ntz")))
+    return marts.daily_usage_partials(quality.valid_rows(quality.tag_quality(feats, usage_rules())))
+
+
 def _daily(spark: SparkSession, sf: str) -> DataFrame:
     return _daily_from_events(tm.usage_events(spark, sf))
 
@@ -841,7 +848,8 @@ SELECT CAST(org_id AS VARCHAR) AS org_id, service, usage_date, total_cost_usd, t
 def q_stream_multi_batch_daily(spark, sf):
     """T18 across micro-batches: eight time-ordered landing files, one per batch, so
     the days at file boundaries arrive in two batches; the whole-day recompute must
-    still equal the batch mart (a per-batch partial sum would not)."""
+    still equal the batch mart (a per-batch partial sum would not).  Closed days'
+    per-batch event partitions are compacted as the stream advances."""
     from ..schemas import USAGE_EVENT
     from ..session import scratch_path
     from ..sources.landing import parse_event_time
@@ -851,7 +859,8 @@ def q_stream_multi_batch_daily(spark, sf):
     parsed = parse_event_time(file_stream(spark, land, USAGE_EVENT, "json", max_files_per_trigger=1))
     serving_path = scratch_path(spark, "serving-daily-mb")
     refresh_daily_from_stream(spark, parsed, scratch_path(spark, "events-mb"), serving_path,
-                              scratch_path(spark, "ckpt-mb"), _daily_from_events, n_buckets=16)
+                              scratch_path(spark, "ckpt-mb"), _daily_from_events, n_buckets=16,
+                              compact_lag_days=1)
     return serving.read_serving(spark, serving_path)
 
 
@@ -870,23 +879,17 @@ SELECT CAST(org_id AS VARCHAR) AS org_id, service, usage_date, total_cost_usd, t
 def q_stream_partials_daily(spark, sf):
     """T18, scalable form: eight time-ordered files, one per micro-batch; each batch
     stores its partial sums, touched days are re-summed from partials and upserted."""
-    from ..functions.rules import usage_rules as _rules
     from ..schemas import USAGE_EVENT
     from ..session import scratch_path
     from ..sources.landing import parse_event_time
     from ..streaming.bronze import file_stream, refresh_daily_from_stream
 
-    def partials(batch: DataFrame) -> DataFrame:
-        feats = usage_features(batch.withColumn(
-            "timestamp_parsed", F.col("timestamp_parsed").cast("timestamp_ntz")))
-        return marts.daily_usage_partials(quality.valid_rows(quality.tag_quality(feats, _rules())))
-
     land = scratch_path(spark, "landing-events")
     tm.write_landing_events(spark, sf, land, files=8)
     parsed = parse_event_time(file_stream(spark, land, USAGE_EVENT, "json", max_files_per_trigger=1))
     serving_path = scratch_path(spark, "serving-daily-parts")
     refresh_daily_from_stream(
         spark, parsed, scratch_path(spark, "partials"), serving_path, scratch_path(spark, "ckpt-parts"),
-        partials, n_buckets=16, mode="partials",
+        _daily_parts, n_buckets=16, mode="partials",
         finish_daily=lambda p: serving.usage_serving(marts.daily_usage_from_partials(p)))
     return serving.read_serving(spark, serving_path)

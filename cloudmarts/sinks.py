@@ -92,3 +92,58 @@ def try_read_table(spark: SparkSession, path: str,
         return df
     except AnalysisException:
         return None
+
+
+def compact_partitions(spark: SparkSession, path: str, days: Sequence, reduce,
+                       day_col: str = "usage_date", batch_col: str = "_batch",
+                       compacted_batch: int = -1) -> int:
+    """Rewrite each of ``days`` in a ``day_col/batch_col``-partitioned table as one
+    ``batch_col=compacted_batch`` partition; returns the rows written.
+
+    ``reduce(rows_of_those_days)`` gives the compacted rows (e.g. a key dedup, or a
+    re-sum of partial aggregates).  The result is staged first, then each day is
+    replaced by ``INSERT OVERWRITE ... PARTITION (day_col = d, batch_col)``: a static
+    day with dynamic batches deletes all of that day's batch partitions and writes the
+    compacted one.  The table is registered as an external table in the session
+    catalog for the statement only; its files stay where they are.  Only call this
+    for days no writer can still touch.
+    """
+    import uuid
+
+    from .session import scratch_path
+
+    days = sorted(set(days))
+    if not days:
+        return 0
+    table = spark.read.parquet(path)
+    rows = reduce(table.filter(F.col(day_col).isin(days)).drop(batch_col))
+    rows = rows.withColumn(batch_col, F.lit(compacted_batch).cast(
+        table.schema[batch_col].dataType))
+    data_cols = [c for c in rows.columns if c not in (day_col, batch_col)]
+    stage = scratch_path(spark, "compact")
+    written = write_table(rows.select(*data_cols, batch_col, day_col), stage, [day_col])
+    staged_view = f"compact_stage_{uuid.uuid4().hex[:8]}"
+    spark.read.parquet(stage).createOrReplaceTempView(staged_view)
+    name = f"compact_target_{uuid.uuid4().hex[:8]}"
+    ddl_cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({ddl_cols}) USING parquet "
+              f"PARTITIONED BY (`{day_col}`, `{batch_col}`) LOCATION '{path}'")
+    saved = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+    try:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        # static overwrite of the day prefix; each writer in this library passes its own
+        # mode explicitly, so the session setting only affects these statements
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+        select = ", ".join(f"`{c}`" for c in data_cols)
+        for d in days:
+            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{day_col}` = DATE '{d}', "
+                      f"`{batch_col}`) SELECT {select}, `{batch_col}` FROM {staged_view} "
+                      f"WHERE `{day_col}` = DATE '{d}'")
+    finally:
+        if saved is None:
+            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+        else:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", saved)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.dropTempView(staged_view)
+    return written

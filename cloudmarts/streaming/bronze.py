@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.ingest import dedup_latest
 from ..operators.serving import upsert_table
-from ..sinks import write_table
+from ..sinks import compact_partitions, write_table
 
 NULL_TIME = ("divert", "keep")
 
@@ -107,7 +107,9 @@ def refresh_daily_from_stream(
         keys: Sequence[str] = ("org_id", "service", "usage_date"),
         time_col: str = "timestamp_parsed", watermark: str = "2 hours",
         n_buckets: int = 64, mode: str = "recompute",
-        finish_daily: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+        finish_daily: Callable[[DataFrame], DataFrame] | None = None,
+        compact_lag_days: int | None = None,
+        compact_reduce: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Incremental refresh of the daily serving table from a usage stream.
 
     ``mode="recompute"`` (exact): ``build_daily(events)`` maps raw events to daily
@@ -124,14 +126,33 @@ def refresh_daily_from_stream(
     Sums may differ from ``recompute`` in the last floating-point bits.
 
     State stays bounded either way: the only stateful step is the watermarked dedup.
+
+    ``compact_lag_days`` compacts, after each batch, the per-batch partitions of days
+    older than the newest touched day minus the lag (closed: the watermark drops rows
+    for them) and not touched by this batch, so a replay of this batch can never meet
+    a compacted day.  ``compact_reduce`` folds a day's rows (default: key dedup of the
+    events; for partials pass e.g. ``marts.merge_daily_partials``).
     """
     if mode not in ("recompute", "partials"):
         raise ValueError("mode must be 'recompute' or 'partials'")
     if mode == "partials" and finish_daily is None:
         raise ValueError("mode='partials' needs finish_daily")
+    if compact_lag_days is not None and mode == "partials" and compact_reduce is None:
+        raise ValueError("compacting partials needs compact_reduce")
+    reduce_day = compact_reduce or (lambda df: dedup_latest(df, ["event_id", time_col]))
     sc = spark.sparkContext
     group = sc.getLocalProperty("spark.jobGroup.id")
 
+    def compact(table: DataFrame, touched: DataFrame) -> None:
+        import datetime as _dt
+        newest = touched.agg(F.max("usage_date")).first()[0]
+        cutoff = newest - _dt.timedelta(days=compact_lag_days)
+        # one small row per open (day, batch) partition: bounded by the table's days
+        days = [r[0] for r in table.filter((F.col("usage_date") < F.lit(cutoff))
+                                           & (F.col("_batch") != -1))
+                                   .select("usage_date").distinct().collect()]
+        compact_partitions(spark, events_path, days, reduce_day)
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         if group:  # batches run on the stream thread: keep them in the caller's job group
             sc.setJobGroup(group, group)
@@ -144,6 +165,8 @@ def refresh_daily_from_stream(
             parts = table.join(touched, "usage_date", "left_semi").drop("_batch")
             upsert_table(spark, serving_path, finish_daily(parts), list(keys), n_buckets=n_buckets,
                          period_col="usage_date")
+            if compact_lag_days is not None:
+                compact(table, touched)
             return
         day = F.to_date(F.col(time_col))
         b = batch.withColumn("usage_date", day).withColumn("_batch", F.lit(batch_id))
@@ -158,6 +181,8 @@ def refresh_daily_from_stream(
         events = dedup_latest(events.drop("usage_date", "_batch"), ["event_id", time_col])
         upsert_table(spark, serving_path, build_daily(events), list(keys), n_buckets=n_buckets,
                      period_col="usage_date")
+        if compact_lag_days is not None:
+            compact(table, touched)
 
     deduped = dedup_events(parsed.filter(F.col(time_col).isNotNull()), time_col,
                            watermark=watermark)

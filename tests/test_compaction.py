@@ -1,0 +1,78 @@
+"""Compaction of per-batch day partitions (stream refresh tables)."""
+
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from cloudmarts.operators.ingest import dedup_latest
+from cloudmarts.sinks import compact_partitions, write_table
+
+S = "event_id string, v int, usage_date date, _batch int"
+
+
+def _table(spark, path):
+    for b in range(3):
+        rows = [(f"e{i}", i, dt.date(2024, 1, 1 + i % 2), b) for i in range(4)]
+        write_table(spark.createDataFrame(rows, S), path, ["usage_date", "_batch"], dynamic=True)
+
+
+def test_compacts_only_the_given_days(spark, tmp_dir):
+    path = tmp_dir + "/events"
+    _table(spark, path)
+    # the same four events were written by three batches: dedup while compacting
+    n = compact_partitions(spark, path, [dt.date(2024, 1, 1)],
+                           lambda df: dedup_latest(df, ["event_id"]))
+    assert n == 2
+    local = path[len("file:"):] if path.startswith("file:") else path
+    assert sorted(os.listdir(local + "/usage_date=2024-01-01")) == ["_batch=-1"]
+    assert sorted(os.listdir(local + "/usage_date=2024-01-02")) == ["_batch=0", "_batch=1", "_batch=2"]
+    got = spark.read.parquet(path).groupBy("usage_date").agg(F.count(F.lit(1)).alias("n"))
+    assert {r.usage_date: r.n for r in got.collect()} == {dt.date(2024, 1, 1): 2, dt.date(2024, 1, 2): 6}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") != "static"
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("compact_")]
+
+
+def _stream_refresh(spark, tmp_dir, mode):
+    from cloudmarts.operators import marts, serving
+    from cloudmarts.plans import catalog
+    from cloudmarts.schemas import USAGE_EVENT
+    from cloudmarts.sources import testmap as tm
+    from cloudmarts.sources.landing import parse_event_time
+    from cloudmarts.streaming.bronze import file_stream, refresh_daily_from_stream
+    from conftest import SF_SMALL
+    land, events, out = (os.path.join(tmp_dir, d) for d in ("land", "events", "serving"))
+    tm.write_landing_events(spark, SF_SMALL, land, files=6)
+    parsed = parse_event_time(file_stream(spark, land, USAGE_EVENT, "json", max_files_per_trigger=1))
+    if mode == "recompute":
+        refresh_daily_from_stream(spark, parsed, events, out, os.path.join(tmp_dir, "ckpt"),
+                                  catalog._daily_from_events, n_buckets=4, compact_lag_days=1)
+    else:
+        def partials(b):
+            return catalog._daily_parts(b)
+        refresh_daily_from_stream(
+            spark, parsed, events, out, os.path.join(tmp_dir, "ckpt"), partials, n_buckets=4,
+            mode="partials", finish_daily=marts.daily_usage_from_partials,
+            compact_lag_days=1, compact_reduce=marts.merge_daily_partials)
+    expect = {(str(r.org_id), r.service, r.usage_date): r.total_cost_usd
+              for r in catalog._daily(spark, SF_SMALL).collect()}
+    got = {(r.org_id, r.service, r.usage_date): r.total_cost_usd
+           for r in serving.read_serving(spark, out).collect()}
+    layout = spark.read.parquet(events).select("usage_date", "_batch").distinct().collect()
+    return expect, got, layout
+
+
+def test_stream_refresh_compacts_closed_days(spark, tmp_dir):
+    expect, got, layout = _stream_refresh(spark, tmp_dir, "recompute")
+    assert got == expect
+    compacted = {r.usage_date for r in layout if r._batch == -1}
+    open_days = {r.usage_date for r in layout if r._batch != -1}
+    assert len(compacted) >= 20                  # most of the month was compacted
+    assert max(open_days) >= max(compacted)      # only the newest days stay per batch
+
+
+def test_partials_compaction_keeps_totals(spark, tmp_dir):
+    expect, got, layout = _stream_refresh(spark, tmp_dir, "partials")
+    assert set(got) == set(expect)
+    assert all(abs(got[k] - expect[k]) < 1e-6 for k in got)
+    assert any(r._batch == -1 for r in layout)
