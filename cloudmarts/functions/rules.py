@@ -36,13 +36,17 @@ def usage_rules(min_cost: float = -0.01) -> list[Rule]:
 
 
 def error_list(rules: list[Rule]) -> Column:
-    """array<string> of failed rule names; undecided rules appear as ``<name>_unknown``."""
-    tags = F.array(*[
-        F.when(~r.predicate, F.lit(r.name))
-         .when(r.predicate.isNull(), F.lit(r.name + UNKNOWN_SUFFIX))
-        for r in rules
-    ])
-    return F.filter(tags, lambda t: t.isNotNull())
+    """array<string> of failed rule names; undecided rules appear as ``<name>_unknown``.
+
+    Built by concatenating one-element (or empty) arrays, so it stays plain codegen'd
+    expressions -- no lambda functions evaluated per row.
+    """
+    none = F.array().cast("array<string>")
+    parts = [F.when(~r.predicate, F.array(F.lit(r.name)))
+              .when(r.predicate.isNull(), F.array(F.lit(r.name + UNKNOWN_SUFFIX)))
+              .otherwise(none)
+             for r in rules]
+    return F.concat(*parts)
 
 
 def status(rules: list[Rule]) -> Column:
