@@ -143,13 +143,20 @@ def refresh_daily_from_stream(
     sc = spark.sparkContext
     group = sc.getLocalProperty("spark.jobGroup.id")
 
-    def compact(table: DataFrame, touched: DataFrame) -> None:
+    def touched_days(table: DataFrame, batch_id: int) -> list:
+        # days of the batch just written, read from its partitions (bounded by the days
+        # one batch spans), not from a second evaluation of the micro-batch
+        return sorted(r[0] for r in table.filter(F.col("_batch") == batch_id)
+                                         .select("usage_date").distinct().collect())
+
+    def compact(table: DataFrame, touched: list) -> None:
         import datetime as _dt
-        newest = touched.agg(F.max("usage_date")).first()[0]
-        cutoff = newest - _dt.timedelta(days=compact_lag_days)
-        # one small row per open (day, batch) partition: bounded by the table's days
+        cutoff = max(touched) - _dt.timedelta(days=compact_lag_days)
+        # one small row per day still holding per-batch partitions; the days this batch
+        # touched are never compacted, so a replay of it cannot meet a compacted day
         days = [r[0] for r in table.filter((F.col("usage_date") < F.lit(cutoff))
-                                           & (F.col("_batch") != -1))
+                                           & (F.col("_batch") != -1)
+                                           & ~F.col("usage_date").isin(touched))
                                    .select("usage_date").distinct().collect()]
         compact_partitions(spark, events_path, days, reduce_day)
 
@@ -161,8 +168,9 @@ def refresh_daily_from_stream(
             if write_table(part, events_path, ["usage_date", "_batch"], dynamic=True) == 0:
                 return
             table = spark.read.parquet(events_path)
-            touched = table.filter(F.col("_batch") == batch_id).select("usage_date").distinct()
-            parts = table.join(touched, "usage_date", "left_semi").drop("_batch")
+            touched = touched_days(table, batch_id)
+            # static partition filter: only the touched days are read
+            parts = table.filter(F.col("usage_date").isin(touched)).drop("_batch")
             upsert_table(spark, serving_path, finish_daily(parts), list(keys), n_buckets=n_buckets,
                          period_col="usage_date")
             if compact_lag_days is not None:
@@ -173,11 +181,9 @@ def refresh_daily_from_stream(
         if write_table(b, events_path, ["usage_date", "_batch"], dynamic=True) == 0:
             return
         table = spark.read.parquet(events_path)
-        # touched days come from the batch just written (partition-pruned), not from a
-        # second evaluation of the micro-batch
-        touched = table.filter(F.col("_batch") == batch_id).select("usage_date").distinct()
-        # a semi-join on the partition column: dynamic partition pruning reads touched days only
-        events = table.join(touched, "usage_date", "left_semi")
+        touched = touched_days(table, batch_id)
+        # static partition filter: only the touched days are read
+        events = table.filter(F.col("usage_date").isin(touched))
         events = dedup_latest(events.drop("usage_date", "_batch"), ["event_id", time_col])
         upsert_table(spark, serving_path, build_daily(events), list(keys), n_buckets=n_buckets,
                      period_col="usage_date")
