@@ -23,14 +23,28 @@ _FIXED = {BooleanType: 1, ByteType: 1, ShortType: 2, IntegerType: 4, DateType: 4
 
 
 def row_bytes(df: DataFrame) -> int:
-    """Rough in-memory width of one row (strings counted at 32 bytes)."""
+    """Fixed part of one row's in-memory width (string and other variable-width
+    columns are measured separately by ``measured_bytes``)."""
     total = 16
     for f in df.schema.fields:
         t = type(f.dataType)
-        total += _FIXED.get(t, 32 if t is StringType else 64)
+        total += _FIXED.get(t, 8 if t is StringType else 64)
     return total
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Rows x fixed width plus the actual UTF-8 bytes of every string column, in one
+    aggregate job."""
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if strings:
+        text = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in strings),
+                   F.lit(0))
+        aggs.append(F.sum(text.cast("bigint")).alias("text"))
+    r = df.agg(*aggs).first()
+    return int(r["n"]) * row_bytes(df) + int((r["text"] if strings else 0) or 0)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage (reliable checkpoint in the shared folder)."""
     checkpoint_root(df.sparkSession)
@@ -39,16 +53,17 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def checked_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
                       compute_once: bool = False) -> DataFrame:
-    """Return ``broadcast(small)`` if its measured size is within ``max_bytes``.
+    """Return ``broadcast(small)`` if its measured size (rows x fixed width + actual
+    string bytes) is within ``max_bytes``.
 
     ``compute_once`` first materialises ``small`` (use it for an aggregate that
     would otherwise be computed twice: once for the count, once for the join).
-    Plain dimension scans are counted from parquet metadata and need no copy.
+    Plain dimension scans are measured by one scan of the projected columns and need
+    no copy.
     """
     if compute_once:
         small = materialize(small)
-    n = small.count()
-    if n * row_bytes(small) <= max_bytes:
+    if measured_bytes(small) <= max_bytes:
         return F.broadcast(small)
     return small
 

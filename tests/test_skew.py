@@ -74,3 +74,14 @@ def test_hot_key_dedup_keeps_one_row(spark):
     hot = d.filter("org_id = 0").collect()[0]
     latest = ev.filter("org_id = 0").agg(F.max("timestamp_parsed")).first()[0]
     assert hot.timestamp_parsed == latest
+
+
+def test_broadcast_size_counts_actual_text(spark):
+    from cloudmarts.operators.joins import checked_broadcast, measured_bytes
+    small = spark.createDataFrame([(1, "x" * 1000)] * 10, "k int, t string")
+    assert measured_bytes(small) >= 10 * 1000
+    # over the bound: returned unhinted (no broadcast forced)
+    plan = checked_broadcast(small, max_bytes=5000)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan.lower()
+    plan = checked_broadcast(small, max_bytes=10 ** 6)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan.lower()
