@@ -27,6 +27,12 @@ def test_pipeline_conserves_rows_and_money(spark, tmp_dir):
     assert s["anomalies_valid"] == 32   # SURVEY 7.3: 32 valid anomalies at sf0.001
     assert s["rule_unit_missing"] > 0 and s["rule_event_id_missing"] > 0
 
+    # M5 reads silver through the status partition and the pushed-down flag
+    from cloudmarts.operators import marts
+    plan = marts.cost_anomalies(md.silver_valid(spark, lake))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "(dq_status#" in plan and "EqualTo(anomaly_flag,true)" in plan
+
     # gold daily cost equals silver cost within rounding
     silver_cost = md.silver_valid(spark, lake).agg(F.sum("daily_cost_usd")).first()[0]
     gold_cost = read(lake.zone("gold", "org_daily_usage_by_service")).agg(
