@@ -142,3 +142,28 @@ def test_fill_converts_text_dates_and_null_numbers(spark):
                                "org_id string, usage_date string, total_genai_tokens bigint, cost double")
     r = serving.fill_for_serving(df, ["usage_date"]).collect()[0]
     assert r.usage_date == D(2025, 8, 1) and r.total_genai_tokens == 0 and r.cost == 0.0
+
+
+def test_content_hash_sees_a_changed_value(spark):
+    from cloudmarts.operators.serving import _row_hash
+    a = spark.createDataFrame([("o", "s", D(2025, 8, 1), 1.0), ("p", "s", D(2025, 8, 1), 2.0)], SCHEMA)
+    b = spark.createDataFrame([("o", "s", D(2025, 8, 1), 1.0), ("p", "s", D(2025, 8, 1), 2.5)], SCHEMA)
+    ha = a.agg(F.sum(_row_hash(a))).first()[0]
+    hb = b.agg(F.sum(_row_hash(b))).first()[0]
+    assert a.count() == b.count() and ha != hb
+    # and is independent of row order
+    assert a.orderBy(F.desc("org_id")).agg(F.sum(_row_hash(a))).first()[0] == ha
+
+
+def test_revenue_order_and_newest_first(spark):
+    rev = spark.createDataFrame(
+        [("b", D(2025, m, 1), 1.0, 0.0, 0.0, 1.0) for m in (6, 8, 7)]
+        + [("a", D(2025, m, 1), 1.0, 0.0, 0.0, 1.0) for m in (7, 6)],
+        "org_id string, month date, total_subtotal_usd double, total_credits_usd double, "
+        "total_taxes_usd double, net_revenue_usd double")
+    got = [(r.org_id, r.month.month) for r in serving.revenue_lines(rev).collect()]
+    assert got == [("a", 7), ("a", 6), ("b", 8), ("b", 7), ("b", 6)]
+    usage = spark.createDataFrame([("o", "s", D(2025, 8, d), float(d)) for d in range(1, 16)], SCHEMA)
+    top = serving.newest_first(usage, ["org_id", "service"], "usage_date", 10).collect()
+    assert len(top) == 10 and max(r.row_rank for r in top) == 10
+    assert {r.usage_date.day for r in top} == set(range(6, 16))
