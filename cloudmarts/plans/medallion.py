@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import VALID, usage_rules
 from ..operators import marts, serving
+from ..operators.anomaly import DEFAULT_ACCURACY
 from ..operators.events import silver_usage
 from ..operators.ingest import dedup_latest
 from ..schemas import LANDING, SERVING, USAGE_EVENT
@@ -77,7 +78,8 @@ def bronze_usage(spark: SparkSession, lake: Lake, null_time: str = "divert",
 
 
 # --- silver ------------------------------------------------------------------------------
-def silver(spark: SparkSession, lake: Lake, redup: bool = True) -> dict[str, int]:
+def silver(spark: SparkSession, lake: Lake, redup: bool = True,
+           accuracy: int = DEFAULT_ACCURACY) -> dict[str, int]:
     """Enriched, flagged, tagged events written once,
     partitioned by status/day/service; conformed tickets, billing and NPS.
 
@@ -91,7 +93,7 @@ def silver(spark: SparkSession, lake: Lake, redup: bool = True) -> dict[str, int
     if redup:
         events = dedup_latest(events, ["event_id", "timestamp_parsed"],
                               [F.col("ingest_ts").asc()], exclude_from_tiebreak=["source_file"])
-    tagged = silver_usage(events, bronze("customers_orgs"), bronze("resources"))
+    tagged = silver_usage(events, bronze("customers_orgs"), bronze("resources"), accuracy=accuracy)
     # Q5/K7: route and per-rule counts observed in the same pass that writes silver
     st = F.col("dq_status")
     metrics = {f"route_{r}": F.count_if(st == r) for r in ("valid", "quarantine", "unknown")}
@@ -178,11 +180,11 @@ def serve(spark: SparkSession, lake: Lake, n_buckets: int = serving.DEFAULT_BUCK
 
 
 def run(spark: SparkSession, lake: Lake, null_time: str = "divert",
-        redup: bool = True) -> dict[str, dict[str, int]]:
+        redup: bool = True, accuracy: int = DEFAULT_ACCURACY) -> dict[str, dict[str, int]]:
     """The whole chain, in dependency order."""
     report = {"bronze": bronze_masters(spark, lake)}
     bronze_usage(spark, lake, null_time)
-    report["silver"] = silver(spark, lake, redup)
+    report["silver"] = silver(spark, lake, redup, accuracy)
     report["gold"] = gold(spark, lake)
     report["serving"] = serve(spark, lake)
     return report
