@@ -133,13 +133,12 @@ def skips(tokens: list[str]) -> tuple[list[tuple[int, int]], list[tuple[int, int
     same, alike, seen, shaped = [], [], {}, {}
     for i, token in enumerate(tokens):
         bare = token.strip(".,;:!?()[]<>\"'").lower()
+        level = shape(token)
         if bare in seen:
             same.append((seen[bare], i))
-        seen[bare] = i
-        level = shape(token)
         if len(level) >= 6 and level in shaped and shaped[level] != seen.get(bare):
             alike.append((shaped[level], i))
-        shaped[level] = i
+        seen[bare] = shaped[level] = i
     return same, alike
 
 

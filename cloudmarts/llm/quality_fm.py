@@ -17,7 +17,7 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORD_BUCKETS = 1 << 15
@@ -199,11 +199,10 @@ def train(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = (),
                np.array([r["quality"] for r in sample], dtype=np.float32), n_features(n_meta))
 
 
-def score(docs: DataFrame, model: FactorisationMachine, metadata: tuple[str, ...] = (),
-          out_col: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1 for every whole text; null texts score like
-    empty ones, null metadata has a feature of its own."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weight, model.factor))
+def score(spark: SparkSession, model: FactorisationMachine, text: Column, *metadata: Column) -> Column:
+    """The probability of label 1 for every whole text; null texts score like empty ones, null
+    metadata has a feature of its own."""
+    shared = spark.sparkContext.broadcast((model.bias, model.weight, model.factor))
 
     @F.pandas_udf("double")
     def probability(texts: pd.Series, *meta: pd.Series) -> pd.Series:
@@ -214,8 +213,7 @@ def score(docs: DataFrame, model: FactorisationMachine, metadata: tuple[str, ...
             out[r] = machine.logits(index, value, np.zeros(1, dtype=np.int64))[0]
         return pd.Series(1 / (1 + np.exp(-np.clip(out, -30, 30))))
 
-    return docs.withColumn(out_col, probability(
-        F.col("text").cast("string"), *[F.col(f"`{c}`").cast("double") for c in metadata]))
+    return probability(text.cast("string"), *[m.cast("double") for m in metadata])
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("n_chars",),
@@ -224,13 +222,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...]
     repeated and score alike; without usable labels every score is 0.5; an empty table gives
     an empty result."""
     model = train(docs, labels, metadata)
-    return score(docs.select("doc_id", "text", *metadata), model, metadata, "score").select(
-        "doc_id", held_out().alias("held_out"), "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return docs.select("doc_id", held_out().alias("held_out"), _score(docs, model, metadata).alias("score")).withColumn(
+        "predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("n_chars",),
               threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, columns unchanged."""
-    scored = score(docs, train(docs, labels, metadata), metadata, "_quality_score")
-    return scored.where(F.col("_quality_score") >= threshold).drop("_quality_score")
+    return docs.where(_score(docs, train(docs, labels, metadata), metadata) >= threshold)
+
+
+def _score(docs: DataFrame, model: FactorisationMachine, metadata: tuple[str, ...]) -> Column:
+    return score(docs.sparkSession, model, F.col("text"), *[F.col(f"`{c}`") for c in metadata])
