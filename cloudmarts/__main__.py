@@ -1,7 +1,7 @@
 """Run the whole chain on a lake: ``python -m cloudmarts <lake_root> [--org ID]``.
 
 ``<lake_root>/landing`` must hold the seven master CSVs (``<name>.csv``) and the
-usage events (``usage_events/*.jsonl``).  Runs landing -> bronze -> silver ->
+usage events (``usage_events_stream/*.jsonl``).  Runs landing -> bronze -> silver ->
 gold -> serving, shows the six demo queries for one organisation (the sample key
 unless ``--org`` is given) and checks that serving again changes nothing.
 """
@@ -12,7 +12,9 @@ import argparse
 import json
 import os
 
+from .operators.serving import DEFAULT_BUCKETS
 from .plans import medallion as md
+from .schemas import EVENTS_GLOB
 from .session import build_session
 
 
@@ -20,18 +22,26 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="cloudmarts")
     ap.add_argument("lake_root")
     ap.add_argument("--org", default=None, help="organisation id for the demo queries")
+    ap.add_argument("--service", default=None, help="service for the daily-range query")
     ap.add_argument("--master", default=os.environ.get("SPARK_MASTER"))
     ap.add_argument("--null-time", default="divert", choices=["divert", "keep"])
+    ap.add_argument("--shuffle-partitions", type=int, default=None, help="unset: Spark's own setting")
+    ap.add_argument("--files-per-trigger", type=int, default=None, help="event files per micro-batch")
+    ap.add_argument("--events-glob", default=EVENTS_GLOB, help="event files of the landing folder")
+    ap.add_argument("--no-redup", action="store_true", help="trust the stream's own deduplication")
+    ap.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS, help="buckets of a serving table")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master)
+    spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
     lake = md.Lake(args.lake_root.rstrip("/"))
-    report = md.run(spark, lake, null_time=args.null_time)
+    report = md.run(spark, lake, null_time=args.null_time, redup=not args.no_redup,
+                    max_files_per_trigger=args.files_per_trigger, events_glob=args.events_glob,
+                    n_buckets=args.buckets)
     print(json.dumps(report, indent=2, default=str))
-    for name, df in md.demo_queries(spark, lake, org_id=args.org).items():
+    for name, df in md.demo_queries(spark, lake, org_id=args.org, service=args.service).items():
         print(f"--- {name}")
         df.show(10, truncate=False)
-    checks = md.idempotency_check(spark, lake)
+    checks = md.idempotency_check(spark, lake, args.buckets)
     print(json.dumps(checks, indent=2, default=str))
     ok = all(c["rows_before"] == c["rows_after"] and c["keys_unique"] and c["content_equal"]
              for c in checks)

@@ -1,29 +1,89 @@
 """Per-group interquartile fences and the cost-anomaly flag.
 
-Quartiles come from ``percentile_approx``: a mergeable sketch with a partial
-aggregate on every map task, so a service holding a third of all events costs
-one sketch per task, never a sort of the whole group.  ``accuracy`` bounds the
-rank error to n/accuracy; at 1,000,000 the result equals the exact discrete
-quantile for groups of up to a million distinct values.
+Quartiles are exact at any size and without a hot group: rows are counted per value bin (a
+partial aggregate, so a group holding a third of all rows sends a few thousand counts per
+task), a running sum over the bins finds the one that holds the wanted rank, and only that
+bin's rows are looked at again -- in finer bins while it is large, value by value once it is
+small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sinks import staged
 from .joins import DEFAULT_BROADCAST_BYTES, checked_broadcast
 
-DEFAULT_ACCURACY = 1_000_000
+BINS = 4096
+RANK_ROWS = 100_000  # a bin of at most so many rows is ranked value by value
+
+
+def _running(by: list[str], order: str) -> Window:
+    return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+
+
+def group_quantiles(df: DataFrame, value_col: str, group_col: str, shares: dict[str, float],
+                    bins: int = BINS, rank_rows: int = RANK_ROWS) -> DataFrame:
+    """One row per non-null group: the smallest value whose cumulative share reaches each of
+    ``shares`` (name -> share).  Null and NaN values are left out, and groups without others.
+
+    Each pass reads the two columns once and narrows every target's value range by ``bins``;
+    a range that holds one value, or at most ``rank_rows`` rows, is finished by ranking it.
+    """
+    rows = df.select(F.col(group_col).alias("g"), F.col(value_col).cast("double").alias("x"))
+    known = rows.where(F.col("g").isNotNull() & F.col("x").isNotNull() & ~F.isnan("x"))
+    wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("share"))
+                       for n, p in shares.items()])
+    # k: rank of the wanted value among the n rows of [lo, hi]
+    open_targets = staged(
+        known.groupBy("g").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        .select("g", "n", "lo", "hi", F.explode(wanted).alias("w"))
+        .select("g", "w.name", "n", "lo", "hi",
+                F.greatest(F.lit(1), F.ceil(F.col("w.share") * F.col("n"))).cast("bigint").alias("k")),
+        "quantile-targets")
+    done = []
+    while True:
+        wide = (F.col("n") > rank_rows) & (F.col("lo") < F.col("hi"))
+        done.append(open_targets.where(~wide))
+        if open_targets.where(wide).isEmpty():
+            break
+        inside = _inside(known, open_targets.where(wide))
+        # halves keep the width finite for any doubles
+        place = (F.col("x") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        binned = (inside.withColumn("bin", F.least(F.lit(bins - 1), F.floor(place * bins)))
+                  .groupBy("g", "name", "k", "bin")
+                  .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+        upto = F.sum("n").over(_running(["g", "name"], "bin"))
+        open_targets = staged(
+            binned.withColumn("upto", upto)
+            .where((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k")))
+            .select("g", "name", "n", "lo", "hi", (F.col("k") - (F.col("upto") - F.col("n"))).alias("k")),
+            "quantile-targets")
+    final = done[0]
+    for d in done[1:]:
+        final = final.unionByName(d)
+    one = final.where("lo = hi").select("g", "name", F.col("lo").alias("x"))
+    counted = (_inside(known, final.where("lo < hi")).groupBy("g", "name", "k", "x")
+               .agg(F.count("*").alias("n")))
+    ranked = (counted.withColumn("upto", F.sum("n").over(_running(["g", "name"], "x")))
+              .where((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k")))
+              .select("g", "name", "x"))
+    found = one.unionByName(ranked).groupBy("g").agg(
+        *[F.max(F.when(F.col("name") == n, F.col("x"))).alias(n) for n in shares])
+    return found.withColumnRenamed("g", group_col)
+
+
+def _inside(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """Rows within a target's value range (the targets are broadcast if measured small)."""
+    t = checked_broadcast(targets.select(F.col("g").alias("tg"), "name", "lo", "hi", "k"))
+    return rows.join(t, (F.col("g") == F.col("tg")) & F.col("x").between(F.col("lo"), F.col("hi"))).drop("tg")
 
 
 def group_quartiles(df: DataFrame, value_col: str = "daily_cost_usd",
-                    group_col: str = "service",
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    group_col: str = "service") -> DataFrame:
     """q1, q3 of ``value_col`` per group."""
-    q = F.percentile_approx(F.col(value_col), [0.25, 0.75], accuracy)
-    return (df.groupBy(group_col).agg(q.alias("_q"))
-              .select(group_col, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3")))
+    return group_quantiles(df, value_col, group_col, {"q1": 0.25, "q3": 0.75})
 
 
 def iqr_bounds(quartiles: DataFrame, k: float = 1.5,
@@ -44,17 +104,24 @@ def anomaly_flag(value_col: str = "daily_cost_usd"):
     return F.coalesce((v > F.col("upper_bound")) | (v < F.col("lower_bound")), F.lit(False))
 
 
-def flag_anomalies(df: DataFrame, value_col: str = "daily_cost_usd",
-                   group_col: str = "service", accuracy: int = DEFAULT_ACCURACY,
-                   k: float = 1.5, zero_iqr_margin: float = 10.0,
-                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def fences(df: DataFrame, value_col: str = "daily_cost_usd", group_col: str = "service",
+           k: float = 1.5, zero_iqr_margin: float = 10.0,
+           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """One row per group: upper_bound, lower_bound; computed once (checkpointed), measured,
+    then marked for broadcast."""
+    bounds = iqr_bounds(group_quartiles(df, value_col, group_col), k, zero_iqr_margin)
+    return checked_broadcast(bounds.select(group_col, "upper_bound", "lower_bound"),
+                             max_broadcast_bytes, compute_once=True)
+
+
+def flag_anomalies(df: DataFrame, value_col: str = "daily_cost_usd", group_col: str = "service",
+                   bounds: DataFrame | None = None) -> DataFrame:
     """Adds upper_bound, lower_bound, anomaly_flag to every row of ``df``.
 
-    The fences are computed once (checkpointed), measured, then broadcast: one
-    row per group, so the big side is never shuffled on a low-cardinality key.
-    A NULL group matches no fence and is never flagged.
+    ``bounds`` (from ``fences``) may come from a narrower frame than ``df``, e.g. from the
+    events before they are joined.  One row per group is joined, so the big side is never
+    shuffled on a low-cardinality key.  A NULL group matches no fence and is never flagged.
     """
-    bounds = iqr_bounds(group_quartiles(df, value_col, group_col, accuracy), k, zero_iqr_margin)
-    b = checked_broadcast(bounds.select(group_col, "upper_bound", "lower_bound"),
-                          max_broadcast_bytes, compute_once=True)
-    return df.join(b, group_col, "left").withColumn("anomaly_flag", anomaly_flag(value_col))
+    if bounds is None:
+        bounds = fences(df, value_col, group_col)
+    return df.join(bounds, group_col, "left").withColumn("anomaly_flag", anomaly_flag(value_col))

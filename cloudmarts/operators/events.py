@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.features import usage_date, usage_feature_columns
 from ..functions.rules import Rule, usage_rules
-from .anomaly import DEFAULT_ACCURACY, flag_anomalies
+from .anomaly import fences, flag_anomalies
 from .joins import enrich
 from .quality import tag_quality
 
@@ -19,14 +19,15 @@ def usage_features(df: DataFrame) -> DataFrame:
 
 
 def silver_usage(events: DataFrame, orgs: DataFrame, resources: DataFrame,
-                 rules: list[Rule] | None = None,
-                 accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                 rules: list[Rule] | None = None) -> DataFrame:
     """All events, enriched, with features, fences, anomaly flag and quality tags.
 
     Quartiles are taken over every event, including those later quarantined
-    (parity with the source pipeline).  Route with ``quality.valid_rows`` /
+    (parity with the source pipeline), from service and cost alone: the dimensions are
+    joined once, on the way to the result.  Route with ``quality.valid_rows`` /
     ``quality.quarantined_rows`` or write once with ``sinks.write_partitioned``.
     """
-    feats = usage_features(enrich(events, orgs, resources))
-    flagged = flag_anomalies(feats, accuracy=accuracy)
+    cost = usage_feature_columns()["daily_cost_usd"].alias("daily_cost_usd")
+    bounds = fences(events.select("service", cost))
+    flagged = flag_anomalies(usage_features(enrich(events, orgs, resources)), bounds=bounds)
     return tag_quality(flagged, rules or usage_rules())

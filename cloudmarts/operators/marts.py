@@ -52,13 +52,6 @@ def daily_usage_partials(silver: DataFrame) -> DataFrame:
         *[F.sum(src).alias(f"part_{name}") for name, (src, _s) in _M1_PARTS.items()])
 
 
-def merge_daily_partials(partials: DataFrame) -> DataFrame:
-    """Partial sums of several subsets folded into one partial per key (compaction);
-    still partials: ``daily_usage_from_partials`` finishes them."""
-    return partials.groupBy(*DAILY_KEYS).agg(
-        *[F.sum(f"part_{name}").alias(f"part_{name}") for name in _M1_PARTS])
-
-
 def daily_usage_from_partials(partials: DataFrame) -> DataFrame:
     """M1 from partial sums of disjoint event subsets: re-sum, then round as M1 does."""
     aggs = []
@@ -97,14 +90,14 @@ def conform_nps(nps: DataFrame) -> DataFrame:
 
 def tickets_by_day(tickets_conformed: DataFrame, critical: str = "critical") -> DataFrame:
     """M3 (A6-A10): count, critical count, CSAT mean over answered tickets, breach rate."""
-    n = F.count(F.lit(1))
-    csat = F.col("csat")
+    answered = F.when(F.col("csat") > 0.0, F.col("csat"))
+    breached = F.coalesce(F.col("sla_breached"), F.lit(False)).cast("double")
+    # fixed values: the mart's column names and digits
     return tickets_conformed.groupBy("org_id", "ticket_date").agg(
-        n.alias("total_tickets"),
-        F.sum(F.when(F.col("severity") == critical, 1).otherwise(0)).cast("bigint")
-         .alias("critical_tickets_count"),
-        F.round(F.avg(F.when(csat > 0.0, csat)), 2).alias("avg_csat"),
-        F.round(F.sum(F.when(F.col("sla_breached"), 1).otherwise(0)) / n, 4).alias("sla_breach_rate"),
+        F.count("*").alias("total_tickets"),
+        F.count_if(F.col("severity") == critical).alias("critical_tickets_count"),
+        F.round(F.avg(answered), 2).alias("avg_csat"),
+        F.round(F.avg(breached), 4).alias("sla_breach_rate"),
     )
 
 
@@ -144,21 +137,23 @@ def role_sets(users: DataFrame, only_active: bool = False) -> DataFrame:
 
 
 def recent_items(df: DataFrame, key: str, item: str, newest_first: list[Column],
-                 limit: int, alias: str) -> DataFrame:
-    """The ``limit`` newest items per key as an ordered array.
+                 limit: int | None, alias: str) -> DataFrame:
+    """The items per key as an ordered array, newest first; all of them unless
+    ``limit`` is given.
 
-    ``row_number() <= limit`` is cut per task before the shuffle, so no key ever
-    gathers more than ``limit`` rows from a task, however hot it is.
+    A limit is cut per task before the shuffle.  Without one the list is as long as the
+    key's rows (for surveys: one per day after deduplication).
     """
-    order = list(newest_first) + [F.col(item).asc()]
-    w = Window.partitionBy(key).orderBy(*order)
-    ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit)
+    w = Window.partitionBy(key).orderBy(*newest_first, F.col(item).asc())
+    ranked = df.withColumn("_rn", F.row_number().over(w))
+    if limit is not None:
+        ranked = ranked.filter(F.col("_rn") <= limit)
     entries = F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.col(item).alias("v"))))
     return ranked.groupBy(key).agg(F.transform(entries, lambda e: e["v"]).alias(alias))
 
 
-def recent_comments(nps: DataFrame, limit: int = 10) -> DataFrame:
-    """A13 on NPS: non-empty comments, newest survey first."""
+def recent_comments(nps: DataFrame, limit: int | None = None) -> DataFrame:
+    """A13 on NPS: every non-empty comment, newest survey first."""
     c = nps.filter(F.col("comment").isNotNull() & (F.col("comment") != ""))
     return recent_items(c, "org_id", "comment", [F.col("survey_date").desc()], limit,
                         "recent_nps_comments")
@@ -179,7 +174,7 @@ def cost_maps(daily: DataFrame) -> DataFrame:
 
 
 def org_profile(orgs: DataFrame, users: DataFrame, nps: DataFrame, daily: DataFrame,
-                comment_limit: int = 10, only_active: bool = False) -> DataFrame:
+                comment_limit: int | None = None, only_active: bool = False) -> DataFrame:
     """M6 (J4-J6): one row per org with a role set, a recent-comment list and a cost map.
 
     The three right sides are each aggregated by org_id, so their shuffle output is

@@ -14,18 +14,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ArrayType, DateType, MapType, NumericType, StringType,
+    ArrayType, DateType, LongType, MapType, NumericType, StringType,
 )
 
 from ..functions.conform import date_from_text, number_or_zero, round_map_values
 from ..session import scratch_path
-from ..sinks import try_read_table, write_table
+from ..sinks import read_table, staged, try_read_table, write_table
 from .ingest import dedup_latest
 
 BUCKET = "_bucket"
 N_BUCKETS = "_n_buckets"   # the table's bucket count, stored as a constant column
 PERIOD = "_period"         # optional month partition in front of the bucket
 DEFAULT_BUCKETS = 64
+LAYOUT_TYPES = {BUCKET: LongType(), PERIOD: DateType()}
 
 
 # --- K4: null fill and last-write-wins merge ----------------------------------------------
@@ -84,7 +85,7 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequ
     not the table's history, and range reads prune by month.
 
     1. stage the incoming rows once, tagged with their layout partition (the incoming
-       lineage is computed exactly once);
+       lineage is computed exactly once); a first load goes to the target directly;
     2. list the touched partitions -- at most months x ``n_buckets`` small values, the
        only values that reach the driver;
     3. read just those partitions of the table (static partition pruning), merge, and
@@ -93,54 +94,48 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequ
     A failure in step 4 is repaired by rerunning it: the stage holds the merged
     partitions and the overwrite is per partition.  The bucket count and the period
     layout are checked against the existing table (a different bucket count would
-    scatter a key over two buckets).
+    scatter a key over two buckets).  Rows without a date have a partition of their own.
     """
     layout = ([PERIOD] if period_col else []) + [BUCKET]
-    existing = try_read_table(spark, path)
-    if existing is not None:
-        recorded = existing.select(N_BUCKETS).limit(1).first()
-        if recorded is not None and recorded[0] != n_buckets:
-            raise ValueError(f"{path} is laid out in {recorded[0]} buckets, not {n_buckets}")
-        if (PERIOD in existing.columns) != bool(period_col):
-            raise ValueError(f"{path}: period layout differs from the existing table")
     cols = {BUCKET: bucket_of(partition_key, n_buckets), N_BUCKETS: F.lit(n_buckets)}
     if period_col:
-        cols[PERIOD] = F.trunc(F.col(period_col), "month")
+        cols[PERIOD] = F.trunc(F.col(period_col).cast("date"), "month")
     tagged = incoming.withColumns(cols)
+    existing = try_read_table(spark, path, types=LAYOUT_TYPES)
+    if existing is None:  # REBALANCE: about one file per partition, a hot one split by AQE
+        return write_table(upsert(None, tagged, keys, version_col).hint("rebalance", *layout), path,
+                           layout, sort_within=list(order))
+    recorded = recorded_buckets(existing)
+    if recorded is not None and recorded != n_buckets:
+        raise ValueError(f"{path} is laid out in {recorded} buckets, not {n_buckets}")
+    if (PERIOD in existing.columns) != bool(period_col):
+        raise ValueError(f"{path}: period layout differs from the existing table")
     stage_in = scratch_path(spark, "upsert-incoming")
-    # REBALANCE: about one file per partition, a hot one split over several tasks by AQE
     if write_table(tagged.hint("rebalance", *layout), stage_in, layout) == 0:
         return 0
-    inc = spark.read.parquet(stage_in)
+    inc = read_table(spark, stage_in, tagged.schema)
     touched = [tuple(r) for r in inc.select(*layout).distinct().collect()]
-    if existing is None:  # first load: nothing is read from the target, write it directly
-        merged = upsert(None, inc, keys, version_col)
-        return write_table(merged.hint("rebalance", *layout), path, layout,
-                           sort_within=list(order))
-    existing = existing.filter(_touched_predicate(layout, touched))
-    merged = upsert(existing, inc, keys, version_col)
+    merged = upsert(existing.filter(_touched_predicate(layout, touched)), inc, keys, version_col)
     stage = scratch_path(spark, "upsert-merged")
     write_table(merged.hint("rebalance", *layout), stage, layout, sort_within=list(order))
     # the stage is already laid out per partition: copy it without another shuffle
-    return write_table(spark.read.parquet(stage), path, layout, dynamic=True,
+    return write_table(read_table(spark, stage, merged.schema), path, layout, dynamic=True,
                        sort_within=list(order))
 
 
-MAX_PAIR_PREDICATES = 512
-
-
 def _touched_predicate(layout: list[str], touched: list[tuple]) -> Column:
-    """Partition predicate selecting exactly the touched partitions (or, beyond
-    ``MAX_PAIR_PREDICATES`` pairs, the product of the touched months and buckets)."""
+    """Partition predicate selecting exactly the touched partitions: the buckets, or per
+    month (also the missing one) its list of buckets."""
     if len(layout) == 1:
-        return F.col(layout[0]).isin([t[0] for t in touched])
-    if len(touched) <= MAX_PAIR_PREDICATES:
-        pred = F.lit(False)
-        for a, b in touched:
-            pred = pred | ((F.col(layout[0]) == F.lit(a)) & (F.col(layout[1]) == F.lit(b)))
-        return pred
-    return (F.col(layout[0]).isin(sorted({t[0] for t in touched}))
-            & F.col(layout[1]).isin(sorted({t[1] for t in touched})))
+        return F.col(layout[0]).isin(sorted(t[0] for t in touched))
+    by_month: dict = {}
+    for month, bucket in touched:
+        by_month.setdefault(month, []).append(bucket)
+    pred = F.lit(False)
+    for month, buckets in sorted(by_month.items(), key=lambda x: (x[0] is not None, x[0])):
+        here = F.col(layout[0]).isNull() if month is None else F.col(layout[0]) == F.lit(month)
+        pred = pred | (here & F.col(layout[1]).isin(sorted(buckets)))
+    return pred
 
 
 def drop_layout(df: DataFrame) -> DataFrame:
@@ -148,24 +143,40 @@ def drop_layout(df: DataFrame) -> DataFrame:
     return df.drop(BUCKET, N_BUCKETS, PERIOD)
 
 
+def open_serving(spark: SparkSession, path: str) -> DataFrame:
+    """The stored table with its layout columns, which prune point and range reads."""
+    return read_table(spark, path, types=LAYOUT_TYPES)
+
+
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    return drop_layout(spark.read.parquet(path))
+    return drop_layout(open_serving(spark, path))
+
+
+def recorded_buckets(table: DataFrame) -> int | None:
+    """The bucket count a stored table was written with (one row is read); None if empty."""
+    row = table.select(N_BUCKETS).limit(1).first()
+    return None if row is None else row[0]
 
 
-def point_filter(df: DataFrame, n_buckets: int = DEFAULT_BUCKETS, **eq) -> DataFrame:
-    """Equality filter on key columns; on a raw serving table with ``org_id`` given,
-    the bucket predicate prunes partitions to one."""
+def point_filter(df: DataFrame, n_buckets: int | None = None, **eq) -> DataFrame:
+    """Equality filter on key columns; on a stored serving table with ``org_id`` given,
+    the bucket predicate prunes partitions to one.  The bucket count is the table's own;
+    a different ``n_buckets`` is refused, since it would miss rows."""
     out = df
     if BUCKET in df.columns and eq.get("org_id") is not None:
-        key_type = df.schema["org_id"].dataType
-        out = out.filter(F.col(BUCKET) == bucket_of_literal(eq["org_id"], n_buckets, key_type))
+        recorded = recorded_buckets(df)
+        if n_buckets is not None and recorded is not None and recorded != n_buckets:
+            raise ValueError(f"the table is laid out in {recorded} buckets, not {n_buckets}")
+        if recorded is not None:
+            key_type = df.schema["org_id"].dataType
+            out = out.filter(F.col(BUCKET) == bucket_of_literal(eq["org_id"], recorded, key_type))
     for k, v in eq.items():
         if v is not None:
             out = out.filter(F.col(k) == F.lit(v))
     return out
 
 
-def bucket_of_literal(value, n_buckets: int = DEFAULT_BUCKETS, key_type=None) -> Column:
+def bucket_of_literal(value, n_buckets: int, key_type=None) -> Column:
     """Bucket of a key value; cast to the key column's type first, since the hash of
     an INT 7 differs from that of a BIGINT 7."""
     lit = F.lit(value) if key_type is None else F.lit(value).cast(key_type)
@@ -200,9 +211,11 @@ def idempotency_report(existing: DataFrame | None, incoming: DataFrame,
     """``upsert(upsert(t, x), x)`` against ``upsert(t, x)`` by count, key
     uniqueness and an order-free content hash (a count alone misses changed values).
 
-    Both results are tagged and summarised in one aggregate.
+    The incoming load and the first result are computed once (staged); both results are
+    tagged and summarised in one aggregate.
     """
-    once = upsert(existing, incoming, keys)
+    incoming = staged(incoming, "idempotency-incoming")
+    once = staged(upsert(existing, incoming, keys), "idempotency-once")
     twice = upsert(once, incoming, keys)
     both = once.withColumn("__run", F.lit(1)).unionByName(twice.withColumn("__run", F.lit(2)))
     run1, run2 = F.col("__run") == 1, F.col("__run") == 2
@@ -292,11 +305,13 @@ def tickets_range(tickets: DataFrame, start: str, end: str, org_id=None) -> Data
 
 
 def revenue_lines(revenue: DataFrame, org_id=None) -> DataFrame:
-    """V4 + O3: monthly revenue lines, newest month first (range-partitioned global sort)."""
+    """V4 + O3: monthly revenue lines, newest month first within an org; ``line_no`` is the
+    place (rows of different orgs need no common order, so nothing is sorted globally)."""
+    newest = Window.partitionBy("org_id").orderBy(F.col("month").desc())
     return (point_filter(revenue, org_id=org_id)
             .select("org_id", "month", "total_subtotal_usd", "total_credits_usd",
-                    "total_taxes_usd", "net_revenue_usd")
-            .orderBy("org_id", F.col("month").desc()))
+                    "total_taxes_usd", "net_revenue_usd",
+                    F.row_number().over(newest).cast("bigint").alias("line_no")))
 
 
 def genai_days(usage: DataFrame, org_id=None, service: str = "genai") -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import usage_rules
@@ -232,7 +232,9 @@ SELECT org_id, usage_date, CAST(SUM(genai_tokens_feat) AS BIGINT) AS total_genai
        ROUND(SUM(daily_cost_usd), 4) AS total_cost_usd
 FROM silver WHERE service = 'genai' GROUP BY org_id, usage_date""")
 def q_gold_genai_day(spark, sf):
-    return marts.genai_by_day(_silver_valid(spark, sf))
+    """Needs neither dimensions nor fences: features -> quality -> aggregate."""
+    feats = usage_features(tm.usage_events(spark, sf))
+    return marts.genai_by_day(quality.valid_rows(quality.tag_quality(feats, usage_rules())))
 
 
 @register("gold_cost_anomaly", _w(**_SILVER_CTES) + """
@@ -304,7 +306,6 @@ def q_gold_tickets_day(spark, sf):
 
 
 # --- A12-A15, M6 -----------------------------------------------------------------------
-COMMENT_LIMIT = 10
 COMMENT_SEP = " || "
 _ROLES = """
 SELECT org_id, array_to_string(list_sort(list_distinct(list(role))), ',') AS active_user_roles
@@ -313,7 +314,7 @@ _COMMENTS = f"""
 SELECT org_id, string_agg(comment, '{COMMENT_SEP}' ORDER BY rn) AS recent_nps_comments FROM (
   SELECT org_id, comment,
          row_number() OVER (PARTITION BY org_id ORDER BY survey_date DESC, comment) AS rn
-  FROM nps_c WHERE comment IS NOT NULL AND comment <> '') WHERE rn <= {COMMENT_LIMIT}
+  FROM nps_c WHERE comment IS NOT NULL AND comment <> '')
 GROUP BY org_id"""
 _SERVICE_COST = """
 SELECT org_id, service, ROUND(SUM(total_cost_usd), 4) AS service_cost
@@ -342,7 +343,7 @@ def q_org_role_set_active(spark, sf):
 @register("org_recent_comments", _w(nps_raw=tm.NPS_SQL, nps_c=_NPS_C, comments=_COMMENTS)
           + "SELECT * FROM comments")
 def q_org_recent_comments(spark, sf):
-    return _comments_str(marts.recent_comments(marts.conform_nps(tm.nps(spark, sf)), COMMENT_LIMIT))
+    return _comments_str(marts.recent_comments(marts.conform_nps(tm.nps(spark, sf))))
 
 
 @register("org_service_cost", _w(**_DAILY_CTES, service_cost=_SERVICE_COST)
@@ -371,8 +372,7 @@ LEFT JOIN (SELECT org_id, COUNT(*) AS n_services, ROUND(SUM(service_cost), 4) AS
 
 def _profile(spark, sf) -> DataFrame:
     return marts.org_profile(tm.orgs(spark, sf), tm.users(spark, sf),
-                             marts.conform_nps(tm.nps(spark, sf)), _daily(spark, sf),
-                             comment_limit=COMMENT_LIMIT)
+                             marts.conform_nps(tm.nps(spark, sf)), _daily(spark, sf))
 
 
 def _map_summary(col: str = "service_accumulated_costs") -> dict:
@@ -463,11 +463,39 @@ def _revenue_serving(spark, sf):
     return serving.revenue_serving(marts.revenue_by_month(marts.billing_usd(tm.billing(spark, sf))))
 
 
+def _stored(spark, mart: DataFrame, name: str) -> DataFrame:
+    """``mart`` upserted into a stored serving table of 16 buckets and opened with
+    its layout columns."""
+    from ..schemas import SERVING
+    from ..session import scratch_path
+    spec, path = SERVING[name], scratch_path(spark, f"serving-{name}")
+    order = [F.col("org_id"), *[F.col(c).desc() if desc else F.col(c) for c, desc in spec["order"]]]
+    serving.upsert_table(spark, path, mart, spec["keys"], n_buckets=16, order=order,
+                         period_col=spec["period"])
+    return serving.open_serving(spark, path)
+
+
+def _stored_usage(spark, sf) -> DataFrame:
+    return _stored(spark, _usage_serving(spark, sf), "org_daily_usage_by_service")
+
+
+def _stored_tickets(spark, sf) -> DataFrame:
+    return _stored(spark, _tickets_serving(spark, sf), "tickets_by_org_date")
+
+
+def _stored_revenue(spark, sf) -> DataFrame:
+    return _stored(spark, _revenue_serving(spark, sf), "revenue_by_org_month")
+
+
+def _stored_profile(spark, sf) -> DataFrame:
+    return _stored(spark, serving.profile_serving(_profile(spark, sf)), "org_profile_analytics")
+
+
 @register("serve_daily_range", _w(**_DAILY_CTES) + f"""
 SELECT org_id, service, usage_date, total_cost_usd, total_requests FROM daily
 WHERE usage_date BETWEEN DATE '{V1_RANGE[0]}' AND DATE '{V1_RANGE[1]}'""")
 def q_serve_daily_range(spark, sf):
-    return serving.daily_range(_usage_serving(spark, sf), *V1_RANGE)
+    return serving.daily_range(_stored_usage(spark, sf), *V1_RANGE)
 
 
 @register("serve_recent_days", _w(**_DAILY_CTES) + f"""
@@ -477,7 +505,7 @@ SELECT * FROM (
   FROM daily WHERE usage_date BETWEEN DATE '{V1_RANGE[0]}' AND DATE '{V1_RANGE[1]}')
 WHERE row_rank <= {RECENT_DAYS}""")
 def q_serve_recent_days(spark, sf):
-    rng = serving.daily_range(_usage_serving(spark, sf), *V1_RANGE)
+    rng = serving.daily_range(_stored_usage(spark, sf), *V1_RANGE)
     return serving.newest_first(rng, ["org_id", "service"], "usage_date", RECENT_DAYS)
 
 
@@ -488,7 +516,7 @@ FROM (SELECT org_id, service, ROUND(SUM(total_cost_usd), 4) AS cumulative_cost_u
       WHERE usage_date BETWEEN DATE '{V2_RANGE[0]}' AND DATE '{V2_RANGE[1]}'
       GROUP BY org_id, service)""")
 def q_serve_top_services(spark, sf):
-    return serving.top_services(_usage_serving(spark, sf), *V2_RANGE)
+    return serving.top_services(_stored_usage(spark, sf), *V2_RANGE)
 
 
 @register("serve_tickets_range", _w(**_TICKET_CTES, ts=_TICKETS_SERVING_SQL) + f"""
@@ -496,20 +524,21 @@ SELECT *, printf('%.2f%%', sla_breach_rate * 100) AS sla_breach_pct FROM ts
 WHERE ticket_date BETWEEN DATE '{V3_RANGE[0]}' AND DATE '{V3_RANGE[1]}'""")
 def q_serve_tickets_range(spark, sf):
     from ..functions.conform import as_percent
-    return (serving.tickets_range(_tickets_serving(spark, sf), *V3_RANGE)
+    return (serving.tickets_range(_stored_tickets(spark, sf), *V3_RANGE)
             .withColumn("sla_breach_pct", as_percent("sla_breach_rate")))
 
 
-@register("serve_revenue", _w(**_REVENUE_CTES) + "SELECT * FROM revenue")
+@register("serve_revenue", _w(**_REVENUE_CTES) + """
+SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY month DESC) AS line_no FROM revenue""")
 def q_serve_revenue(spark, sf):
-    return serving.revenue_lines(_revenue_serving(spark, sf))
+    return serving.revenue_lines(_stored_revenue(spark, sf))
 
 
 @register("serve_genai", _w(**_DAILY_CTES) + """
 SELECT org_id, service, usage_date, total_genai_tokens, total_cost_usd FROM daily
 WHERE service = 'genai'""")
 def q_serve_genai(spark, sf):
-    return serving.genai_days(_usage_serving(spark, sf))
+    return serving.genai_days(_stored_usage(spark, sf))
 
 
 @register("serve_profile", _w(**_DAILY_CTES, users_raw=tm.USERS_SQL, roles=_ROLES,
@@ -524,7 +553,7 @@ LEFT JOIN comments c ON o.org_id = c.org_id
 LEFT JOIN (SELECT org_id, COUNT(*) AS n_services, ROUND(SUM(ROUND(service_cost, 2)), 2) AS total_service_cost
            FROM service_cost WHERE service IS NOT NULL GROUP BY org_id) m ON o.org_id = m.org_id""")
 def q_serve_profile(spark, sf):
-    v = serving.profile_view(serving.profile_serving(_profile(spark, sf)))
+    v = serving.drop_layout(serving.profile_view(_stored_profile(spark, sf)))
     m = F.col("service_accumulated_costs")
     total = F.aggregate(F.map_values(m), F.lit(0.0), lambda acc, x: acc + x)
     return (_comments_str(_roles_str(v))
@@ -695,7 +724,7 @@ def q_jsonl_ingest_roundtrip(spark, sf):
     path = scratch_path(spark, "landing-usage")
     _usage_landing(spark, sf).write.json(path)
     ev = read_usage_json(spark, path)
-    return (ev.drop("ingest_ts", "source_file")
+    return (ev.drop("ingest_ts", "source_file", "_corrupt")
               .withColumn("timestamp_parsed", F.col("timestamp_parsed").cast("timestamp_ntz")))
 
 
@@ -722,18 +751,19 @@ def q_dynamic_overwrite_day(spark, sf):
     return read_table(spark, path, early.schema)
 
 
-@register("quality_split_write", _w(**_SILVER_CTES) + "SELECT " + ", ".join(_DQ_COLS + ["usage_date"])
-          + " FROM silver")
+@register("quality_split_write", _w(**_SILVER_CTES) + "SELECT " + ", ".join(_DQ_COLS + ["usage_date", "dq_status"])
+          + " FROM tagged")
 def q_quality_split_write(spark, sf):
-    """Q5 in one pass: every tagged event written once, partitioned by status; the
-    valid side is read back through partition pruning."""
+    """Q5 in one pass: every tagged event written once, partitioned by status; the valid and
+    the quarantined side are read back through partition pruning."""
     from ..session import scratch_path
     from ..sinks import write_partitioned
     tagged = _silver_tagged(spark, sf).drop("dq_errors")
     path = scratch_path(spark, "silver-tagged")
     write_partitioned(tagged, path, ["dq_status", "service"])
     back = spark.read.schema(tagged.schema).parquet(path)
-    return quality.valid_rows(back).select(*_DQ_COLS, "usage_date")
+    return quality.valid_rows(back).unionByName(quality.quarantined_rows(back)).select(
+        *_DQ_COLS, "usage_date", "dq_status")
 
 
 def _event_stream(spark, sf) -> DataFrame:
@@ -786,11 +816,234 @@ SELECT d.org_id, d.service, d.usage_date, d.total_cost_usd, d.total_requests
 FROM daily d JOIN pick p ON d.org_id = p.org_id AND d.service = p.service
 WHERE d.usage_date BETWEEN DATE '{V1_RANGE[0]}' AND DATE '{V1_RANGE[1]}'""")
 def q_serve_point_range(spark, sf):
-    """S10 + S11: the demo flow -- pick one existing (org, service) key, then read its
-    closed date range.  The key is joined, never fetched to the driver."""
-    usage = _usage_serving(spark, sf)
-    key = serving.sample_key(usage)
-    return serving.daily_range(usage.join(key, ["org_id", "service"], "left_semi"), *V1_RANGE)
+    """S10 + S11: the demo flow -- one existing (org, service) key, its row fetched, then a
+    point read of a closed date range, pruned to one bucket and the range's months."""
+    usage = _stored_usage(spark, sf)
+    key = serving.sample_key(usage).first()
+    return serving.daily_range(usage, *V1_RANGE, org_id=key["org_id"], service=key["service"])
+
+
+def _point(table: str, sql: str, columns: str) -> str:
+    return (f"SELECT {columns} FROM ({sql}) WHERE org_id = (SELECT MIN(org_id) FROM {table})")
+
+
+def _first_org(stored: DataFrame):
+    return serving.sample_key(stored, ["org_id"]).first()["org_id"]
+
+
+@register("serve_point_services", _w(**_DAILY_CTES) + f"""
+SELECT org_id, service, ROUND(SUM(total_cost_usd), 4) AS cumulative_cost_usd,
+       row_number() OVER (ORDER BY ROUND(SUM(total_cost_usd), 4) DESC, service) AS cost_rank
+FROM daily WHERE usage_date BETWEEN DATE '{V2_RANGE[0]}' AND DATE '{V2_RANGE[1]}'
+  AND org_id = (SELECT MIN(org_id) FROM daily)
+GROUP BY org_id, service""")
+def q_serve_point_services(spark, sf):
+    usage = _stored_usage(spark, sf)
+    return serving.top_services(usage, *V2_RANGE, org_id=_first_org(usage))
+
+
+@register("serve_point_tickets", _w(**_TICKET_CTES, ts=_TICKETS_SERVING_SQL)
+          + _point("ts", f"SELECT * FROM ts WHERE ticket_date BETWEEN DATE '{V3_RANGE[0]}' "
+                         f"AND DATE '{V3_RANGE[1]}'", "*"))
+def q_serve_point_tickets(spark, sf):
+    tickets = _stored_tickets(spark, sf)
+    return serving.tickets_range(tickets, *V3_RANGE, org_id=_first_org(tickets))
+
+
+@register("serve_point_revenue", _w(**_REVENUE_CTES) + _point(
+    "revenue", "SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY month DESC) AS line_no FROM revenue", "*"))
+def q_serve_point_revenue(spark, sf):
+    revenue = _stored_revenue(spark, sf)
+    return serving.revenue_lines(revenue, org_id=_first_org(revenue))
+
+
+@register("serve_point_genai", _w(**_DAILY_CTES) + _point("daily", "SELECT * FROM daily WHERE service = 'genai'",
+          "org_id, service, usage_date, total_genai_tokens, total_cost_usd"))
+def q_serve_point_genai(spark, sf):
+    usage = _stored_usage(spark, sf)
+    return serving.genai_days(usage, org_id=_first_org(usage))
+
+
+@register("serve_point_profile", _w(**_BASE) + _point("orgs", "SELECT * FROM orgs", "org_id, org_name, plan_tier"))
+def q_serve_point_profile(spark, sf):
+    profile = _stored_profile(spark, sf)
+    return serving.profile_view(profile, org_id=_first_org(profile)).select("org_id", "org_name", "plan_tier")
+
+
+@register("serving_clustering_order", _w(**_DAILY_CTES) + """
+SELECT COUNT(*) AS n_rows, COUNT(*) AS n_in_order FROM daily""")
+def q_serving_clustering_order(spark, sf):
+    """K5: rows of every stored file stand in clustering order (org, service, newest day)."""
+    stored = _stored_usage(spark, sf).select(
+        "org_id", "service", "usage_date", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("at"))
+    place = F.row_number().over(Window.partitionBy("file").orderBy("org_id", "service", F.col("usage_date").desc()))
+    return stored.withColumn("place", place).agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("place") == F.col("at") + 1).alias("n_in_order"))
+
+
+@register("upsert_null_dates", """
+SELECT o_custkey AS org_id, o_orderkey AS order_key,
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day,
+       CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders""")
+def q_upsert_null_dates(spark, sf):
+    """Rows without a date have a month partition of their own; a later load that
+    touches it keeps the rows it does not carry."""
+    from ..session import scratch_path
+    o = tm.table(spark, sf, "orders")
+    rows = o.select(F.col("o_custkey").alias("org_id"), F.col("o_orderkey").alias("order_key"),
+                    F.when(F.col("o_orderkey") % 3 != 0, F.to_date("o_orderdate")).alias("day"),
+                    F.col("o_totalprice").alias("price"))
+    path = scratch_path(spark, "serving-null-dates")
+    for load in (rows, rows.filter("order_key % 2 = 0").withColumn("price", F.col("price") + 1)):
+        serving.upsert_table(spark, path, load, ["org_id", "order_key"], n_buckets=4, period_col="day")
+    return serving.read_serving(spark, path)
+
+
+@register("upsert_only_null_dates", """
+SELECT p_partkey AS org_id, CAST(NULL AS DATE) AS day, p_name AS name FROM part""")
+def q_upsert_only_null_dates(spark, sf):
+    """A load whose dates are all missing."""
+    from ..session import scratch_path
+    rows = tm.table(spark, sf, "part").select(F.col("p_partkey").alias("org_id"),
+                                              F.lit(None).cast("date").alias("day"), F.col("p_name").alias("name"))
+    path = scratch_path(spark, "serving-only-null-dates")
+    for _ in range(2):
+        serving.upsert_table(spark, path, rows, ["org_id"], n_buckets=4, period_col="day")
+    return serving.read_serving(spark, path)
+
+
+@register("duplicate_key_counts", """
+SELECT o_custkey, COUNT(*) AS n_rows FROM orders GROUP BY o_custkey HAVING COUNT(*) > 1""")
+def q_duplicate_key_counts(spark, sf):
+    """K6 on an input that does hold duplicate keys."""
+    return serving.duplicate_keys(tm.table(spark, sf, "orders"), ["o_custkey"])
+
+
+@register("serving_text_dates", _w(**_TICKET_CTES, ts=_TICKETS_SERVING_SQL) + "SELECT * FROM ts")
+def q_serving_text_dates(spark, sf):
+    """dates that arrive as text are stored as DATE, malformed CSAT as zero."""
+    tickets = marts.tickets_by_day(marts.conform_tickets(_tickets_raw(spark, sf)))
+    return serving.tickets_serving(tickets.withColumn("ticket_date", F.col("ticket_date").cast("string")))
+
+
+@register("org_profile_cost_entries", _w(**_DAILY_CTES, service_cost=_SERVICE_COST) + """
+SELECT o.org_id, s.service, s.service_cost FROM orgs o JOIN service_cost s ON o.org_id = s.org_id
+WHERE s.service IS NOT NULL""")
+def q_org_profile_cost_entries(spark, sf):
+    """M6: every entry of the profile's cost map."""
+    return _profile(spark, sf).select("org_id", F.explode("service_accumulated_costs").alias("service", "service_cost"))
+
+
+@register("silver_observed_counts", _w(**_SILVER_CTES) + """
+SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (dq_status = 'valid') AS n_valid,
+       COUNT(*) FILTER (dq_status = 'quarantine') AS n_quarantine,
+       COUNT(*) FILTER (dq_status = 'valid' AND anomaly_flag) AS n_anomalies FROM tagged""")
+def q_silver_observed_counts(spark, sf):
+    """K7: the counts a write observes are those of the rows it writes."""
+    from ..session import scratch_path
+    from ..sinks import write_observed
+    st = F.col("dq_status")
+    got = write_observed(_silver_tagged(spark, sf).drop("dq_errors"), scratch_path(spark, "observed"), {
+        "n_valid": F.count_if(st == "valid"), "n_quarantine": F.count_if(st == "quarantine"),
+        "n_anomalies": F.count_if((st == "valid") & F.col("anomaly_flag"))}, ["dq_status"])
+    return spark.createDataFrame([(got["rows"], got["n_valid"], got["n_quarantine"], got["n_anomalies"])],
+                                 "n_rows long, n_valid long, n_quarantine long, n_anomalies long")
+
+
+def _ingested(spark, sf, name: str) -> DataFrame:
+    """One master written as landing CSV and ingested; times as TIMESTAMP without zone, plus
+    the landing folder each row came from and whether it was stamped (D1-D3, F11)."""
+    from ..session import scratch_path
+    from ..sources.landing import ingest_master
+    path = f"{scratch_path(spark, 'landing')}/{name}.csv"
+    rows = tm.landing_frames(spark, sf)[name]
+    (rows.unionByName(rows).write.option("header", "true").option("quote", '"').option("escape", '"').csv(path))
+    bronze, _corrupt = ingest_master(spark, path, name)
+    return bronze.withColumns({
+        **{f.name: F.col(f.name).cast("timestamp_ntz") for f in bronze.schema
+           if f.dataType.typeName() == "timestamp" and f.name != "ingest_ts"},
+        "source_folder": F.regexp_extract("source_file", r"([^/]+)/[^/]*$", 1),
+        "stamped": F.col("ingest_ts").isNotNull()}).drop("ingest_ts", "source_file")
+
+
+def _master(name: str, sql: str):
+    register(f"csv_{name}", f"SELECT *, '{name}.csv' AS source_folder, TRUE AS stamped FROM ({sql})")(
+        lambda spark, sf: _ingested(spark, sf, name))
+
+
+_master("users", f"""
+SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(org_id AS VARCHAR) AS org_id, 'u' || user_id || '@example.org' AS email,
+       role, active, TIMESTAMP '2022-01-01 00:00:00' + user_id * INTERVAL 1 MINUTE AS created_at,
+       CASE WHEN user_id % 19 <> 0 THEN TIMESTAMP '2022-01-01 00:00:05.5' + user_id * INTERVAL 1 MINUTE
+            + (user_id % 400) * INTERVAL 1 DAY END AS last_login
+FROM ({tm.USERS_SQL})""")
+_master("resources", """
+SELECT CAST(p_partkey AS VARCHAR) AS resource_id, CAST(NULL AS VARCHAR) AS org_id, p_brand AS service, 'region-0' AS region,
+       CASE WHEN p_partkey % 23 <> 0 THEN TIMESTAMP '2023-03-01 01:02:03' + p_partkey * INTERVAL 1 HOUR END AS created_at,
+       p_type AS state, '{"brand":"' || p_brand || '","name":"' || p_name || '"}' AS tags_json
+FROM part""")
+_master("billing_monthly", f"""
+SELECT CAST(invoice_id AS VARCHAR) AS invoice_id, CAST(org_id AS VARCHAR) AS org_id, month, subtotal, credits, taxes,
+       currency, exchange_rate_to_usd FROM ({tm.BILLING_SQL})""")
+_master("support_tickets", f"""
+SELECT CAST(ticket_id AS VARCHAR) AS ticket_id, CAST(org_id AS VARCHAR) AS org_id, category, severity, created_at,
+       CASE WHEN ticket_id % 5 <> 0 THEN CAST(created_at + CAST(ticket_id % 30 AS INTEGER) AS DATE) END AS resolved_at,
+       csat, sla_breached FROM ({tm.TICKETS_SQL})""")
+_master("nps_surveys", f"""
+SELECT CAST(org_id AS VARCHAR) AS org_id, survey_date, nps_score, comment FROM ({tm.NPS_SQL})""")
+_master("marketing_touches", """
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS touch_id, CAST(l_suppkey AS VARCHAR) AS org_id,
+       'c' || l_partkey AS campaign, l_returnflag AS channel, CAST(l_shipdate AS TIMESTAMP) AS timestamp,
+       l_discount > 0.05 AS clicked, l_tax > 0.04 AS converted
+FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_suppkey, l_partkey,
+      l_returnflag, l_shipdate, l_discount > 0.05, l_tax > 0.04) AS rn FROM lineitem) WHERE rn = 1)""")
+
+
+_TWO_DROPS = _w(usage=tm.USAGE_EVENTS_SQL) + """
+SELECT 'bronze' AS kind, CAST(event_id AS VARCHAR) AS event_id, timestamp_parsed, CAST(NULL AS VARCHAR) AS raw FROM (
+  SELECT DISTINCT event_id, timestamp_parsed FROM usage)
+UNION ALL SELECT 'untimed', 'untimed-' || event_id, NULL, NULL FROM events WHERE event_id % 70 = 0
+UNION ALL SELECT 'malformed', NULL, NULL, '{"event_id": "broken-' || event_id || '", ' FROM events WHERE event_id % 90 = 0"""
+
+
+@register("stream_two_drops", _TWO_DROPS)
+def q_stream_two_drops(spark, sf):
+    """A second drop re-sends events, adds late ones (long before the watermark),
+    untimed ones and malformed lines.  Bronze must hold the first drop's distinct events;
+    untimed and malformed rows must be kept beside it, the latter with their text."""
+    from ..schemas import USAGE_EVENT
+    from ..session import scratch_path
+    from ..sources.landing import parse_event_time
+    from ..streaming.bronze import bronze_usage_stream, file_stream
+    land, out, side, ckpt = (scratch_path(spark, n) for n in ("drops", "drops-out", "drops-side", "drops-ckpt"))
+    first = _usage_landing(spark, sf)
+    e = tm.table(spark, sf, "events")
+    text = F.col("event_id").cast("string")
+    second = (
+        first.filter("event_id % 10 = 0")
+        .unionByName(first.filter("event_id % 50 = 1").withColumns({
+            "event_id": F.concat(F.lit("late-"), "event_id"), "timestamp": F.lit("2001-01-01 00:00:00.000000")}))
+        .unionByName(_usage_landing(spark, sf).limit(0).unionByName(
+            e.filter("event_id % 70 = 0").select(F.concat(F.lit("untimed-"), text).alias("event_id")),
+            allowMissingColumns=True)))
+    broken = e.filter("event_id % 90 = 0").select(
+        F.concat(F.lit('{"event_id": "broken-'), text, F.lit('", ')).alias("value"))
+
+    def run():
+        s = parse_event_time(file_stream(spark, land, USAGE_EVENT, "json"))
+        bronze_usage_stream(s, out, ckpt, side_path=side)
+
+    first.write.mode("append").json(land)
+    run()
+    second.write.mode("append").json(land)
+    broken.write.mode("append").text(land)
+    run()
+    when = F.col("timestamp_parsed").cast("timestamp_ntz").alias("timestamp_parsed")
+    bronze = spark.read.parquet(out).select(F.lit("bronze").alias("kind"), "event_id", when,
+                                            F.lit(None).cast("string").alias("raw"))
+    return bronze.unionByName(spark.read.parquet(side).select(
+        F.col("reason").alias("kind"), "event_id", when, F.col("_corrupt").alias("raw")))
 
 
 @register("medallion_end_to_end", _w(**_DAILY_CTES) + """
@@ -803,7 +1056,7 @@ def q_medallion_end_to_end(spark, sf):
     from ..session import scratch_path
     lake = Lake(scratch_path(spark, "lake"))
     tm.write_landing(spark, sf, f"{lake.root}/landing")
-    run(spark, lake)
+    run(spark, lake, events_glob="*.json")
     return serving.read_serving(spark, lake.zone("serving", "org_daily_usage_by_service"))
 
 
@@ -814,7 +1067,7 @@ UNION ALL SELECT 'resources', COUNT(*), 0 FROM part
 UNION ALL SELECT 'billing_monthly', COUNT(*), 0 FROM orders
 UNION ALL SELECT 'support_tickets', COUNT(*), 0 FROM orders
 UNION ALL SELECT 'nps_surveys', COUNT(*), 0 FROM (
-  SELECT DISTINCT conv_id, turn FROM conversations WHERE role = 'user')
+  SELECT DISTINCT conv_id, turn FROM conversations)
 UNION ALL SELECT 'marketing_touches', COUNT(*), 0 FROM (
   SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""")
 def q_csv_ingest_all_masters(spark, sf):
@@ -848,8 +1101,7 @@ SELECT CAST(org_id AS VARCHAR) AS org_id, service, usage_date, total_cost_usd, t
 def q_stream_multi_batch_daily(spark, sf):
     """T18 across micro-batches: eight time-ordered landing files, one per batch, so
     the days at file boundaries arrive in two batches; the whole-day recompute must
-    still equal the batch mart (a per-batch partial sum would not).  Closed days'
-    per-batch event partitions are compacted as the stream advances."""
+    still equal the batch mart (a per-batch partial sum would not)."""
     from ..schemas import USAGE_EVENT
     from ..session import scratch_path
     from ..sources.landing import parse_event_time
@@ -859,8 +1111,8 @@ def q_stream_multi_batch_daily(spark, sf):
     parsed = parse_event_time(file_stream(spark, land, USAGE_EVENT, "json", max_files_per_trigger=1))
     serving_path = scratch_path(spark, "serving-daily-mb")
     refresh_daily_from_stream(spark, parsed, scratch_path(spark, "events-mb"), serving_path,
-                              scratch_path(spark, "ckpt-mb"), _daily_from_events, n_buckets=16,
-                              compact_lag_days=1)
+                              scratch_path(spark, "ckpt-mb"), _daily_from_events,
+                              scratch_path(spark, "side-mb"), n_buckets=16)
     return serving.read_serving(spark, serving_path)
 
 
@@ -890,6 +1142,6 @@ def q_stream_partials_daily(spark, sf):
     serving_path = scratch_path(spark, "serving-daily-parts")
     refresh_daily_from_stream(
         spark, parsed, scratch_path(spark, "partials"), serving_path, scratch_path(spark, "ckpt-parts"),
-        _daily_parts, n_buckets=16, mode="partials",
+        _daily_parts, scratch_path(spark, "side-parts"), n_buckets=16, mode="partials",
         finish_daily=lambda p: serving.usage_serving(marts.daily_usage_from_partials(p)))
     return serving.read_serving(spark, serving_path)

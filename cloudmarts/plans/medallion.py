@@ -8,8 +8,8 @@ are observed during the writes; nothing is collected to the driver.
 
 Layout under ``root``::
 
-    landing/<master>.csv  landing/usage_events/*.jsonl      (inputs)
-    bronze/<table>  quarantine/bronze_<master>  bronze/usage_events[_untimed]
+    landing/<master>.csv  landing/usage_events_stream/*.jsonl      (inputs)
+    bronze/<table>  quarantine/bronze_<master>  quarantine/usage_events_side
     silver/usage_events (dq_status=/usage_date=/service=)  silver/support_tickets (ticket_month=)
     gold/<mart>  serving/<table>  checkpoints/<stream>
 """
@@ -20,14 +20,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType
 
 from ..functions.rules import VALID, usage_rules
 from ..operators import marts, serving
-from ..operators.anomaly import DEFAULT_ACCURACY
 from ..operators.events import silver_usage
 from ..operators.ingest import dedup_latest
-from ..schemas import LANDING, SERVING, USAGE_EVENT
-from ..sinks import write_observed, write_partitioned, write_table
+from ..schemas import EVENTS_FOLDER, EVENTS_GLOB, LANDING, SERVING, USAGE_EVENT
+from ..sinks import read_table, staged, write_observed, write_partitioned, write_table
 from ..session import run_concurrently
 from ..sources.landing import ingest_master, parse_event_time
 from ..streaming.bronze import bronze_usage_stream, file_stream
@@ -44,6 +44,17 @@ class Lake:
         return f"{self.root}/{zone}/{table}"
 
 
+#: Types of the columns that zone tables are partitioned by; folder names alone would
+#: turn a service "01" into the number 1.
+ZONE_TYPES = {"service": StringType(), "usage_date": DateType(), "dq_status": StringType(),
+              "ticket_month": DateType(),
+              **{part: StringType() for _schema, _keys, part in LANDING.values() if part}}
+
+
+def read_zone(spark: SparkSession, lake: Lake, zone: str, table: str) -> DataFrame:
+    return read_table(spark, lake.zone(zone, table), types=ZONE_TYPES)
+
+
 # --- bronze ------------------------------------------------------------------------------
 def bronze_masters(spark: SparkSession, lake: Lake, names=None) -> dict[str, int]:
     """Every landing master read, stamped, deduplicated
@@ -65,35 +76,37 @@ def bronze_masters(spark: SparkSession, lake: Lake, names=None) -> dict[str, int
 
 
 def bronze_usage(spark: SparkSession, lake: Lake, null_time: str = "divert",
-                 max_files_per_trigger: int | None = None) -> None:
-    """The usage-event stream, run to completion."""
-    raw = file_stream(spark, lake.landing("usage_events"), USAGE_EVENT, "json",
-                      max_files_per_trigger)
+                 max_files_per_trigger: int | None = None, events_glob: str = EVENTS_GLOB) -> None:
+    """The usage-event stream, run to completion.  Malformed lines and,
+    by default, events without a time are kept under ``quarantine/usage_events_side``."""
+    raw = file_stream(spark, lake.landing(EVENTS_FOLDER), USAGE_EVENT, "json",
+                      max_files_per_trigger, events_glob)
     parsed = parse_event_time(raw).withColumns({
         "ingest_ts": F.current_timestamp(), "source_file": F.col("_metadata.file_path")})
     bronze_usage_stream(parsed, lake.zone("bronze", "usage_events"),
                         lake.zone("checkpoints", "bronze_usage_events"),
-                        side_path=lake.zone("quarantine", "usage_events_untimed"),
+                        side_path=lake.zone("quarantine", "usage_events_side"),
                         null_time=null_time)
 
 
 # --- silver ------------------------------------------------------------------------------
-def silver(spark: SparkSession, lake: Lake, redup: bool = True,
-           accuracy: int = DEFAULT_ACCURACY) -> dict[str, int]:
+def silver(spark: SparkSession, lake: Lake, redup: bool = True) -> dict[str, int]:
     """Enriched, flagged, tagged events written once,
     partitioned by status/day/service; conformed tickets, billing and NPS.
 
     ``redup`` re-deduplicates bronze on (event_id, event time) (T16).  The stream's
     watermarked dedup and its sink log already keep bronze unique, so this is a safety
-    net for re-appends that bypass them; it costs a full shuffle of all events and can
-    be turned off when the sink log is trusted.
+    net for re-appends that bypass them; it costs a full shuffle of all events, once (the
+    result is staged for the quartiles and the write), and can be turned off when the sink
+    log is trusted.
     """
-    bronze = lambda t: spark.read.parquet(lake.zone("bronze", t))
+    bronze = lambda t: read_zone(spark, lake, "bronze", t)
     events = bronze("usage_events")
     if redup:
-        events = dedup_latest(events, ["event_id", "timestamp_parsed"],
-                              [F.col("ingest_ts").asc()], exclude_from_tiebreak=["source_file"])
-    tagged = silver_usage(events, bronze("customers_orgs"), bronze("resources"), accuracy=accuracy)
+        events = staged(dedup_latest(events, ["event_id", "timestamp_parsed"],
+                                     [F.col("ingest_ts").asc()], exclude_from_tiebreak=["source_file"]),
+                        "deduplicated-events")
+    tagged = silver_usage(events, bronze("customers_orgs"), bronze("resources"))
     # Q5/K7: route and per-rule counts observed in the same pass that writes silver
     st = F.col("dq_status")
     metrics = {f"route_{r}": F.count_if(st == r) for r in ("valid", "quarantine", "unknown")}
@@ -118,40 +131,37 @@ def silver(spark: SparkSession, lake: Lake, redup: bool = True,
 
 def silver_valid(spark: SparkSession, lake: Lake) -> DataFrame:
     """The valid side, read through partition pruning on ``dq_status``."""
-    return spark.read.parquet(lake.zone("silver", "usage_events")).filter(
-        F.col("dq_status") == VALID)
+    return read_zone(spark, lake, "silver", "usage_events").filter(F.col("dq_status") == VALID)
 
 
 def silver_quarantine(spark: SparkSession, lake: Lake, on_unknown: str = "quarantine") -> DataFrame:
     """Definite failures, plus undecided rows unless ``on_unknown="drop"``."""
     routes = ["quarantine"] if on_unknown == "drop" else ["quarantine", "unknown"]
-    return spark.read.parquet(lake.zone("silver", "usage_events")).filter(
-        F.col("dq_status").isin(routes))
+    return read_zone(spark, lake, "silver", "usage_events").filter(F.col("dq_status").isin(routes))
 
 
 # --- gold --------------------------------------------------------------------------------
-def gold(spark: SparkSession, lake: Lake, comment_limit: int = 10) -> dict[str, int]:
-    """M1-M6 written whole."""
+def gold(spark: SparkSession, lake: Lake, comment_limit: int | None = None) -> dict[str, int]:
+    """M1-M6 written whole (every comment unless a limit is given)."""
     s = silver_valid(spark, lake)
-    read = spark.read.parquet
+    read = lambda zone, t: read_zone(spark, lake, zone, t)
     daily = marts.daily_usage(s)
     out = {
         "org_daily_usage_by_service": daily,
-        "revenue_by_org_month": marts.revenue_by_month(read(lake.zone("silver", "billing_monthly"))),
+        "revenue_by_org_month": marts.revenue_by_month(read("silver", "billing_monthly")),
         "tickets_by_org_date": marts.tickets_by_day(
-            read(lake.zone("silver", "support_tickets")).drop("ticket_month")),
+            read("silver", "support_tickets").drop("ticket_month")),
         "cost_anomaly_mart": marts.cost_anomalies(s),
     }
     counts = run_concurrently(spark, {name: (lambda n=name, df=df: write_table(df, lake.zone("gold", n)))
                                    for name, df in out.items()})
     # M4 from the written M1 mart: no second aggregation over silver
     counts["genai_tokens_by_org_date"] = write_table(
-        marts.genai_from_daily(read(lake.zone("gold", "org_daily_usage_by_service"))),
+        marts.genai_from_daily(read("gold", "org_daily_usage_by_service")),
         lake.zone("gold", "genai_tokens_by_org_date"))
-    profile = marts.org_profile(read(lake.zone("bronze", "customers_orgs")),
-                                read(lake.zone("bronze", "users")),
-                                read(lake.zone("silver", "nps_surveys")),
-                                read(lake.zone("gold", "org_daily_usage_by_service")),
+    profile = marts.org_profile(read("bronze", "customers_orgs"), read("bronze", "users"),
+                                read("silver", "nps_surveys"),
+                                read("gold", "org_daily_usage_by_service"),
                                 comment_limit=comment_limit)
     counts["org_profile_analytics"] = write_table(profile, lake.zone("gold", "org_profile_analytics"))
     return counts
@@ -171,7 +181,7 @@ def serve(spark: SparkSession, lake: Lake, n_buckets: int = serving.DEFAULT_BUCK
     def one(name):
         spec = SERVING[name]
         order = [F.col(c).desc() if desc else F.col(c) for c, desc in spec["order"]]
-        mart = _VIEWS[name](spark.read.parquet(lake.zone("gold", name)))
+        mart = _VIEWS[name](read_zone(spark, lake, "gold", name))
         return serving.upsert_table(spark, lake.zone("serving", name), mart, spec["keys"],
                                     n_buckets=n_buckets, order=[F.col("org_id"), *order],
                                     period_col=spec["period"])
@@ -179,51 +189,48 @@ def serve(spark: SparkSession, lake: Lake, n_buckets: int = serving.DEFAULT_BUCK
     return run_concurrently(spark, {name: (lambda n=name: one(n)) for name in _VIEWS})
 
 
-def run(spark: SparkSession, lake: Lake, null_time: str = "divert",
-        redup: bool = True, accuracy: int = DEFAULT_ACCURACY) -> dict[str, dict[str, int]]:
+def run(spark: SparkSession, lake: Lake, null_time: str = "divert", redup: bool = True,
+        max_files_per_trigger: int | None = None, events_glob: str = EVENTS_GLOB,
+        n_buckets: int = serving.DEFAULT_BUCKETS) -> dict[str, dict[str, int]]:
     """The whole chain, in dependency order."""
     report = {"bronze": bronze_masters(spark, lake)}
-    bronze_usage(spark, lake, null_time)
-    report["silver"] = silver(spark, lake, redup, accuracy)
+    bronze_usage(spark, lake, null_time, max_files_per_trigger, events_glob)
+    report["silver"] = silver(spark, lake, redup)
     report["gold"] = gold(spark, lake)
-    report["serving"] = serve(spark, lake)
+    report["serving"] = serve(spark, lake, n_buckets)
     return report
 
 
 # --- demo queries and idempotency check (V1-V6, S11, I1) ----------------------------------
-def demo_queries(spark: SparkSession, lake: Lake, org_id=None,
+def demo_queries(spark: SparkSession, lake: Lake, org_id=None, service=None,
                  usage_range=("2025-06-01", "2025-08-31"),
                  top_range=("2025-08-15", "2025-08-30"),
-                 ticket_range=("2025-08-01", "2025-08-31"),
-                 n_buckets: int = serving.DEFAULT_BUCKETS) -> dict[str, DataFrame]:
-    """The six serving queries for one organisation, as DataFrames.
+                 ticket_range=("2025-08-01", "2025-08-31")) -> dict[str, DataFrame]:
+    """The six serving queries for one organisation (and, for the daily range, one of its
+    services), as DataFrames.
 
-    Without ``org_id`` the sample key (S11: smallest (org_id, service)) is used; it is
-    joined in, never fetched to the driver.  With ``org_id`` every read is a point
-    read pruned to the org's bucket.
+    What is not given is taken from the sample key (S11: smallest (org_id, service), of the
+    org if that is given).  That one row is fetched, so every read is a point read pruned to
+    the org's bucket.
     """
-    raw = {name: spark.read.parquet(lake.zone("serving", name)) for name in _VIEWS}
+    raw = {name: serving.open_serving(spark, lake.zone("serving", name)) for name in _VIEWS}
     usage = raw["org_daily_usage_by_service"]
-    # layout columns stay until each query's own projection, so range reads can prune
-    # months and point reads buckets
-    if org_id is None:
-        key = serving.sample_key(usage)
-        org = key.select("org_id")
-        pick = lambda df: df.join(org, "org_id", "left_semi")
-        usage_key = usage.join(key, ["org_id", "service"], "left_semi")
-    else:
-        pick = lambda df: serving.point_filter(df, n_buckets, org_id=org_id)
-        usage_key = pick(usage)
+    if org_id is None or service is None:
+        key = serving.sample_key(serving.point_filter(usage, org_id=org_id, service=service)).first()
+        if key is not None:
+            org_id, service = key["org_id"], key["service"]
+    # layout columns stay until each query's own projection, so range reads can prune months
     return {
-        "daily_range": serving.newest_first(serving.daily_range(usage_key, *usage_range),
-                                            ["org_id", "service"], "usage_date", 10),
-        "top_services": serving.top_services(pick(usage), *top_range),
+        "daily_range": serving.newest_first(
+            serving.daily_range(usage, *usage_range, org_id=org_id, service=service),
+            ["org_id", "service"], "usage_date", 10),
+        "top_services": serving.top_services(usage, *top_range, org_id=org_id),
         "tickets_range": serving.newest_first(
-            serving.tickets_range(pick(raw["tickets_by_org_date"]), *ticket_range),
+            serving.tickets_range(raw["tickets_by_org_date"], *ticket_range, org_id=org_id),
             ["org_id"], "ticket_date", 10),
-        "revenue": serving.revenue_lines(pick(raw["revenue_by_org_month"])),
-        "genai": serving.newest_first(serving.genai_days(pick(usage)), ["org_id"], "usage_date", 10),
-        "profile": serving.drop_layout(serving.profile_view(pick(raw["org_profile_analytics"]))),
+        "revenue": serving.revenue_lines(raw["revenue_by_org_month"], org_id=org_id),
+        "genai": serving.newest_first(serving.genai_days(usage, org_id=org_id), ["org_id"], "usage_date", 10),
+        "profile": serving.drop_layout(serving.profile_view(raw["org_profile_analytics"], org_id=org_id)),
     }
 
 

@@ -118,6 +118,10 @@ LANDING = {
     "marketing_touches": (MARKETING, ["touch_id"], "channel"),
 }
 
+# fixed values: the landing folder of the usage events and its files
+EVENTS_FOLDER = "usage_events_stream"
+EVENTS_GLOB = "*.jsonl"
+
 # Masters with free-text cells that may hold line breaks: parsed multi-line (such a
 # file is read by one task, so only where the content needs it).
 MULTILINE_MASTERS = {"nps_surveys"}

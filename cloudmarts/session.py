@@ -9,30 +9,35 @@ setting is unset and the master is local (tests).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "cloudmarts",
                   advisory_partition_bytes: int = 128 * 1024 * 1024,
                   max_partition_bytes: int = 256 * 1024 * 1024) -> SparkSession:
     """Session with the settings the library assumes: UTC, AQE with skew-join
     splitting, ANSI on, no UI.
 
-    On a cluster set ``shuffle_partitions`` high (e.g. 4-8x the cores) and let AQE
-    coalesce toward ``advisory_partition_bytes``; ``max_partition_bytes`` sizes scan
-    splits.  AQE also splits skewed shuffle partitions in joins and in REBALANCE
+    ``shuffle_partitions`` unset leaves Spark's setting alone; on a cluster set it high
+    (e.g. 4-8x the cores) and let AQE coalesce toward ``advisory_partition_bytes``;
+    ``max_partition_bytes`` sizes scan splits.  Streaming state lives in RocksDB, so a first
+    run over many files is not held in executor heap.  AQE also splits skewed shuffle partitions in joins and in REBALANCE
     writes, so a key holding a third of the data is spread over several tasks.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (
         builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
@@ -62,7 +67,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir().rstrip("/")
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # local-cluster is a cluster
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster needs a shared folder for checkpoints")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="cloudmarts-ckpt-"))

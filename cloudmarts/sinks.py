@@ -7,15 +7,15 @@ can be dynamic, so re-running one day rewrites one day.
 
 from __future__ import annotations
 
-import os
-
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructField, StructType
 from pyspark.errors import AnalysisException
 
+from .session import scratch_path
+
 DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
 
 
@@ -45,8 +45,8 @@ def write_observed(df: DataFrame, path: str, metrics: dict,
         # partition columns first: the writer's own grouping then needs no second sort
         observed = observed.sortWithinPartitions(*(partition_by or []), *sort_within)
     w = observed.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
+    # always explicit: the session's own overwrite mode must not decide what is replaced
+    w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -68,82 +68,40 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
                           max_records_per_file=max_records_per_file, rebalance=True)["rows"]
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Parquet zone table; pass ``schema`` to pin partition-column types."""
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
+               types: Mapping[str, DataType] | None = None) -> DataFrame:
+    """Parquet zone table.  ``schema`` pins every column; ``types`` only the named ones
+    (T17: partition columns, whose types would else be guessed from the folder names)."""
+    if schema is None and types:
+        found = spark.read.parquet(path).schema
+        schema = StructType([StructField(f.name, types.get(f.name, f.dataType), True) for f in found])
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(path)
 
 
-def try_read_table(spark: SparkSession, path: str,
-                   schema: StructType | None = None) -> DataFrame | None:
-    """The table at ``path``, or None when nothing has been written there yet.
-
-    Local paths are checked directly; other schemes are probed by a read (whose
-    failure Spark also logs)."""
-    if path.startswith("file:") or path.startswith("/"):
-        local = path[len("file:"):] if path.startswith("file:") else path
-        if not os.path.exists(local):
-            return None
-    try:
-        df = read_table(spark, path, schema)
-        df.schema  # noqa: B018 - forces the listing
-        return df
-    except AnalysisException:
-        return None
-
-
-def compact_partitions(spark: SparkSession, path: str, days: Sequence, reduce,
-                       day_col: str = "usage_date", batch_col: str = "_batch",
-                       compacted_batch: int = -1) -> int:
-    """Rewrite each of ``days`` in a ``day_col/batch_col``-partitioned table as one
-    ``batch_col=compacted_batch`` partition; returns the rows written.
-
-    ``reduce(rows_of_those_days)`` gives the compacted rows (e.g. a key dedup, or a
-    re-sum of partial aggregates).  The result is staged first, then each day is
-    replaced by ``INSERT OVERWRITE ... PARTITION (day_col = d, batch_col)``: a static
-    day with dynamic batches deletes all of that day's batch partitions and writes the
-    compacted one.  The table is registered as an external table in the session
-    catalog for the statement only; its files stay where they are.  Only call this
-    for days no writer can still touch.
-    """
-    import uuid
-
-    from .session import scratch_path
-
-    days = sorted(set(days))
-    if not days:
-        return 0
-    table = spark.read.parquet(path)
-    rows = reduce(table.filter(F.col(day_col).isin(days)).drop(batch_col))
-    rows = rows.withColumn(batch_col, F.lit(compacted_batch).cast(
-        table.schema[batch_col].dataType))
-    data_cols = [c for c in rows.columns if c not in (day_col, batch_col)]
-    stage = scratch_path(spark, "compact")
-    written = write_table(rows.select(*data_cols, batch_col, day_col), stage, [day_col])
-    staged_view = f"compact_stage_{uuid.uuid4().hex[:8]}"
-    spark.read.parquet(stage).createOrReplaceTempView(staged_view)
-    name = f"compact_target_{uuid.uuid4().hex[:8]}"
-    ddl_cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields)
-    spark.sql(f"CREATE TABLE {name} ({ddl_cols}) USING parquet "
-              f"PARTITIONED BY (`{day_col}`, `{batch_col}`) LOCATION '{path}'")
-    saved = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in the file system Spark itself resolves it in."""
     try:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        # static overwrite of the day prefix; each writer in this library passes its own
-        # mode explicitly, so the session setting only affects these statements
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-        select = ", ".join(f"`{c}`" for c in data_cols)
-        for d in days:
-            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{day_col}` = DATE '{d}', "
-                      f"`{batch_col}`) SELECT {select}, `{batch_col}` FROM {staged_view} "
-                      f"WHERE `{day_col}` = DATE '{d}'")
-    finally:
-        if saved is None:
-            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-        else:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", saved)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.dropTempView(staged_view)
-    return written
+        spark.read.text(path)
+        return True
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+def try_read_table(spark: SparkSession, path: str, schema: StructType | None = None,
+                   types: Mapping[str, DataType] | None = None) -> DataFrame | None:
+    """The table at ``path``, or None when there is no such path.  Any other failure of the
+    read is raised: taking it for a missing table would overwrite what is there."""
+    return read_table(spark, path, schema, types) if path_exists(spark, path) else None
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared scratch folder and read back with its schema, for
+    results that several later steps use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -15,11 +15,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.ingest import dedup_latest, stamp
 from ..schemas import LANDING, MULTILINE_MASTERS, USAGE_EVENT
+from ..sinks import staged
 
 CORRUPT = "_corrupt"
 
 
-def _with_corrupt(schema: StructType, corrupt_col: str) -> StructType:
+def with_corrupt(schema: StructType, corrupt_col: str = CORRUPT) -> StructType:
+    """The schema plus the column that keeps a malformed record's raw text."""
     return StructType(list(schema.fields) + [StructField(corrupt_col, StringType(), True)])
 
 
@@ -37,7 +39,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
             .option("columnNameOfCorruptRecord", corrupt_col)
             .option("quote", '"').option("escape", '"')
             .option("multiLine", str(multi_line).lower())
-            .schema(_with_corrupt(schema, corrupt_col))
+            .schema(with_corrupt(schema, corrupt_col))
             .csv(path))
 
 
@@ -56,11 +58,13 @@ def ingest_master(spark: SparkSession, path: str, dataset: str,
                   order_by: Sequence[Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """Bronze ingest of one landing master: read, stamp, deterministic dedup.
 
-    Returns (bronze rows, corrupt rows).  ``source_file`` is the file each row came
-    from; ``ingest_ts`` is one value per query.
+    Returns (bronze rows, corrupt rows), both from one parse of the files: the parsed rows
+    are staged, so the corrupt side costs no second scan of the CSV.  ``source_file`` is the
+    file each row came from; ``ingest_ts`` is one value per query.
     """
     schema, keys, _part = LANDING[dataset]
-    raw = stamp(read_csv(spark, path, schema, multi_line=dataset in MULTILINE_MASTERS))
+    raw = staged(stamp(read_csv(spark, path, schema, multi_line=dataset in MULTILINE_MASTERS)),
+                 f"parsed-{dataset}")
     good, bad = split_corrupt(raw)
     return dedup_latest(good, keys, order_by, exclude_from_tiebreak=["ingest_ts"]), bad
 
@@ -72,5 +76,8 @@ def parse_event_time(df: DataFrame, src: str = "timestamp",
 
 
 def read_usage_json(spark: SparkSession, path: str, schema: StructType = USAGE_EVENT) -> DataFrame:
-    """S8 (batch form): JSON-lines events with the declared schema, parsed and stamped."""
-    return parse_event_time(stamp(spark.read.schema(schema).json(path)))
+    """S8 (batch form): JSON-lines events with the declared schema, parsed and stamped; a
+    malformed line keeps its text in ``_corrupt`` (see ``split_corrupt``)."""
+    raw = (spark.read.schema(with_corrupt(schema)).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    return parse_event_time(stamp(raw))

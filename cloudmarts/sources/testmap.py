@@ -7,7 +7,7 @@ name builds the identical relation.
 
 Mapping: org = customer; usage event = events (org = user_id, service =
 event_type with 'purchase' as the GenAI service); resource = part; invoice,
-ticket and user = orders; NPS comment = user turns of conversations.
+ticket and user = orders; NPS comment = turns of conversations.
 """
 
 from __future__ import annotations
@@ -188,7 +188,7 @@ USERS_SQL = (
 
 
 def nps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    c = table(spark, sf_dir, "conversations")
     turn = F.col("turn")
     return c.select(
         F.col("conv_id").alias("org_id"),
@@ -203,7 +203,7 @@ SELECT conv_id AS org_id,
        CAST(DATE '2024-01-01' + CAST(turn AS INTEGER) AS DATE) AS survey_date,
        CASE WHEN turn % 4 = 3 THEN NULL ELSE CAST((conv_id + turn) % 11 AS DOUBLE) END AS nps_score,
        text AS comment
-FROM conversations WHERE role = 'user'"""
+FROM conversations"""
 
 
 def sql_with(**ctes: str) -> str:
@@ -211,6 +211,11 @@ def sql_with(**ctes: str) -> str:
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n"
 
 
+def _user_created():
+    """A user's sign-up time, from the key of the order it stands for."""
+    return F.to_timestamp(F.lit("2022-01-01 00:00:00")) + F.make_dt_interval(mins=F.col("user_id").cast("int"))
+
+
 # --- landing files (text ids, as the source system delivers them) --------------------------
 def _s(col):
     return F.col(col).cast("string")
@@ -238,12 +243,14 @@ def landing_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             _s("user_id").alias("user_id"), _s("org_id").alias("org_id"),
             F.concat(F.lit("u"), _s("user_id"), F.lit("@example.org")).alias("email"),
             "role", "active",
-            F.lit(None).cast("timestamp").alias("created_at"),
-            F.lit(None).cast("timestamp").alias("last_login")),
+            _user_created().alias("created_at"),
+            F.when(F.col("user_id") % 19 != 0, _user_created() + F.make_dt_interval(
+                days=F.col("user_id").cast("int") % 400, secs=F.lit(5.5))).alias("last_login")),
         "resources": p.select(
             _s("p_partkey").alias("resource_id"), F.lit(None).cast("string").alias("org_id"),
             F.col("p_brand").alias("service"), F.lit("region-0").alias("region"),
-            F.lit(None).cast("timestamp").alias("created_at"), F.col("p_type").alias("state"),
+            F.when(F.col("p_partkey") % 23 != 0, F.to_timestamp(F.lit("2023-03-01 01:02:03")) + F.make_dt_interval(
+                hours=F.col("p_partkey").cast("int"))).alias("created_at"), F.col("p_type").alias("state"),
             F.to_json(F.struct(F.col("p_brand").alias("brand"), F.col("p_name").alias("name")))
              .alias("tags_json")),
         "billing_monthly": billing(spark, sf_dir).select(
@@ -251,7 +258,8 @@ def landing_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "credits", "taxes", "currency", "exchange_rate_to_usd"),
         "support_tickets": tickets(spark, sf_dir).select(
             _s("ticket_id").alias("ticket_id"), _s("org_id").alias("org_id"), "category", "severity",
-            "created_at", F.lit(None).cast("date").alias("resolved_at"), "csat", "sla_breached"),
+            "created_at", F.when(F.col("ticket_id") % 5 != 0, F.date_add("created_at", (F.col("ticket_id") % 30).cast("int")))
+            .alias("resolved_at"), "csat", "sla_breached"),
         "nps_surveys": nps_.select(_s("org_id").alias("org_id"), "survey_date", "nps_score", "comment"),
         "marketing_touches": li.select(
             F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber")).alias("touch_id"),
@@ -266,6 +274,7 @@ def landing_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def write_landing(spark: SparkSession, sf_dir: str, landing_root: str, event_files: int = 4) -> None:
     """Landing CSV masters plus the usage events as ``event_files`` JSON-lines files."""
+    from ..schemas import EVENTS_FOLDER
     from ..session import run_concurrently
 
     def csv(name, df):
@@ -274,16 +283,19 @@ def write_landing(spark: SparkSession, sf_dir: str, landing_root: str, event_fil
 
     run_concurrently(spark, {n: (lambda n=n, df=df: csv(n, df))
                              for n, df in landing_frames(spark, sf_dir).items()})
-    write_landing_events(spark, sf_dir, f"{landing_root}/usage_events", event_files)
+    write_landing_events(spark, sf_dir, f"{landing_root}/{EVENTS_FOLDER}", event_files)
+
 
+def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> None:
+    """Usage events as JSON-lines files in the landing schema (text ids and time), one append
+    per time slice, oldest first: the file source picks files in modification-time order,
+    as a feed would deliver them.  ``files`` is the number of slices at any size.
 
-def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int = 4,
-                         max_rows_per_file: int = 1_000_000) -> None:
-    """Usage events as JSON-lines files in the landing schema (text ids and time), each
-    file a contiguous event-time range written oldest first, as a feed delivers them.
+    The events are staged once, partitioned by slice; each append reads its slice only.
+    """
+    from ..session import scratch_path
+    from ..sinks import write_table
 
-    At least ``files`` files; more when needed so that no file (hence no writing
-    task) holds more than about ``max_rows_per_file`` rows."""
     ev = usage_events(spark, sf_dir)
     landing_events = ev.select(
         F.col("event_id").cast("string").alias("event_id"),
@@ -291,15 +303,15 @@ def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int
         _s("org_id").alias("org_id"), _s("resource_id").alias("resource_id"), "service",
         F.lit("region-0").alias("region"), "metric", "value", "unit", "cost_usd_increment",
         F.lit(2).cast("bigint").alias("schema_version"), "carbon_kg", "genai_tokens")
-    # one append per time slice, oldest first: the file source picks files in
-    # modification-time order, as a feed would deliver them
     ts = F.col("timestamp_parsed")
-    lo, hi, n = ev.agg(F.min(ts).cast("timestamp").cast("long"),
-                       F.max(ts).cast("timestamp").cast("long"), F.count(F.lit(1))).first()
-    files = max(files, -(-n // max_rows_per_file))
+    lo, hi = ev.agg(F.min(ts).cast("timestamp").cast("long"), F.max(ts).cast("timestamp").cast("long")).first()
+    if lo is None:
+        return
     span = max(hi - lo + 1, 1)
     sliced = landing_events.withColumn(
         "_slice", F.floor((F.to_timestamp("timestamp").cast("long") - lo) * files / span))
+    stage = scratch_path(spark, "landing-slices")
+    write_table(sliced.hint("rebalance", "_slice"), stage, ["_slice"])
     for k in range(files):
-        (sliced.filter(F.col("_slice") == k).drop("_slice").coalesce(1)
-               .write.mode("append").json(path))
+        spark.read.schema(sliced.schema).parquet(stage).filter(F.col("_slice") == k).drop("_slice").write.mode(
+            "append").json(path)

@@ -3,13 +3,14 @@
 Usage events arrive as files.  The stream parses event time, deduplicates on
 (event_id, event time) under a watermark -- event time is part of the key, so
 state older than the watermark is evicted -- and appends to a parquet table
-partitioned by service, exactly once through the checkpoint.  Rows without an
-event time would stay in state forever; by default they are diverted to a side
-table by a second, stateless query.
+partitioned by service, exactly once through the checkpoint.  Lines that do not
+parse and (by default) rows without an event time, whose state would never be
+evicted, go to a side table with their reason and raw text, by a second,
+stateless query.
 
 ``refresh_daily_from_stream`` keeps the daily serving table current: every
-micro-batch appends its events to an events table (idempotent per batch id),
-then recomputes whole days it touched from that table and upserts them, so a key
+micro-batch appends its events to an events table (idempotent per batch), then
+recomputes whole days it touched from that table and upserts them, so a key
 spanning micro-batches is never replaced by a partial sum.
 """
 
@@ -20,22 +21,39 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StringType, StructType
 
 from ..operators.ingest import dedup_latest
 from ..operators.serving import upsert_table
-from ..sinks import compact_partitions, write_table
+from ..sinks import path_exists, read_table, write_table
+from ..sources.landing import CORRUPT, with_corrupt
 
 NULL_TIME = ("divert", "keep")
+MALFORMED, UNTIMED = "malformed", "untimed"
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "json",
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Files in ``path`` (a directory or glob) as a stream, with a declared schema."""
-    r = spark.readStream.schema(schema).format(fmt)
+                max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
+    """Files in ``path`` (a directory) as a stream, with a declared schema; ``glob`` keeps
+    other files of the folder out.  A malformed JSON line keeps its text in ``_corrupt``."""
+    r = spark.readStream.format(fmt)
+    if fmt == "json":
+        schema = with_corrupt(schema)
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(path)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.schema(schema).load(path)
+
+
+def check_restart(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Refuse to start on a table that a stream has written while its checkpoint is gone.
+    A new checkpoint numbers its batches from 0, and the table's own log would skip them
+    silently, along with every file that has arrived since."""
+    if path_exists(spark, f"{path}/_spark_metadata") and not path_exists(spark, f"{checkpoint}/metadata"):
+        raise RuntimeError(f"{path} was written by a stream whose checkpoint {checkpoint} is missing; "
+                           "restore it, or ingest into a new table")
 
 
 def dedup_events(df: DataFrame, time_col: str = "timestamp_parsed",
@@ -57,6 +75,7 @@ def dedup_events(df: DataFrame, time_col: str = "timestamp_parsed",
 def run_available_now(df: DataFrame, path: str, checkpoint: str,
                       partition_by: Sequence[str] = (), fmt: str = "parquet") -> StreamingQuery:
     """Append everything available now, then stop."""
+    check_restart(df.sparkSession, path, checkpoint)
     w = (df.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", path)
          .trigger(availableNow=True))
@@ -74,20 +93,29 @@ def bronze_usage_stream(parsed: DataFrame, out_path: str, checkpoint: str,
                         partition_by: Sequence[str] = ("service",)) -> list[StreamingQuery]:
     """Run the bronze stream(s) to completion; returns the finished queries.
 
-    ``null_time="divert"`` sends rows without event time to ``side_path`` (no state);
-    ``"keep"`` deduplicates them with the rest (their state is never evicted).
+    Side rows go to ``side_path`` with a ``reason``: ``malformed`` lines (raw text in
+    ``_corrupt``) always, rows without event time as ``untimed`` under
+    ``null_time="divert"``.  With ``"keep"`` untimed rows are deduplicated with the rest
+    (their state is never evicted).  ``side_path`` may be left out only where neither occurs:
+    ``"keep"`` on a source without a ``_corrupt`` column.
     """
     if null_time not in NULL_TIME:
         raise ValueError(f"null_time must be one of {NULL_TIME}")
-    timed = parsed
-    queries = []
+    reason = F.lit(None).cast("string")
     if null_time == "divert":
+        reason = F.when(F.col(time_col).isNull(), F.lit(UNTIMED))
+    if CORRUPT in parsed.columns:
+        reason = F.when(F.col(CORRUPT).isNotNull(), F.lit(MALFORMED)).otherwise(reason)
+    queries = []
+    good = parsed
+    if null_time == "divert" or CORRUPT in parsed.columns:
         if side_path is None:
-            raise ValueError("side_path is required when null_time='divert'")
-        timed = parsed.filter(F.col(time_col).isNotNull())
-        untimed = parsed.filter(F.col(time_col).isNull())
-        queries.append(run_available_now(untimed, side_path, checkpoint.rstrip("/") + "-untimed"))
-    queries.append(run_available_now(dedup_events(timed, time_col, keys, watermark),
+            raise ValueError("side_path is required for rows that are left out of bronze")
+        marked = parsed.withColumn("reason", reason)
+        good = marked.filter(F.col("reason").isNull()).drop("reason", CORRUPT)
+        side = marked.filter(F.col("reason").isNotNull())
+        queries.append(run_available_now(side, side_path, checkpoint.rstrip("/") + "-side"))
+    queries.append(run_available_now(dedup_events(good, time_col, keys, watermark),
                                      out_path, checkpoint, partition_by))
     return queries
 
@@ -104,95 +132,80 @@ def rows_dropped_by_watermark(q: StreamingQuery) -> int:
 def refresh_daily_from_stream(
         spark: SparkSession, parsed: DataFrame, events_path: str, serving_path: str,
         checkpoint: str, build_daily: Callable[[DataFrame], DataFrame],
+        side_path: str | None = None,
         keys: Sequence[str] = ("org_id", "service", "usage_date"),
         time_col: str = "timestamp_parsed", watermark: str = "2 hours",
         n_buckets: int = 64, mode: str = "recompute",
-        finish_daily: Callable[[DataFrame], DataFrame] | None = None,
-        compact_lag_days: int | None = None,
-        compact_reduce: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+        finish_daily: Callable[[DataFrame], DataFrame] | None = None) -> list[StreamingQuery]:
     """Incremental refresh of the daily serving table from a usage stream.
 
-    ``mode="recompute"`` (exact): ``build_daily(events)`` maps raw events to daily
-    rows.  Per micro-batch: (1) write the batch's events under ``_batch=<id>`` (a
-    replayed batch overwrites itself), (2) take the days it touched, (3) recompute
-    those whole days from the events table, deduplicated by key, (4) upsert them.
-    Cost per batch grows with the size of the touched days.
-
-    ``mode="partials"`` (for large days): ``build_daily(events)`` returns additive
-    partial sums and ``finish_daily(partials)`` re-sums and rounds them.  Per batch
-    only the batch's partial sums are written under ``_batch=<id>``; touched days are
-    re-summed from the partials table, which is orders of magnitude smaller than the
-    events.  Duplicates across batches are already removed by the watermarked dedup.
-    Sums may differ from ``recompute`` in the last floating-point bits.
-
-    State stays bounded either way: the only stateful step is the watermarked dedup.
-
-    ``compact_lag_days`` compacts, after each batch, the per-batch partitions of days
-    older than the newest touched day minus the lag (closed: the watermark drops rows
-    for them) and not touched by this batch, so a replay of this batch can never meet
-    a compacted day.  ``compact_reduce`` folds a day's rows (default: key dedup of the
-    events; for partials pass e.g. ``marts.merge_daily_partials``).
+    ``mode="recompute"``: ``build_daily(events)`` maps raw events to daily rows.  Per
+    micro-batch: (1) write the batch's events under a partition named by the query's id (it
+    lives in the checkpoint) and the batch number, so a replayed batch overwrites itself and
+    a new checkpoint never overwrites an older one's rows, (2) take the days it touched,
+    (3) recompute those whole days from the events table, deduplicated by key, (4) upsert
+    them.  Cost per batch grows with the size of the touched days.
+
+    ``mode="partials"`` (for large days): ``build_daily`` returns additive partial sums,
+    which are stored instead of the events, and ``finish_daily`` re-sums and rounds them.
+    Only partials of the running query's id are summed: after a lost checkpoint the new
+    query reads every file again, and the old sums must not be added to its own.
+
+    State stays bounded: the only stateful step is the watermarked dedup.
+
+    Malformed lines and rows without event time have no day; a second, stateless query
+    writes them to ``side_path`` with their reason (required unless it is known that there
+    are none: without it such rows are refused by failing the stream).
     """
     if mode not in ("recompute", "partials"):
         raise ValueError("mode must be 'recompute' or 'partials'")
     if mode == "partials" and finish_daily is None:
         raise ValueError("mode='partials' needs finish_daily")
-    if compact_lag_days is not None and mode == "partials" and compact_reduce is None:
-        raise ValueError("compacting partials needs compact_reduce")
-    reduce_day = compact_reduce or (lambda df: dedup_latest(df, ["event_id", time_col]))
-    sc = spark.sparkContext
-    group = sc.getLocalProperty("spark.jobGroup.id")
-
-    def touched_days(table: DataFrame, batch_id: int) -> list:
-        # days of the batch just written, read from its partitions (bounded by the days
-        # one batch spans), not from a second evaluation of the micro-batch
-        return sorted(r[0] for r in table.filter(F.col("_batch") == batch_id)
-                                         .select("usage_date").distinct().collect())
-
-    def compact(table: DataFrame, touched: list) -> None:
-        import datetime as _dt
-        cutoff = max(touched) - _dt.timedelta(days=compact_lag_days)
-        # one small row per day still holding per-batch partitions; the days this batch
-        # touched are never compacted, so a replay of it cannot meet a compacted day
-        days = [r[0] for r in table.filter((F.col("usage_date") < F.lit(cutoff))
-                                           & (F.col("_batch") != -1)
-                                           & ~F.col("usage_date").isin(touched))
-                                   .select("usage_date").distinct().collect()]
-        compact_partitions(spark, events_path, days, reduce_day)
+    group = spark.sparkContext.getLocalProperty("spark.jobGroup.id")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        sc = batch.sparkSession.sparkContext
         if group:  # batches run on the stream thread: keep them in the caller's job group
             sc.setJobGroup(group, group)
+        query = sc.getLocalProperty("sql.streaming.queryId")
+        name = f"{query}-{batch_id}"
         if mode == "partials":
-            part = build_daily(batch).withColumn("_batch", F.lit(batch_id))
-            if write_table(part, events_path, ["usage_date", "_batch"], dynamic=True) == 0:
-                return
-            table = spark.read.parquet(events_path)
-            touched = touched_days(table, batch_id)
-            # static partition filter: only the touched days are read
-            parts = table.filter(F.col("usage_date").isin(touched)).drop("_batch")
-            upsert_table(spark, serving_path, finish_daily(parts), list(keys), n_buckets=n_buckets,
-                         period_col="usage_date")
-            if compact_lag_days is not None:
-                compact(table, touched)
-            return
-        day = F.to_date(F.col(time_col))
-        b = batch.withColumn("usage_date", day).withColumn("_batch", F.lit(batch_id))
-        if write_table(b, events_path, ["usage_date", "_batch"], dynamic=True) == 0:
+            b = build_daily(batch)
+        else:
+            b = batch.withColumn("usage_date", F.to_date(F.col(time_col)))
+        if write_table(b.withColumn("_batch", F.lit(name)), events_path, ["usage_date", "_batch"],
+                       dynamic=True) == 0:
             return
-        table = spark.read.parquet(events_path)
-        touched = touched_days(table, batch_id)
+        table = read_table(spark, events_path, types={"usage_date": DateType(), "_batch": StringType()})
+        # days of the batch just written, read from its partitions (bounded by the days one
+        # batch spans), not from a second evaluation of the micro-batch
+        touched = sorted(r[0] for r in table.filter(F.col("_batch") == name)
+                                            .select("usage_date").distinct().collect())
         # static partition filter: only the touched days are read
-        events = table.filter(F.col("usage_date").isin(touched))
-        events = dedup_latest(events.drop("usage_date", "_batch"), ["event_id", time_col])
-        upsert_table(spark, serving_path, build_daily(events), list(keys), n_buckets=n_buckets,
+        rows = table.filter(F.col("usage_date").isin(touched))
+        if mode == "partials":
+            daily = finish_daily(rows.filter(F.col("_batch").startswith(f"{query}-")).drop("_batch"))
+        else:
+            daily = build_daily(dedup_latest(rows.drop("usage_date", "_batch"), ["event_id", time_col]))
+        upsert_table(spark, serving_path, daily, list(keys), n_buckets=n_buckets,
                      period_col="usage_date")
-        if compact_lag_days is not None:
-            compact(table, touched)
 
-    deduped = dedup_events(parsed.filter(F.col(time_col).isNotNull()), time_col,
-                           watermark=watermark)
+    bad = F.col(time_col).isNull()
+    if CORRUPT in parsed.columns:
+        bad = bad | F.col(CORRUPT).isNotNull()
+    queries = []
+    if side_path is not None:
+        reason = F.lit(UNTIMED)
+        if CORRUPT in parsed.columns:
+            reason = F.when(F.col(CORRUPT).isNotNull(), F.lit(MALFORMED)).otherwise(reason)
+        queries.append(run_available_now(parsed.filter(bad).withColumn("reason", reason), side_path,
+                                         checkpoint.rstrip("/") + "-side"))
+        timed = parsed.filter(~bad)
+    else:
+        timed = parsed.filter(F.when(bad, F.raise_error(F.lit("a row has no event time; give side_path")))
+                              .otherwise(F.lit(True)).cast("boolean"))
+    deduped = dedup_events(timed.drop(CORRUPT), time_col, watermark=watermark)
     q = (deduped.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return q
+    return [*queries, q]

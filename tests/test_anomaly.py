@@ -43,3 +43,28 @@ def test_fences_are_broadcast_not_shuffled(spark):
     df = spark.createDataFrame([("s", float(i)) for i in range(50)], "service string, daily_cost_usd double")
     plan = anomaly.flag_anomalies(df)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_quantiles_are_exact_when_bins_must_be_refined(spark):
+    rng = np.random.default_rng(3)
+    groups = {"even": rng.random(3000), "tail": np.exp(rng.standard_normal(3000) * 8), "one": np.full(50, 2.5),
+              "steps": rng.integers(0, 3, 2000).astype(float), "few": np.array([4.0]),
+              "wide": np.array([-1e300, -1.0, 0.0, 1.0, 1e300] * 40)}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("even", None), ("even", float("nan")), (None, 1.0)]
+    df = spark.createDataFrame(rows, "service string, daily_cost_usd double")
+    got = {r.service: r for r in anomaly.group_quantiles(
+        df, "daily_cost_usd", "service", {"low": 0.01, "mid": 0.5, "top": 1.0}, bins=7, rank_rows=20).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        assert (got[g].low, got[g].mid, got[g].top) == (_disc(vs, 0.01), _disc(vs, 0.5), _disc(vs, 1.0)), g
+
+
+def test_silver_takes_quartiles_from_service_and_cost_alone(spark, monkeypatch):
+    from cloudmarts.operators import events
+    from cloudmarts.sources import testmap as tm
+    from conftest import SF_SMALL
+    seen, real = [], anomaly.group_quartiles
+    monkeypatch.setattr(anomaly, "group_quartiles", lambda df, *a: seen.append(df) or real(df, *a))
+    events.silver_usage(tm.usage_events(spark, SF_SMALL), tm.orgs(spark, SF_SMALL), tm.resources(spark, SF_SMALL))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(seen) == 1 and "Join" not in plan and "Window" not in plan and seen[0].columns == ["service", "daily_cost_usd"]

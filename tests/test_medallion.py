@@ -13,7 +13,7 @@ from conftest import SF_SMALL
 def test_pipeline_conserves_rows_and_money(spark, tmp_dir):
     lake = md.Lake(tmp_dir + "/lake")
     tm.write_landing(spark, SF_SMALL, f"{lake.root}/landing", event_files=3)
-    report = md.run(spark, lake)
+    report = md.run(spark, lake, events_glob="*.json")
     read = spark.read.parquet
 
     bronze_events = read(lake.zone("bronze", "usage_events")).count()
@@ -45,7 +45,7 @@ def test_pipeline_conserves_rows_and_money(spark, tmp_dir):
     name = "org_daily_usage_by_service"
     path = lake.zone("serving", name)
     before = sorted(serving.read_serving(spark, path).collect())
-    again = md.run(spark, lake)
+    again = md.run(spark, lake, events_glob="*.json")
     assert read(lake.zone("bronze", "usage_events")).count() == bronze_events
     assert again["gold"] == report["gold"]
     after = serving.read_serving(spark, path)
@@ -60,7 +60,7 @@ def test_pipeline_conserves_rows_and_money(spark, tmp_dir):
 def test_demo_queries_and_idempotency_check(spark, tmp_dir):
     lake = md.Lake(tmp_dir + "/lake")
     tm.write_landing(spark, SF_SMALL, f"{lake.root}/landing", event_files=2)
-    md.run(spark, lake)
+    md.run(spark, lake, events_glob="*.json")
     rng = dict(usage_range=("2024-01-01", "2024-01-31"), top_range=("2024-01-10", "2024-01-25"),
                ticket_range=("1995-01-01", "2001-12-31"))
     sample = md.demo_queries(spark, lake, **rng)
@@ -72,6 +72,11 @@ def test_demo_queries_and_idempotency_check(spark, tmp_dir):
         b = sorted(map(tuple, point[name].drop("service_accumulated_costs").collect()))
         assert a == b and a, name
     assert sample["daily_range"].count() <= 10
+    # one (org, service), from one bucket, also when only the org is given
+    for shown in (sample, point):
+        assert shown["daily_range"].select("org_id", "service").distinct().count() == 1
+        plan = shown["daily_range"]._jdf.queryExecution().executedPlan().toString()
+        assert "_bucket" in plan and "_period" in plan
     report = md.idempotency_check(spark, lake)
     assert len(report) == 4
     for r in report:
@@ -82,7 +87,25 @@ def test_silver_without_redup_gives_the_same_marts(spark, tmp_dir):
     lake = md.Lake(tmp_dir + "/lake")
     tm.write_landing(spark, SF_SMALL, f"{lake.root}/landing", event_files=2)
     md.bronze_masters(spark, lake)
-    md.bronze_usage(spark, lake)
+    md.bronze_usage(spark, lake, events_glob="*.json")
     with_redup = md.silver(spark, lake, redup=True)
     without = md.silver(spark, lake, redup=False)
     assert with_redup == without
+
+
+def test_other_files_of_the_landing_folder_are_not_events(spark, tmp_dir):
+    lake = md.Lake(tmp_dir + "/lake")
+    folder = lake.landing("usage_events_stream")
+    spark.createDataFrame([('{"event_id": "e1", "timestamp": "2024-01-01 00:00:00", "service": "01"}',),
+                           ('{"event_id": "cut of', )], "value string").coalesce(1).write.text(folder)
+    import glob
+    import os
+    local = folder.removeprefix("file:")
+    os.rename(glob.glob(local + "/*.txt")[0], local + "/events.jsonl")
+    with open(local + "/notes.md", "w") as f:
+        f.write("not an event\n")
+    md.bronze_usage(spark, lake)
+    rows = md.read_zone(spark, lake, "bronze", "usage_events").collect()
+    assert [(r["event_id"], r["service"]) for r in rows] == [("e1", "01")]   # T17: not the number 1
+    side = spark.read.parquet(lake.zone("quarantine", "usage_events_side")).collect()
+    assert [(r["reason"], r["_corrupt"]) for r in side] == [("malformed", '{"event_id": "cut of')]

@@ -17,11 +17,11 @@ def con():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
-    rows = [tuple(r) for r in df.collect()]
     sql = entry.oracle_sql().get(name)
     if sql is None:
-        pytest.skip("no SQL form")
+        pytest.skip("no SQL form: held against brute force in a test of its own")
+    df = entry.queries()[name](spark, SF_SMALL)
+    rows = [tuple(r) for r in df.collect()]
     rel = con.sql(sql)
     ok, _exact, msg = compare(rows, df.columns, rel.fetchall(), rel.columns)
     assert ok, msg

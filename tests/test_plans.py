@@ -43,8 +43,8 @@ def test_flagship_has_exactly_one_shuffle(spark):
     assert "partial_sum" in p
 
 
-def test_recency_limits_cut_before_the_shuffle(spark):
-    for name in ("serve_recent_days", "org_recent_comments", "dedup_composite_key"):
+def test_recency_limits_are_cut_before_the_shuffle(spark):
+    for name in ("serve_recent_days", "dedup_composite_key"):
         p = _plan(entry.queries()[name](spark, SF_SMALL))
         part = p.find("WindowGroupLimit")
         assert "Partial" in p and part >= 0, name

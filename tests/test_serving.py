@@ -18,6 +18,17 @@ def test_upsert_last_write_wins_never_deletes(spark):
     new = spark.createDataFrame([("o", "a", D(2025, 8, 1), 10.0), ("o", "c", D(2025, 8, 2), 3.0)], SCHEMA)
     got = {(r.service, r.usage_date): r.total_cost_usd for r in serving.upsert(old, new, KEYS).collect()}
     assert got == {("a", D(2025, 8, 1)): 10.0, ("b", D(2025, 8, 1)): 2.0, ("c", D(2025, 8, 2)): 3.0}
+    # a later load that changes a value is seen by the content hash
+    import unittest.mock
+    real, calls = serving.upsert, []
+
+    def second_differs(existing, incoming, keys, version_col=None):
+        calls.append(1)
+        out = real(existing, incoming, keys, version_col)
+        return out.withColumn("total_cost_usd", F.col("total_cost_usd") + 1) if len(calls) == 2 else out
+
+    with unittest.mock.patch.object(serving, "upsert", second_differs):
+        assert not serving.idempotency_report(old, new, KEYS, "t").collect()[0].content_equal
     rep = serving.idempotency_report(old, new, KEYS, "t").collect()[0]
     assert rep.rows_once == rep.rows_twice == 3 and rep.keys_unique and rep.content_equal
 
@@ -41,7 +52,9 @@ def test_point_read_prunes_to_one_bucket(spark, tmp_dir):
     a = spark.createDataFrame([(f"o{i}", "s", D(2025, 8, 1), float(i)) for i in range(40)], SCHEMA)
     serving.upsert_table(spark, path, a, KEYS, n_buckets=8)
     raw = spark.read.parquet(path)
-    q = serving.point_filter(raw, n_buckets=8, org_id="o7")
+    q = serving.point_filter(raw, org_id="o7")   # the recorded bucket count, not a default
+    with pytest.raises(ValueError, match="8 buckets"):
+        serving.point_filter(raw, n_buckets=16, org_id="o7")
     assert [r.total_cost_usd for r in q.collect()] == [7.0]
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_bucket" in plan
@@ -79,7 +92,7 @@ def test_upsert_reads_only_touched_buckets(spark, tmp_dir):
         serving.upsert = orig
     import re
     # the existing table is read through a static predicate on the touched bucket only
-    assert re.search(r"PartitionFilters: \[isnotnull\(_bucket#\d+\), \(_bucket#\d+ (=|IN) ", seen[0])
+    assert re.search(r"PartitionFilters: \[isnotnull\(_bucket#\d+L?\), \(_bucket#\d+L? (=|IN) ", seen[0])
     assert spark.read.parquet(path).count() == 200
 
 
@@ -88,7 +101,7 @@ def test_point_read_on_numeric_key(spark, tmp_dir):
     a = spark.createDataFrame([(i, "s", D(2025, 8, 1), float(i)) for i in range(40)],
                               "org_id bigint, service string, usage_date date, total_cost_usd double")
     serving.upsert_table(spark, path, a, KEYS, n_buckets=8)
-    got = serving.point_filter(spark.read.parquet(path), n_buckets=8, org_id=7).collect()
+    got = serving.point_filter(spark.read.parquet(path), org_id=7).collect()
     assert [r.total_cost_usd for r in got] == [7.0]
 
 
@@ -123,7 +136,7 @@ def test_month_layout_rewrites_only_touched_months(spark, tmp_dir):
     finally:
         serving.upsert = orig
     # only (August, bucket of o1) is read
-    assert re.search(r"PartitionFilters: \[.*_period#\d+ = 2025-08-01.*_bucket#\d+ = \d", seen[0])
+    assert re.search(r"PartitionFilters: \[.*_period#\d+ = 2025-08-01.*_bucket#\d+L? (=|IN) ", seen[0])
     back = serving.read_serving(spark, path)
     assert back.count() == 60 and "_period" not in back.columns
     got = {(r.org_id, r.usage_date): r.total_cost_usd for r in back.collect()}
@@ -161,9 +174,28 @@ def test_revenue_order_and_newest_first(spark):
         + [("a", D(2025, m, 1), 1.0, 0.0, 0.0, 1.0) for m in (7, 6)],
         "org_id string, month date, total_subtotal_usd double, total_credits_usd double, "
         "total_taxes_usd double, net_revenue_usd double")
-    got = [(r.org_id, r.month.month) for r in serving.revenue_lines(rev).collect()]
-    assert got == [("a", 7), ("a", 6), ("b", 8), ("b", 7), ("b", 6)]
+    got = sorted((r.org_id, r.line_no, r.month.month) for r in serving.revenue_lines(rev).collect())
+    assert got == [("a", 1, 7), ("a", 2, 6), ("b", 1, 8), ("b", 2, 7), ("b", 3, 6)]
     usage = spark.createDataFrame([("o", "s", D(2025, 8, d), float(d)) for d in range(1, 16)], SCHEMA)
     top = serving.newest_first(usage, ["org_id", "service"], "usage_date", 10).collect()
     assert len(top) == 10 and max(r.row_rank for r in top) == 10
     assert {r.usage_date.day for r in top} == set(range(6, 16))
+
+
+def test_rows_without_a_date_survive_an_upsert(spark, tmp_dir):
+    path = tmp_dir + "/serving"
+    rows = spark.createDataFrame([("a", None, 1.0), ("b", None, 2.0), ("c", D(2025, 8, 1), 3.0), ("d", None, 4.0)],
+                                 "org_id string, day date, v double")
+    serving.upsert_table(spark, path, rows, ["org_id"], n_buckets=1, period_col="day")
+    serving.upsert_table(spark, path, rows.filter("org_id = 'a'").withColumn("v", F.lit(9.0)), ["org_id"],
+                         n_buckets=1, period_col="day")
+    got = {r.org_id: r.v for r in serving.read_serving(spark, path).collect()}
+    assert got == {"a": 9.0, "b": 2.0, "c": 3.0, "d": 4.0}
+
+
+def test_predicate_names_every_touched_partition_at_any_size(spark):
+    touched = [(D(2000 + m // 12, m % 12 + 1, 1), b) for m in range(60) for b in range(0, 64, 5)] + [(None, 3)]
+    frame = spark.createDataFrame([(m, b) for m in sorted({t[0] for t in touched if t[0]}) + [None]
+                                   for b in range(64)], "_period date, _bucket bigint")
+    kept = frame.filter(serving._touched_predicate(["_period", "_bucket"], touched)).collect()
+    assert {(r[0], r[1]) for r in kept} == set(touched) and len(kept) == len(touched)

@@ -32,10 +32,10 @@ def test_two_runs_keep_null_times(spark, tmp_dir):
     land, out, ckpt = (os.path.join(tmp_dir, d) for d in ("land", "out", "ckpt"))
     os.makedirs(land)
     _drop(land, "run1.jsonl", RUN1)
-    _run(spark, land, out, ckpt, "keep")
+    _run(spark, land, out, ckpt, "keep", ckpt + "-bad")
     assert spark.read.parquet(out).count() == 5
     _drop(land, "run2.jsonl", RUN2)
-    qs = _run(spark, land, out, ckpt, "keep")
+    qs = _run(spark, land, out, ckpt, "keep", ckpt + "-bad")
     got = spark.read.parquet(out)
     assert got.count() == 7
     ids = sorted((r.event_id or "-") for r in got.collect())
@@ -59,24 +59,34 @@ def test_within_watermark_catches_shifted_resend(spark, tmp_dir):
     _drop(land, "run1.jsonl", [("a", "2025-08-10 10:00:00"), ("a", "2025-08-10 10:00:05"),
                                ("b", "2025-08-10 10:01:00")])
     s = parse_event_time(file_stream(spark, land, USAGE_EVENT, "json"))
-    run_available_now(dedup_events(s, within_watermark=True), out, ckpt)
+    run_available_now(dedup_events(s.drop("_corrupt"), within_watermark=True), out, ckpt)
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["a", "b"]
 
 
-def test_replay_after_lost_checkpoint_is_absorbed_by_silver_dedup(spark, tmp_dir):
-    from pyspark.sql import functions as F
-    from cloudmarts.operators.ingest import dedup_latest
-    land, out = os.path.join(tmp_dir, "land"), os.path.join(tmp_dir, "out")
+def test_a_lost_checkpoint_fails_loudly_instead_of_hiding_new_files(spark, tmp_dir):
+    import pytest
+    land, out, side = (os.path.join(tmp_dir, d) for d in ("land", "out", "side"))
     os.makedirs(land)
     _drop(land, "run1.jsonl", RUN1)
-    _run(spark, land, out, os.path.join(tmp_dir, "ckpt-a"), "keep")
-    # the checkpoint is lost: a new one re-reads the same file and appends again
-    _run(spark, land, out, os.path.join(tmp_dir, "ckpt-b"), "keep")
-    bronze = spark.read.parquet(out).withColumn("ingest_ts", F.current_timestamp())
-    # the restarted query numbers its batches from 0 again and the sink's own
-    # _spark_metadata log already holds batch 0: the replayed batch is skipped
-    assert bronze.count() == 5
-    # and silver's key dedup would absorb any re-append that did get through
-    silver = dedup_latest(bronze.unionByName(bronze), ["event_id", "timestamp_parsed"],
-                          [F.col("ingest_ts").asc()])
-    assert silver.count() == 5
+    _run(spark, land, out, os.path.join(tmp_dir, "ckpt-a"), "keep", side)
+    _drop(land, "run2.jsonl", [("b", "2025-08-11 10:00:00")])
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        _run(spark, land, out, os.path.join(tmp_dir, "ckpt-b"), "keep", side)
+    assert spark.read.parquet(out).count() == 5
+    # with its own checkpoint the new file arrives
+    _run(spark, land, out, os.path.join(tmp_dir, "ckpt-a"), "keep", side)
+    assert spark.read.parquet(out).filter("event_id = 'b'").count() == 1
+
+
+def test_malformed_lines_keep_their_text(spark, tmp_dir):
+    land, out, side = (os.path.join(tmp_dir, d) for d in ("land", "out", "side"))
+    os.makedirs(land)
+    _drop(land, "run1.jsonl", RUN1)
+    with open(os.path.join(land, "bad.jsonl"), "w") as f:
+        f.write('{"event_id": "x", "timest\n')
+    _run(spark, land, out, os.path.join(tmp_dir, "ckpt"), "divert", side)
+    rows = spark.read.parquet(side).collect()
+    assert sorted((r.reason, r.event_id, r._corrupt) for r in rows if r.reason == "malformed") == [
+        ("malformed", None, '{"event_id": "x", "timest')]
+    assert [r.event_id for r in rows if r.reason == "untimed"] == ["nt"]
+    assert spark.read.parquet(out).count() == 4
