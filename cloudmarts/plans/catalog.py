@@ -884,7 +884,8 @@ def q_serving_clustering_order(spark, sf):
 
 @register("upsert_null_dates", """
 SELECT o_custkey AS org_id, o_orderkey AS order_key,
-       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day,
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL
+            ELSE CAST(DATE '2024-01-15' + CAST(o_orderkey % 60 AS INTEGER) AS DATE) END AS day,
        CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders""")
 def q_upsert_null_dates(spark, sf):
     """Rows without a date have a month partition of their own; a later load that
@@ -892,7 +893,8 @@ def q_upsert_null_dates(spark, sf):
     from ..session import scratch_path
     o = tm.table(spark, sf, "orders")
     rows = o.select(F.col("o_custkey").alias("org_id"), F.col("o_orderkey").alias("order_key"),
-                    F.when(F.col("o_orderkey") % 3 != 0, F.to_date("o_orderdate")).alias("day"),
+                    F.when(F.col("o_orderkey") % 3 != 0, F.date_add(
+                        F.lit("2024-01-15").cast("date"), (F.col("o_orderkey") % 60).cast("int"))).alias("day"),
                     F.col("o_totalprice").alias("price"))
     path = scratch_path(spark, "serving-null-dates")
     for load in (rows, rows.filter("order_key % 2 = 0").withColumn("price", F.col("price") + 1)):
@@ -996,8 +998,8 @@ _master("marketing_touches", """
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS touch_id, CAST(l_suppkey AS VARCHAR) AS org_id,
        'c' || l_partkey AS campaign, l_returnflag AS channel, CAST(l_shipdate AS TIMESTAMP) AS timestamp,
        l_discount > 0.05 AS clicked, l_tax > 0.04 AS converted
-FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_suppkey, l_partkey,
-      l_returnflag, l_shipdate, l_discount > 0.05, l_tax > 0.04) AS rn FROM lineitem) WHERE rn = 1)""")
+FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+      ORDER BY CAST(l_suppkey AS VARCHAR), CAST(l_partkey AS VARCHAR), l_returnflag, l_shipdate, l_discount > 0.05, l_tax > 0.04) AS rn FROM lineitem) WHERE rn = 1)""")
 
 
 _TWO_DROPS = _w(usage=tm.USAGE_EVENTS_SQL) + """

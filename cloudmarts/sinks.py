@@ -12,7 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
-from pyspark.errors import AnalysisException
 
 from .session import scratch_path
 
@@ -82,14 +81,10 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists in the file system Spark itself resolves it in."""
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """Whether ``path`` exists, asked of the file system Spark itself would read it from."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(sc._jsc.hadoopConfiguration()).exists(where)
 
 
 def try_read_table(spark: SparkSession, path: str, schema: StructType | None = None,

@@ -109,7 +109,7 @@ if __name__ == "__main__":
         spark.sparkContext.setLogLevel("ERROR")
     else:
         from cloudmarts.session import build_session
-        spark = build_session("local[8]")
+        spark = build_session("local[8]", shuffle_partitions=8)
     res = run(spark, sf, sys.argv[2:] or None)
     for k, (ok, exact, msg, ts) in res.items():
         tag = "NOSQL" if ok is None else ("PASS " if ok else "FAIL ")
