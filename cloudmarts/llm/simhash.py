@@ -17,12 +17,13 @@ components.  No link is dropped in either form.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cloudmarts.llm.components import connected_components, stage
+from cloudmarts.operators.joins import checked_broadcast
 
 SEED = 42
 _CHUNK = 1 << 16
@@ -57,39 +58,41 @@ def with_fingerprint(docs: DataFrame, shingle_words: int = 3, text_col: str = "t
                      out_col: str = "fp") -> DataFrame:
     """``docs`` with the fingerprint as a signed long in ``out_col`` (null text: 0)."""
 
-    @F.pandas_udf("long")
-    def fingerprint(texts: pd.Series) -> pd.Series:
-        return pd.Series([_signed(simhash(t, shingle_words)) for t in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def fingerprint(texts: pa.Array) -> pa.Array:
+        return pa.array((_signed(simhash(t.as_py(), shingle_words)) for t in texts), pa.int64())
 
     return docs.withColumn(out_col, fingerprint(F.col(text_col).cast("string")))
 
 
 def segments(max_distance: int) -> list[tuple[int, int]]:
-    """(first bit, past last bit) of each segment."""
-    n = max_distance // 2 + 1
+    """(first bit, past last bit) of each segment: two at least, so that one has 32 bits."""
+    n = max(2, max_distance // 2 + 1)
     cuts = [64 * i // n for i in range(n + 1)]
     return list(zip(cuts, cuts[1:], strict=False))
 
 
 def _variants(prints: DataFrame, max_distance: int) -> DataFrame:
-    """(fp, pos, sig): the segment around bit ``pos`` with that bit wildcarded."""
-    masks = []
+    """(fp, key): each segment with each of its bits wildcarded; the bit's number stands
+    above the 32 bits of the segment."""
+    keys = []
     for lo, hi in segments(max_distance):
-        seg = ((1 << hi) - 1) ^ ((1 << lo) - 1)
-        masks += [F.lit(_signed(seg & ~(1 << bit))) for bit in range(lo, hi)]
-    sigs = F.array(*[F.col("fp").bitwiseAND(m) for m in masks])
-    return prints.select("fp", F.posexplode(sigs).alias("pos", "sig"))
+        segment = F.shiftrightunsigned("fp", lo)
+        keys += [segment.bitwiseAND(F.lit(((1 << (hi - lo)) - 1) & ~(1 << (bit - lo))))
+                 .bitwiseOR(F.lit(bit << 32)) for bit in range(lo, hi)]
+    return prints.select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
 def _first_meeting(max_distance: int):
-    """True at the one signature in which the pair (a.fp, b.fp) is to be emitted: the first
+    """True at the one key in which the pair (a.fp, b.fp) is to be emitted: in the first
     segment that differs by at most a bit, at that bit (or at its first bit)."""
     diff = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
+    bit = F.shiftright(F.col("a.key"), 32).cast("int")
     here = F.lit(False)
     for lo, hi in reversed(segments(max_distance)):
         seg = diff.bitwiseAND(F.lit(_signed(((1 << hi) - 1) ^ ((1 << lo) - 1))))
-        at = F.when(seg == 0, F.col("a.pos") == lo).otherwise(
-            seg == F.expr("shiftleft(1L, a.pos)"))
+        at = F.when(seg == 0, bit == lo).otherwise(
+            seg == F.call_function("shiftleft", F.lit(1).cast("long"), bit))
         here = F.when(F.bit_count(seg) <= 1, at).otherwise(here)
     return here
 
@@ -97,30 +100,34 @@ def _first_meeting(max_distance: int):
 def fingerprint_links(prints: DataFrame, max_distance: int = 2, pair_limit: int = 64) -> DataFrame:
     """Distinct fingerprints (fp) -> links (u, v) that join exactly the fingerprints at
     ``max_distance`` or fewer bits: every such pair is linked, directly or through
-    fingerprints that are themselves that close."""
+    fingerprints that are themselves that close.
+
+    The signatures are shuffled once, at most ``pair_limit`` + 1 of a key from each task;
+    a key with more members than ``pair_limit`` is settled by the one-bit neighbours.
+    """
     if not 0 <= max_distance <= 2:
         raise ValueError("max_distance must be 0, 1 or 2")
     if max_distance == 0:
         return prints.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
-    sigs = _variants(prints, max_distance)
-    shared = stage(sigs.groupBy("pos", "sig").agg(
-        F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v")).where("n > 1"),
-        "signatures")
-    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_distance
-    two = shared.where(F.col("n") == 2).where(near).select("u", "v")
-
-    few = shared.where((F.col("n") > 2) & (F.col("n") <= pair_limit)).select("pos", "sig")
-    members = sigs.join(few, ["pos", "sig"])
-    some = (members.alias("a").join(
-        members.alias("b"),
-        (F.col("a.pos") == F.col("b.pos")) & (F.col("a.sig") == F.col("b.sig"))
-        & (F.col("a.fp") < F.col("b.fp"))
+    # 64 signatures a row: spread the narrow rows first, or a few tasks would sort them all
+    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sigs = _variants(prints.repartition(n, "fp"), max_distance)
+    by_key = Window.partitionBy("key")
+    shared = stage(sigs.withColumn("nth", F.row_number().over(by_key.orderBy("fp")))
+                   .where(F.col("nth") <= pair_limit + 1)
+                   .withColumn("n", F.count("*").over(by_key)).where("n > 1")
+                   .select("key", "fp", "n"), "signatures")
+
+    few = shared.where(F.col("n") <= pair_limit)
+    pairs = (few.alias("a").join(
+        few.alias("b"),
+        (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp"))
         & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_distance)
         & _first_meeting(max_distance))
         .select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")))
 
-    many = shared.where(F.col("n") > pair_limit).select("pos", "sig")
-    family = sigs.join(many, ["pos", "sig"], "left_semi").select("fp").distinct()
+    many = shared.where(F.col("n") > pair_limit).select("key").distinct()
+    family = sigs.join(checked_broadcast(many), "key", "left_semi").select("fp").distinct()
     flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << b))) for b in range(64)])
     balls = (family.select("fp", F.explode(flips).alias("centre"))
              .groupBy("centre").agg(F.collect_set("fp").alias("fps"))  # at most 65 members
@@ -130,8 +137,8 @@ def fingerprint_links(prints: DataFrame, max_distance: int = 2, pair_limit: int
     else:
         balls = balls.where(F.array_contains("fps", F.col("centre")))
         hub = F.col("centre")
-    stars = (balls.select(hub.alias("u"), F.explode("fps").alias("v")).where("u != v"))
-    return two.union(some).union(stars).distinct()
+    stars = balls.select(hub.alias("u"), F.explode("fps").alias("v")).where("u != v")
+    return pairs.union(stars).distinct()
 
 
 def simhash_groups(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2,
@@ -163,8 +170,8 @@ def fingerprint_hex(fp: str = "fp"):
 
 def dedup(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
     """One document of each group: the row with the group's smallest doc_id, all its
-    columns.  Of several rows with that id one stays; in a group whose ids are all null one
-    row stays."""
+    columns.  Of several rows with that id the first by the plain columns stays; in a group
+    whose ids are all null one row stays."""
     names = docs.columns
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
     groups = simhash_groups(docs, shingle_words, max_distance)
@@ -175,6 +182,8 @@ def dedup(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2) -> Dat
         "doc_id", "fp", "row")
     kept = keyed.join(heads, F.col("doc_id").eqNullSafe(F.col("head_id"))
                       & (F.col("fp") == F.col("head_fp")), "left_semi")
-    one = Window.partitionBy("doc_id", "fp").orderBy(F.lit(0))
+    plain = [F.col("row").getField(f.name) for f in docs.schema
+             if f.dataType.typeName() not in ("map", "array", "struct", "variant")]
+    one = Window.partitionBy("doc_id", "fp").orderBy(*plain)
     return (kept.withColumn("nth", F.row_number().over(one)).where("nth = 1")
             .select(*[F.col("row").getField(c).alias(c) for c in names]))
