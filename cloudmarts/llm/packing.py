@@ -28,8 +28,9 @@ from cloudmarts.llm.components import stage
 
 CAPACITY = 1024
 END_ID = 2
-_SCALES = (1.0, 0.95, 0.9, 0.8, 0.65, 0.5, 0.35, 0.2, 0.1)
-ROUNDS = 400  # multiplicative-weights rounds: the driver's work is bounded by them
+_SCALES = (1.0, 0.97, 0.93, 0.85, 0.7, 0.5, 0.25)
+_RATE, _AHEAD = 10.0, 0.01
+ROUNDS = 250  # multiplicative-weights rounds: the driver's work is bounded by them
 
 
 def default_vocabulary() -> str:
@@ -95,49 +96,51 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: i
 
 
 def _knapsack(weights: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """How often each length is in the configuration of most weight (repeats allowed)."""
+    """For every room up to ``capacity``: the piece to take next in its configuration of most
+    weight (repeats allowed), or -1."""
     best = np.zeros(capacity + 1)
     take = np.full(capacity + 1, -1, dtype=np.int64)
     for room in range(1, capacity + 1):
         fits = np.searchsorted(lengths, room, "right")
-        best[room] = best[room - 1]
         if fits:
             values = best[room - lengths[:fits]] + weights[:fits]
             top = int(values.argmax())
-            if values[top] > best[room]:
-                best[room], take[room] = values[top], top
-    count = np.zeros(len(lengths), dtype=np.int64)
-    room = capacity
-    while room > 0:
-        if take[room] < 0:
-            room -= 1
-        else:
-            count[take[room]] += 1
-            room -= lengths[take[room]]
-    return count
+            best[room], take[room] = values[top], top
+    return take
 
 
 def solve_configurations(lengths: np.ndarray, demand: np.ndarray, capacity: int = CAPACITY,
-                         rounds: int = ROUNDS) -> list[tuple[np.ndarray, float]]:
-    """Configurations and how often to use each so that every demand is covered
-    (fractionally): Garg-Konemann multiplicative weights for the covering LP."""
+                         rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
+    """Configurations (sorted places in ``lengths``) and how often to use each: the covering
+    LP by multiplicative weights.
+
+    The wanted cover rises by 1 / rounds of every demand per round.  A length's weight falls
+    exponentially with the part of its demand that is covered ahead of the others; one
+    dynamic program then prices all rooms, and each length that lags is used with the best
+    filling of the room it leaves, as often as no length runs ahead by more than _AHEAD.
+    """
     covered = np.zeros(len(lengths))
-    used: dict[bytes, float] = defaultdict(float)
-    rate = 4.0
-    for _ in range(rounds):
-        short = covered / demand
-        weights = np.exp(-rate * (short - short.min())) / demand * lengths
-        config = _knapsack(weights, lengths, capacity)
-        here = config > 0
-        # a step covers no length by more than a small part of its demand
-        step = float((demand[here] / config[here]).min()) * 0.1
-        step = max(step, float(demand @ lengths) / capacity / rounds)
-        covered += step * config
-        used[config.tobytes()] += step
-        if covered.min() > 0:
-            rate = max(rate, 12.0)
-    scale = 1.0 / max(1e-9, np.median(covered / demand))
-    return [(np.frombuffer(c, dtype=np.int64), x * scale) for c, x in used.items()]
+    used: dict[tuple[int, ...], float] = defaultdict(float)
+    for r in range(1, rounds + 1):
+        part = covered / demand
+        weights = lengths * np.exp(-_RATE * (part - part.mean()))
+        take = _knapsack(weights, lengths, capacity)
+        wanted = demand * (r / rounds)
+        allowed = demand * min(1.0, r / rounds + _AHEAD)
+        for k in range(len(lengths) - 1, -1, -1):
+            lag = wanted[k] - covered[k]
+            if lag <= 0:
+                continue
+            counts, room = Counter([k]), capacity - int(lengths[k])
+            while room > 0 and take[room] >= 0:
+                counts[int(take[room])] += 1
+                room -= int(lengths[take[room]])
+            times = min(lag, min((allowed[i] - covered[i]) / n for i, n in counts.items()))
+            if times > 0:
+                for i, n in counts.items():
+                    covered[i] += times * n
+                used[tuple(sorted(counts.elements()))] += times
+    return used
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Counter, int]]:
@@ -156,8 +159,8 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
         lengths = np.array(sorted(left))
         demand = np.array([left[n] for n in lengths], dtype=np.int64)
         fewest = -(-int(demand @ lengths) // capacity)
-        solved = sorted(solve_configurations(lengths, demand.astype(np.float64), capacity, rounds),
-                        key=lambda c: (-int(c[0] @ lengths), -c[1]))
+        solved = sorted(solve_configurations(lengths, demand.astype(np.float64), capacity, rounds).items(),
+                        key=lambda c: (-int(lengths[list(c[0])].sum()), -c[1], c[0]))
         for scale in _SCALES:
             bins = _round(solved, scale, lengths, demand.copy(), capacity)
             if not best or sum(bins.values()) < sum(best.values()):
@@ -169,12 +172,13 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
 
 def _round(solved: list, scale: float, lengths: np.ndarray, rest: np.ndarray, capacity: int) -> dict[tuple, int]:
     bins: dict[tuple, int] = {}
-    for config, times in solved:
-        here = config > 0
-        n = min(int(times * scale), int((rest[here] // config[here]).min()))
+    for places, times in solved:
+        counts = Counter(places)
+        n = min(int(times * scale), *(int(rest[i]) // k for i, k in counts.items()))
         if n > 0:
-            rest -= n * config
-            kind = tuple(np.repeat(lengths, config).tolist())
+            for i, k in counts.items():
+                rest[i] -= n * k
+            kind = tuple(int(lengths[i]) for i in places)
             bins[kind] = bins.get(kind, 0) + n
     _best_fit(bins, {int(n): int(k) for n, k in zip(lengths, rest, strict=True) if k}, capacity)
     return bins
