@@ -22,7 +22,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -237,11 +236,11 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 def _clean(shared, threshold: float):
     """A filter that is true for texts without an item of the block."""
 
-    @F.pandas_udf("boolean")
-    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = ContainmentIndex([t for _, t in shared.value], threshold)
         for texts in batches:
-            yield pd.Series([not hits for hits in index.search(list(texts))], dtype=bool)
+            yield pa.array([not hits for hits in index.search(texts.to_pylist())], pa.bool_())
 
     return clean
 

@@ -17,6 +17,7 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -204,14 +205,14 @@ def score(spark: SparkSession, model: FactorisationMachine, text: Column, *metad
     metadata has a feature of its own."""
     shared = spark.sparkContext.broadcast((model.bias, model.weight, model.factor))
 
-    @F.pandas_udf("double")
-    def probability(texts: pd.Series, *meta: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def probability(texts: pa.Array, *meta: pa.Array) -> pa.Array:
         machine = FactorisationMachine(*shared.value)
         out = np.empty(len(texts))
         for r, text in enumerate(texts):
-            index, value = features(text, tuple(m.iloc[r] for m in meta))
+            index, value = features(text.as_py(), tuple(m[r].as_py() for m in meta))
             out[r] = machine.logits(index, value, np.zeros(1, dtype=np.int64))[0]
-        return pd.Series(1 / (1 + np.exp(-np.clip(out, -30, 30))))
+        return pa.array(1 / (1 + np.exp(-np.clip(out, -30, 30))), pa.float64())
 
     return probability(text.cast("string"), *[m.cast("double") for m in metadata])
 
