@@ -33,7 +33,7 @@ N_HASHES = 32
 CLASS_RATIO = 1.5            # largest over smallest item of one size class
 BLOCK_BYTES = 16_000_000     # benchmark bytes held by a task at a time
 _GRAIN = 8                   # shingles of which the minima are shared by all classes
-_SPAN = 1 << 18              # shingles handled at a time
+_SPAN = 1 << 16              # shingles handled at a time
 _WORD = re.compile(r"\w+")
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(1, 1 << 63, N_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

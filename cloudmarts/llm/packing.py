@@ -30,6 +30,7 @@ CAPACITY = 1024
 END_ID = 2
 _SCALES = (1.0, 0.97, 0.93, 0.85, 0.7, 0.5, 0.25)
 _RATE, _AHEAD = 10.0, 0.01
+_ROWS = 256  # documents whose ids a task holds at a time
 ROUNDS = 250  # multiplicative-weights rounds: the driver's work is bounded by them
 
 
@@ -71,7 +72,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: i
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load_encoder(path)
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
-        for batch in batches:
+        for batch in (b.slice(at, _ROWS) for b in batches for at in range(0, b.num_rows, _ROWS)):
             rows, pieces, starts, lengths, ids, nth = [], [], [], [], [], []
             for row, text in enumerate(batch.column(1).to_pylist()):
                 all_ids = np.array([*encoder.encode_ordinary(text), end_id], dtype="<u4")
