@@ -95,3 +95,19 @@ def test_messy_rows(spark, messy, no_docs, reference_tokens):
     whole = {r["doc_id"]: r["text"] for r in messy.collect() if r["doc_id"] not in (1, None)}
     check_rows(rows, whole, reference_tokens, 1024)
     assert p.pack(no_docs).count() == 0
+
+
+def test_added_token_inside_text_is_one_id_as_in_the_tokenizers_file(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # its default flags
+    encoder = p.load_encoder(p.default_vocabulary())
+    assert p.token_ids(encoder, "a <|endoftext|> b") == [64, 220, 50256, 275]
+    parts = ["<|endoftext|>", "<|endoftext|>" * 3, "<|endof", "text|>", " ", "  \n ", "it's", "\u6f22\u5b57", "<|", "\U0001f600 x"]
+    texts = ["".join(np.random.default_rng(i).choice(parts, 8)) for i in range(200)] + ["", *parts]
+    for text in texts:
+        assert p.token_ids(encoder, text) == t.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check_rows(p.pack(docs, capacity=16).collect(), dict(enumerate(texts)),
+               lambda text: [*t.encode(text, add_special_tokens=False).ids, 2], 16)
