@@ -8,7 +8,8 @@ overlapping windows of that class's length.  A window and an item of its class h
 sizes, so containment implies a large Jaccard likeness, and one of ``N_HASHES`` single-row
 bands collides: with a likeness of 0.3 a miss has probability 0.7^32 (1e-5); an item whose
 shingles lie scattered over a document collides in about ten bands over all windows.
-Colliding (document, item) pairs are verified by exact shingle containment over the whole
+Windows are made of grains of eight shingles, too coarse for short items: those of at most
+``SHORT`` shingles are looked up shingle by shingle instead, which misses none.  Colliding (document, item) pairs are verified by exact shingle containment over the whole
 document.
 
 The items are the stated query set: they are held against all documents in blocks of
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 N_HASHES = 32
+SHORT = 12                   # shingles up to which an item is looked up exactly
 CLASS_RATIO = 1.5            # largest over smallest item of one size class
 BLOCK_BYTES = 16_000_000     # benchmark bytes held by a task at a time
 _GRAIN = 8                   # shingles of which the minima are shared by all classes
@@ -41,6 +43,7 @@ _ADD = _rng.integers(0, 1 << 63, N_HASHES, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint32(0xFFFFFFFF)
 _LOW = np.uint32(0xFFFF)
+_LOW64 = np.uint64(0xFFFF)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -110,6 +113,30 @@ class _SizeClass:
                         yield int(starts[hits[k]]), int(owner)
 
 
+class _ShortItems:
+    """Items of few shingles: every shingle, sorted, with its item."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]]):
+        keys = np.concatenate([s for _, s in items])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.owners = np.repeat([i for i, _ in items], [len(s) for _, s in items])[order]
+        self.common = np.zeros(1 << 16, dtype=bool)
+        self.common[self.keys & _LOW64] = True
+
+    def hits(self, stream: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places, items): an item for each place of ``stream`` that holds one of its shingles."""
+        places = np.flatnonzero(self.common[stream & _LOW64])
+        at = np.searchsorted(self.keys, stream[places], "left")
+        end = np.searchsorted(self.keys, stream[places], "right")
+        while len(places):
+            some = at < end
+            places, at, end = places[some], at[some], end[some]
+            if len(places):
+                yield places, self.owners[at]
+            at = at + 1
+
+
 class ContainmentIndex:
     """The signatures of a bounded block of items."""
 
@@ -128,7 +155,8 @@ class ContainmentIndex:
                 sized.append((len(found), i))
         self.classes: list[_SizeClass] = []
         sized.sort()
-        at = 0
+        at = sum(n <= SHORT for n, _ in sized)
+        self.short = _ShortItems([(i, self.shingles[i]) for _, i in sized[:at]]) if at else None
         while at < len(sized):
             end = at
             while end < len(sized) and sized[end][0] <= CLASS_RATIO * sized[at][0]:
@@ -140,7 +168,7 @@ class ContainmentIndex:
     def search(self, texts: list[str | None]) -> list[list[tuple[int, int]]]:
         """For each text the (item, shared distinct shingles) at the threshold or above."""
         out: list[list[tuple[int, int]]] = [[] for _ in texts]
-        if not self.classes:
+        if not self.classes and self.short is None:
             return out
         group: list[tuple[int, list[str]]] = []
         size = 0
@@ -164,7 +192,11 @@ class ContainmentIndex:
         stream = shingle_hashes(np.concatenate([_hashes(w) for _, w in group]))
         border = (ends[:-1, None] - np.arange(SHINGLE_WORDS - 1, 0, -1)).ravel()
         pairs: set[tuple[int, int]] = set()
-        for begin in range(0, len(stream), _SPAN):
+        if self.short is not None:
+            # places over a border only add pairs that the exact check drops
+            for places, items in self.short.hits(stream):
+                pairs.update(zip(np.searchsorted(ends, places, "right").tolist(), items.tolist(), strict=True))
+        for begin in range(0, len(stream) if self.classes else 0, _SPAN):
             part = stream[begin:begin + _SPAN + self.reach * _GRAIN]
             bad = border[(border >= begin) & (border < begin + len(part))] - begin
             grains = -(-len(part) // _GRAIN)

@@ -59,3 +59,16 @@ def test_messy_rows(spark, messy, no_docs):
     assert dc.contaminated(no_docs, items).count() == 0
     assert dc.contaminated(messy, items.limit(0)).count() == 0
     assert dc.decontaminate(messy, items.limit(0)).count() == messy.count()
+
+
+def test_no_short_item_is_missed():
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(5000)]
+    items = [" ".join(rng.choices(vocab, k=5 + k % 13)) for k in range(3000)]
+    docs = [" ".join([*rng.choices(vocab, k=rng.randrange(40)), item, *rng.choices(vocab, k=40)]) for item in items]
+    docs.append("none of " + " ".join(items[0].split()[:4]) + " " + items[1])
+    got = dc.ContainmentIndex(items).search(docs)
+    assert all(k in {i for i, _ in hits} for k, hits in enumerate(got[:-1]))
+    few = list(range(0, 3000, 30))
+    want = brute([(d, docs[d]) for d in few], list(enumerate(items)))
+    assert {(d, i, n) for d in few for i, n in got[d]} == want
