@@ -76,3 +76,40 @@ def test_messy_rows(messy, no_docs):
     empty = hashlib.sha256(b"").hexdigest()
     assert all(r["base_sha256"] == empty and r["spans"] == "" for r in rows if r["doc_id"] in (2, 3, 4))
     assert c.scan_pii(no_docs).count() == 0
+
+
+def test_evidence_crosses_a_whole_chain_of_repeats():
+    n = 400
+    table = np.where(np.eye(5) > 0, 3.0, -3.0)
+    model = c.SkipChainCrf(np.zeros((1, 5)), np.array([table] * 3))
+    unary = np.zeros((n, 5))
+    unary[:, 0] = 1e-3
+    unary[0] = -50.0
+    unary[0, 4] = 0.0
+    ends = np.array([[i, i + 1] for i in range(n - 1)])
+    got = model.posterior(unary, ends, np.ones(n - 1, dtype=np.int64))
+    ahead, behind = [unary[0]], [np.zeros(5)]
+    for i in range(1, n):  # exact: forward and backward along the chain
+        ahead.append(unary[i] + np.log(np.exp(ahead[-1][:, None] + table).sum(0)) - 3)
+        behind.append(np.log(np.exp(table + (unary[n - i] + behind[-1])[None, :]).sum(1)) - 3)
+    want = np.array(ahead) + np.array(behind[::-1])
+    want = np.exp(want - want.max(axis=1, keepdims=True))
+    want /= want.sum(axis=1, keepdims=True)
+    assert np.allclose(got, want, atol=1e-6) and got[30, 4] > 0.6
+
+
+def test_messages_settle_on_loops_alone_or_among_other_documents():
+    rng = np.random.default_rng(4)
+    model = c.SkipChainCrf(np.zeros((1, 5)), np.clip(rng.standard_normal((3, 5, 5)) + 2 * np.eye(5), -3, 3))
+    ends = np.array([[i, j] for i in range(12) for j in (i + 1, i + 4) if j < 12])
+    kinds = np.arange(len(ends)) % 3
+    unary = rng.standard_normal((32, 5))
+    both = model.posterior(unary, np.concatenate([ends, [[i, i + 1] for i in range(12, 31)]]), np.concatenate([kinds, np.ones(19, dtype=np.int64)]))
+    assert np.allclose(both[:12], model.posterior(unary[:12], ends, kinds), atol=1e-9)
+    assert np.allclose(both[:12], model.posterior(unary[:12], ends, kinds, rounds=1000), atol=1e-4)
+
+
+def test_features_see_a_whole_token():
+    token = "a" * 70
+    plain, late = c.node_features(token + "1", 0, 71), c.node_features(token + "1@b.c", 0, 75)
+    assert plain[4] != late[4] and plain[2] != c.node_features(token + "123", 0, 73)[2]
