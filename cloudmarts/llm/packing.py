@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cloudmarts.llm.components import stage
+from cloudmarts.llm.token_ids import END_ID, Encoder, split_stretches
 
 CAPACITY = 1024
-END_ID = 2
 _SCALES = (1.0, 0.97, 0.93, 0.85, 0.7, 0.5, 0.25)
 _RATE, _AHEAD = 10.0, 0.01
 SPECIAL = {"<|endoftext|>": 50256}  # the added token of byte_bpe_50k.json, matched inside text
+_STRETCH = 2_000  # characters
 _ROWS = 256  # documents whose ids a task holds at a time
 ROUNDS = 250  # multiplicative-weights rounds: the driver's work is bounded by them
 
@@ -54,10 +55,28 @@ def load_encoder(path: str):
                              special_tokens=SPECIAL)
 
 
-def token_ids(encoder, text: str) -> list[int]:
+def load_exact(path: str) -> Encoder:
+    """The tokenizers file of the same vocabulary, for stretches the rank list's library cannot
+    take: it fails on runs of about a million blanks and slows down on long words."""
+    return Encoder(path.removesuffix(".tiktoken") + ".json")
+
+
+def token_ids(encoder, text: str, exact: Encoder | None = None) -> list[int]:
     """The ids of the tokenizers file with add_special_tokens=False: the added token's string
-    is its one id wherever it stands in the text."""
-    return encoder.encode(text, allowed_special="all")
+    is its one id wherever it stands in the text.  Stretches of more than ``_STRETCH``
+    characters without a place to cut (see ``token_ids.split_stretches``) go to ``exact``."""
+    if len(text) <= _STRETCH:
+        return encoder.encode(text, allowed_special="all")
+    ids, short = [], []
+    for own in split_stretches(text):
+        if len(own) <= _STRETCH:
+            short.append(own)
+            continue
+        ids += encoder.encode("".join(short), allowed_special="all")
+        short = []
+        exact = exact or load_exact(default_vocabulary())
+        ids += np.frombuffer(exact.encode([own])[0], "<u4").tolist()
+    return ids + encoder.encode("".join(short), allowed_special="all")
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -78,12 +97,12 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: i
     path = vocabulary or default_vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = load_encoder(path)
+        encoder, exact = load_encoder(path), load_exact(path)
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in (b.slice(at, _ROWS) for b in batches for at in range(0, b.num_rows, _ROWS)):
             rows, pieces, starts, lengths, ids, nth = [], [], [], [], [], []
             for row, text in enumerate(batch.column(1).to_pylist()):
-                all_ids = np.array([*token_ids(encoder, text), end_id], dtype="<u4")
+                all_ids = np.array([*token_ids(encoder, text, exact), end_id], dtype="<u4")
                 for piece, (start, length) in enumerate(cut(len(all_ids), capacity)):
                     rows.append(row)
                     pieces.append(piece)

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from cloudmarts.llm import (
     decontaminate,
+    importance,
     packing,
     pii_crf,
     preferences,
     quality_fm,
+    runs,
     secrets_cnn,
     shards,
     simhash,
     syncmers,
+    token_files,
     url_rules,
 )
 
@@ -79,8 +82,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), derive={"ids_crc32": crc_of_ids()})
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = token_files.write_token_files(_table(spark, sf_dir, "documents"))
+    return token_files.read_token_files(spark, written).drop("position")
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(runs.with_planted_runs(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_fm, op2_pii_crf, op3_syncmers, op4_simhash, op5_byte_shards, op6_secrets,
-        op7_decontaminate, op8_preferences, op9_url_rules, op10_packing)}
+        op7_decontaminate, op8_preferences, op9_url_rules, op10_packing, op11_token_files,
+        op12_importance, op13_runs)}
 ORACLE: dict[str, str] = {"op8_preferences": preferences.oracle_sql(), "op9_url_rules": url_rules.oracle_sql()}

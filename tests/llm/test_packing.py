@@ -1,3 +1,4 @@
+import functools
 from collections import Counter
 
 import numpy as np
@@ -26,15 +27,20 @@ def test_ids_are_those_of_the_tokenizers_library(spark, reference_tokens):
         assert [*encoder.encode_ordinary(text), 2] == reference_tokens(text)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text())
-def test_ids_of_any_text(text):
+@functools.cache
+def both_encoders():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = test_ids_of_any_text.__dict__.setdefault("t", Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     t.encode_special_tokens = True
-    e = test_ids_of_any_text.__dict__.setdefault("e", p.load_encoder(p.default_vocabulary()))
+    return t, p.load_encoder(p.default_vocabulary())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text())
+def test_ids_of_any_text(text):
+    t, e = both_encoders()
     assert e.encode_ordinary(text) == t.encode(text, add_special_tokens=False).ids
 
 
@@ -111,3 +117,21 @@ def test_added_token_inside_text_is_one_id_as_in_the_tokenizers_file(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     check_rows(p.pack(docs, capacity=16).collect(), dict(enumerate(texts)),
                lambda text: [*t.encode(text, add_special_tokens=False).ids, 2], 16)
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "\t" * 2_000_000, " \n\t" * 400_000,
+                                  "a" + " " * 1_500_000 + "b c", "x" * 300_000, "\u6f22\u5b57" * 50_000,
+                                  ("word " * 900 + " " * 3_000 + "<|endoftext|>") * 3])
+def test_long_runs_have_the_ids_of_the_tokenizers_file(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = p.load_encoder(p.default_vocabulary())
+    assert p.token_ids(encoder, text) == t.encode(text, add_special_tokens=False).ids
+
+
+def test_a_document_of_blanks_is_packed(spark):
+    docs = spark.createDataFrame([(1, " " * 1_200_000), (2, "a b"), (3, "\n" * 1_200_000)], "doc_id long, text string")
+    rows = p.pack(docs).groupBy("doc_id").agg({"length": "sum"}).collect()
+    assert {r[0]: r[1] for r in rows} == {1: 1_200_001, 2: 3, 3: 600_001}

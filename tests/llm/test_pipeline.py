@@ -51,4 +51,4 @@ def test_registered_names():
 
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_classifier", "simhash_dedup", "decontamination", "secret_scan", "packing"]
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
