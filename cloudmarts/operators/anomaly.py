@@ -1,10 +1,12 @@
 """Per-group interquartile fences and the cost-anomaly flag.
 
-Quartiles are exact at any size and without a hot group: rows are counted per value bin (a
-partial aggregate, so a group holding a third of all rows sends a few thousand counts per
-task), a running sum over the bins finds the one that holds the wanted rank, and only that
-bin's rows are looked at again -- in finer bins while it is large, value by value once it is
-small.
+Quartiles are exact at any size and without a hot group.  One pass builds a mergeable quantile
+sketch per group; a group of at most ``sketch_k`` values is settled by it, as such a sketch holds
+every value.  For larger groups the sketch bounds each quartile between two values a fraction of
+a percent of the ranks apart, and a second pass counts the few rows between them value by value
+and all others per gap, which settles the exact rank.  Only groups so large that even that part
+is beyond ``rank_rows`` are sketched again inside their bounds first.  Values are compared, never
+calculated with, so infinite and subnormal ones need no care.
 """
 
 from __future__ import annotations
@@ -14,70 +16,121 @@ from pyspark.sql import functions as F
 
 from ..sinks import staged
 from .joins import DEFAULT_BROADCAST_BYTES, checked_broadcast
+from .sketches import SALTS, SKETCH_K, rank_error, sketch_groups
 
-BINS = 4096
-RANK_ROWS = 100_000  # a bin of at most so many rows is ranked value by value
-
-
-def _running(by: list[str], order: str) -> Window:
-    return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+RANK_ROWS = 100_000  # so many rows of a group are ranked value by value
+GRID = 256           # places of a sketch that a narrower range may begin or end at
+MAX_PASSES = 60      # each narrows every open range by far; more mean a fault
 
 
 def group_quantiles(df: DataFrame, value_col: str, group_col: str, shares: dict[str, float],
-                    bins: int = BINS, rank_rows: int = RANK_ROWS) -> DataFrame:
+                    sketch_k: int = SKETCH_K, rank_rows: int = RANK_ROWS) -> DataFrame:
     """One row per non-null group: the smallest value whose cumulative share reaches each of
     ``shares`` (name -> share).  Null and NaN values are left out, and groups without others.
 
-    Each pass reads the two columns once and narrows every target's value range by ``bins``;
-    a range that holds one value, or at most ``rank_rows`` rows, is finished by ranking it.
+    Infinite values are ordinary smallest and largest ones; -0.0 counts as 0.0.
     """
-    rows = df.select(F.col(group_col).alias("g"), F.col(value_col).cast("double").alias("x"))
+    if sketch_k < 64:
+        raise ValueError("a sketch this small may not narrow a range")
+    rows = df.select(F.col(group_col).alias("g"), (F.col(value_col).cast("double") + F.lit(0.0)).alias("x"))
     known = rows.where(F.col("g").isNotNull() & F.col("x").isNotNull() & ~F.isnan("x"))
-    wanted = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("share"))
-                       for n, p in shares.items()])
-    # k: rank of the wanted value among the n rows of [lo, hi]
-    open_targets = staged(
-        known.groupBy("g").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-        .select("g", "n", "lo", "hi", F.explode(wanted).alias("w"))
-        .select("g", "w.name", "n", "lo", "hi",
-                F.greatest(F.lit(1), F.ceil(F.col("w.share") * F.col("n"))).cast("bigint").alias("k")),
-        "quantile-targets")
+    names = list(shares)
+    ranges = staged(sketch_groups(known, ["g"], "x", sketch_k).select("g", *[
+        c for i, p in enumerate(shares.values()) for c in _first_range(i, float(p), sketch_k)]), "quantile-ranges")
+    settled = " AND ".join(f"size{i} = 0" for i in range(len(names)))
+    wide = " OR ".join(f"size{i} > {rank_rows}" for i in range(len(names)))
     done = []
-    while True:
-        wide = (F.col("n") > rank_rows) & (F.col("lo") < F.col("hi"))
-        done.append(open_targets.where(~wide))
-        if open_targets.where(wide).isEmpty():
+    for _ in range(MAX_PASSES):
+        done.append(ranges.where(settled))
+        left = ranges.where(f"NOT ({settled})")
+        n_left, n_wide = left.agg(F.count("*"), F.count_if(F.expr(wide))).head()
+        if not n_left:
             break
-        inside = _inside(known, open_targets.where(wide))
-        # halves keep the width finite for any doubles
-        place = (F.col("x") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
-        binned = (inside.withColumn("bin", F.least(F.lit(bins - 1), F.floor(place * bins)))
-                  .groupBy("g", "name", "k", "bin")
-                  .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
-        upto = F.sum("n").over(_running(["g", "name"], "bin"))
-        open_targets = staged(
-            binned.withColumn("upto", upto)
-            .where((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k")))
-            .select("g", "name", "n", "lo", "hi", (F.col("k") - (F.col("upto") - F.col("n"))).alias("k")),
-            "quantile-targets")
+        step = _sketch_inside if n_wide else _count_inside
+        ranges = staged(step(known, left, len(names), sketch_k), "quantile-ranges")
+    else:
+        raise RuntimeError(f"quantiles are still open after {MAX_PASSES} passes")
     final = done[0]
     for d in done[1:]:
         final = final.unionByName(d)
-    one = final.where("lo = hi").select("g", "name", F.col("lo").alias("x"))
-    counted = (_inside(known, final.where("lo < hi")).groupBy("g", "name", "k", "x")
-               .agg(F.count("*").alias("n")))
-    ranked = (counted.withColumn("upto", F.sum("n").over(_running(["g", "name"], "x")))
-              .where((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k")))
-              .select("g", "name", "x"))
-    found = one.unionByName(ranked).groupBy("g").agg(
-        *[F.max(F.when(F.col("name") == n, F.col("x"))).alias(n) for n in shares])
-    return found.withColumnRenamed("g", group_col)
-
-
-def _inside(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """Rows within a target's value range (the targets are broadcast if measured small)."""
-    t = checked_broadcast(targets.select(F.col("g").alias("tg"), "name", "lo", "hi", "k"))
-    return rows.join(t, (F.col("g") == F.col("tg")) & F.col("x").between(F.col("lo"), F.col("hi"))).drop("tg")
+    return final.select(F.col("g").alias(group_col), *[F.col(f"lo{i}").alias(n) for i, n in enumerate(names)])
+
+
+def _first_range(i: int, share: float, sketch_k: int) -> list:
+    """k, lo, hi and size of a target: the value of rank k lies between lo and hi, with about
+    ``size`` rows between them; size 0 tells that it is lo.  A sketch that holds all values of its
+    group settles it; any other sets two rank errors to each side."""
+    n, margin = F.col("n"), 2 * rank_error(sketch_k)
+
+    def at(place: float):
+        return F.kll_sketch_get_quantile_double("sketch", F.lit(min(1.0, max(0.0, place))))
+
+    return [F.greatest(F.lit(1), F.ceil(F.lit(share) * n)).cast("bigint").alias(f"k{i}"),
+            F.when(n <= sketch_k, at(share)).otherwise(at(share - margin)).alias(f"lo{i}"),
+            F.when(n <= sketch_k, at(share)).otherwise(at(share + margin)).alias(f"hi{i}"),
+            F.when(n <= sketch_k, F.lit(0)).otherwise(1 + n * (2 * margin)).cast("bigint").alias(f"size{i}")]
+
+
+def _with_ranges(known: DataFrame, ranges: DataFrame) -> DataFrame:
+    t = checked_broadcast(ranges.withColumnRenamed("g", "tg"))
+    return known.join(t, F.col("g") == F.col("tg")).drop("tg")
+
+
+def _sketch_inside(known: DataFrame, ranges: DataFrame, n_names: int, sketch_k: int) -> DataFrame:
+    """Narrower ranges from sketches of the rows strictly inside the present ones, in one pass;
+    the rows below and at both ends are counted, so equal values at an end settle a target."""
+    counted, merged, columns = [], [], []
+    for i in range(n_names):
+        x, lo, hi = F.col("x"), F.col(f"lo{i}"), F.col(f"hi{i}")
+        inside = (x > lo) & (x < hi)
+        counted += [F.count_if(x < lo).alias(f"below{i}"), F.count_if(x == lo).alias(f"low{i}"),
+                    F.count_if(inside).alias(f"n{i}"), F.count_if((x == hi) & (hi > lo)).alias(f"high{i}"),
+                    F.kll_sketch_agg_double(F.when(inside, x), F.lit(sketch_k)).alias(f"sketch{i}"),
+                    *[F.first(f"{c}{i}").alias(f"{c}{i}") for c in ("k", "lo", "hi")]]
+        merged += [*[F.sum(f"{c}{i}").alias(f"{c}{i}") for c in ("below", "low", "n", "high")],
+                   F.kll_merge_agg_double(f"sketch{i}", F.lit(sketch_k)).alias(f"sketch{i}"),
+                   *[F.first(f"{c}{i}").alias(f"{c}{i}") for c in ("k", "lo", "hi")]]
+    found = (_with_ranges(known, ranges).groupBy("g", (F.spark_partition_id() % SALTS).alias("salt")).agg(*counted)
+             .groupBy("g").agg(*merged))
+    margin = 2 * rank_error(sketch_k)
+    for i in range(n_names):
+        below, low, n, high, lo, hi = (F.col(f"{c}{i}") for c in ("below", "low", "n", "high", "lo", "hi"))
+        rank = F.col(f"k{i}") - below - low  # among the rows inside
+        points = F.kll_sketch_get_quantile_double(f"sketch{i}", F.array(*[F.lit(j / GRID) for j in range(GRID + 1)]))
+        first = F.greatest(F.lit(0), F.floor((rank / n - margin) * GRID)).cast("int")
+        last = F.least(F.lit(GRID), F.ceil((rank / n + margin) * GRID)).cast("int")
+        # a sketch's bounds may miss the rank (once in very many): then it is sought beyond them
+        cases = [(F.col(f"k{i}") <= below, float("-inf"), lo, F.lit(1 << 62)), (rank <= 0, lo, lo, F.lit(0)),
+                 (rank <= n, points[first], points[last], 1 + n * (2 * margin + 2 / GRID)),
+                 (rank <= n + high, hi, hi, F.lit(0)), (F.lit(True), hi, float("inf"), F.lit(1 << 62))]
+        for at, name in ((1, "lo"), (2, "hi"), (3, "size")):
+            case = F
+            for row in cases:
+                case = case.when(row[0], row[at] if at < 3 else row[at].cast("bigint"))
+            columns.append(case.alias(f"{name}{i}"))
+    return found.select("g", *[f"k{i}" for i in range(n_names)], *columns)
+
+
+def _count_inside(known: DataFrame, ranges: DataFrame, n_names: int, sketch_k: int) -> DataFrame:
+    """The value of each rank: rows inside a range are counted per value, those outside per gap
+    between ranges.  Where the rank falls into a gap, the gap is the next range."""
+    rows = _with_ranges(known, ranges)
+    inside, gap = F.lit(False), F.lit(0)
+    for i in range(n_names):
+        inside = inside | F.col("x").between(F.col(f"lo{i}"), F.col(f"hi{i}"))
+        gap = gap + (F.col("x") > F.col(f"hi{i}")).cast("int")
+    cells = (rows.groupBy("g", F.when(inside, F.col("x")).alias("value"), F.when(~inside, gap).alias("gap"))
+             .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+    upto = F.sum("n").over(Window.partitionBy("g").orderBy("lo").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = cells.withColumn("upto", upto).join(
+        ranges.select("g", *[f"k{i}" for i in range(n_names)]), "g")
+    columns = [F.first(f"k{i}").alias(f"k{i}") for i in range(n_names)]
+    for i in range(n_names):
+        here = (F.col("upto") >= F.col(f"k{i}")) & (F.col("upto") - F.col("n") < F.col(f"k{i}"))
+        open_rows = F.when(F.col("lo") < F.col("hi"), F.col("n")).otherwise(0)
+        columns += [F.max(F.when(here, F.col("lo"))).alias(f"lo{i}"), F.max(F.when(here, F.col("hi"))).alias(f"hi{i}"),
+                    F.max(F.when(here, open_rows)).alias(f"size{i}")]
+    return ranked.groupBy("g").agg(*columns)
 
 
 def group_quartiles(df: DataFrame, value_col: str = "daily_cost_usd",

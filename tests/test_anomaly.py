@@ -1,6 +1,7 @@
 """IQR fences: exact quartiles, zero-IQR fallback, fence boundary, NULL group."""
 
 import numpy as np
+import pytest
 
 from cloudmarts.operators import anomaly
 
@@ -45,20 +46,43 @@ def test_fences_are_broadcast_not_shuffled(spark):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
 
 
-def test_quantiles_are_exact_when_bins_must_be_refined(spark):
+@pytest.mark.parametrize("sketch_k, rank_rows", [(64, 40), (64, 10**6), (4096, 100)])
+def test_quantiles_are_exact_however_often_ranges_are_narrowed(spark, sketch_k, rank_rows):
     rng = np.random.default_rng(3)
+    inf = float("inf")
     groups = {"even": rng.random(3000), "tail": np.exp(rng.standard_normal(3000) * 8), "one": np.full(50, 2.5),
               "steps": rng.integers(0, 3, 2000).astype(float), "few": np.array([4.0]),
-              "wide": np.array([-1e300, -1.0, 0.0, 1.0, 1e300] * 40)}
+              "wide": np.array([-1e300, -1.0, 0.0, 1.0, 1e300] * 40),
+              "some infinite": np.concatenate([rng.random(1000), [inf]]),
+              "mostly infinite": np.concatenate([rng.random(300), np.full(900, inf), np.full(900, -inf)]),
+              "all infinite": np.full(500, -inf), "zeros": np.array([0.0, -0.0] * 300),
+              "subnormal": np.array([5e-324 * i for i in range(700)])}
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("even", None), ("even", float("nan")), (None, 1.0)]
-    df = spark.createDataFrame(rows, "service string, daily_cost_usd double")
+    df = spark.createDataFrame(rows, "service string, daily_cost_usd double").repartition(3)
     got = {r.service: r for r in anomaly.group_quantiles(
-        df, "daily_cost_usd", "service", {"low": 0.01, "mid": 0.5, "top": 1.0}, bins=7, rank_rows=20).collect()}
+        df, "daily_cost_usd", "service", {"low": 0.01, "mid": 0.5, "top": 1.0}, sketch_k, rank_rows).collect()}
     assert set(got) == set(groups)
     for g, vs in groups.items():
         assert (got[g].low, got[g].mid, got[g].top) == (_disc(vs, 0.01), _disc(vs, 0.5), _disc(vs, 1.0)), g
 
 
+def test_missed_bounds_are_found_again(spark, monkeypatch):
+    """Ranges that do not hold the rank at all, as if every sketch had failed."""
+    vals = [float(v) for v in range(2000)]
+    df = spark.createDataFrame([("s", v) for v in vals], "service string, daily_cost_usd double")
+    monkeypatch.setattr(anomaly, "rank_error", lambda k: 1e-9)
+    for rank_rows in (50, 10**6):
+        r = anomaly.group_quantiles(df, "daily_cost_usd", "service", {"q": 0.37}, 64, rank_rows).head()
+        assert r.q == _disc(vals, 0.37)
+
+
+def test_small_groups_take_one_pass(spark, monkeypatch):
+    df = spark.createDataFrame([("s", float(i)) for i in range(500)], "service string, daily_cost_usd double")
+    for step in ("_sketch_inside", "_count_inside"):
+        monkeypatch.setattr(anomaly, step, lambda *a: pytest.fail("a second pass"))
+    assert anomaly.group_quartiles(df).head()[1:] == (124.0, 374.0)
+
+
 def test_silver_takes_quartiles_from_service_and_cost_alone(spark, monkeypatch):
     from cloudmarts.operators import events
     from cloudmarts.sources import testmap as tm
