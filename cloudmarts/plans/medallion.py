@@ -9,7 +9,7 @@ are observed during the writes; nothing is collected to the driver.
 Layout under ``root``::
 
     landing/<master>.csv  landing/usage_events_stream/*.jsonl      (inputs)
-    bronze/<table>  quarantine/bronze_<master>  quarantine/usage_events_side
+    bronze/<table>  bronze/usage_events (outcome=/service=/_batch=)  quarantine/bronze_<master>
     silver/usage_events (dq_status=/usage_date=/service=)  silver/support_tickets (ticket_month=)
     gold/<mart>  serving/<table>  checkpoints/<stream>
 """
@@ -27,10 +27,11 @@ from ..operators import marts, serving
 from ..operators.events import silver_usage
 from ..operators.ingest import dedup_latest
 from ..schemas import EVENTS_FOLDER, EVENTS_GLOB, LANDING, SERVING, USAGE_EVENT
-from ..sinks import read_table, staged, write_observed, write_partitioned, write_table
+from ..sinks import path_exists, read_table, staged, write_observed, write_partitioned, write_table
 from ..session import run_concurrently
-from ..sources.landing import ingest_master, parse_event_time
-from ..streaming.bronze import bronze_usage_stream, file_stream
+from ..sources.landing import CORRUPT, ingest_master, parse_event_time
+from ..streaming import onepass
+from ..streaming.bronze import file_stream
 
 
 @dataclass(frozen=True)
@@ -76,17 +77,33 @@ def bronze_masters(spark: SparkSession, lake: Lake, names=None) -> dict[str, int
 
 
 def bronze_usage(spark: SparkSession, lake: Lake, null_time: str = "divert",
-                 max_files_per_trigger: int | None = None, events_glob: str = EVENTS_GLOB) -> None:
-    """The usage-event stream, run to completion.  Malformed lines and,
-    by default, events without a time are kept under ``quarantine/usage_events_side``."""
+                 max_files_per_trigger: int | None = None, events_glob: str = EVENTS_GLOB) -> dict[str, int]:
+    """The usage-event stream, run to completion, every file read once.
+    ``bronze/usage_events`` holds bronze (``outcome=event``) and, beside it, late, untimed and
+    malformed rows and what the dedup left out.  Returns the input rows of each outcome."""
     raw = file_stream(spark, lake.landing(EVENTS_FOLDER), USAGE_EVENT, "json",
                       max_files_per_trigger, events_glob)
     parsed = parse_event_time(raw).withColumns({
         "ingest_ts": F.current_timestamp(), "source_file": F.col("_metadata.file_path")})
-    bronze_usage_stream(parsed, lake.zone("bronze", "usage_events"),
-                        lake.zone("checkpoints", "bronze_usage_events"),
-                        side_path=lake.zone("quarantine", "usage_events_side"),
-                        null_time=null_time)
+    ledger = lake.zone("bronze", "usage_events_ledger")
+    onepass.ingest_usage_once(parsed, lake.zone("bronze", "usage_events"), ledger,
+                              lake.zone("checkpoints", "bronze_usage_events"), null_time=null_time)
+    if not path_exists(spark, ledger):  # no file has arrived yet
+        return dict.fromkeys([*onepass.OUTCOMES, "landed"], 0)
+    return onepass.landed_counts(spark, ledger).head().asDict()
+
+
+def bronze_events(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The bronze usage events."""
+    rows = onepass.outcome_rows(spark, lake.zone("bronze", "usage_events"), onepass.EVENT, types=ZONE_TYPES)
+    return rows.drop(*onepass.LAYOUT, CORRUPT)
+
+
+def usage_side(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Late, untimed and malformed rows, with their ``outcome``, delay and text."""
+    rows = onepass.outcome_rows(spark, lake.zone("bronze", "usage_events"), onepass.LATE, onepass.UNTIMED,
+                                onepass.MALFORMED, types=ZONE_TYPES)
+    return rows.drop("_batch", "copies")
 
 
 # --- silver ------------------------------------------------------------------------------
@@ -101,7 +118,7 @@ def silver(spark: SparkSession, lake: Lake, redup: bool = True) -> dict[str, int
     log is trusted.
     """
     bronze = lambda t: read_zone(spark, lake, "bronze", t)
-    events = bronze("usage_events")
+    events = bronze_events(spark, lake)
     if redup:
         events = staged(dedup_latest(events, ["event_id", "timestamp_parsed"],
                                      [F.col("ingest_ts").asc()], exclude_from_tiebreak=["source_file"]),
@@ -194,7 +211,7 @@ def run(spark: SparkSession, lake: Lake, null_time: str = "divert", redup: bool
         n_buckets: int = serving.DEFAULT_BUCKETS) -> dict[str, dict[str, int]]:
     """The whole chain, in dependency order."""
     report = {"bronze": bronze_masters(spark, lake)}
-    bronze_usage(spark, lake, null_time, max_files_per_trigger, events_glob)
+    report["bronze_usage"] = bronze_usage(spark, lake, null_time, max_files_per_trigger, events_glob)
     report["silver"] = silver(spark, lake, redup)
     report["gold"] = gold(spark, lake)
     report["serving"] = serve(spark, lake, n_buckets)

@@ -17,6 +17,7 @@ def test_pipeline_conserves_rows_and_money(spark, tmp_dir):
     read = spark.read.parquet
 
     bronze_events = read(lake.zone("bronze", "usage_events")).count()
+    assert report["bronze_usage"]["landed"] == report["bronze_usage"]["event"] == bronze_events
     valid = md.silver_valid(spark, lake).count()
     quarantined = md.silver_quarantine(spark, lake).count()
     # every deduplicated bronze event lands in exactly one silver output
@@ -104,8 +105,9 @@ def test_other_files_of_the_landing_folder_are_not_events(spark, tmp_dir):
     os.rename(glob.glob(local + "/*.txt")[0], local + "/events.jsonl")
     with open(local + "/notes.md", "w") as f:
         f.write("not an event\n")
-    md.bronze_usage(spark, lake)
-    rows = md.read_zone(spark, lake, "bronze", "usage_events").collect()
+    counts = md.bronze_usage(spark, lake)
+    rows = md.bronze_events(spark, lake).collect()
     assert [(r["event_id"], r["service"]) for r in rows] == [("e1", "01")]   # T17: not the number 1
-    side = spark.read.parquet(lake.zone("quarantine", "usage_events_side")).collect()
-    assert [(r["reason"], r["_corrupt"]) for r in side] == [("malformed", '{"event_id": "cut of')]
+    side = md.usage_side(spark, lake).collect()
+    assert [(r["outcome"], r["_corrupt"]) for r in side] == [("malformed", '{"event_id": "cut of')]
+    assert counts == {"event": 1, "duplicate": 0, "late": 0, "untimed": 0, "malformed": 1, "landed": 2}
