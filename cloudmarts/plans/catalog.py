@@ -1147,3 +1147,195 @@ def q_stream_partials_daily(spark, sf):
         _daily_parts, scratch_path(spark, "side-parts"), n_buckets=16, mode="partials",
         finish_daily=lambda p: serving.usage_serving(marts.daily_usage_from_partials(p)))
     return serving.read_serving(spark, serving_path)
+
+
+# --- A16: sketches --------------------------------------------------------------------------
+@register("service_quartiles_narrowed", _w(**_BASE, enriched=_ENRICHED, features=_FEATURES,
+                                           quartiles=_QUARTILES) + "SELECT * FROM quartiles")
+def q_service_quartiles_narrowed(spark, sf):
+    """A16 with sketches so small and ranked ranges so short that every service is sketched
+    again inside its bounds before its rows are counted, as very large services are."""
+    cost = usage_features(tm.usage_events(spark, sf)).select("service", "daily_cost_usd")
+    return anomaly.group_quantiles(cost, "daily_cost_usd", "service", {"q1": 0.25, "q3": 0.75},
+                                   sketch_k=64, rank_rows=50)
+
+
+_SKETCH_RANGES = {"all": (None, None), "part": ("2024-01-05", "2024-01-19"), "one_day": ("2024-01-10", "2024-01-10"),
+                  "open": ("2024-01-20", None)}
+
+
+def _ranges_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS day_range, DATE '{lo or '0001-01-01'}' AS lo, DATE '{hi or '9999-12-31'}' AS hi"
+        for name, (lo, hi) in _SKETCH_RANGES.items())
+
+
+def _day_sketches(spark, sf, k: int) -> tuple[DataFrame, str]:
+    """The events' service, day and cost, and their stored sketches: three batches of new events,
+    the second one run twice, as after a kill."""
+    from ..operators import sketches
+    from ..session import scratch_path
+    cost = usage_features(tm.usage_events(spark, sf)).select("service", "usage_date", "daily_cost_usd")
+    path = scratch_path(spark, "day-sketches")
+    for part in (0, 1, 1, 2):
+        sketches.write_day_sketches(cost.where(F.pmod(F.hash("daily_cost_usd"), F.lit(3)) == part), path, f"b{part}", k=k)
+    return cost, path
+
+
+@register("sketch_fences_by_range", _w(**_BASE, enriched=_ENRICHED, features=_FEATURES, ranges=_ranges_sql()) + """
+SELECT day_range, service, n, q1, q3, q3 - q1 AS iqr,
+       CASE WHEN q3 - q1 = 0 THEN q3 + 10.0 ELSE q3 + 1.5 * (q3 - q1) END AS upper_bound,
+       CASE WHEN q3 - q1 = 0 THEN q1 - 10.0 ELSE q1 - 1.5 * (q3 - q1) END AS lower_bound
+FROM (SELECT day_range, service, COUNT(*) AS n, quantile_disc(daily_cost_usd, 0.25) AS q1,
+             quantile_disc(daily_cost_usd, 0.75) AS q3
+      FROM features JOIN ranges ON usage_date BETWEEN lo AND hi GROUP BY day_range, service)""")
+def q_sketch_fences_by_range(spark, sf):
+    """A16, N1-N3 from stored (service, day) sketches alone, for several day ranges.  The sketches
+    are large enough to hold every value here, so the fences are exact."""
+    from ..operators import sketches
+    _cost, path = _day_sketches(spark, sf, 65_535)
+    out = None
+    for name, (lo, hi) in _SKETCH_RANGES.items():
+        merged = sketches.range_sketches(spark, path, lo, hi, k=65_535)
+        q = anomaly.iqr_bounds(sketches.sketch_quantiles(merged, {"q1": 0.25, "q3": 0.75}))
+        q = q.select(F.lit(name).alias("day_range"), "*")
+        out = q if out is None else out.unionByName(q)
+    return out
+
+
+@register("sketch_rank_error", _w(**_BASE, enriched=_ENRICHED, features=_FEATURES, ranges=_ranges_sql()) + """
+SELECT day_range, service, COUNT(*) AS n, TRUE AS q1_within, TRUE AS q3_within
+FROM features JOIN ranges ON usage_date BETWEEN lo AND hi GROUP BY day_range, service""")
+def q_sketch_rank_error(spark, sf):
+    """The exact ranks of quartiles from small merged sketches lie within twice the rank
+    error the sketch promises (at 99 % confidence for once)."""
+    from ..operators import sketches
+    k = 200
+    cost, path = _day_sketches(spark, sf, k)
+    out = None
+    for name, (lo, hi) in _SKETCH_RANGES.items():
+        q = sketches.sketch_quantiles(sketches.range_sketches(spark, path, lo, hi, k=k), {"q1": 0.25, "q3": 0.75})
+        rows = cost.where(F.col("usage_date").between(F.lit(lo or "0001-01-01").cast("date"), F.lit(hi or "9999-12-31").cast("date")))
+        ranks = rows.join(F.broadcast(q.withColumnRenamed("n", "n_sketch")), "service").groupBy("service").agg(
+            F.count("*").alias("n"), *[F.count_if(condition).alias(column) for s in ("q1", "q3") for condition, column in (
+                (F.col("daily_cost_usd") < F.col(s), f"{s}_below"), (F.col("daily_cost_usd") <= F.col(s), f"{s}_upto"))])
+        slack = 2 * sketches.rank_error(k)
+        ok = [((F.col(f"{s}_below") / F.col("n") <= share + slack) & (F.col(f"{s}_upto") / F.col("n") >= share - slack))
+              .alias(f"{s}_within") for s, share in (("q1", 0.25), ("q3", 0.75))]
+        ranks = ranks.select(F.lit(name).alias("day_range"), "service", "n", *ok)
+        out = ranks if out is None else out.unionByName(ranks)
+    return out
+
+
+# --- S8, W2, W3, W6: one read of the landing files ----------------------------------------------
+@register("stream_landed_outcomes", _w(usage=tm.USAGE_EVENTS_SQL, mark="""
+SELECT date_trunc('millisecond', MAX(timestamp_parsed)) - INTERVAL 2 HOUR AS mark FROM usage""", again="""
+SELECT event_id, timestamp_parsed FROM usage WHERE event_id % 10 = 0""") + """
+SELECT 'event' AS outcome, CAST(event_id AS VARCHAR) AS event_id, timestamp_parsed, COUNT(*) AS copies,
+       CAST(NULL AS DOUBLE) AS late_by_seconds, CAST(NULL AS VARCHAR) AS raw
+FROM usage GROUP BY event_id, timestamp_parsed
+UNION ALL SELECT 'duplicate', CAST(event_id AS VARCHAR), timestamp_parsed, COUNT(*), NULL, NULL
+FROM again, mark WHERE timestamp_parsed > mark GROUP BY event_id, timestamp_parsed
+UNION ALL SELECT 'late', CAST(event_id AS VARCHAR), timestamp_parsed, 1, epoch_us(mark - timestamp_parsed) / 1e6, NULL
+FROM again, mark WHERE timestamp_parsed <= mark
+UNION ALL SELECT 'late', 'late-' || event_id, TIMESTAMP '2001-01-01 00:00:00', 1,
+       epoch_us(mark - TIMESTAMP '2001-01-01 00:00:00') / 1e6, NULL FROM usage, mark WHERE event_id % 50 = 1
+UNION ALL SELECT 'untimed', 'untimed-' || event_id, NULL, 1, NULL, NULL FROM events WHERE event_id % 70 = 0
+UNION ALL SELECT 'malformed', NULL, NULL, 1, NULL, '{"event_id": "broken-' || event_id || '", '
+FROM events WHERE event_id % 90 = 0""")
+def q_stream_landed_outcomes(spark, sf):
+    """Two drops, each file read once.  Every landing row is in the table: as
+    bronze, as a duplicate of an earlier batch, late with its delay, untimed or malformed; the
+    ledger's counts are checked against the rows landed."""
+    from ..schemas import USAGE_EVENT
+    from ..session import scratch_path
+    from ..sources.landing import parse_event_time
+    from ..streaming import onepass
+    from ..streaming.bronze import file_stream
+    land, out, ledger, ckpt = (scratch_path(spark, n) for n in ("once", "once-out", "once-ledger", "once-ckpt"))
+    first = _usage_landing(spark, sf)
+    e, text = tm.table(spark, sf, "events"), F.col("event_id").cast("string")
+    second = (
+        first.filter("event_id % 10 = 0")
+        .unionByName(first.filter("event_id % 50 = 1").withColumns({
+            "event_id": F.concat(F.lit("late-"), "event_id"), "timestamp": F.lit("2001-01-01 00:00:00.000000")}))
+        .unionByName(e.filter("event_id % 70 = 0").select(F.concat(F.lit("untimed-"), text).alias("event_id")),
+                     allowMissingColumns=True))
+    broken = e.filter("event_id % 90 = 0").select(F.concat(F.lit('{"event_id": "broken-'), text, F.lit('", ')).alias("value"))
+
+    def run():
+        onepass.ingest_usage_once(parse_event_time(file_stream(spark, land, USAGE_EVENT, "json")), out, ledger, ckpt)
+
+    first.write.mode("append").json(land)
+    run()
+    second.write.mode("append").json(land)
+    broken.write.mode("append").text(land)
+    run()
+    rows = onepass.outcome_rows(spark, out, *onepass.OUTCOMES)
+    landed = spark.read.text(land).count()
+    counted = onepass.landed_counts(spark, ledger).head()
+    if counted["landed"] != landed:
+        raise RuntimeError(f"{landed} rows landed, the ledger has {counted['landed']}")
+    return rows.select("outcome", "event_id", F.col("timestamp_parsed").cast("timestamp_ntz").alias("timestamp_parsed"),
+                       "copies", "late_by_seconds", F.col("_corrupt").alias("raw"))
+
+
+# --- J3, N4 in the stream -------------------------------------------------------------------
+_SLICED = """
+SELECT f.*, CAST(floor((CAST(floor(epoch(timestamp_parsed)) AS BIGINT) - lo) * 4.0 / (hi - lo + 1)) AS BIGINT) AS slice
+FROM features f, (SELECT CAST(floor(epoch(MIN(timestamp_parsed))) AS BIGINT) AS lo,
+                         CAST(floor(epoch(MAX(timestamp_parsed))) AS BIGINT) AS hi FROM usage)"""
+
+
+@register("stream_flags_by_batch", _w(**_BASE, enriched=_ENRICHED, features=_FEATURES, sliced=_SLICED, quartiles="""
+SELECT b.slice AS slice, f.service AS service, quantile_disc(f.daily_cost_usd, 0.25) AS q1, quantile_disc(f.daily_cost_usd, 0.75) AS q3
+FROM (SELECT DISTINCT slice FROM sliced) b JOIN sliced f ON f.slice < b.slice GROUP BY b.slice, f.service""", bounds="""
+SELECT slice, service, CASE WHEN q3 - q1 = 0 THEN q3 + 10.0 ELSE q3 + 1.5 * (q3 - q1) END AS upper_bound,
+       CASE WHEN q3 - q1 = 0 THEN q1 - 10.0 ELSE q1 - 1.5 * (q3 - q1) END AS lower_bound FROM quartiles""") + """
+SELECT CAST(f.event_id AS VARCHAR) AS event_id, f.timestamp_parsed, f.service, f.daily_cost_usd, b.upper_bound, b.lower_bound,
+       COALESCE(f.daily_cost_usd > b.upper_bound OR f.daily_cost_usd < b.lower_bound, FALSE) AS anomaly_flag
+FROM sliced f LEFT JOIN bounds b ON f.slice = b.slice AND f.service = b.service""")
+def q_stream_flags_by_batch(spark, sf):
+    """J3, N4 in the stream: four time-ordered files, one a batch; each batch's rows are flagged by
+    the fences of all batches before it, as a batch job with the same fences would flag them."""
+    from ..schemas import USAGE_EVENT
+    from ..session import scratch_path
+    from ..sources.landing import parse_event_time
+    from ..streaming.bronze import file_stream
+    from ..streaming.flags import flag_stream, flagged_events
+    land, root = scratch_path(spark, "flag-landing"), scratch_path(spark, "flagged")
+    tm.write_landing_events(spark, sf, land, files=4)
+    parsed = parse_event_time(file_stream(spark, land, USAGE_EVENT, "json", max_files_per_trigger=1)).drop("_corrupt")
+    flag_stream(usage_features(parsed), root, scratch_path(spark, "flag-ckpt"), k=65_535)
+    return flagged_events(spark, root).select(
+        "event_id", F.col("timestamp_parsed").cast("timestamp_ntz").alias("timestamp_parsed"), "service", "daily_cost_usd",
+        "upper_bound", "lower_bound", "anomaly_flag")
+
+
+# --- V2, A17 by running totals --------------------------------------------------------------------
+_TOTAL_RANGES = {"v2": V2_RANGE, "all": ("2023-01-01", "2025-12-31"), "day": ("2024-01-15", "2024-01-15"),
+                 "head": ("2023-12-01", "2024-01-09"), "tail": ("2024-01-28", "2024-02-28"), "none": ("2020-01-01", "2020-12-31")}
+
+
+@register("serve_range_totals", _w(**_DAILY_CTES, ranges=" UNION ALL ".join(
+    f"SELECT '{n}' AS day_range, DATE '{lo}' AS lo, DATE '{hi}' AS hi" for n, (lo, hi) in _TOTAL_RANGES.items())) + """
+SELECT day_range, org_id, service, cumulative_cost_usd,
+       row_number() OVER (PARTITION BY day_range, org_id ORDER BY cumulative_cost_usd DESC, service) AS cost_rank
+FROM (SELECT day_range, org_id, service, ROUND(SUM(total_cost_usd), 4) AS cumulative_cost_usd
+      FROM daily JOIN ranges ON usage_date BETWEEN lo AND hi GROUP BY day_range, org_id, service)""")
+def q_serve_range_totals(spark, sf):
+    """V2, A17, O1 for several ranges from stored running totals, made from an early load of the
+    daily table and brought up to date after a later load that changes one of its days."""
+    from ..operators import running_totals as rt
+    from ..schemas import SERVING
+    from ..session import scratch_path
+    keys = SERVING["org_daily_usage_by_service"]["keys"]
+    daily, path = scratch_path(spark, "totals-daily"), scratch_path(spark, "totals")
+    for load in _early_late(spark, sf):
+        serving.upsert_table(spark, daily, load, keys, n_buckets=16, period_col="usage_date")
+        rt.refresh_running_totals(spark, path, serving.open_serving(spark, daily), load, n_buckets=16)
+    out = None
+    for name, (lo, hi) in _TOTAL_RANGES.items():
+        top = rt.top_services(rt.range_totals(spark, path, lo, hi)).select(F.lit(name).alias("day_range"), "*")
+        out = top if out is None else out.unionByName(top)
+    return out

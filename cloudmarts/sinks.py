@@ -87,6 +87,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(sc._jsc.hadoopConfiguration()).exists(where)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a table's first partition column, from its folder names (no file is read)."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in where.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(where)]
+    return [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+
+
 def try_read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                    types: Mapping[str, DataType] | None = None) -> DataFrame | None:
     """The table at ``path``, or None when there is no such path.  Any other failure of the
