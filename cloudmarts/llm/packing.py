@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import base64
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +62,7 @@ def load_exact(path: str) -> Encoder:
     return Encoder(path.removesuffix(".tiktoken") + ".json")
 
 
-def token_ids(encoder, text: str, exact: Encoder | None = None) -> list[int]:
+def token_ids(encoder, text: str, exact: Callable[[], Encoder] | None = None) -> list[int]:
     """The ids of the tokenizers file with add_special_tokens=False: the added token's string
     is its one id wherever it stands in the text.  Stretches of more than ``_STRETCH``
     characters without a place to cut (see ``token_ids.split_stretches``) go to ``exact``."""
@@ -74,8 +75,8 @@ def token_ids(encoder, text: str, exact: Encoder | None = None) -> list[int]:
             continue
         ids += encoder.encode("".join(short), allowed_special="all")
         short = []
-        exact = exact or load_exact(default_vocabulary())
-        ids += np.frombuffer(exact.encode([own])[0], "<u4").tolist()
+        whole = exact() if exact else load_exact(default_vocabulary())
+        ids += np.frombuffer(whole.encode([own])[0], "<u4").tolist()
     return ids + encoder.encode("".join(short), allowed_special="all")
 
 
@@ -97,7 +98,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: i
     path = vocabulary or default_vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, exact = load_encoder(path), load_exact(path)
+        encoder, exact = load_encoder(path), cache(lambda: load_exact(path))  # few tasks need the second
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
         for batch in (b.slice(at, _ROWS) for b in batches for at in range(0, b.num_rows, _ROWS)):
             rows, pieces, starts, lengths, ids, nth = [], [], [], [], [], []
