@@ -103,10 +103,14 @@ def nodes(text: str) -> list[tuple[int, int]]:
 
 
 def _word(text: str, at: int, step: int) -> str:
-    """The token before (step -1) or after (1) place ``at``, 24 characters at most."""
-    part = text[max(0, at - 24):at] if step < 0 else text[at:at + 24]
-    words = part.split()
-    return (words[-1] if step < 0 else words[0]).lower() if words else ""
+    """The whole token before (step -1) or after (1) place ``at``, over any gap of blanks."""
+    size = 32
+    while True:
+        part = text[max(0, at - size):at] if step < 0 else text[at:at + size]
+        words = part.split()
+        if len(part) < size or len(words) > 1 or (words and part[0 if step < 0 else -1].isspace()):
+            return (words[-1] if step < 0 else words[0]).lower() if words else ""
+        size *= 2
 
 
 def shape(token: str) -> str:

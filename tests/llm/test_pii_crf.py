@@ -113,3 +113,14 @@ def test_features_see_a_whole_token():
     token = "a" * 70
     plain, late = c.node_features(token + "1", 0, 71), c.node_features(token + "1@b.c", 0, 75)
     assert plain[4] != late[4] and plain[2] != c.node_features(token + "123", 0, 73)[2]
+
+
+def test_neighbours_are_read_whole():
+    from cloudmarts.llm.pii_crf import _word
+
+    long = "Abc" * 5_000
+    text = f"{long}{' ' * 70}42 \n\t{long} end"
+    at = text.index("42")
+    assert _word(text, at, -1) == _word(text, at + 2, 1) == long.lower()
+    assert _word("7", 0, -1) == _word("7", 1, 1) == "" and _word("   7   ", 3, -1) == _word("   7   ", 4, 1) == ""
+    assert _word("one two 7", 8, -1) == "two" and _word("7 one two", 1, 1) == "one"
