@@ -115,7 +115,7 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequ
         return 0
     inc = read_table(spark, stage_in, tagged.schema)
     touched = [tuple(r) for r in inc.select(*layout).distinct().collect()]
-    merged = upsert(existing.filter(_touched_predicate(layout, touched)), inc, keys, version_col)
+    merged = upsert(existing.filter(touched_predicate(layout, touched)), inc, keys, version_col)
     stage = scratch_path(spark, "upsert-merged")
     write_table(merged.hint("rebalance", *layout), stage, layout, sort_within=list(order))
     # the stage is already laid out per partition: copy it without another shuffle
@@ -123,7 +123,7 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequ
                        sort_within=list(order))
 
 
-def _touched_predicate(layout: list[str], touched: list[tuple]) -> Column:
+def touched_predicate(layout: list[str], touched: list[tuple]) -> Column:
     """Partition predicate selecting exactly the touched partitions: the buckets, or per
     month (also the missing one) its list of buckets."""
     if len(layout) == 1:
@@ -195,7 +195,7 @@ def sample_key(df: DataFrame, cols: Sequence[str] = ("org_id", "service")) -> Da
     return df.select(*cols).orderBy(*cols).limit(1)
 
 
-def _row_hash(df: DataFrame) -> Column:
+def row_hash(df: DataFrame) -> Column:
     """xxhash64 of every column; maps enter as their sorted entry arrays."""
     parts = []
     for f in sorted(df.schema.fields, key=lambda f: f.name):
@@ -219,7 +219,7 @@ def idempotency_report(existing: DataFrame | None, incoming: DataFrame,
     twice = upsert(once, incoming, keys)
     both = once.withColumn("__run", F.lit(1)).unionByName(twice.withColumn("__run", F.lit(2)))
     run1, run2 = F.col("__run") == 1, F.col("__run") == 2
-    h = _row_hash(both)
+    h = row_hash(both)
     key = F.struct(*[F.col(k) for k in keys])
     s = both.agg(
         F.count_if(run1).alias("rows_once"),

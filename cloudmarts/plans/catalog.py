@@ -1339,3 +1339,36 @@ def q_serve_range_totals(spark, sf):
         top = rt.top_services(rt.range_totals(spark, path, lo, hi)).select(F.lit(name).alias("day_range"), "*")
         out = top if out is None else out.unionByName(top)
     return out
+
+
+# --- I1, K7: content digests ----------------------------------------------------------------
+@register("serving_digests", _w(**_DAILY_CTES) + """
+SELECT CAST(date_trunc('month', usage_date) AS DATE) AS month, COUNT(*) AS n_rows, TRUE AS rebuilt_equal, TRUE AS rerun_equal,
+       bool_or(is_first) AS change_found
+FROM (SELECT usage_date, row_number() OVER (ORDER BY org_id, service, usage_date) = 1 AS is_first FROM daily)
+GROUP BY date_trunc('month', usage_date)""")
+def q_serving_digests(spark, sf):
+    """The daily table's digests, kept by an early and a late load, are those of a table
+    loaded at once; a rerun of the late load changes none; a changed cost is found in its month."""
+    from ..operators import digests
+    from ..schemas import SERVING
+    from ..session import scratch_path
+    keys = SERVING["org_daily_usage_by_service"]["keys"]
+    loaded, whole = scratch_path(spark, "digested"), scratch_path(spark, "digested-whole")
+    options = dict(n_buckets=16, period_col="usage_date")
+    early, late = _early_late(spark, sf)
+    for load in (early, late):
+        digests.upsert_digested(spark, loaded, load, keys, **options)
+    daily = _usage_serving(spark, sf)
+    digests.upsert_digested(spark, whole, daily, keys, **options)
+    mark = lambda df, name: df.select("_period", F.lit(name).alias("what"))
+    unlike = mark(digests.compare_tables(spark, loaded, whole), "rebuilt").unionByName(
+        mark(digests.rerun_check(spark, loaded, late, keys, **options), "rerun"))
+    changed = daily.orderBy("org_id", "service", "usage_date").limit(1).withColumn("total_cost_usd", F.col("total_cost_usd") + 1)
+    unlike = unlike.unionByName(mark(digests.rerun_check(spark, whole, changed, keys, **options), "changed"))
+    months = digests.month_digests(digests.stored_digests(spark, loaded)).select(F.col("_period").alias("month"), "n_rows")
+    joined = months.join(unlike, F.col("month") == F.col("_period"), "left").groupBy("month").agg(
+        F.first("n_rows").alias("n_rows"), *[F.coalesce(F.bool_or(F.col("what") == w), F.lit(False)).alias(w)
+                                             for w in ("rebuilt", "rerun", "changed")])
+    return joined.select("month", "n_rows", (~F.col("rebuilt")).alias("rebuilt_equal"), (~F.col("rerun")).alias("rerun_equal"),
+                         F.col("changed").alias("change_found"))

@@ -158,14 +158,14 @@ def test_fill_converts_text_dates_and_null_numbers(spark):
 
 
 def test_content_hash_sees_a_changed_value(spark):
-    from cloudmarts.operators.serving import _row_hash
+    from cloudmarts.operators.serving import row_hash
     a = spark.createDataFrame([("o", "s", D(2025, 8, 1), 1.0), ("p", "s", D(2025, 8, 1), 2.0)], SCHEMA)
     b = spark.createDataFrame([("o", "s", D(2025, 8, 1), 1.0), ("p", "s", D(2025, 8, 1), 2.5)], SCHEMA)
-    ha = a.agg(F.sum(_row_hash(a))).first()[0]
-    hb = b.agg(F.sum(_row_hash(b))).first()[0]
+    ha = a.agg(F.sum(row_hash(a))).first()[0]
+    hb = b.agg(F.sum(row_hash(b))).first()[0]
     assert a.count() == b.count() and ha != hb
     # and is independent of row order
-    assert a.orderBy(F.desc("org_id")).agg(F.sum(_row_hash(a))).first()[0] == ha
+    assert a.orderBy(F.desc("org_id")).agg(F.sum(row_hash(a))).first()[0] == ha
 
 
 def test_revenue_order_and_newest_first(spark):
@@ -197,5 +197,5 @@ def test_predicate_names_every_touched_partition_at_any_size(spark):
     touched = [(D(2000 + m // 12, m % 12 + 1, 1), b) for m in range(60) for b in range(0, 64, 5)] + [(None, 3)]
     frame = spark.createDataFrame([(m, b) for m in sorted({t[0] for t in touched if t[0]}) + [None]
                                    for b in range(64)], "_period date, _bucket bigint")
-    kept = frame.filter(serving._touched_predicate(["_period", "_bucket"], touched)).collect()
+    kept = frame.filter(serving.touched_predicate(["_period", "_bucket"], touched)).collect()
     assert {(r[0], r[1]) for r in kept} == set(touched) and len(kept) == len(touched)
