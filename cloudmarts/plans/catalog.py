@@ -1372,3 +1372,26 @@ def q_serving_digests(spark, sf):
                                              for w in ("rebuilt", "rerun", "changed")])
     return joined.select("month", "n_rows", (~F.col("rebuilt")).alias("rebuilt_equal"), (~F.col("rerun")).alias("rerun_equal"),
                          F.col("changed").alias("change_found"))
+
+
+# --- D4, D5 incrementally -------------------------------------------------------------------
+@register("masters_two_drops", f"""
+SELECT CAST(user_id AS VARCHAR) AS user_id, CASE WHEN user_id % 5 <> 0 THEN role ELSE 'second' END AS role, 'both' AS found_by
+FROM ({tm.USERS_SQL}) WHERE user_id % 5 <> 0 OR user_id % 3 = 0""")
+def q_masters_two_drops(spark, sf):
+    """A second drop of users brings new keys and other values for old ones; only its own
+    files are read, and the master equals a rebuild from all files."""
+    from ..session import scratch_path
+    from . import drops
+    root = scratch_path(spark, "drops-users")
+    land, target, bad, ledger = (f"{root}/{n}" for n in ("users.csv", "bronze", "bad", "ledger"))
+    users = tm.landing_frames(spark, sf)["users"]
+    number = F.col("user_id").cast("long")
+    parts = [users.where(number % 5 != 0), users.where(number % 3 == 0).withColumn("role", F.lit("second"))]
+    for part in parts:
+        part.write.mode("append").option("header", "true").option("quote", '"').option("escape", '"').csv(land)
+        drops.ingest_drop(spark, land, "users", target, bad, ledger)
+    both = drops.master(spark, target).select("user_id", "role", F.lit(1).alias("run")).unionByName(
+        drops.rebuild(spark, "users", ledger).select("user_id", "role", F.lit(2).alias("run")))
+    return both.groupBy("user_id", "role").agg(F.sum("run").alias("runs")).select(
+        "user_id", "role", F.when(F.col("runs") == 3, "both").otherwise("one").alias("found_by"))

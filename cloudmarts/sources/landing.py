@@ -25,7 +25,7 @@ def with_corrupt(schema: StructType, corrupt_col: str = CORRUPT) -> StructType:
     return StructType(list(schema.fields) + [StructField(corrupt_col, StringType(), True)])
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType,
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType,
              corrupt_col: str = CORRUPT, multi_line: bool = False) -> DataFrame:
     """Header CSV (RFC 4180 quoting) with a declared schema; malformed rows
     keep their raw text in ``corrupt_col`` (NULL for good rows).  ``multi_line``
@@ -54,9 +54,10 @@ def split_corrupt(df: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame,
     return df.filter(~bad).drop(corrupt_col), df.filter(bad)
 
 
-def ingest_master(spark: SparkSession, path: str, dataset: str,
-                  order_by: Sequence[Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Bronze ingest of one landing master: read, stamp, deterministic dedup.
+def ingest_master(spark: SparkSession, path: str | list[str], dataset: str,
+                  order_by: Sequence[Column] | None = None, deduplicate: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Bronze ingest of one landing master (a folder, or a list of files): read, stamp,
+    deterministic dedup.
 
     Returns (bronze rows, corrupt rows), both from one parse of the files: the parsed rows
     are staged, so the corrupt side costs no second scan of the CSV.  ``source_file`` is the
@@ -66,6 +67,8 @@ def ingest_master(spark: SparkSession, path: str, dataset: str,
     raw = staged(stamp(read_csv(spark, path, schema, multi_line=dataset in MULTILINE_MASTERS)),
                  f"parsed-{dataset}")
     good, bad = split_corrupt(raw)
+    if not deduplicate:
+        return good, bad
     return dedup_latest(good, keys, order_by, exclude_from_tiebreak=["ingest_ts"]), bad
 
 

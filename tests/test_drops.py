@@ -1,0 +1,86 @@
+"""Incremental masters: a drop reads its own files, equals a full rebuild, survives kills."""
+
+import os
+
+import pytest
+
+from cloudmarts.plans import drops
+
+HEAD = "user_id,org_id,email,role,active,created_at,last_login\n"
+
+
+def _file(folder, name, rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as f:
+        f.write(HEAD + "".join(f"{u},o{u},{u}@example.org,{role},true,2024-01-01 00:00:00,\n" for u, role in rows))
+
+
+def _paths(tmp_dir):
+    return f"{tmp_dir}/users.csv", f"{tmp_dir}/bronze", f"{tmp_dir}/bad", f"{tmp_dir}/ledger"
+
+
+def _ingest(spark, tmp_dir):
+    land, *rest = _paths(tmp_dir)
+    return drops.ingest_drop(spark, land, "users", *rest)
+
+
+def _roles(df):
+    return sorted((r.user_id, r.role) for r in df.collect())
+
+
+def test_drops_read_their_own_files_and_equal_a_rebuild(spark, tmp_dir):
+    land, target, _bad, ledger = _paths(tmp_dir)
+    _file(land, "a.csv", [("u1", "z"), ("u1", "b"), ("u2", "a")])
+    assert _ingest(spark, tmp_dir)["rows"] == 2
+    assert _ingest(spark, tmp_dir) == {"files": 0, "bytes": 0, "rows": 0, "corrupt": 0}
+    _file(land, "b.csv", [("u1", "a"), ("u3", "q"), ("u3", "c")])
+    _file(land, "c.csv", [("u4", "x")])
+    got = _ingest(spark, tmp_dir)
+    assert (got["files"], got["rows"]) == (2, 2)
+    assert got["bytes"] == sum(os.path.getsize(f"{land}/{n}") for n in ("b.csv", "c.csv"))
+    want = [("u1", "b"), ("u2", "a"), ("u3", "c"), ("u4", "x")]
+    assert _roles(drops.master(spark, target)) == _roles(drops.rebuild(spark, "users", ledger)) == want
+
+
+def test_a_replaced_file_is_a_new_drop(spark, tmp_dir):
+    land, target, *_ = _paths(tmp_dir)
+    _file(land, "all.csv", [("u1", "a")])
+    _ingest(spark, tmp_dir)
+    _file(land, "all.csv", [("u1", "changed"), ("u2", "new")])
+    assert _ingest(spark, tmp_dir)["rows"] == 1
+    assert _roles(drops.master(spark, target)) == [("u1", "a"), ("u2", "new")]
+
+
+@pytest.mark.parametrize("kill_at", [1, 2, 3])
+def test_a_kill_between_rows_quarantine_and_ledger(spark, tmp_dir, monkeypatch, kill_at):
+    land, target, bad, ledger = _paths(tmp_dir)
+    _file(land, "a.csv", [("u1", "a")])
+    _ingest(spark, tmp_dir)
+    _file(land, "b.csv", [("u1", "x"), ("u2", "b")])
+    with open(f"{land}/b.csv", "a") as f:
+        f.write("u9,o9,short line\n")
+    real, calls = drops.write_table, []
+
+    def write(*a, **k):
+        calls.append(1)
+        if len(calls) == kill_at:
+            raise RuntimeError("killed")
+        return real(*a, **k)
+
+    monkeypatch.setattr(drops, "write_table", write)
+    with pytest.raises(RuntimeError, match="killed"):
+        _ingest(spark, tmp_dir)
+    monkeypatch.setattr(drops, "write_table", real)
+    _file(land, "c.csv", [("u3", "c")])  # more has arrived since
+    assert _ingest(spark, tmp_dir)["rows"] == 2
+    assert _roles(drops.master(spark, target)) == [("u1", "a"), ("u2", "b"), ("u3", "c")]
+    assert spark.read.parquet(bad).count() == 1
+    assert _ingest(spark, tmp_dir)["files"] == 0
+
+
+def test_a_table_that_lost_its_drops_is_refused(spark, tmp_dir):
+    land, _target, bad, ledger = _paths(tmp_dir)
+    _file(land, "a.csv", [("u1", "a")])
+    _ingest(spark, tmp_dir)
+    with pytest.raises(RuntimeError, match="ledger"):
+        drops.ingest_drop(spark, land, "users", f"{tmp_dir}/elsewhere", bad, ledger)
