@@ -9,7 +9,7 @@ driver, rankings are window functions over all orgs at once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -190,6 +190,27 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
               .filter(F.col("n_rows") > 1))
 
 
+def footer_counts(spark: SparkSession, paths: Mapping[str, str], by_month: bool = False) -> DataFrame:
+    """table_name, n_rows of stored tables from their parquet footers: the count is
+    pushed into the scan (DSv2 aggregate push-down), so no data page is read.  ``by_month`` counts
+    each month partition (``_period``).
+
+    The scan needs settings of its own, so the result belongs to a session of its own; an empty
+    table counts 0.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    out = None
+    for name, path in paths.items():
+        table = open_serving(own, path)
+        rows = table.groupBy(PERIOD) if by_month else table
+        counts = rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), *([PERIOD] if by_month else []), "n_rows")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 def sample_key(df: DataFrame, cols: Sequence[str] = ("org_id", "service")) -> DataFrame:
     """One existing key, chosen deterministically (TakeOrderedAndProject)."""
     return df.select(*cols).orderBy(*cols).limit(1)

@@ -1395,3 +1395,21 @@ def q_masters_two_drops(spark, sf):
         drops.rebuild(spark, "users", ledger).select("user_id", "role", F.lit(2).alias("run")))
     return both.groupBy("user_id", "role").agg(F.sum("run").alias("runs")).select(
         "user_id", "role", F.when(F.col("runs") == 3, "both").otherwise("one").alias("found_by"))
+
+
+# --- S12, A18 from footers ------------------------------------------------------------------
+@register("serving_footer_counts", _w(**_DAILY_CTES, **_TICKET_CTES, **_REVENUE_CTES) + """
+SELECT 'org_daily_usage_by_service' AS table_name, COUNT(*) AS n_rows FROM daily
+UNION ALL SELECT 'tickets_by_org_date', COUNT(*) FROM tickets_day
+UNION ALL SELECT 'revenue_by_org_month', COUNT(*) FROM revenue""")
+def q_serving_footer_counts(spark, sf):
+    """Rows of stored serving tables, counted from their parquet footers."""
+    from ..schemas import SERVING
+    from ..session import scratch_path
+    marts_of = {"org_daily_usage_by_service": _usage_serving, "tickets_by_org_date": _tickets_serving,
+                "revenue_by_org_month": _revenue_serving}
+    paths = {}
+    for name, mart in marts_of.items():
+        spec, paths[name] = SERVING[name], scratch_path(spark, f"footers-{name}")
+        serving.upsert_table(spark, paths[name], mart(spark, sf), spec["keys"], n_buckets=16, period_col=spec["period"])
+    return serving.footer_counts(spark, paths)

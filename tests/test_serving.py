@@ -199,3 +199,21 @@ def test_predicate_names_every_touched_partition_at_any_size(spark):
                                    for b in range(64)], "_period date, _bucket bigint")
     kept = frame.filter(serving.touched_predicate(["_period", "_bucket"], touched)).collect()
     assert {(r[0], r[1]) for r in kept} == set(touched) and len(kept) == len(touched)
+
+
+def test_counts_come_from_footers(spark, tmp_dir):
+    import datetime as dt
+
+    from cloudmarts.operators import serving
+    rows = [(o, dt.date(2024, 1 + o % 3, 5), float(o)) for o in range(50)]
+    df = spark.createDataFrame(rows, "org_id long, day date, v double")
+    serving.upsert_table(spark, f"{tmp_dir}/a", df, ["org_id", "day"], n_buckets=4, period_col="day")
+    serving.upsert_table(spark, f"{tmp_dir}/b", df.limit(7).drop("day"), ["org_id"], n_buckets=2)
+    got = serving.footer_counts(spark, {"a": f"{tmp_dir}/a", "b": f"{tmp_dir}/b"})
+    assert {r.table_name: r.n_rows for r in got.collect()} == {"a": 50, "b": 7}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedAggregation: [COUNT(*)]") >= 2 and "ReadSchema: struct<count(*):bigint>" in plan
+    months = serving.footer_counts(spark, {"a": f"{tmp_dir}/a"}, by_month=True)
+    assert {str(r._period): r.n_rows for r in months.collect()} == {"2024-01-01": 17, "2024-02-01": 17, "2024-03-01": 16}
+    assert "PushedAggregation: [COUNT(*)]" in months._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
