@@ -981,7 +981,8 @@ SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(org_id AS VARCHAR) AS org_id, '
             + (user_id % 400) * INTERVAL 1 DAY END AS last_login
 FROM ({tm.USERS_SQL})""")
 _master("resources", """
-SELECT CAST(p_partkey AS VARCHAR) AS resource_id, CAST(NULL AS VARCHAR) AS org_id, p_brand AS service, 'region-0' AS region,
+SELECT CAST(p_partkey AS VARCHAR) AS resource_id,
+       CASE WHEN p_partkey % 29 <> 0 THEN CAST(p_partkey % 150 AS VARCHAR) END AS org_id, p_brand AS service, 'region-0' AS region,
        CASE WHEN p_partkey % 23 <> 0 THEN TIMESTAMP '2023-03-01 01:02:03' + p_partkey * INTERVAL 1 HOUR END AS created_at,
        p_type AS state, '{"brand":"' || p_brand || '","name":"' || p_name || '"}' AS tags_json
 FROM part""")
@@ -1413,3 +1414,46 @@ def q_serving_footer_counts(spark, sf):
         spec, paths[name] = SERVING[name], scratch_path(spark, f"footers-{name}")
         serving.upsert_table(spark, paths[name], mart(spark, sf), spec["keys"], n_buckets=16, period_col=spec["period"])
     return serving.footer_counts(spark, paths)
+
+
+@register("stream_within_watermark", _w(usage=tm.USAGE_EVENTS_SQL) + """
+SELECT DISTINCT CAST(event_id AS VARCHAR) AS event_id FROM usage""")
+def q_stream_within_watermark(spark, sf):
+    """D6 on the event id alone: events sent again half an hour later are duplicates while the
+    watermark's delay has not passed."""
+    from ..schemas import USAGE_EVENT
+    from ..session import scratch_path
+    from ..sources.landing import parse_event_time
+    from ..streaming.bronze import dedup_events, file_stream, run_available_now
+    land, out = scratch_path(spark, "within"), scratch_path(spark, "within-out")
+    first = _usage_landing(spark, sf)
+    later = F.to_timestamp("timestamp") + F.expr("INTERVAL 30 MINUTES")
+    first.unionByName(first.filter("event_id % 10 = 0").withColumn(
+        "timestamp", F.date_format(later, "yyyy-MM-dd HH:mm:ss.SSSSSS"))).write.json(land)
+    parsed = parse_event_time(file_stream(spark, land, USAGE_EVENT, "json")).drop("_corrupt")
+    run_available_now(dedup_events(parsed, within_watermark=True), out, scratch_path(spark, "within-ckpt"))
+    return spark.read.parquet(out).select("event_id")
+
+
+@register("stream_merged_batches", _w(usage=tm.USAGE_EVENTS_SQL) + """
+SELECT CAST(event_id AS VARCHAR) AS event_id, timestamp_parsed, COUNT(*) AS copies, TRUE AS few_folders
+FROM usage GROUP BY event_id, timestamp_parsed""")
+def q_stream_merged_batches(spark, sf):
+    """K3: ten micro-batches, the closed ones merged by fours after the run: the same bronze rows
+    from fewer folders."""
+    from ..schemas import USAGE_EVENT
+    from ..session import scratch_path
+    from ..sources.landing import parse_event_time
+    from ..streaming import merging, onepass
+    from ..streaming.bronze import file_stream
+    land, out, ledger, ckpt = (scratch_path(spark, n) for n in ("merge", "merge-out", "merge-ledger", "merge-ckpt"))
+    tm.write_landing_events(spark, sf, land, files=10)
+    onepass.ingest_usage_once(parse_event_time(file_stream(spark, land, USAGE_EVENT, "json", max_files_per_trigger=1)),
+                              out, ledger, ckpt)
+    before = merging.batch_folders(spark, out)
+    while merging.merge_closed_batches(spark, out, ledger, fanout=4):
+        pass
+    few = len(merging.batch_folders(spark, out)) <= len(before) - 3
+    rows = onepass.outcome_rows(spark, out, onepass.EVENT)
+    return rows.select("event_id", F.col("timestamp_parsed").cast("timestamp_ntz").alias("timestamp_parsed"), "copies",
+                       F.lit(few).alias("few_folders"))

@@ -247,7 +247,8 @@ def landing_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.when(F.col("user_id") % 19 != 0, _user_created() + F.make_dt_interval(
                 days=F.col("user_id").cast("int") % 400, secs=F.lit(5.5))).alias("last_login")),
         "resources": p.select(
-            _s("p_partkey").alias("resource_id"), F.lit(None).cast("string").alias("org_id"),
+            _s("p_partkey").alias("resource_id"),
+            F.when(F.col("p_partkey") % 29 != 0, (F.col("p_partkey") % 150).cast("string")).alias("org_id"),
             F.col("p_brand").alias("service"), F.lit("region-0").alias("region"),
             F.when(F.col("p_partkey") % 23 != 0, F.to_timestamp(F.lit("2023-03-01 01:02:03")) + F.make_dt_interval(
                 hours=F.col("p_partkey").cast("int"))).alias("created_at"), F.col("p_type").alias("state"),

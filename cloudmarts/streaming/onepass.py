@@ -31,6 +31,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..sinks import path_exists, read_table, write_table
 from ..sources.landing import CORRUPT
 from .bronze import MALFORMED, NULL_TIME, UNTIMED
+from .merging import hidden_batches
 
 EVENT, DUPLICATE, LATE = "event", "duplicate", "late"
 OUTCOMES = (EVENT, DUPLICATE, LATE, UNTIMED, MALFORMED)
@@ -153,9 +154,12 @@ def ingest_usage_once(parsed: DataFrame, path: str, ledger: str, checkpoint: str
 
 
 def outcome_rows(spark: SparkSession, path: str, *outcomes: str, types: dict | None = None) -> DataFrame:
-    """The rows of some outcomes; only their folders are read."""
+    """The rows of some outcomes; only their folders are read, each row once also while
+    batches are being merged."""
+    hidden = hidden_batches(spark, path)
     table = read_table(spark, path, types={"_batch": StringType(), "outcome": StringType(), **(types or {})})
-    return table.where(F.col("outcome").isin(list(outcomes)))
+    rows = table.where(F.col("outcome").isin(list(outcomes)))
+    return rows.where(~F.col("_batch").isin(hidden)) if hidden else rows
 
 
 def landed_counts(spark: SparkSession, ledger: str) -> DataFrame:
