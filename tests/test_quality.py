@@ -61,3 +61,11 @@ def test_route_column(spark):
     keep = {r.event_id: r.r for r in t.select("event_id", quality.route().alias("r")).collect()}
     assert keep["b"] == "quarantine"
     assert F  # imported for parity with other tests
+
+
+def test_infinite_costs_follow_the_rule_as_it_stands(spark):
+    from cloudmarts.functions.rules import status, usage_rules
+    rows = [("a", float("inf")), ("b", float("-inf")), ("c", float("nan")), ("d", -0.0)]
+    df = spark.createDataFrame(rows, "event_id string, cost_usd_increment double").selectExpr("*", "1.0 AS value", "'u' AS unit")
+    got = {r.event_id: r.s for r in df.select("event_id", status(usage_rules()).alias("s")).collect()}
+    assert got == {"a": "valid", "b": "quarantine", "c": "valid", "d": "valid"}
