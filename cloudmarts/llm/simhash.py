@@ -154,14 +154,18 @@ def simhash_groups(docs: DataFrame, shingle_words: int = 3, max_distance: int =
     rows = stage(with_fingerprint(
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")),
         shingle_words).select("doc_id", "fp"), "fingerprints")
+    return rows.join(fingerprint_classes(rows, max_distance), "fp").select("doc_id", "fp", "component_id", "root")
+
+
+def fingerprint_classes(rows: DataFrame, max_distance: int = 2) -> DataFrame:
+    """(doc_id, fp) rows -> one row per distinct fingerprint: fp, component_id, root."""
     prints = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
     prints = stage(prints, "prints")
     roots = connected_components(fingerprint_links(prints.select("fp"), max_distance))
     named = prints.join(roots, prints.fp == roots.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = named.select("fp", "root").join(least, "root").select("fp", "component_id", "root")
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id", "root")
+    return named.select("fp", "root").join(least, "root").select("fp", "component_id", "root")
 
 
 def fingerprint_hex(fp: str = "fp"):
@@ -171,19 +175,31 @@ def fingerprint_hex(fp: str = "fp"):
 def dedup(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
     """One document of each group: the row with the group's smallest doc_id, all its
     columns.  Of several rows with that id the first by the plain columns stays; in a group
-    whose ids are all null one row stays."""
+    whose ids are all null one row stays.
+
+    Texts are fingerprinted once and written beside a row number; all joins before the last are
+    on numbers.  The rows that go are told by an anti-join that is broadcast after a check of its
+    size; beyond it the texts are exchanged once.
+    """
     names = docs.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
-    groups = simhash_groups(docs, shingle_words, max_distance)
-    heads = (groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .groupBy("root", "doc_id").agg(F.min("fp").alias("head_fp"))
-             .select(F.col("doc_id").alias("head_id"), "head_fp"))
-    keyed = with_fingerprint(docs.select("doc_id", "text", row), shingle_words).select(
-        "doc_id", "fp", "row")
-    kept = keyed.join(heads, F.col("doc_id").eqNullSafe(F.col("head_id"))
-                      & (F.col("fp") == F.col("head_fp")), "left_semi")
-    plain = [F.col("row").getField(f.name) for f in docs.schema
+    plain = [f"c{i}" for i in range(len(names))]  # names of their own: any column may be named fp
+    text, doc_id = (plain[names.index(n)] for n in ("text", "doc_id"))
+    numbered = stage(with_fingerprint(docs.toDF(*plain), shingle_words, text)
+                     .withColumn("row", F.monotonically_increasing_id()), "fingerprinted")
+    rows = numbered.select(F.col(doc_id).alias("doc_id"), "fp", "row")
+    heads = stage(rows.join(fingerprint_classes(rows.select("doc_id", "fp"), max_distance), "fp")
+                  .where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("root", "fp", "row"), "heads")
+    first = heads.groupBy("root").agg(F.min(F.struct("fp", "row")).alias("head"))
+    same = heads.groupBy("root", "fp").agg(F.count("*").alias("n")).join(
+        first.select("root", F.col("head.fp").alias("fp")), ["root", "fp"])
+    one = first.join(same.where("n = 1"), "root", "left_semi").select("head.row")
+    # several rows under the id: the first by the plain columns
+    several = heads.join(same.where("n > 1").select("root", "fp"), ["root", "fp"]).select("root", "row")
+    order = [F.col(c) for c, f in zip(plain, docs.schema, strict=True)
              if f.dataType.typeName() not in ("map", "array", "struct", "variant")]
-    one = Window.partitionBy("doc_id", "fp").orderBy(*plain)
-    return (kept.withColumn("nth", F.row_number().over(one)).where("nth = 1")
-            .select(*[F.col("row").getField(c).alias(c) for c in names]))
+    chosen = (numbered.join(checked_broadcast(several.withColumnRenamed("row", "tied")), F.col("row") == F.col("tied"))
+              .groupBy("root").agg(F.min(F.struct(*order, "row")).alias("head")).select("head.row"))
+    kept = one.unionByName(chosen)
+    gone = stage(rows.select("row").join(kept, "row", "left_anti"), "duplicates")
+    left = numbered.join(checked_broadcast(gone), "row", "left_anti")
+    return left.select(*[F.col(c).alias(n) for c, n in zip(plain, names, strict=True)])

@@ -87,3 +87,19 @@ def test_messy_rows(messy, no_docs):
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(1) == 2 and ids.count(2) == 1 and ids.count(None) == 1 and 3 not in ids
     assert s.simhash_groups(no_docs).count() == 0 and s.dedup(no_docs).count() == 0
+
+
+def test_dedup_fingerprints_once_and_keeps_texts_in_place(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    calls, real = [], s.with_fingerprint
+    monkeypatch.setattr(s, "with_fingerprint", lambda *a, **k: calls.append(1) or real(*a, **k))
+    plan = s.dedup(docs)._jdf.queryExecution().executedPlan().toString()
+    assert len(calls) == 1 and "ArrowEvalPython" not in plan  # the staged texts carry it
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Window" not in plan
+
+
+def test_ties_under_one_id_keep_the_first_by_columns(spark):
+    rows = [(1, "same words in all of these", "z"), (1, "same words in all of these", "b"), (1, "same words in all of these", "c"),
+            (None, "nobody owns this text at all", "y"), (None, "nobody owns this text at all", "x")]
+    got = s.dedup(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)).collect()
+    assert sorted((r["doc_id"] or 0, r["source"]) for r in got) == [(0, "x"), (1, "b")]
