@@ -36,13 +36,14 @@ PERCENT = 25
 SEED = 7
 PIVOTS = 32
 _ROWS = 64  # texts a task holds the words of
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
+# on UTF-8 bytes, where everything beyond ASCII is made of bytes from 0x80 on
+_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 def words_of(text: str | None) -> list[bytes]:
     """Runs of ASCII letters and digits and of anything beyond ASCII, A-Z in lower case."""
-    return [w.encode() for w in _WORD.findall((text or "").translate(_LOWER))]
+    return _WORD.findall((text or "").encode().translate(_LOWER))
 
 
 def feature_buckets(words: Sequence[bytes], buckets: int = BUCKETS) -> np.ndarray:
