@@ -24,10 +24,12 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,7 +40,7 @@ from cloudmarts.session import scratch_path
 
 MARK = 256           # ones between two marks of a select structure
 BLOCK_IDS = 4 << 20  # ids a reading task takes at a time
-_TEXT_BYTES = 4 << 20  # text a task encodes at a time
+_TEXT_BYTES = 1 << 20  # text a task encodes at a time
 _HEAD = "<4sHHQQqQ"  # magic, version, bytes an id, documents, ids, smallest id, rows without an id
 _PART = "<QQBQQQ"  # values, largest, low bits, bytes of low bits, of the bit vector, of the marks
 _MAGIC, _VERSION = b"EFTK", 1
@@ -174,25 +176,49 @@ def _shard_name(part: int) -> str:
     return f"tokens-{part:05d}"
 
 
-def tokenized(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """doc_id, ids (little-endian unsigned 32-bit, the end id last) of every row."""
-    path = vocabulary or default_vocabulary()
+def shard_starts(keys: DataFrame, n: int) -> list[tuple]:
+    """The smallest key of each of ``n`` ranges of rows but the first: at most n - 1 of them."""
+    columns = keys.columns
+    ranged = keys.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(n, *columns, "row")
+    lows = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct(*columns)).alias("low")).collect()
+    return sorted(tuple(r["low"]) for r in lows)[1:]
+
+
+def tokenized(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID, width: int = 4,
+              starts: list[tuple] | None = None) -> DataFrame:
+    """doc_id, tie, ids (little-endian, ``width`` bytes each, the end id last) of every row, and
+    the shard it belongs to: that of its key's range, where a key that fills several ranges is
+    dealt over them in turn (its rows are equal, so the order of the whole is kept)."""
+    path, starts = vocabulary or default_vocabulary(), starts or []
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), end_id.to_bytes(4, "little")
+        encoder, end, turn = Encoder(path), end_id.to_bytes(4, "little"), 0
         for batch in batches:
-            sizes = np.diff(np.frombuffer(batch.column(1).buffers()[1], np.int32)[
-                batch.column(1).offset:batch.column(1).offset + batch.num_rows + 1]) if batch.num_rows else []
+            sizes = pc.fill_null(pc.binary_length(batch.column(3)), 0).to_numpy(zero_copy_only=False)
             group = np.cumsum(sizes, dtype=np.int64) // _TEXT_BYTES
-            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows] if batch.num_rows else [0]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                ids = [i + end for i in encoder.encode(batch.column(1).slice(a, b - a).to_pylist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())],
-                                                 names=["doc_id", "ids"])
+                part = batch.slice(a, b - a)
+                ids = [np.frombuffer(i + end, "<u4").astype(f"<u{width}").tobytes()
+                       for i in encoder.encode(part.column(3).to_pylist())]
+                shards = []
+                for key in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                    low, high = bisect_left(starts, key), bisect_right(starts, key)
+                    shards.append(high if high - low < 2 else low + 1 + turn % (high - low))
+                    turn += 1
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(shards, pa.int32()), *part.columns[:3], pa.array(ids, pa.binary())],
+                    names=["shard", "known", "id", "tie", "ids"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-            .mapInArrow(encode, "doc_id long, ids binary"))
+    return _keyed(docs).mapInArrow(encode, "shard int, known boolean, id long, tie long, ids binary")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """known, id, tie (the order of the files) and text of every row."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(doc_id.isNotNull().alias("known"), F.coalesce(doc_id, F.lit(0)).alias("id"),
+                       F.xxhash64(text).alias("tie"), text.alias("text"))
 
 
 def write_token_files(docs: DataFrame, folder: str | None = None, vocabulary: str | None = None,
@@ -200,10 +226,13 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocabulary: st
     """Encode ``docs`` and write the files; one row per shard: shard, name, folder, docs, ids,
     bytes_ids, bytes_bounds, and docs_before, ids_before over earlier shards.
 
-    Rows are ordered by (doc_id, ids), those without an id first; a null text counts as empty
-    and gives the end id alone; repeated rows are written each; an empty table gives no shard
-    and no row.  ``doc_id`` must be a whole number; other columns are not read.  ``folder``
-    unset takes a fresh one in the shared scratch folder.
+    Rows are ordered by doc_id, those without an id first, repeated ids by the hash of their
+    text; a null text counts as empty and gives the end id alone; repeated rows are written each;
+    an empty table gives no shard and no row.  ``doc_id`` must be a whole number; other columns
+    are not read.  ``folder`` unset takes a fresh one in the shared scratch folder.
+
+    The texts are read twice, for the shards' ranges (keys only) and to be encoded; what is
+    exchanged is the ids, packed as in the files.
     """
     spark = docs.sparkSession
     path = vocabulary or default_vocabulary()
@@ -212,12 +241,11 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocabulary: st
         from tokenizers import Tokenizer
 
         width = 2 if max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-    # staged: ranging samples its input first, and ids are a third the size of the texts' exchange
-    rows = stage(tokenized(docs, path, end_id)
-                 .withColumns({"tie": F.xxhash64("ids"), "row": F.monotonically_increasing_id()}), "token-ids")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["doc_id", "tie", "row"]  # row: copies under one id do not all fall into one shard
-    ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    starts = shard_starts(_keyed(docs).drop("text"), n)
+    ranged = (tokenized(docs, path, end_id, width, starts).repartitionById(n, "shard")
+              .sortWithinPartitions("known", "id", "tie", "ids")
+              .select(F.when(F.col("known"), F.col("id")).alias("doc_id"), "ids"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -230,9 +258,9 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocabulary: st
             for batch in batches:
                 doc_ids += batch.column(0).to_pylist()
                 for ids in batch.column(1):
-                    raw = np.frombuffer(ids.as_buffer(), "<u4")
-                    lengths.append(len(raw))
-                    out.write(raw.astype(f"<u{width}").tobytes())
+                    raw = ids.as_buffer()
+                    lengths.append(raw.size // width)
+                    out.write(raw)
         if not lengths:
             store.delete_file(f"{own}.ids")
             return

@@ -10,14 +10,21 @@ without blanks) stays in one stretch and goes to the library as it is, at any le
 from __future__ import annotations
 
 import re
+from collections import ChainMap
 from collections.abc import Sequence
 
 import numpy as np
 
 END_ID = 2
 _STRETCH = re.compile(r"(?<=\S)(?= )")  # \S here knows every blank the tokenizer knows
-_KNOWN, _SHORT = 300_000, 64  # stretches a task remembers, and how long one may be
+_BLANK_PAIRS = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
+_LAST_LATIN = "\u024f"
+_KNOWN, _SHORT = 500_000, 64  # stretches a task remembers, and how long one may be
 _JOINED = 2_000  # new words handed to the library as one text
+# byte-level vocabularies write a byte as the Latin-1 character of its number if that is visible,
+# the others as the characters from 256 on
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
 def default_vocabulary() -> str:
@@ -31,6 +38,15 @@ def split_stretches(text: str) -> list[str]:
     return _STRETCH.split(text) if text else []
 
 
+def _head_and_words(text: str) -> tuple[str, list[str]]:
+    """The first stretch, and the others without the blank they begin with."""
+    if text[:1] != " " and not any(pair in text for pair in _BLANK_PAIRS):  # every blank follows something else
+        head, *words = text.split(" ")
+        return head, words
+    head, *words = _STRETCH.split(text)
+    return head, [w[1:] for w in words]
+
+
 class Encoder:
     """Encodes as ``Tokenizer.encode(text, add_special_tokens=False)``: strings of added tokens
     inside a text are their ids, as the file has it."""
@@ -39,35 +55,59 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path or default_vocabulary())
-        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._opens = np.zeros(self._tokenizer.get_vocab_size(), bool)  # tokens that begin with a blank
-        for token, i in self._tokenizer.get_vocab().items():
+        added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        if not all("<" in token for token in added):
+            raise ValueError(f"an added token may hide in a word: {added}")
+        vocabulary = self._tokenizer.get_vocab()
+        self._four = [i.to_bytes(4, "little") for i in range(max(vocabulary.values()) + 1)]
+        self._signs = {c: self._four[vocabulary[c]] for c in ".,;:!?)"}
+        self._opens = np.zeros(len(self._four), bool)  # tokens that begin with a blank
+        for token, i in vocabulary.items():
             self._opens[i] = token.startswith("\u0120")
         self._known: dict[str, bytes] = {}
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text, little-endian unsigned 32-bit."""
-        stretches = [split_stretches(text) for text in texts]
-        found = self._encoded({s for own in stretches for s in own if s not in self._known})
-        room = _KNOWN - len(self._known)
-        short = [s for s in found if len(s) <= _SHORT][:max(0, room)]
-        self._known.update((s, found.pop(s)) for s in short)
+        heads, tails = zip(*map(_head_and_words, texts)) if texts else ((), ())
         known = self._known
-        if not found:
-            return [b"".join(map(known.__getitem__, own)) for own in stretches]
-        return [b"".join([known[s] if s in known else found[s] for s in own]) for own in stretches]
+        found = self._encoded(set().union(*tails).difference(known))
+        if len(known) + len(found) <= _KNOWN:
+            known.update(found)
+            found = known
+        elif found:
+            room = _KNOWN - len(known)
+            known.update(item for item, _ in zip([i for i in found.items() if len(i[0]) <= _SHORT], range(room)))
+            found = ChainMap(found, known)
+        else:
+            found = known
+        firsts = self._tokenizer.encode_batch_fast(list(heads), add_special_tokens=False)
+        return [np.array(head.ids, "<u4").tobytes() + b"".join(map(found.__getitem__, own))
+                for head, own in zip(firsts, tails, strict=True)]
 
     def _encoded(self, new: set[str]) -> dict[str, bytes]:
-        words = [s for s in new if s[0] == " " and s.count(" ") == 1 and len(s) <= _SHORT
-                 and not any(a in s for a in self._added)]
-        rest = list(new.difference(words))
-        ids = (np.array(e.ids, "<u4").tobytes()
-               for e in self._tokenizer.encode_batch_fast(rest, add_special_tokens=False))
-        found = dict(zip(rest, ids, strict=True))
-        for at in range(0, len(words), _JOINED):
-            own = words[at:at + _JOINED]  # each begins with its only blank, so its ids do as well
-            ids = np.array(self._tokenizer.encode_batch_fast(["".join(own)], add_special_tokens=False)[0].ids, "<u4")
+        """The ids of each of these words with a blank before it.
+
+        A word of Latin letters is one run, so the model merges it without the text being cut
+        into runs again; a sign after it is a run of its own.
+        """
+        letters = {w for w in new if w.isalpha() and max(w) <= _LAST_LATIN}
+        signed = [w for w in new if w[-1:] in self._signs and w[:-1].isalpha() and max(w) <= _LAST_LATIN]
+        letters.update(b for b in (w[:-1] for w in signed) if b not in self._known)
+        merge, four = self._tokenizer.model.tokenize, self._four
+        found = {w: b"".join([four[t.id] for t in merge(
+            "\u0120" + (w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_CHARS)))]) for w in letters}
+        found.update((w, (found.get(w[:-1]) or self._known[w[:-1]]) + self._signs[w[-1]]) for w in signed)
+        rest = [w for w in new if w not in found]
+        joined = [w for w in rest if " " not in w and len(w) <= _SHORT and "<" not in w]
+        for at in range(0, len(joined), _JOINED):
+            own = joined[at:at + _JOINED]  # each begins with its only blank, so its ids do as well
+            text = " " + " ".join(own)
+            ids = np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.append(np.flatnonzero(self._opens[ids]) * 4, len(ids) * 4).tolist()
             raw = ids.tobytes()
-            found.update((s, raw[a:b]) for s, a, b in zip(own, cuts[:-1], cuts[1:], strict=True))
+            found.update((w, raw[a:b]) for w, a, b in zip(own, cuts[:-1], cuts[1:], strict=True))
+        rest = [w for w in rest if w not in found]  # also what may hold an added token
+        ids = (np.array(e.ids, "<u4").tobytes()
+               for e in self._tokenizer.encode_batch_fast([" " + w for w in rest], add_special_tokens=False))
+        found.update(zip(rest, ids, strict=True))
         return found

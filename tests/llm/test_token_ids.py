@@ -42,14 +42,21 @@ def test_any_mix_of_blanks_and_signs(text):
 
 
 @pytest.mark.parametrize("text", ["", " ", "  a", "a  b ", "x <|endoftext|> y<|endoftext|>", "<|endoftext|>" * 3,
-                                  " " * 1_000_000, "\n" * 1_000_000, "x" * 200_000, "aĠb Ġ c"])
+                                  " " * 1_000_000, "\n" * 1_000_000, "x" * 200_000, "aĠb Ġ c",
+                                  "it's we'll. they'd, x) y)) (z) a.b. wORD! Word? I'm: 's' don't.", "a <b> c<|d \u00aa\u00b5. \u0391."])
 def test_edges(text, whole, encoder):
     assert ids(encoder, text) == whole(text)
 
 
+def test_words_of_all_latin_letters(whole, encoder):
+    letters = "".join(chr(c) for c in range(0x250) if chr(c).isalpha())
+    text = " ".join([letters, *(f"x{c}y {c}. {c}" for c in letters), "\u0250 a\u0251b."])
+    assert ids(encoder, text) == whole(text)
+
+
 def test_full_memory_changes_nothing(monkeypatch, whole):
     monkeypatch.setattr(t, "_KNOWN", 3)
     e = t.Encoder()
     for text in ("one two three four five", "six seven one two", "one two three four five"):
         assert ids(e, text) == whole(text)
-    assert len(e._known) == 3
+    assert len(e._known) <= 3
