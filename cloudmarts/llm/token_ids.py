@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import ChainMap
 from collections.abc import Sequence
+from itertools import islice
 
 import numpy as np
 
@@ -71,15 +72,11 @@ class Encoder:
         heads, tails = zip(*map(_head_and_words, texts)) if texts else ((), ())
         known = self._known
         found = self._encoded(set().union(*tails).difference(known))
-        if len(known) + len(found) <= _KNOWN:
-            known.update(found)
-            found = known
-        elif found:
-            room = _KNOWN - len(known)
-            known.update(item for item, _ in zip([i for i in found.items() if len(i[0]) <= _SHORT], range(room)))
-            found = ChainMap(found, known)
-        else:
-            found = known
+        kept, room = found, max(0, _KNOWN - len(known))
+        if len(found) > room or any(len(w) > _SHORT for w in found):
+            kept = dict(islice((i for i in found.items() if len(i[0]) <= _SHORT), room))
+        known.update(kept)
+        found = known if kept is found else ChainMap(found, known)
         firsts = self._tokenizer.encode_batch_fast(list(heads), add_special_tokens=False)
         return [np.array(head.ids, "<u4").tobytes() + b"".join(map(found.__getitem__, own))
                 for head, own in zip(firsts, tails, strict=True)]
@@ -90,14 +87,19 @@ class Encoder:
         A word of Latin letters is one run, so the model merges it without the text being cut
         into runs again; a sign after it is a run of its own.
         """
-        letters = {w for w in new if w.isalpha() and max(w) <= _LAST_LATIN}
-        signed = [w for w in new if w[-1:] in self._signs and w[:-1].isalpha() and max(w) <= _LAST_LATIN]
+        letters, signed, rest, signs = set(), [], [], self._signs
+        for w in new:
+            if w.isalpha():
+                (letters.add if w.isascii() or max(w) <= _LAST_LATIN else rest.append)(w)
+            elif w[-1:] in signs and w[:-1].isalpha() and (w.isascii() or max(w) <= _LAST_LATIN):
+                signed.append(w)
+            else:
+                rest.append(w)
         letters.update(b for b in (w[:-1] for w in signed) if b not in self._known)
         merge, four = self._tokenizer.model.tokenize, self._four
         found = {w: b"".join([four[t.id] for t in merge(
             "\u0120" + (w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_CHARS)))]) for w in letters}
         found.update((w, (found.get(w[:-1]) or self._known[w[:-1]]) + self._signs[w[-1]]) for w in signed)
-        rest = [w for w in new if w not in found]
         joined = [w for w in rest if " " not in w and len(w) <= _SHORT and "<" not in w]
         for at in range(0, len(joined), _JOINED):
             own = joined[at:at + _JOINED]  # each begins with its only blank, so its ids do as well

@@ -60,3 +60,9 @@ def test_full_memory_changes_nothing(monkeypatch, whole):
     for text in ("one two three four five", "six seven one two", "one two three four five"):
         assert ids(e, text) == whole(text)
     assert len(e._known) <= 3
+
+
+def test_long_stretches_are_not_remembered(whole):
+    e = t.Encoder()
+    text = "one two " + "y" * 500 + " three"
+    assert ids(e, text) == ids(e, text) == whole(text) and set(e._known) == {"two", "three"}
