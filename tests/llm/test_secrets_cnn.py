@@ -110,3 +110,31 @@ def test_thresholds_recall_what_they_promise():
     _, kept = x._split(windows[:100])
     assert net.thresholds["hex"] < 0.5
     assert (net.probability(kept) >= net.thresholds["hex"]).mean() >= x.RECALL
+
+
+def test_every_window_is_learned_from_however_many(spark, monkeypatch):
+    rows = [(i, f"a plain word{i} and/some/longer/path/number{i} here") for i in range(400)]
+    rows += [(1000 + i, f'x token = "{hashlib.sha1(bytes([i])).hexdigest()}" y') for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(x, "_fit_blocks", lambda many, n, few: seen.append((many.count(), n, {k: len(v) for k, v in few.items()})))
+    monkeypatch.setattr(x, "FEW", 50)
+    x.train(docs)
+    monkeypatch.setattr(x, "FEW", 10)
+    x.train(docs)
+    assert seen == [(400, 400, {True: 40}), (440, 440, {})]
+
+
+def test_blocks_learn_what_one_block_learns(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    fresh = [r["text"] for r in docs.where("doc_id >= 7000").collect()]
+    for few in (500, 50):  # the labelled findings beside every block, then dealt to the blocks too
+        monkeypatch.setattr(x, "FEW", few)
+        monkeypatch.setattr(x, "BLOCK", 300)
+        net = x.train(docs.where("doc_id < 7000"))
+        asked = [(any(s < b and a < e for s, e, _ in x.base_spans(t)), x.window(t, a, b), x.shape(t[a:b]))
+                 for t in fresh for a, b in x.candidates(t)]
+        sure = [p >= net.thresholds[c] for p, (_, _, c) in zip(net.probability([w for _, w, _ in asked]), asked, strict=True)]
+        found = [s for s, (label, _, _) in zip(sure, asked, strict=True) if label]
+        words = [s for s, (label, _, _) in zip(sure, asked, strict=True) if not label]
+        assert sum(found) >= 0.9 * len(found) and sum(words) <= 0.005 * len(words)
