@@ -12,14 +12,14 @@ The row kept for a key is that of the earliest drop, within a drop the first in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from ..operators.ingest import dedup_latest
 from ..schemas import LANDING
 from ..sinks import partition_values, path_exists, read_table, write_table
-from ..sources.landing import ingest_master
+from ..sources.landing import corrupt_rows, ingest_master
 
 DROP = "_drop"
 _FILE = ["path", "modificationTime", "length"]
@@ -54,7 +54,8 @@ def ingest_drop(spark: SparkSession, landing: str, name: str, target: str, quara
     files = new_files(spark, landing, ledger).collect()  # names of new files only
     if not files:
         return {"files": 0, "bytes": 0, "rows": 0, "corrupt": 0}
-    good, bad = ingest_master(spark, [f["path"] for f in files], name, order_by=[F.col("ingest_ts").asc()])
+    seen = Observation()
+    good, bad = ingest_master(spark, [f["path"] for f in files], name, order_by=[F.col("ingest_ts").asc()], seen=seen)
     if drop:
         earlier = read_table(spark, target, types={DROP: LongType()}).where(F.col(DROP) < drop)
         known = earlier.select(*[F.col(f"`{k}`").alias(f"_known_{i}") for i, k in enumerate(keys)])
@@ -64,7 +65,7 @@ def ingest_drop(spark: SparkSession, landing: str, name: str, target: str, quara
         good = good.join(known, same, "left_anti")
     layout = [DROP, *([part] if part else [])]
     rows = write_table(good.withColumn(DROP, F.lit(drop)), target, layout, dynamic=True)
-    corrupt = write_table(bad.withColumn(DROP, F.lit(drop)), quarantine, [DROP], dynamic=True)
+    corrupt = write_table(corrupt_rows(bad, seen).withColumn(DROP, F.lit(drop)), quarantine, [DROP], dynamic=True)
     ledger_rows = spark.createDataFrame([tuple(f) for f in files], landing_files(spark, landing).schema)
     write_table(ledger_rows.coalesce(1), f"{ledger}/{DROP}={drop}")
     return {"files": len(files), "bytes": sum(f["length"] for f in files), "rows": rows, "corrupt": corrupt}

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType
 
@@ -29,7 +29,7 @@ from ..operators.ingest import dedup_latest
 from ..schemas import EVENTS_FOLDER, EVENTS_GLOB, LANDING, SERVING, USAGE_EVENT
 from ..sinks import path_exists, read_table, staged, write_observed, write_partitioned, write_table
 from ..session import run_concurrently
-from ..sources.landing import CORRUPT, ingest_master, parse_event_time
+from ..sources.landing import CORRUPT, corrupt_rows, ingest_master, parse_event_time
 from ..streaming import onepass
 from ..streaming.bronze import file_stream
 from . import drops
@@ -71,12 +71,13 @@ def bronze_masters(spark: SparkSession, lake: Lake, names=None, incremental: boo
                                     lake.zone("quarantine", f"bronze_{name}"), lake.zone("bronze", f"{name}_drops"))
             return got["rows"], got["corrupt"]
         _schema, _keys, part = LANDING[name]
+        seen = Observation()
         bronze, corrupt = ingest_master(spark, lake.landing(f"{name}.csv"), name,
-                                        order_by=[F.col("ingest_ts").asc()])
-        target = lake.zone("bronze", name)
-        n = (write_partitioned(bronze, target, [part], dynamic=False) if part
-             else write_table(bronze, target))
-        return n, write_table(corrupt, lake.zone("quarantine", f"bronze_{name}"))
+                                        order_by=[F.col("ingest_ts").asc()], seen=seen)
+        # written where the dedup's shuffle left the rows: the few values of a partition column
+        # make a few files a task, which costs less than a second shuffle of every row
+        n = write_table(bronze, lake.zone("bronze", name), [part] if part else None)
+        return n, write_table(corrupt_rows(corrupt, seen), lake.zone("quarantine", f"bronze_{name}"))
 
     done = run_concurrently(spark, {name: (lambda n=name: one(n)) for name in names or LANDING})
     counts = {}

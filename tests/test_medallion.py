@@ -1,6 +1,7 @@
 """End-to-end plan on landing files derived from the smallest test tables:
 conservation between zones and an idempotent serving rerun."""
 
+import os
 from pyspark.sql import functions as F
 
 from cloudmarts.operators import serving
@@ -125,3 +126,23 @@ def test_incremental_masters_hold_the_same_rows(spark, tmp_dir):
         columns = [c for c in md.read_zone(spark, whole, "bronze", name).columns if c not in ("ingest_ts", "source_file")]
         rows = [sorted(map(str, md.read_zone(spark, lake, "bronze", name).select(columns).collect())) for lake in (whole, parts)]
         assert rows[0] == rows[1]
+
+
+def test_a_master_is_shuffled_once_and_its_corrupt_rows_are_kept(spark, tmp_dir, monkeypatch):
+    from cloudmarts.plans import medallion
+    lake = medallion.Lake(f"{tmp_dir}/lake-once")
+    os.makedirs(lake.landing("users.csv"))
+    with open(lake.landing("users.csv") + "/a.csv", "w") as f:
+        f.write("user_id,org_id,email,role,active,created_at,last_login\n"
+                "u1,o1,e,admin,true,,\nu1,o1,e,admin,true,,\nu2,o1,e,dev,false,,\nu3,short line\n")
+    real, plans = medallion.write_table, []
+
+    def write(df, path, *a, **k):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, path, *a, **k)
+
+    monkeypatch.setattr(medallion, "write_table", write)
+    assert medallion.bronze_masters(spark, lake, ["users"]) == {"users": 2, "users_corrupt": 1}
+    assert plans[0].count("Exchange ") == 1 and "csv" in plans[0].lower()
+    bad = spark.read.parquet(lake.zone("quarantine", "bronze_users")).collect()
+    assert [r["_corrupt"] for r in bad] == ["u3,short line"]
