@@ -2,6 +2,7 @@
 conservation between zones and an idempotent serving rerun."""
 
 import os
+
 from pyspark.sql import functions as F
 
 from cloudmarts.operators import serving
