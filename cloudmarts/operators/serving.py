@@ -204,8 +204,12 @@ def footer_counts(spark: SparkSession, paths: Mapping[str, str], by_month: bool
     out = None
     for name, path in paths.items():
         table = open_serving(own, path)
-        rows = table.groupBy(PERIOD) if by_month else table
-        counts = rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        if by_month:  # the push-down wants all partition columns; their counts are then summed
+            counts = table.groupBy(PERIOD, BUCKET).agg(F.count(F.lit(1)).alias("n"))
+            counts = counts.groupBy(PERIOD).agg(F.sum("n").alias("n_rows"))
+        else:
+            counts = table.agg(F.count(F.lit(1)).alias("n_rows"))
+        counts = counts.select(
             F.lit(name).alias("table_name"), *([PERIOD] if by_month else []), "n_rows")
         out = counts if out is None else out.unionByName(counts)
     return out
