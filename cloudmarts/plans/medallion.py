@@ -117,9 +117,9 @@ def usage_side(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 # --- silver ------------------------------------------------------------------------------
-def silver(spark: SparkSession, lake: Lake, redup: bool = True) -> dict[str, int]:
-    """Enriched, flagged, tagged events written once,
-    partitioned by status/day/service; conformed tickets, billing and NPS.
+def silver_events(spark: SparkSession, lake: Lake, redup: bool = True) -> dict[str, int]:
+    """Enriched, flagged, tagged events written once,
+    partitioned by status/day/service.
 
     ``redup`` re-deduplicates bronze on (event_id, event time) (T16).  The stream's
     watermarked dedup and its sink log already keep bronze unique, so this is a safety
@@ -142,18 +142,29 @@ def silver(spark: SparkSession, lake: Lake, redup: bool = True) -> dict[str, int
     metrics["anomalies_valid"] = F.count_if((st == "valid") & F.col("anomaly_flag"))
     written = write_observed(tagged, lake.zone("silver", "usage_events"), metrics,
                              ["dq_status", "usage_date", "service"], rebalance=True)
-    counts = {"usage_events": written.pop("rows"), **{k: int(v) for k, v in written.items()}}
-    # by month, not by day: daily directories of a few rows each would be mostly file
-    # overhead; ticket_date stays a column (row-group min/max skipping for day ranges)
-    tickets = marts.conform_tickets(bronze("support_tickets")).withColumn(
-        "ticket_month", F.trunc(F.col("ticket_date"), "month"))
-    counts["support_tickets"] = write_partitioned(tickets, lake.zone("silver", "support_tickets"),
-                                                  ["ticket_month"], dynamic=False)
-    counts["billing_monthly"] = write_table(marts.billing_usd(bronze("billing_monthly")),
-                                            lake.zone("silver", "billing_monthly"))
-    counts["nps_surveys"] = write_table(marts.conform_nps(bronze("nps_surveys")),
-                                        lake.zone("silver", "nps_surveys"))
-    return counts
+    return {"usage_events": written.pop("rows"), **{k: int(v) for k, v in written.items()}}
+
+
+def silver(spark: SparkSession, lake: Lake, redup: bool = True) -> dict[str, int]:
+    """The events of ``silver_events`` and, beside them, conformed
+    tickets, billing and NPS."""
+    bronze = lambda t: read_zone(spark, lake, "bronze", t)
+
+    def tickets():
+        # by month, not by day: daily directories of a few rows each would be mostly file
+        # overhead; ticket_date stays a column (row-group min/max skipping for day ranges)
+        rows = marts.conform_tickets(bronze("support_tickets")).withColumn(
+            "ticket_month", F.trunc(F.col("ticket_date"), "month"))
+        return write_partitioned(rows, lake.zone("silver", "support_tickets"), ["ticket_month"], dynamic=False)
+
+    done = run_concurrently(spark, {
+        "usage_events": lambda: silver_events(spark, lake, redup),
+        "support_tickets": tickets,
+        "billing_monthly": lambda: write_table(marts.billing_usd(bronze("billing_monthly")),
+                                               lake.zone("silver", "billing_monthly")),
+        "nps_surveys": lambda: write_table(marts.conform_nps(bronze("nps_surveys")),
+                                           lake.zone("silver", "nps_surveys"))})
+    return {**done.pop("usage_events"), **done}
 
 
 def silver_valid(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -172,26 +183,29 @@ def gold(spark: SparkSession, lake: Lake, comment_limit: int | None = None) -> d
     """M1-M6 written whole (every comment unless a limit is given)."""
     s = silver_valid(spark, lake)
     read = lambda zone, t: read_zone(spark, lake, zone, t)
-    daily = marts.daily_usage(s)
+    write = lambda n, df: write_table(df, lake.zone("gold", n))
+
+    def usage():
+        counts = {"org_daily_usage_by_service": write("org_daily_usage_by_service", marts.daily_usage(s))}
+        # M4 from the written M1 mart: no second aggregation over silver
+        genai = marts.genai_from_daily(read("gold", "org_daily_usage_by_service"))
+        profile = marts.org_profile(read("bronze", "customers_orgs"), read("bronze", "users"),
+                                    read("silver", "nps_surveys"),
+                                    read("gold", "org_daily_usage_by_service"),
+                                    comment_limit=comment_limit)
+        return counts | run_concurrently(spark, {
+            "genai_tokens_by_org_date": lambda: write("genai_tokens_by_org_date", genai),
+            "org_profile_analytics": lambda: write("org_profile_analytics", profile)})
+
     out = {
-        "org_daily_usage_by_service": daily,
         "revenue_by_org_month": marts.revenue_by_month(read("silver", "billing_monthly")),
         "tickets_by_org_date": marts.tickets_by_day(
             read("silver", "support_tickets").drop("ticket_month")),
         "cost_anomaly_mart": marts.cost_anomalies(s),
     }
-    counts = run_concurrently(spark, {name: (lambda n=name, df=df: write_table(df, lake.zone("gold", n)))
-                                   for name, df in out.items()})
-    # M4 from the written M1 mart: no second aggregation over silver
-    counts["genai_tokens_by_org_date"] = write_table(
-        marts.genai_from_daily(read("gold", "org_daily_usage_by_service")),
-        lake.zone("gold", "genai_tokens_by_org_date"))
-    profile = marts.org_profile(read("bronze", "customers_orgs"), read("bronze", "users"),
-                                read("silver", "nps_surveys"),
-                                read("gold", "org_daily_usage_by_service"),
-                                comment_limit=comment_limit)
-    counts["org_profile_analytics"] = write_table(profile, lake.zone("gold", "org_profile_analytics"))
-    return counts
+    done = run_concurrently(spark, {"usage": usage, **{
+        name: (lambda n=name, df=df: write(n, df)) for name, df in out.items()}})
+    return {**done.pop("usage"), **done}
 
 
 # --- serving -----------------------------------------------------------------------------
@@ -219,9 +233,11 @@ def serve(spark: SparkSession, lake: Lake, n_buckets: int = serving.DEFAULT_BUCK
 def run(spark: SparkSession, lake: Lake, null_time: str = "divert", redup: bool = True,
         max_files_per_trigger: int | None = None, events_glob: str = EVENTS_GLOB,
         n_buckets: int = serving.DEFAULT_BUCKETS, incremental_masters: bool = False) -> dict[str, dict[str, int]]:
-    """The whole chain, in dependency order."""
-    report = {"bronze": bronze_masters(spark, lake, incremental=incremental_masters)}
-    report["bronze_usage"] = bronze_usage(spark, lake, null_time, max_files_per_trigger, events_glob)
+    """The whole chain, in dependency order; steps that read nothing of each other's run side by
+    side, so that the last tasks of one leave no core idle."""
+    report = run_concurrently(spark, {
+        "bronze": lambda: bronze_masters(spark, lake, incremental=incremental_masters),
+        "bronze_usage": lambda: bronze_usage(spark, lake, null_time, max_files_per_trigger, events_glob)})
     report["silver"] = silver(spark, lake, redup)
     report["gold"] = gold(spark, lake)
     report["serving"] = serve(spark, lake, n_buckets)

@@ -282,9 +282,9 @@ def write_landing(spark: SparkSession, sf_dir: str, landing_root: str, event_fil
         (df.write.option("header", "true").option("quote", '"').option("escape", '"')
            .csv(f"{landing_root}/{name}.csv"))
 
-    run_concurrently(spark, {n: (lambda n=n, df=df: csv(n, df))
-                             for n, df in landing_frames(spark, sf_dir).items()})
-    write_landing_events(spark, sf_dir, f"{landing_root}/{EVENTS_FOLDER}", event_files)
+    run_concurrently(spark, {
+        EVENTS_FOLDER: lambda: write_landing_events(spark, sf_dir, f"{landing_root}/{EVENTS_FOLDER}", event_files),
+        **{n: (lambda n=n, df=df: csv(n, df)) for n, df in landing_frames(spark, sf_dir).items()}})
 
 
 def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> None:
@@ -292,7 +292,8 @@ def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int
     per time slice, oldest first: the file source picks files in modification-time order,
     as a feed would deliver them.  ``files`` is the number of slices at any size.
 
-    The events are staged once, partitioned by slice; each append reads its slice only.
+    The events are staged once, partitioned by slice where the scan left them (no shuffle: a
+    slice is not one task's); each append reads its slice only.
     """
     from ..session import scratch_path
     from ..sinks import write_table
@@ -312,7 +313,7 @@ def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int
     sliced = landing_events.withColumn(
         "_slice", F.floor((F.to_timestamp("timestamp").cast("long") - lo) * files / span))
     stage = scratch_path(spark, "landing-slices")
-    write_table(sliced.hint("rebalance", "_slice"), stage, ["_slice"])
+    write_table(sliced, stage, ["_slice"])
     for k in range(files):
         spark.read.schema(sliced.schema).parquet(stage).filter(F.col("_slice") == k).drop("_slice").write.mode(
             "append").json(path)

@@ -147,3 +147,32 @@ def test_a_master_is_shuffled_once_and_its_corrupt_rows_are_kept(spark, tmp_dir,
     assert plans[0].count("Exchange ") == 1 and "csv" in plans[0].lower()
     bad = spark.read.parquet(lake.zone("quarantine", "bronze_users")).collect()
     assert [r["_corrupt"] for r in bad] == ["u3,short line"]
+
+
+def test_independent_steps_run_side_by_side(spark, monkeypatch):
+    import threading
+
+    from cloudmarts.plans import medallion
+    met = threading.Barrier(2, timeout=60)  # breaks unless both steps are under way at once
+    for step in ("bronze_masters", "bronze_usage"):
+        monkeypatch.setattr(medallion, step, lambda *a, s=step, **k: {s: met.wait() >= 0})
+    for step in ("silver", "gold", "serve"):
+        monkeypatch.setattr(medallion, step, lambda *a, **k: {})
+    report = medallion.run(spark, medallion.Lake("unused"))
+    assert report == {"bronze": {"bronze_masters": True}, "bronze_usage": {"bronze_usage": True},
+                      "silver": {}, "gold": {}, "serving": {}}
+
+
+def test_landing_slices_are_staged_without_a_shuffle(spark, tmp_dir, monkeypatch):
+    from cloudmarts import sinks
+    from cloudmarts.sources import testmap
+    events = spark.range(40).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, CAST(id AS INT)) AS ts", "id % 3 AS user_id",
+        "'click' AS event_type", "CAST(id AS DOUBLE) AS value", "'{\"k\": 1}' AS props")
+    events.write.parquet(f"{tmp_dir}/events.parquet")
+    plans, write = [], sinks.write_table
+    monkeypatch.setattr(sinks, "write_table", lambda df, *a, **k: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a, **k))[1])
+    testmap.write_landing_events(spark, tmp_dir, f"{tmp_dir}/landing")
+    assert plans and "Exchange" not in "".join(plans)
+    assert spark.read.json(f"{tmp_dir}/landing").count() == 40
