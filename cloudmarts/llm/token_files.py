@@ -40,7 +40,7 @@ from cloudmarts.session import scratch_path
 
 MARK = 256           # ones between two marks of a select structure
 BLOCK_IDS = 4 << 20  # ids a reading task takes at a time
-_TEXT_BYTES = 1 << 20  # text a task encodes at a time
+_TEXT_BYTES = 4 << 20  # text a task encodes at a time
 _HEAD = "<4sHHQQqQ"  # magic, version, bytes an id, documents, ids, smallest id, rows without an id
 _PART = "<QQBQQQ"  # values, largest, low bits, bytes of low bits, of the bit vector, of the marks
 _MAGIC, _VERSION = b"EFTK", 1
@@ -200,7 +200,7 @@ def tokenized(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 part = batch.slice(a, b - a)
                 ids = [np.frombuffer(i + end, "<u4").astype(f"<u{width}").tobytes()
-                       for i in encoder.encode(part.column(3).to_pylist())]
+                       for i in encoder.encode(part.column(3))]
                 shards = []
                 for key in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
                     low, high = bisect_left(starts, key), bisect_right(starts, key)

@@ -66,3 +66,18 @@ def test_long_stretches_are_not_remembered(whole):
     e = t.Encoder()
     text = "one two " + "y" * 500 + " three"
     assert ids(e, text) == ids(e, text) == whole(text) and set(e._known) == {"two", "three"}
+
+
+def test_lines_and_signs_are_told_apart(whole, encoder):
+    for text in ("one.\nTwo three,%%%\nFour\n\nfive ''' six.' seven's\neight", "a\n b \nc\td\n<|endoftext|>\ne", "x$$$\ny. z–.\nw",
+                 "été,\nÉté. 漢.\n漢 12,\n12;", "a\x1c\nb\nc　\nd", "Haus’.\nHaus", "one\n"):
+        assert ids(encoder, text) == whole(text)
+    many = ["one two.\nThree", "one  two", "", " ", "two.\nThree one"]  # cut in both ways, in one call
+    assert [np.frombuffer(e, "<u4").tolist() for e in encoder.encode(many)] == [whole(x) for x in many]
+
+
+def test_signs_and_lines_need_no_word_of_their_own(whole):
+    e = t.Encoder()
+    text = " ".join(["a", *(f"word{s}" for s in (".", ",", "!!", "$$$", ".\nWord", "!\nWord", "\nWord."))])
+    assert ids(e, text) == whole(text)
+    assert set(e._known) == {"word"} and set(e._bare) == {"a", "Word"}
