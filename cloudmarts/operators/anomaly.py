@@ -30,12 +30,29 @@ def group_quantiles(df: DataFrame, value_col: str, group_col: str, shares: dict[
 
     Infinite values are ordinary smallest and largest ones; -0.0 counts as 0.0.
     """
+    known = _known(df, value_col, group_col)
+    return _narrowed(known, sketch_groups(known, ["g"], "x", sketch_k), group_col, shares, sketch_k, rank_rows)
+
+
+def sketched_quantiles(df: DataFrame, sketches: DataFrame, value_col: str, group_col: str, shares: dict[str, float],
+                       sketch_k: int = SKETCH_K, rank_rows: int = RANK_ROWS) -> DataFrame:
+    """``group_quantiles`` of ``df`` where ``sketches`` (group, n, sketch) of the same rows are
+    there already: the rows are read only if a group has more than ``sketch_k`` of them."""
+    return _narrowed(_known(df, value_col, group_col), sketches.withColumnRenamed(group_col, "g"), group_col, shares,
+                     sketch_k, rank_rows)
+
+
+def _known(df: DataFrame, value_col: str, group_col: str) -> DataFrame:
+    rows = df.select(F.col(group_col).alias("g"), (F.col(value_col).cast("double") + F.lit(0.0)).alias("x"))
+    return rows.where(F.col("g").isNotNull() & F.col("x").isNotNull() & ~F.isnan("x"))
+
+
+def _narrowed(known: DataFrame, sketches: DataFrame, group_col: str, shares: dict[str, float], sketch_k: int,
+              rank_rows: int) -> DataFrame:
     if sketch_k < 64:
         raise ValueError("a sketch this small may not narrow a range")
-    rows = df.select(F.col(group_col).alias("g"), (F.col(value_col).cast("double") + F.lit(0.0)).alias("x"))
-    known = rows.where(F.col("g").isNotNull() & F.col("x").isNotNull() & ~F.isnan("x"))
     names = list(shares)
-    ranges = staged(sketch_groups(known, ["g"], "x", sketch_k).select("g", *[
+    ranges = staged(sketches.select("g", *[
         c for i, p in enumerate(shares.values()) for c in _first_range(i, float(p), sketch_k)]), "quantile-ranges")
     settled = " AND ".join(f"size{i} = 0" for i in range(len(names)))
     wide = " OR ".join(f"size{i} > {rank_rows}" for i in range(len(names)))

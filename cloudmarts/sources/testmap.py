@@ -290,10 +290,17 @@ def write_landing(spark: SparkSession, sf_dir: str, landing_root: str, event_fil
 def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> None:
     """Usage events as JSON-lines files in the landing schema (text ids and time), one append
     per time slice, oldest first: the file source picks files in modification-time order,
-    as a feed would deliver them.  ``files`` is the number of slices at any size.
+    as a feed would deliver them.  ``files`` is the number of slices at any size; a slice is
+    several files where several tasks write it."""
+    for rows in landing_event_slices(spark, sf_dir, files):
+        rows.write.mode("append").json(path)
+
+
+def landing_event_slices(spark: SparkSession, sf_dir: str, files: int = 4) -> list[DataFrame]:
+    """The time slices of ``write_landing_events``, oldest first.
 
     The events are staged once, partitioned by slice where the scan left them (no shuffle: a
-    slice is not one task's); each append reads its slice only.
+    slice is not one task's); each frame reads its slice only.
     """
     from ..session import scratch_path
     from ..sinks import write_table
@@ -308,12 +315,11 @@ def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int
     ts = F.col("timestamp_parsed")
     lo, hi = ev.agg(F.min(ts).cast("timestamp").cast("long"), F.max(ts).cast("timestamp").cast("long")).first()
     if lo is None:
-        return
+        return []
     span = max(hi - lo + 1, 1)
     sliced = landing_events.withColumn(
         "_slice", F.floor((F.to_timestamp("timestamp").cast("long") - lo) * files / span))
     stage = scratch_path(spark, "landing-slices")
     write_table(sliced, stage, ["_slice"])
-    for k in range(files):
-        spark.read.schema(sliced.schema).parquet(stage).filter(F.col("_slice") == k).drop("_slice").write.mode(
-            "append").json(path)
+    return [spark.read.schema(sliced.schema).parquet(stage).filter(F.col("_slice") == k).drop("_slice")
+            for k in range(files)]
