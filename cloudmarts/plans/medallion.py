@@ -16,6 +16,7 @@ Layout under ``root``::
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,8 +28,8 @@ from ..operators import marts, serving
 from ..operators.events import silver_usage
 from ..operators.ingest import dedup_latest
 from ..schemas import EVENTS_FOLDER, EVENTS_GLOB, LANDING, SERVING, USAGE_EVENT
-from ..sinks import path_exists, read_table, staged, write_observed, write_partitioned, write_table
-from ..session import run_concurrently
+from ..sinks import path_exists, read_table, staged_meanwhile, write_observed, write_partitioned, write_table
+from ..session import LITTLE_DISK, run_concurrently, settings
 from ..sources.landing import CORRUPT, corrupt_rows, ingest_master, parse_event_time
 from ..streaming import onepass
 from ..streaming.bronze import file_stream
@@ -130,18 +131,20 @@ def silver_events(spark: SparkSession, lake: Lake, redup: bool = True) -> dict[s
     bronze = lambda t: read_zone(spark, lake, "bronze", t)
     events = bronze_events(spark, lake)
     if redup:
-        events = staged(dedup_latest(events, ["event_id", "timestamp_parsed"],
-                                     [F.col("ingest_ts").asc()], exclude_from_tiebreak=["source_file"]),
-                        "deduplicated-events")
-    tagged = silver_usage(events, bronze("customers_orgs"), bronze("resources"))
+        unique = staged_meanwhile(dedup_latest(events, ["event_id", "timestamp_parsed"], [F.col("ingest_ts").asc()],
+                                               exclude_from_tiebreak=["source_file"]), "deduplicated-events")
+    else:
+        unique = nullcontext(events)
     # Q5/K7: route and per-rule counts observed in the same pass that writes silver
     st = F.col("dq_status")
     metrics = {f"route_{r}": F.count_if(st == r) for r in ("valid", "quarantine", "unknown")}
     metrics.update({f"rule_{r.name}": F.count_if(F.array_contains("dq_errors", r.name))
                     for r in usage_rules()})
     metrics["anomalies_valid"] = F.count_if((st == "valid") & F.col("anomaly_flag"))
-    written = write_observed(tagged, lake.zone("silver", "usage_events"), metrics,
-                             ["dq_status", "usage_date", "service"], rebalance=True)
+    with unique as rows:
+        tagged = silver_usage(rows, bronze("customers_orgs"), bronze("resources"))
+        written = write_observed(tagged, lake.zone("silver", "usage_events"), metrics,
+                                 ["dq_status", "usage_date", "service"], rebalance=True)
     return {"usage_events": written.pop("rows"), **{k: int(v) for k, v in written.items()}}
 
 
@@ -234,13 +237,15 @@ def run(spark: SparkSession, lake: Lake, null_time: str = "divert", redup: bool
         max_files_per_trigger: int | None = None, events_glob: str = EVENTS_GLOB,
         n_buckets: int = serving.DEFAULT_BUCKETS, incremental_masters: bool = False) -> dict[str, dict[str, int]]:
     """The whole chain, in dependency order; steps that read nothing of each other's run side by
-    side, so that the last tasks of one leave no core idle."""
-    report = run_concurrently(spark, {
-        "bronze": lambda: bronze_masters(spark, lake, incremental=incremental_masters),
-        "bronze_usage": lambda: bronze_usage(spark, lake, null_time, max_files_per_trigger, events_glob)})
-    report["silver"] = silver(spark, lake, redup)
-    report["gold"] = gold(spark, lake)
-    report["serving"] = serve(spark, lake, n_buckets)
+    side, so that the last tasks of one leave no core idle.  The disk holds the shuffles of the
+    steps under way only."""
+    with settings(spark, LITTLE_DISK):
+        report = run_concurrently(spark, {
+            "bronze": lambda: bronze_masters(spark, lake, incremental=incremental_masters),
+            "bronze_usage": lambda: bronze_usage(spark, lake, null_time, max_files_per_trigger, events_glob)})
+        report["silver"] = silver(spark, lake, redup)
+        report["gold"] = gold(spark, lake)
+        report["serving"] = serve(spark, lake, n_buckets)
     return report
 
 

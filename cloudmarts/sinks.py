@@ -7,7 +7,8 @@ can be dynamic, so re-running one day rewrites one day.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +96,13 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that no later step reads."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def try_read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                    types: Mapping[str, DataType] | None = None) -> DataFrame | None:
     """The table at ``path``, or None when there is no such path.  Any other failure of the
@@ -108,3 +116,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_meanwhile(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``staged``, for results that no later step reads: the copy is deleted at the end."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete_folder(df.sparkSession, path)

@@ -12,6 +12,9 @@ ticket and user = orders; NPS comment = turns of conversations.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -273,37 +276,53 @@ def landing_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return frames
 
 
-def write_landing(spark: SparkSession, sf_dir: str, landing_root: str, event_files: int = 4) -> None:
-    """Landing CSV masters plus the usage events as ``event_files`` JSON-lines files."""
+#: Rows of a compressed landing file: no task can share one, so that it must stay small.
+COMPRESSED_ROWS = 100_000
+
+
+def _text(rows: DataFrame, compression: str | None):
+    """Writer of landing text, plain or compressed (lz4: a third of the bytes at little cost)."""
+    if compression is None:
+        return rows.write
+    return rows.write.option("compression", compression).option("maxRecordsPerFile", COMPRESSED_ROWS)
+
+
+def write_landing(spark: SparkSession, sf_dir: str, landing_root: str, event_files: int = 4,
+                  compression: str | None = None) -> None:
+    """Landing CSV masters plus the usage events as JSON-lines files of ``event_files`` slices."""
     from ..schemas import EVENTS_FOLDER
     from ..session import run_concurrently
 
     def csv(name, df):
-        (df.write.option("header", "true").option("quote", '"').option("escape", '"')
+        (_text(df, compression).option("header", "true").option("quote", '"').option("escape", '"')
            .csv(f"{landing_root}/{name}.csv"))
 
     run_concurrently(spark, {
-        EVENTS_FOLDER: lambda: write_landing_events(spark, sf_dir, f"{landing_root}/{EVENTS_FOLDER}", event_files),
+        EVENTS_FOLDER: lambda: write_landing_events(spark, sf_dir, f"{landing_root}/{EVENTS_FOLDER}", event_files,
+                                                    compression),
         **{n: (lambda n=n, df=df: csv(n, df)) for n, df in landing_frames(spark, sf_dir).items()}})
 
 
-def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> None:
+def write_landing_events(spark: SparkSession, sf_dir: str, path: str, files: int = 4,
+                         compression: str | None = None) -> None:
     """Usage events as JSON-lines files in the landing schema (text ids and time), one append
     per time slice, oldest first: the file source picks files in modification-time order,
     as a feed would deliver them.  ``files`` is the number of slices at any size; a slice is
     several files where several tasks write it."""
-    for rows in landing_event_slices(spark, sf_dir, files):
-        rows.write.mode("append").json(path)
+    with landing_event_slices(spark, sf_dir, files) as slices:
+        for rows in slices:
+            _text(rows, compression).mode("append").json(path)
 
 
-def landing_event_slices(spark: SparkSession, sf_dir: str, files: int = 4) -> list[DataFrame]:
+@contextmanager
+def landing_event_slices(spark: SparkSession, sf_dir: str, files: int = 4) -> Iterator[list[DataFrame]]:
     """The time slices of ``write_landing_events``, oldest first.
 
-    The events are staged once, partitioned by slice where the scan left them (no shuffle: a
+    The events are staged meanwhile, partitioned by slice where the scan left them (no shuffle: a
     slice is not one task's); each frame reads its slice only.
     """
     from ..session import scratch_path
-    from ..sinks import write_table
+    from ..sinks import delete_folder, write_table
 
     ev = usage_events(spark, sf_dir)
     landing_events = ev.select(
@@ -315,11 +334,15 @@ def landing_event_slices(spark: SparkSession, sf_dir: str, files: int = 4) -> li
     ts = F.col("timestamp_parsed")
     lo, hi = ev.agg(F.min(ts).cast("timestamp").cast("long"), F.max(ts).cast("timestamp").cast("long")).first()
     if lo is None:
-        return []
+        yield []
+        return
     span = max(hi - lo + 1, 1)
     sliced = landing_events.withColumn(
         "_slice", F.floor((F.to_timestamp("timestamp").cast("long") - lo) * files / span))
     stage = scratch_path(spark, "landing-slices")
     write_table(sliced, stage, ["_slice"])
-    return [spark.read.schema(sliced.schema).parquet(stage).filter(F.col("_slice") == k).drop("_slice")
-            for k in range(files)]
+    try:
+        yield [spark.read.schema(sliced.schema).parquet(stage).filter(F.col("_slice") == k).drop("_slice")
+               for k in range(files)]
+    finally:
+        delete_folder(spark, stage)

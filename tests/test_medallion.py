@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cloudmarts.operators import serving
 from cloudmarts.plans import medallion as md
+from cloudmarts.session import LITTLE_DISK
 from cloudmarts.sources import testmap as tm
 
 from conftest import SF_SMALL
@@ -176,3 +177,55 @@ def test_landing_slices_are_staged_without_a_shuffle(spark, tmp_dir, monkeypatch
     testmap.write_landing_events(spark, tmp_dir, f"{tmp_dir}/landing")
     assert plans and "Exchange" not in "".join(plans)
     assert spark.read.json(f"{tmp_dir}/landing").count() == 40
+
+
+def test_the_chain_keeps_little_on_disk(spark):
+    import glob
+    import os
+
+    from cloudmarts.plans import catalog
+    from cloudmarts.session import checkpoint_root
+    scratch = checkpoint_root(spark).removeprefix("file:") + "/scratch"
+    before = set(glob.glob(f"{scratch}/*"))
+    shuffles = _shuffle_files(spark)
+    rows = catalog.QUERIES["medallion_end_to_end"](spark, SF_SMALL)
+    assert _shuffle_files(spark) <= shuffles          # those of its steps went with the steps
+    assert rows.count() == 754
+    left = {os.path.basename(p).rsplit("-", 1)[0]: p for p in set(glob.glob(f"{scratch}/*")) - before}
+    assert not left.keys() & {"landing-slices", "deduplicated-events"}
+    landed = [f for f in glob.glob(f"{left['lake']}/landing/*/*") if os.path.basename(f).startswith("part-")]
+    assert landed and all(f.endswith(".lz4") for f in landed)
+    tables = [f for f in glob.glob(f"{left['lake']}/*/**/part-*", recursive=True) if "/landing/" not in f]
+    assert tables and all(".zstd.parquet" in f for f in tables)
+    for key in LITTLE_DISK:                           # the caller's settings are as before
+        assert spark.conf.get(key) == {"spark.sql.parquet.compression.codec": "snappy"}.get(key, "false")
+
+
+def _shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {blocks.apply(i).getName() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_")}
+
+
+def test_settings_are_put_back_after_a_failure(spark):
+    import pytest
+
+    from cloudmarts.session import settings
+    key = "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(key)
+    with pytest.raises(RuntimeError, match="step"), settings(spark, {key: "gzip", "cloudmarts.unset": "1"}):
+        assert spark.conf.get(key) == "gzip"
+        raise RuntimeError("step")
+    assert spark.conf.get(key) == before and spark.conf.get("cloudmarts.unset", None) is None
+
+
+def test_compressed_landing_files_hold_the_same_rows_in_bounded_files(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(tm, "COMPRESSED_ROWS", 300)
+    reports = {}
+    for compression, suffix in ((None, ""), ("lz4", ".lz4")):
+        lake = md.Lake(f"{tmp_dir}/lake{suffix}")
+        tm.write_landing(spark, SF_SMALL, f"{lake.root}/landing", event_files=2, compression=compression)
+        reports[suffix] = {**md.bronze_masters(spark, lake), **md.bronze_usage(spark, lake, events_glob=f"*.json{suffix}")}
+        rows = spark.read.parquet(lake.zone("bronze", "users"))
+        per_file = rows.groupBy("source_file").count().agg(F.max("count")).head()[0]
+        assert rows.count() > 300 and (per_file <= 300) == bool(suffix)
+    assert reports[""] == reports[".lz4"]
