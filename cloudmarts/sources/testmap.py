@@ -281,7 +281,7 @@ COMPRESSED_ROWS = 100_000
 
 
 def _text(rows: DataFrame, compression: str | None):
-    """Writer of landing text, plain or compressed (lz4: a third of the bytes at little cost)."""
+    """Writer of landing text, plain or compressed (lz4: two fifths of the bytes at little cost)."""
     if compression is None:
         return rows.write
     return rows.write.option("compression", compression).option("maxRecordsPerFile", COMPRESSED_ROWS)
